@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions.text import WS, nonempty_lines, strip_ws
+from quarry.functions.text import WS_U as WS, nonempty_lines, strip_ws
 
 # --- fixed values -----------------------------------------------------------
 SYSTEM_MESSAGE = "You are a careful and concise policy analyst."
@@ -30,9 +30,9 @@ TEMPERATURE = 0.2
 DEFAULT_GRADE = "No"
 DETAIL_GRADES = ("Yes", "Maybe")
 # Line-start labels (case-insensitive) that switch the parser to labelled mode.
-SUMMARY_LINE = r"(?iu)^" + WS + r"*summary" + WS + r"*:"
-RELEVANT_LINE = r"(?iu)^" + WS + r"*(?:relevant|relevance)" + WS + r"*:"
-DETAILS_LINE = r"(?iu)^" + WS + r"*details?" + WS + r"*:"
+SUMMARY_LINE = r"(?iuU)^" + WS + r"*summary" + WS + r"*:"
+RELEVANT_LINE = r"(?iuU)^" + WS + r"*(?:relevant|relevance)" + WS + r"*:"
+DETAILS_LINE = r"(?iuU)^" + WS + r"*details?" + WS + r"*:"
 # Optional list marker, then a label word and an optional colon.
 LABEL_PREFIX = (r"(?iuU)^" + WS + r"*(?:\d+[.)]" + WS + r"*|[-*]" + WS + r"*)?"
                 r"(?:Summary|Relevant|Relevance|Details?):?" + WS + r"*")
@@ -82,22 +82,24 @@ def parse_response(df: DataFrame, response: str = "response", *,
     grade from the first bare answer line, details from the lines after it.
     Details only survive a Yes or Maybe grade.
     """
-    L = "__lines"
-    lines = F.col(L)
-    idx = F.transform(lines, lambda _l, i: i)
-    is_sum = lambda l: l.rlike(SUMMARY_LINE)
-    is_rel = lambda l: l.rlike(RELEVANT_LINE)
-    is_det = lambda l: l.rlike(DETAILS_LINE)
+    L, TG = "__lines", "__tagged"
+    lines, tagged = F.col(L), F.col(TG)
 
-    labelled = F.exists(lines, lambda l: is_sum(l) | is_rel(l) | is_det(l))
+    def kind(line):
+        return (F.when(line.rlike(SUMMARY_LINE), 1).when(line.rlike(RELEVANT_LINE), 2)
+                .when(line.rlike(DETAILS_LINE), 3).otherwise(0))
+
+    def of_kind(k):
+        return F.filter(tagged, lambda t: t["k"] == k)
+
+    labelled = F.exists(tagged, lambda t: t["k"] > 0)
 
     # labelled mode
-    lab_desc = F.coalesce(strip_label(_last(F.filter(lines, is_sum))), F.lit(""))
-    lab_grades = F.filter(
-        F.transform(F.filter(lines, is_rel), lambda l: F.regexp_extract(l, ANY_GRADE, 1)),
-        lambda g: g != "")
+    lab_desc = F.coalesce(strip_label(_last(of_kind(1))["l"]), F.lit(""))
+    lab_grades = F.filter(F.transform(of_kind(2), lambda t: F.regexp_extract(t["l"], ANY_GRADE, 1)),
+                          lambda g: g != "")
     lab_grade = F.coalesce(_capital(_last(lab_grades)), F.lit(DEFAULT_GRADE))
-    det_idx = _last(F.filter(idx, lambda i: is_det(F.get(lines, i))))
+    det_idx = _last(of_kind(3))["i"]
     det_head = strip_label(F.get(lines, det_idx))
     det_tail = _joined_tail(lines, det_idx)
     lab_details = F.when(det_idx.isNull(), F.lit("")).when(det_tail == "", det_head).when(
@@ -116,9 +118,11 @@ def parse_response(df: DataFrame, response: str = "response", *,
     d = F.when(F.col("__labelled"), lab_details).otherwise(fb_details)
     return (
         df.withColumn(L, nonempty_lines(response))
+        .withColumn(TG, F.transform(lines, lambda l, i: F.struct(l.alias("l"), i.alias("i"),
+                                                                    kind(l).alias("k"))))
         .withColumn("__labelled", labelled)
         .withColumn(description, F.when(F.col("__labelled"), lab_desc).otherwise(fb_desc))
         .withColumn(grade, g)
         .withColumn(details, F.when(F.col(grade).isin(*DETAIL_GRADES), d).otherwise(F.lit("")))
-        .drop(L, "__labelled")
+        .drop(L, TG, "__labelled")
     )

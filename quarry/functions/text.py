@@ -21,6 +21,9 @@ from pyspark.sql import functions as F
 # Written with \x{...} escapes, which both Java regex and RE2 accept.
 WS = (r"[\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
       r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
+# The same set as Java matches it fastest: Unicode White_Space plus 0x1C-0x1F.
+# Valid only in patterns that start with the (?U) flag.
+WS_U = r"[\s\x{1C}-\x{1F}]"
 # Characters a file name may not hold; each becomes "_".
 UNSAFE_FILENAME_CHARS = r'[\\/:*?"<>|]'
 # Separator of the archive's joined ``types`` string.
@@ -40,12 +43,12 @@ def _c(c) -> Column:
 
 def collapse_ws(c) -> Column:
     """Every run of whitespace becomes one space (no strip)."""
-    return F.regexp_replace(_c(c), WS + "+", " ")
+    return F.regexp_replace(_c(c), "(?U)" + WS_U + "+", " ")
 
 
 def strip_ws(c) -> Column:
     """STR3: strip leading and trailing whitespace (full Unicode set)."""
-    return F.regexp_replace(_c(c), "^" + WS + "+|" + WS + "+$", "")
+    return F.regexp_replace(_c(c), "(?U)^" + WS_U + "+|" + WS_U + "+$", "")
 
 
 def clean_text(c) -> Column:

@@ -1,0 +1 @@
+"""quarry.operators"""

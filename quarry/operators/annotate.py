@@ -5,7 +5,8 @@
 ``client_factory``), an optional thread pool per task for I/O-bound calls,
 one retry with a fallback model, and per-row error isolation (a failing row
 keeps a NULL answer and an ``error``; the task never raises).  Parallelism is
-bounded by the number of partitions the caller gives (``partitions``).
+bounded by the number of partitions (``partitions``, default: the cluster's
+default parallelism); rows are hash-partitioned on the key first.
 
 The answer text is parsed JVM-side by ``quarry.functions.response``.
 
@@ -76,8 +77,11 @@ def annotate(df: DataFrame, client_factory: Callable[[], object], *, text_col: s
     Python.
     """
     src = df.select(*keys, prompt_text(text_col, topic).alias("__prompt"))
-    if partitions:
-        src = src.repartition(partitions)
+    # Model calls take seconds per row, so spread them over every core
+    # whatever the input's file layout; hashing on the key keeps the split
+    # deterministic when a task is retried.
+    n = partitions or df.sparkSession.sparkContext.defaultParallelism
+    src = src.repartition(n, *keys)
     key_fields = [src.schema[k] for k in keys]
     schema = T.StructType(key_fields + ANSWER_FIELDS)
 

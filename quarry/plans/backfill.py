@@ -4,6 +4,13 @@ Rows without a description or grade get text (content cache, else extracted
 page), are annotated, and the answers are written back to exactly those rows;
 all other rows pass through unchanged.  The rewrite goes to a new version of
 the table, never over the one being read.
+
+Two steps, so the answers can be staged between them:
+
+* ``backfill_answers``: the rows that need work -> one answer per row key;
+* ``apply_answers``: archive LEFT JOIN answers on the row key.  When the
+  staged answers are proven small they are broadcast, so the archive is
+  rewritten in place by a map-only pass instead of being shuffled.
 """
 
 from __future__ import annotations
@@ -16,11 +23,12 @@ from pyspark.sql import functions as F
 from quarry.functions.text import text_file_path
 from quarry.operators.annotate import annotate, stage
 from quarry.operators.filters import missing_summary
-from quarry.operators.joins import DEFAULT_BROADCAST_ROWS, first_by
+from quarry.operators.joins import DEFAULT_BROADCAST_ROWS, first_by, lookup_join
 from quarry.plans.ingest import window_text
 from quarry.sources.archive import ARCHIVE_COLUMNS, VersionedTable, to_silver
 
 ROW_KEY = "__rid"
+ANSWER_COLUMNS = ("description", "relevant_eo", "full_summary")
 
 
 def with_row_key(archive: DataFrame, key: str = ROW_KEY) -> DataFrame:
@@ -33,56 +41,76 @@ def with_row_key(archive: DataFrame, key: str = ROW_KEY) -> DataFrame:
     return archive.withColumn(key, F.xxhash64(*cols))
 
 
-def backfill_rows(archive: DataFrame, client_factory: Callable[[], object], *,
-                  content: DataFrame | None = None, article_pages: DataFrame | None = None,
-                  topic: str | None = None, output_dir: str = "texts", today: str = "1970-01-01",
-                  container: str = "main", model: str = "gpt-4o", partitions: int | None = None,
-                  concurrency: int = 1, key: str | None = None,
-                  max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """PIP2 as one plan: the whole archive with answers filled in, plus ``updated``."""
-    k = key or ROW_KEY
-    arch = archive if key else with_row_key(archive)
-    need = arch.filter(missing_summary()).select(k, "url", "date", "title", "text_file")
-    need = first_by(need, k, ())
+def backfill_answers(archive: DataFrame, client_factory: Callable[[], object], *,
+                     key: str = ROW_KEY, content: DataFrame | None = None,
+                     article_pages: DataFrame | None = None, topic: str | None = None,
+                     container: str = "main", model: str = "gpt-4o",
+                     partitions: int | None = None, concurrency: int = 1,
+                     max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``key`` + answer columns for every row that lacks one and has text."""
+    need = archive.filter(missing_summary()).select(key, "url")
+    need = first_by(need, key, ())
     texts = window_text(need, content, article_pages, container, max_broadcast_rows)
     # FIL8 + Q8: a row with no readable text is skipped, never annotated
     todo = texts.filter(F.col("text").isNotNull() & (F.col("text") != ""))
-    ann = annotate(todo, client_factory, text_col="text", keys=(k,), topic=topic, model=model,
+    ann = annotate(todo, client_factory, text_col="text", keys=(key,), topic=topic, model=model,
                    partitions=partitions, concurrency=concurrency)
-    ann = ann.filter(F.col("response").isNotNull()).select(
-        k, F.lit(True).alias("__upd"),
-        F.col("description").alias("__d"), F.col("relevant_eo").alias("__r"),
-        F.col("full_summary").alias("__f"))
-    out = arch.join(ann, k, "left")
+    return ann.filter(F.col("response").isNotNull()).select(key, *ANSWER_COLUMNS)
+
+
+def apply_answers(archive: DataFrame, answers: DataFrame, *, key: str = ROW_KEY,
+                  topic: str | None = None, output_dir: str = "texts", today: str = "1970-01-01",
+                  max_broadcast_rows: int | None = None) -> DataFrame:
+    """JOIN4: write answers back to their rows; ``updated`` flags them."""
+    ans = answers.select(key, F.lit(True).alias("__upd"),
+                         *[F.col(c).alias("__" + c) for c in ANSWER_COLUMNS])
+    out = lookup_join(archive, ans, key, "left", max_broadcast_rows)
     upd = F.coalesce(F.col("__upd"), F.lit(False))
     new_topic = F.lit(topic) if topic else F.coalesce(F.col("relevance_topic"), F.lit(""))
     path = F.coalesce(F.nullif(F.col("text_file"), F.lit("")),
                       text_file_path(output_dir, "date", "title", today))
-    out = out.withColumns({
-        "description": F.when(upd, F.col("__d")).otherwise(F.col("description")),
-        "relevant_eo": F.when(upd, F.col("__r")).otherwise(F.col("relevant_eo")),
-        "full_summary": F.when(upd, F.col("__f")).otherwise(F.col("full_summary")),
+    cols = {c: F.when(upd, F.col("__" + c)).otherwise(F.col(c)) for c in ANSWER_COLUMNS}
+    cols.update({
         "relevance_topic": F.when(upd, new_topic).otherwise(F.col("relevance_topic")),
         "text_file": F.when(upd, path).otherwise(F.col("text_file")),
         "updated": upd,
     })
-    drop = ["__upd", "__d", "__r", "__f"] + ([] if key else [ROW_KEY])
-    return out.drop(*drop)
+    return out.withColumns(cols).drop("__upd", *["__" + c for c in ANSWER_COLUMNS])
+
+
+def backfill_rows(archive: DataFrame, client_factory: Callable[[], object], *,
+                  content: DataFrame | None = None, article_pages: DataFrame | None = None,
+                  topic: str | None = None, output_dir: str = "texts", today: str = "1970-01-01",
+                  container: str = "main", model: str = "gpt-4o", partitions: int | None = None,
+                  concurrency: int = 1, key: str | None = None) -> DataFrame:
+    """PIP2 as one plan: the whole archive with answers filled in, plus ``updated``."""
+    k = key or ROW_KEY
+    arch = archive if key else with_row_key(archive)
+    ans = backfill_answers(arch, client_factory, key=k, content=content,
+                           article_pages=article_pages, topic=topic, container=container,
+                           model=model, partitions=partitions, concurrency=concurrency)
+    out = apply_answers(arch, ans, key=k, topic=topic, output_dir=output_dir, today=today)
+    return out if key else out.drop(ROW_KEY)
 
 
-def run_backfill(table: VersionedTable, client_factory: Callable[[], object], **kw) -> int:
+def run_backfill(table: VersionedTable, client_factory: Callable[[], object], *,
+                 topic: str | None = None, output_dir: str = "texts", today: str = "1970-01-01",
+                 max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS, **kw) -> int:
     """Rewrite the current version with answers filled in; returns rows updated.
 
-    The result is staged once (model calls never repeat), written as a new
-    version, and the count is reported only after that write commits (Q16).
+    The answers are staged once (model calls never repeat), joined back with
+    a checked broadcast, written as a new version, and the count is reported
+    only after that write commits (Q16).
     """
     current = table.read()
     if current is None:
         return 0
-    bronze = current.select(*[c for c in current.columns
-                              if c not in ("date_dt", "relevance", "types_list")])
-    rows = stage(backfill_rows(bronze, client_factory, **kw), "backfill")
+    bronze = with_row_key(current.select(*[c for c in current.columns
+                                           if c not in ("date_dt", "relevance", "types_list")]))
+    answers = stage(backfill_answers(bronze, client_factory, topic=topic, **kw), "backfill")
+    rows = apply_answers(bronze, answers, topic=topic, output_dir=output_dir, today=today,
+                         max_broadcast_rows=max_broadcast_rows)
     n = rows.filter("updated").count()
     if n:
-        table.write(to_silver(rows.drop("updated")))
+        table.write(to_silver(rows.drop("updated", ROW_KEY)))
     return n

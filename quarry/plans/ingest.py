@@ -22,6 +22,7 @@ from quarry.operators.annotate import annotate, stage
 from quarry.operators.crawl import crawl_window
 from quarry.operators.extract import article_text, listing_items
 from quarry.operators.joins import DEFAULT_BROADCAST_ROWS, lookup_join
+from quarry.session import materialize
 from quarry.sources.archive import ARCHIVE_COLUMNS, append_silver, known_urls, to_silver
 
 
@@ -80,7 +81,9 @@ def ingest_rows(listing_pages: DataFrame, known: DataFrame | None, params: Inges
                 client_factory: Callable[[], object] | None = None,
                 max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """PIP1 as one plan: the archive rows this run appends (plus page/pos)."""
-    items = listing_items(listing_pages)
+    # the extracted items feed the stop aggregate and the window filter:
+    # extract once (Python) and let every branch read the checkpoint
+    items = materialize(listing_items(listing_pages))
     window = crawl_window(items, known=known, as_of=params.as_of, lookback_days=params.lookback_days,
                           start_page=params.start_page, max_pages=params.max_pages,
                           single_page=params.single_page, mode=params.mode,

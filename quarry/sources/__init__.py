@@ -1,0 +1 @@
+"""quarry.sources"""
