@@ -33,7 +33,7 @@ def _try(c: Column, fmt: str) -> Column:
 
 def _short_year(c: Column) -> Column:
     d = _try(c, SHORT_FORM)
-    return F.when(F.year(d) >= PIVOT_YEAR, F.add_months(d, -1200)).otherwise(d)
+    return F.add_months(d, F.when(F.year(d) >= PIVOT_YEAR, -1200).otherwise(0))
 
 
 def parse_ingest_date(c) -> Column:

@@ -17,9 +17,7 @@ known and not older than the cutoff.
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.dates import lookback_cutoff, older_than, parse_archive_date, parse_ingest_date
@@ -45,37 +43,46 @@ def complete_items(items: DataFrame) -> DataFrame:
     return items.filter(F.col("date").isNotNull() & F.col("title").isNotNull())
 
 
-def _first_gap(items: DataFrame, start_page: int) -> DataFrame:
+def _first_gap(items: DataFrame, start_page: int) -> Column:
     """FIL4: ``(p, -1)`` for the first page ``p >= start`` with no items.
 
-    Pages present, seeded with ``start - 1``; a gap follows every present
-    page whose successor is absent (a left anti join on the page number).
+    Either the start page itself is empty, or the gap follows the first
+    present page whose successor is absent (a left anti join of the page
+    numbers against themselves, shuffled on the page number).
     """
-    spark = items.sparkSession
-    present = items.select("page").distinct().unionByName(
-        spark.range(1).select(F.lit(start_page - 1).cast(items.schema["page"].dataType).alias("page")))
+    pos_type = items.schema["pos"].dataType
+    page_type = items.schema["page"].dataType
+    gap_at = lambda p: F.struct(p.cast(page_type).alias("page"), F.lit(-1).cast(pos_type).alias("pos"))
+    start_empty = items.agg(
+        F.when(F.count_if(F.col("page") == start_page) == 0, gap_at(F.lit(start_page))).alias("s"))
+    present = items.select("page").distinct()
     succ = present.select((F.col("page") + 1).alias("page"))
-    gaps = succ.join(present, "page", "left_anti")
-    return gaps.select("page", F.lit(-1).cast(items.schema["pos"].dataType).alias("pos"))
+    after = succ.join(present, "page", "left_anti").agg(F.min(gap_at(F.col("page"))).alias("s"))
+    return F.least(start_empty.scalar(), after.scalar())
 
 
 def stop_position(items: DataFrame, *, known: DataFrame | None = None, cutoff=None,
                   parse=parse_ingest_date, page_gap: bool = True, start_page: int = 1,
-                  max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """One row, one column ``stop``: the first stop candidate in (page, pos) order."""
+                  max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> Column | None:
+    """The first stop candidate in (page, pos) order, as a scalar subquery column.
+
+    Each candidate is one aggregate (partial per task, one tiny final step);
+    ``least`` takes the earliest and ignores candidates that found nothing.
+    None when no stop condition is configured.
+    """
     cands = []
     if known is not None:
         hits = lookup_join(items.select("page", "pos", "url"), known.select("url"), "url",
                            "left_semi", max_broadcast_rows)
-        cands.append(hits.select("page", "pos"))
+        cands.append(hits.agg(F.min(position())).scalar())
     if cutoff is not None:
-        cands.append(items.filter(older_than(parse("date"), cutoff)).select("page", "pos"))
+        old = items.filter(older_than(parse("date"), cutoff))
+        cands.append(old.agg(F.min(position())).scalar())
     if page_gap:
         cands.append(_first_gap(items, start_page))
     if not cands:
-        return items.sparkSession.range(1).select(F.lit(None).cast("struct<page:int,pos:int>").alias("stop"))
-    allc = reduce(DataFrame.unionByName, cands)
-    return allc.agg(F.min(position()).alias("stop"))
+        return None
+    return cands[0] if len(cands) == 1 else F.least(*cands)
 
 
 def crawl_window(items: DataFrame, *, known: DataFrame | None = None, as_of=None,
@@ -96,8 +103,7 @@ def crawl_window(items: DataFrame, *, known: DataFrame | None = None, as_of=None
     if mode == "prefix":
         stop = stop_position(its, known=known, cutoff=cutoff, page_gap=page_gap,
                              start_page=start_page, max_broadcast_rows=max_broadcast_rows)
-        before = F.coalesce(position() < stop.scalar(), F.lit(True))
-        out = its.filter(before)
+        out = its if stop is None else its.filter(F.coalesce(position() < stop, F.lit(True)))
     elif mode == "filter":
         out = its
         if known is not None:

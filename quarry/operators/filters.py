@@ -38,10 +38,15 @@ def date_between(start, end, compat: bool = False) -> Column:
 
 
 def relevance_is(choice: str | None) -> Column | None:
-    """FIL10: grade equals the choice; ``Any``/None disables."""
+    """FIL10: grade equals the choice; ``Any``/None disables.
+
+    Written without wrapping the column so Parquet statistics can skip row
+    groups (a NULL grade counts as blank).
+    """
     if choice is None or choice == ANY:
         return None
-    return F.coalesce(F.col("relevance"), F.lit("")) == choice
+    r = F.col("relevance")
+    return (r.isNull() | (r == "")) if choice == "" else (r == choice)
 
 
 def types_any(choices, exact: bool = False) -> Column | None:
@@ -54,7 +59,7 @@ def types_any(choices, exact: bool = False) -> Column | None:
         return None
     if exact:
         return F.arrays_overlap(F.col("types_list"), F.array(*[F.lit(c) for c in choices]))
-    s = F.coalesce(F.col("types"), F.lit(""))
+    s = F.col("types")  # NULL types match nothing, like an empty string
     return reduce(lambda a, b: a | b, [s.contains(c) for c in choices])
 
 

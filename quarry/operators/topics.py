@@ -39,12 +39,14 @@ def dataset_files(df: DataFrame, base_csv: str) -> DataFrame:
 def first_rows(df: DataFrame, n: int = SAMPLE_ROWS) -> DataFrame:
     """SRC7/LIM2: the first ``n`` rows of every file by ``ord``.
 
-    Rows are pre-cut per split (``ord._row < n``) so the per-file window only
-    ranks a bounded number of rows per split, never a whole hot file.
+    Two steps: the first ``n`` of every (file, split) -- a group no larger
+    than one input split -- then the first ``n`` of those per file, so the
+    per-file ranking never holds more than ``n`` rows per split.
     """
-    pre = df.filter(F.col("ord._row") < n) if "_row" in df.schema["ord"].dataType.names else df
-    w = Window.partitionBy("file_name").orderBy("ord")
-    return pre.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= n).drop("__rn")
+    w1 = Window.partitionBy("file_name", F.col("ord._block")).orderBy(F.col("ord._row"))
+    w2 = Window.partitionBy("file_name").orderBy("ord")
+    pre = df.withColumn("__rn", F.row_number().over(w1)).filter(F.col("__rn") <= n)
+    return pre.withColumn("__rn", F.row_number().over(w2)).filter(F.col("__rn") <= n).drop("__rn")
 
 
 def topic_catalogue(df: DataFrame, base_csv: str, sample_rows: int | None = None) -> DataFrame:

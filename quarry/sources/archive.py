@@ -69,13 +69,15 @@ def read_archive_dir(spark: SparkSession, directory: str) -> DataFrame:
     """SRC8: every ``*.csv`` in a folder, with its file name and row order.
 
     ``ord`` orders rows within a file: the split's start offset, then the
-    row's position inside the split (the low 33 bits of the generated id).
+    generated id, which increases in reading order inside a task.  The file
+    name arrives URI-encoded and is decoded (a literal ``+`` is kept).
     """
+    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
     df = (spark.read.options(**CSV_OPTIONS).option("pathGlobFilter", "*.[cC][sS][vV]")
           .csv(directory)
-          .select("*", F.col("_metadata.file_name").alias("file_name"),
+          .select("*", name.alias("file_name"),
                   F.col("_metadata.file_block_start").alias("_block"),
-                  (F.monotonically_increasing_id() % F.lit(1 << 33)).alias("_row")))
+                  F.monotonically_increasing_id().alias("_row")))
     return ensure_columns(df).withColumn("ord", F.struct("_block", "_row")).drop("_block", "_row")
 
 
