@@ -21,7 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.dates import lookback_cutoff, older_than, parse_archive_date, parse_ingest_date
-from quarry.operators.joins import DEFAULT_BROADCAST_ROWS, first_by, lookup_join
+from quarry.operators.joins import (DEFAULT_BROADCAST_ROWS, first_by, is_small, maybe_broadcast,
+                                   restrict_to)
 
 def position():
     """The (page, pos) struct; struct order is lexicographic."""
@@ -61,6 +62,20 @@ def _first_gap(items: DataFrame, start_page: int) -> Column:
     return F.least(start_empty.scalar(), after.scalar())
 
 
+def known_hits(items: DataFrame, known: DataFrame,
+               max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+    """JOIN2: the distinct item URLs that the archive already holds.
+
+    The archive's URL set is scanned once and filtered by the (small,
+    count-checked, broadcast) set of listed URLs, so the archive is never
+    shuffled.  The result is no larger than the listing, so the same proof
+    lets it be broadcast back onto the items; the flag says whether it held.
+    """
+    small = is_small(items.select("url"), max_broadcast_rows)
+    hits = restrict_to(known.select("url"), items, "url", small=small).distinct()
+    return maybe_broadcast(hits, small), small
+
+
 def stop_position(items: DataFrame, *, known: DataFrame | None = None, cutoff=None,
                   parse=parse_ingest_date, page_gap: bool = True, start_page: int = 1,
                   max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> Column | None:
@@ -72,8 +87,8 @@ def stop_position(items: DataFrame, *, known: DataFrame | None = None, cutoff=No
     """
     cands = []
     if known is not None:
-        hits = lookup_join(items.select("page", "pos", "url"), known.select("url"), "url",
-                           "left_semi", max_broadcast_rows)
+        seen, _ = known_hits(items, known, max_broadcast_rows)
+        hits = items.select("page", "pos", "url").join(seen, "url", "left_semi")
         cands.append(hits.agg(F.min(position())).scalar())
     if cutoff is not None:
         old = items.filter(older_than(parse("date"), cutoff))
@@ -107,7 +122,7 @@ def crawl_window(items: DataFrame, *, known: DataFrame | None = None, as_of=None
     elif mode == "filter":
         out = its
         if known is not None:
-            out = lookup_join(out, known.select("url"), "url", "left_anti", max_broadcast_rows)
+            out = out.join(known_hits(its, known, max_broadcast_rows)[0], "url", "left_anti")
         if cutoff is not None:
             out = out.filter(~F.coalesce(older_than(parse_archive_date("date"), cutoff), F.lit(False)))
     else:
@@ -118,7 +133,7 @@ def crawl_window(items: DataFrame, *, known: DataFrame | None = None, as_of=None
 def new_items(items: DataFrame, known: DataFrame, dedup: bool = True,
               max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """JOIN1 + SET3: items whose URL isn't in the archive, first occurrence each."""
-    out = lookup_join(items, known.select("url"), "url", "left_anti", max_broadcast_rows)
+    out = items.join(known_hits(items, known, max_broadcast_rows)[0], "url", "left_anti")
     return first_by(out, "url", ("page", "pos")) if dedup else out
 
 

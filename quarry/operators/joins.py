@@ -1,9 +1,15 @@
-"""Look-up joins with a checked broadcast (survey IDs JOIN1, JOIN2).
+"""Look-up joins with a checked broadcast (survey IDs JOIN1, JOIN2, JOIN3).
 
-The known-URL set is the whole archive's URL column, so it grows with the
-data.  It is broadcast only when a bounded count proves it small; otherwise
-the join shuffles on the key, and AQE may still switch it to a broadcast at
-runtime when the measured shuffle output is under its threshold.
+The big sides here (the archive's known URLs, the content cache, landed
+article pages) grow with the data; the small side is what one run touches
+(the URLs of newly listed items).  So the small side's keys are counted
+(bounded: at most ``n + 1`` rows are read) and, when proven small,
+broadcast to filter the big side map-side: the big table is scanned once and
+never shuffled.  Above the bound the joins shuffle on the key, and AQE can
+still switch to a broadcast when the measured shuffle output is small.
+
+Counting reads the small side's plan, so callers pass materialized (staged or
+checkpointed) inputs where that plan is expensive.
 """
 
 from __future__ import annotations
@@ -29,6 +35,30 @@ def lookup_join(left: DataFrame, right: DataFrame, on, how: str,
     return left.join(right, on, how)
 
 
+def is_small(df: DataFrame, max_rows: int | None) -> bool:
+    """A proven bound: ``df`` has at most ``max_rows`` rows (None: unproven)."""
+    return bool(max_rows) and at_most(df, max_rows)
+
+
+def maybe_broadcast(df: DataFrame, small: bool) -> DataFrame:
+    return F.broadcast(df) if small else df
+
+
+def restrict_to(big: DataFrame, keys: DataFrame, on: str,
+                max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
+                small: bool | None = None) -> DataFrame:
+    """Rows of ``big`` whose ``on`` occurs in ``keys`` (a semi join).
+
+    With a proven-small key set (checked on the raw key column, or passed
+    in as ``small``) the distinct keys are broadcast and ``big`` is filtered
+    in place (no shuffle of ``big``).
+    """
+    if small is None:
+        small = is_small(keys.select(on), max_broadcast_rows)
+    k = maybe_broadcast(keys.select(on).distinct(), small)
+    return big.join(k, on, "left_semi")
+
+
 def first_by(df: DataFrame, key: str, order: tuple[str, ...]) -> DataFrame:
     """SET3: keep one row per ``key``, the first in ``order``.
 

@@ -21,7 +21,7 @@ from quarry.functions.text import join_types, text_file_path
 from quarry.operators.annotate import annotate, stage
 from quarry.operators.crawl import crawl_window
 from quarry.operators.extract import article_text, listing_items
-from quarry.operators.joins import DEFAULT_BROADCAST_ROWS, lookup_join
+from quarry.operators.joins import DEFAULT_BROADCAST_ROWS, lookup_join, restrict_to
 from quarry.session import materialize
 from quarry.sources.archive import ARCHIVE_COLUMNS, append_silver, known_urls, to_silver
 
@@ -57,20 +57,23 @@ def window_text(window: DataFrame, content: DataFrame | None, article_pages: Dat
                 max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """JOIN3: ``text`` per window URL: cached text, else extracted page text.
 
-    Only pages of the window are parsed: the window's URL set is a checked
-    broadcast when small, so the raw HTML is filtered in place, not shuffled.
+    The content cache and the landed pages hold every text ever seen; the
+    window's URL set is a checked broadcast when small, so both are filtered
+    in place (no shuffle of texts or raw HTML) and only the window's pages
+    are parsed.  The filtered sides are as small as the window.
     """
     out = window
     cols = []
     if content is not None:
-        out = out.join(content.select("url", F.col("text").alias("__cached")), "url", "left")
+        cached = restrict_to(content.select("url", "text"), window, "url", max_broadcast_rows)
+        out = lookup_join(out, cached.select("url", F.col("text").alias("__cached")), "url", "left",
+                          None)
         cols.append(F.nullif(F.col("__cached"), F.lit("")))
     if article_pages is not None:
-        wanted = lookup_join(article_pages, window.select("url").distinct(), "url", "left_semi",
-                             max_broadcast_rows)
+        wanted = restrict_to(article_pages, window, "url", max_broadcast_rows)
         fetched = article_text(wanted, container=container).select(
             "url", F.col("text").alias("__fetched"))
-        out = out.join(fetched, "url", "left")
+        out = lookup_join(out, fetched, "url", "left", None)
         cols.append(F.nullif(F.col("__fetched"), F.lit("")))
     text = F.coalesce(*cols) if cols else F.lit(None).cast("string")
     return out.withColumn("text", text).drop("__cached", "__fetched")
@@ -88,6 +91,9 @@ def ingest_rows(listing_pages: DataFrame, known: DataFrame | None, params: Inges
                           start_page=params.start_page, max_pages=params.max_pages,
                           single_page=params.single_page, mode=params.mode,
                           max_broadcast_rows=max_broadcast_rows)
+    # the window is small and feeds several joins: materialize it so its size
+    # check and every join read rows, not the crawl plan
+    window = materialize(window)
     rows = window_text(window, content, article_pages, params.container, max_broadcast_rows)
     today = params.as_of.strftime("%Y-%m-%d")
     rows = rows.withColumn("text_file", text_file_path(params.output_dir, "date", "title", today))
