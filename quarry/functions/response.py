@@ -81,9 +81,14 @@ def parse_response(df: DataFrame, response: str = "response", *,
     plus every following line.  Otherwise: description from the first line,
     grade from the first bare answer line, details from the lines after it.
     Details only survive a Yes or Maybe grade.
+
+    Intermediates are separate columns referenced by name, so each array
+    pass runs once per row (Catalyst doesn't inline a non-trivial column
+    that is used more than once).
     """
-    L, TG = "__lines", "__tagged"
-    lines, tagged = F.col(L), F.col(TG)
+    lines, tagged = F.col("__lines"), F.col("__tagged")
+    lab, det, ans = F.col("__lab"), F.col("__det"), F.col("__ans")
+    head, tail = F.col("__head"), F.col("__tail")
 
     def kind(line):
         return (F.when(line.rlike(SUMMARY_LINE), 1).when(line.rlike(RELEVANT_LINE), 2)
@@ -92,37 +97,32 @@ def parse_response(df: DataFrame, response: str = "response", *,
     def of_kind(k):
         return F.filter(tagged, lambda t: t["k"] == k)
 
-    labelled = F.exists(tagged, lambda t: t["k"] > 0)
-
-    # labelled mode
-    lab_desc = F.coalesce(strip_label(_last(of_kind(1))["l"]), F.lit(""))
-    lab_grades = F.filter(F.transform(of_kind(2), lambda t: F.regexp_extract(t["l"], ANY_GRADE, 1)),
-                          lambda g: g != "")
-    lab_grade = F.coalesce(_capital(_last(lab_grades)), F.lit(DEFAULT_GRADE))
-    det_idx = _last(of_kind(3))["i"]
-    det_head = strip_label(F.get(lines, det_idx))
-    det_tail = _joined_tail(lines, det_idx)
-    lab_details = F.when(det_idx.isNull(), F.lit("")).when(det_tail == "", det_head).when(
-        det_head == "", det_tail).otherwise(strip_ws(F.concat_ws(" ", det_head, det_tail)))
-
-    # unlabelled (fallback) mode
-    fb_desc = F.coalesce(strip_label(F.get(lines, 0)), F.lit(""))
     answers = F.filter(
         F.transform(lines, lambda l, i: F.struct(i.alias("i"), F.regexp_extract(l, ANSWER_LINE, 1).alias("g"))),
-        lambda s: s["g"] != "")
-    first_answer = F.get(answers, 0)
-    fb_grade = F.coalesce(_capital(first_answer["g"]), F.lit(DEFAULT_GRADE))
-    fb_details = F.coalesce(_joined_tail(lines, first_answer["i"]), F.lit(""))
-
-    g = F.when(F.col("__labelled"), lab_grade).otherwise(fb_grade)
-    d = F.when(F.col("__labelled"), lab_details).otherwise(fb_details)
+        lambda a: a["g"] != "")
+    lab_grades = F.filter(F.transform(of_kind(2), lambda t: F.regexp_extract(t["l"], ANY_GRADE, 1)),
+                          lambda g: g != "")
+    lab_details = (F.when(det.isNull(), F.lit("")).when(tail == "", head).when(head == "", tail)
+                   .otherwise(strip_ws(F.concat_ws(" ", head, tail))))
+    fb_details = F.when(ans.isNull(), F.lit("")).otherwise(tail)
     return (
-        df.withColumn(L, nonempty_lines(response))
-        .withColumn(TG, F.transform(lines, lambda l, i: F.struct(l.alias("l"), i.alias("i"),
-                                                                    kind(l).alias("k"))))
-        .withColumn("__labelled", labelled)
-        .withColumn(description, F.when(F.col("__labelled"), lab_desc).otherwise(fb_desc))
-        .withColumn(grade, g)
-        .withColumn(details, F.when(F.col(grade).isin(*DETAIL_GRADES), d).otherwise(F.lit("")))
-        .drop(L, TG, "__labelled")
+        df.withColumn("__lines", nonempty_lines(response))
+        .withColumn("__tagged", F.transform(lines, lambda l, i: F.struct(
+            l.alias("l"), i.alias("i"), kind(l).alias("k"))))
+        .withColumn("__lab", F.exists(tagged, lambda t: t["k"] > 0))
+        .withColumns({
+            "__det": F.when(lab, _last(of_kind(3))["i"]),
+            "__ans": F.when(~lab, F.get(answers, 0)),
+        })
+        .withColumns({
+            description: F.coalesce(
+                strip_label(F.when(lab, _last(of_kind(1))["l"]).otherwise(F.get(lines, 0))), F.lit("")),
+            grade: F.coalesce(_capital(F.when(lab, _last(lab_grades)).otherwise(ans["g"])),
+                              F.lit(DEFAULT_GRADE)),
+            "__head": F.when(det.isNotNull(), strip_label(F.get(lines, det))),
+            "__tail": _joined_tail(lines, F.when(lab, det).otherwise(ans["i"])),
+        })
+        .withColumn(details, F.when(F.col(grade).isin(*DETAIL_GRADES),
+                                    F.when(lab, lab_details).otherwise(fb_details)).otherwise(F.lit("")))
+        .drop("__lines", "__tagged", "__lab", "__det", "__ans", "__head", "__tail")
     )

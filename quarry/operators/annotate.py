@@ -18,7 +18,6 @@ executor then re-reads rows instead of re-calling the model.
 from __future__ import annotations
 
 import time
-import uuid
 from concurrent.futures import ThreadPoolExecutor
 from typing import Callable, Iterator
 
@@ -29,7 +28,7 @@ from pyspark.sql import types as T
 
 from quarry.functions.response import (DEFAULT_MODEL, FALLBACK_MODEL, PROMPT_BODY, SYSTEM_MESSAGE,
                                        TEMPERATURE, parse_response, prompt_text)
-from quarry.session import checkpoint_dir
+from quarry.session import materialize
 
 ANSWER_FIELDS = [
     T.StructField("response", T.StringType()),
@@ -68,21 +67,24 @@ def annotate(df: DataFrame, client_factory: Callable[[], object], *, text_col: s
              keys: tuple[str, ...] = ("url",), topic: str | None = None,
              model: str = DEFAULT_MODEL, fallback_model: str | None = FALLBACK_MODEL,
              temperature: float = TEMPERATURE, partitions: int | None = None,
-             concurrency: int = 1, parse: bool = True) -> DataFrame:
+             concurrency: int = 1, parse: bool = True, carry: tuple[str, ...] = ()) -> DataFrame:
     """Annotate every row of ``df`` (ANN1-ANN5, ANN8).
 
-    Returns ``keys`` + ``response, model_used, error, latency_ms`` and, with
-    ``parse``, ``description, relevant_eo, full_summary`` (NULL when the call
-    failed).  The prompt is built JVM-side; only keys and prompt cross into
-    Python.
+    Returns ``keys`` + ``carry`` + ``response, model_used, error, latency_ms``
+    and, with ``parse``, ``description, relevant_eo, full_summary`` (NULL when
+    there was no answer).  Rows whose text is NULL or empty are passed through
+    without a model call (FIL7).  The prompt is built JVM-side; only keys,
+    carried columns and prompt cross into Python.
     """
-    src = df.select(*keys, prompt_text(text_col, topic).alias("__prompt"))
+    t = F.col(text_col)
+    readable = t.isNotNull() & (t != "")
+    src = df.select(*keys, *carry, F.when(readable, prompt_text(text_col, topic)).alias("__prompt"))
     # Model calls take seconds per row, so spread them over every core
     # whatever the input's file layout; hashing on the key keeps the split
     # deterministic when a task is retried.
     n = partitions or df.sparkSession.sparkContext.defaultParallelism
     src = src.repartition(n, *keys)
-    key_fields = [src.schema[k] for k in keys]
+    key_fields = [src.schema[k] for k in (*keys, *carry)]
     schema = T.StructType(key_fields + ANSWER_FIELDS)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -91,9 +93,10 @@ def annotate(df: DataFrame, client_factory: Callable[[], object], *, text_col: s
         try:
             for pdf in batches:
                 prompts = pdf["__prompt"].tolist()
-                call = lambda p: _answer(client, p, model, fallback_model, temperature)
+                call = lambda p: (None, None, None, None) if p is None else _answer(
+                    client, p, model, fallback_model, temperature)
                 rows = list(pool.map(call, prompts)) if pool else [call(p) for p in prompts]
-                out = pdf[list(keys)].copy()
+                out = pdf[[*keys, *carry]].copy()
                 out["response"] = [r[0] for r in rows]
                 out["model_used"] = [r[1] for r in rows]
                 out["error"] = [r[2] for r in rows]
@@ -118,10 +121,7 @@ def stage(df: DataFrame, name: str = "annotations") -> DataFrame:
     Cuts the lineage so downstream reuse (append + metrics) never re-runs the
     model calls, also after an executor loss.
     """
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    return materialize(df, name)
 
 
 # --- offline client ---------------------------------------------------------

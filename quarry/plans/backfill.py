@@ -51,9 +51,8 @@ def backfill_answers(archive: DataFrame, client_factory: Callable[[], object], *
     need = archive.filter(missing_summary()).select(key, "url")
     need = first_by(need, key, ())
     texts = window_text(need, content, article_pages, container, max_broadcast_rows)
-    # FIL8 + Q8: a row with no readable text is skipped, never annotated
-    todo = texts.filter(F.col("text").isNotNull() & (F.col("text") != ""))
-    ann = annotate(todo, client_factory, text_col="text", keys=(key,), topic=topic, model=model,
+    # FIL8 + Q8: a row with no readable text gets no model call and no answer
+    ann = annotate(texts, client_factory, text_col="text", keys=(key,), topic=topic, model=model,
                    partitions=partitions, concurrency=concurrency)
     return ann.filter(F.col("response").isNotNull()).select(key, *ANSWER_COLUMNS)
 

@@ -86,28 +86,26 @@ def ingest_rows(listing_pages: DataFrame, known: DataFrame | None, params: Inges
     """PIP1 as one plan: the archive rows this run appends (plus page/pos)."""
     # the extracted items feed the stop aggregate and the window filter:
     # extract once (Python) and let every branch read the checkpoint
-    items = materialize(listing_items(listing_pages))
+    items = materialize(listing_items(listing_pages), "items")
     window = crawl_window(items, known=known, as_of=params.as_of, lookback_days=params.lookback_days,
                           start_page=params.start_page, max_pages=params.max_pages,
                           single_page=params.single_page, mode=params.mode,
                           max_broadcast_rows=max_broadcast_rows)
     # the window is small and feeds several joins: materialize it so its size
     # check and every join read rows, not the crawl plan
-    window = materialize(window)
+    window = materialize(window, "window")
     rows = window_text(window, content, article_pages, params.container, max_broadcast_rows)
     today = params.as_of.strftime("%Y-%m-%d")
     rows = rows.withColumn("text_file", text_file_path(params.output_dir, "date", "title", today))
     if client_factory is not None:
-        # FIL7: only readable, non-empty texts go to the model
-        todo = rows.filter(F.col("text").isNotNull() & (F.col("text") != ""))
-        ann = annotate(todo, client_factory, text_col="text", keys=("url",), topic=params.topic,
-                       model=params.model, partitions=params.partitions,
-                       concurrency=params.concurrency)
-        ann = ann.filter(F.col("response").isNotNull()).select(
-            "url", "description", "relevant_eo", "full_summary")
-        rows = rows.join(ann, "url", "left").withColumn(
-            "relevance_topic",
-            F.when(F.col("relevant_eo").isNotNull(), F.lit(params.topic or "")))
+        # one pass: rows ride through the model step (FIL7: only readable,
+        # non-empty texts are sent), so nothing is joined back
+        rows = annotate(rows, client_factory, text_col="text", keys=("url",), topic=params.topic,
+                        model=params.model, partitions=params.partitions,
+                        concurrency=params.concurrency,
+                        carry=("page", "pos", "date", "title", "types", "text_file"))
+        rows = rows.withColumn("relevance_topic",
+                               F.when(F.col("relevant_eo").isNotNull(), F.lit(params.topic or "")))
     else:
         rows = rows.withColumns({c: F.lit(None).cast("string") for c in
                                  ("description", "relevance_topic", "relevant_eo", "full_summary")})

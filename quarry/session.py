@@ -76,12 +76,18 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
-def materialize(df):
-    """Cut the lineage of ``df`` with a reliable checkpoint in the shared folder.
+def materialize(df, name: str = "stage"):
+    """Cut the lineage of ``df``: write it as a Parquet table in the shared
+    checkpoint folder and read it back.
 
     Used where one expensive result (Python extraction, model answers) feeds
-    several branches of a plan: each branch then reads the checkpoint instead
-    of recomputing, also after an executor loss.
+    several branches of a plan: each branch then reads the table instead of
+    recomputing, also after an executor loss.  Unlike an eager
+    ``checkpoint()``, the input is computed once (no separate count job).
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
