@@ -44,6 +44,8 @@ LOOKBACK_WIDE = 500
 LOOKBACK_NARROW = 60
 PAGES_FROM = 3
 ROW_COLUMNS = ("url", "date", "title", "types", "relevance", "date_dt")
+LITERAL_SEARCH = "e."
+SAMPLE_ROWS = 200
 # ----------------------------------------------------------------------------
 
 
@@ -104,6 +106,18 @@ def q_filter_all(spark, sf):
                                      types=list(ALL_TYPES), query=ALL_SEARCH))
 
 
+def q_filter_types_exact(spark, sf):
+    return _rows(FL.dashboard_filter(silver(spark, sf), types=list(TYPES), exact_types=True))
+
+
+def q_search_literal(spark, sf):
+    return _rows(FL.dashboard_filter(silver(spark, sf), query=LITERAL_SEARCH, literal=True))
+
+
+def q_filter_date_compat(spark, sf):
+    return _rows(FL.dashboard_filter(silver(spark, sf), date_range=DATE_RANGE, compat=True))
+
+
 def q_results_table(spark, sf):
     return RP.results_table(silver(spark, sf))
 
@@ -212,6 +226,10 @@ def q_topic_catalogue(spark, sf):
     return topic_catalogue(topic_files(spark, sf), BASE_CSV)
 
 
+def q_topic_catalogue_sample(spark, sf):
+    return topic_catalogue(topic_files(spark, sf), BASE_CSV, sample_rows=SAMPLE_ROWS)
+
+
 def q_backfill(spark, sf):
     out = backfill_rows(LD.actions(spark, sf).drop("page", "pos"), offline_client_factory(),
                         content=LD.content(spark, sf), topic=TOPIC, output_dir=OUTPUT_DIR,
@@ -228,6 +246,23 @@ def q_ingest(spark, sf):
                        "relevance_topic", "relevant_eo", "full_summary")
 
 
+def q_incremental_ingest(spark, sf):
+    """STM1: listing pages land in a folder; one availableNow run ingests them."""
+    import uuid
+
+    from quarry.session import checkpoint_dir
+    from quarry.streaming.incremental import run_incremental
+    base = f"{checkpoint_dir(spark).rstrip('/')}/incremental-{uuid.uuid4().hex}"
+    LD.listing_pages(LD.actions(spark, sf)).write.parquet(f"{base}/landing")
+    params = IngestParams(as_of=AS_OF, lookback_days=LOOKBACK_NARROW, topic=TOPIC,
+                          output_dir=OUTPUT_DIR)
+    run_incremental(spark, f"{base}/landing", f"{base}/archive", f"{base}/chk", params,
+                    content=LD.content(spark, sf), client_factory=offline_client_factory())
+    return spark.read.parquet(f"{base}/archive").select(
+        "date", "title", "url", "types", "text_file", "description", "relevance_topic",
+        "relevant_eo", "full_summary")
+
+
 def q_daily_events_stream(spark, sf):
     from quarry.streaming.daily import daily_counts_stream_batch
     return daily_counts_stream_batch(spark, sf, glob="events.parquet")
@@ -244,6 +279,9 @@ QUERIES = {
     "filter_types": q_filter_types,
     "search_text": q_search_text,
     "filter_all": q_filter_all,
+    "filter_types_exact": q_filter_types_exact,
+    "search_literal": q_search_literal,
+    "filter_date_compat": q_filter_date_compat,
     "results_table": q_results_table,
     "detail_view": q_detail_view,
     "export_rows": q_export_rows,
@@ -264,7 +302,9 @@ QUERIES = {
     "text_path": q_text_path,
     "topic_slug": q_topic_slug,
     "topic_catalogue": q_topic_catalogue,
+    "topic_catalogue_sample": q_topic_catalogue_sample,
     "backfill": q_backfill,
     "ingest": q_ingest,
+    "incremental_ingest": q_incremental_ingest,
     "daily_events_stream": q_daily_events_stream,
 }

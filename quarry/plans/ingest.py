@@ -23,7 +23,8 @@ from quarry.operators.crawl import crawl_window
 from quarry.operators.extract import article_text, listing_items
 from quarry.operators.joins import DEFAULT_BROADCAST_ROWS, lookup_join, restrict_to
 from quarry.session import materialize
-from quarry.sources.archive import ARCHIVE_COLUMNS, append_silver, known_urls, to_silver
+from quarry.sources.archive import (ARCHIVE_COLUMNS, append_content, append_silver, known_urls,
+                                   to_silver)
 
 
 @dataclass(frozen=True)
@@ -76,7 +77,19 @@ def window_text(window: DataFrame, content: DataFrame | None, article_pages: Dat
         out = lookup_join(out, fetched, "url", "left", None)
         cols.append(F.nullif(F.col("__fetched"), F.lit("")))
     text = F.coalesce(*cols) if cols else F.lit(None).cast("string")
-    return out.withColumn("text", text).drop("__cached", "__fetched")
+    source = F.lit(None).cast("string")
+    if article_pages is not None:
+        source = F.when(F.col("__fetched_ok"), F.lit("page"))
+    if content is not None:
+        source = F.when(F.col("__cached_ok"), F.lit("cache")).otherwise(source)
+    flags = {}
+    if content is not None:
+        flags["__cached_ok"] = F.nullif(F.col("__cached"), F.lit("")).isNotNull()
+    if article_pages is not None:
+        flags["__fetched_ok"] = F.nullif(F.col("__fetched"), F.lit("")).isNotNull()
+    out = out.withColumns(flags) if flags else out
+    return (out.withColumns({"text": text, "text_source": source})
+            .drop("__cached", "__fetched", "__cached_ok", "__fetched_ok"))
 
 
 def ingest_rows(listing_pages: DataFrame, known: DataFrame | None, params: IngestParams, *,
@@ -103,19 +116,26 @@ def ingest_rows(listing_pages: DataFrame, known: DataFrame | None, params: Inges
         rows = annotate(rows, client_factory, text_col="text", keys=("url",), topic=params.topic,
                         model=params.model, partitions=params.partitions,
                         concurrency=params.concurrency,
-                        carry=("page", "pos", "date", "title", "types", "text_file"))
+                        carry=("page", "pos", "date", "title", "types", "text_file", "text",
+                               "text_source"))
         rows = rows.withColumn("relevance_topic",
                                F.when(F.col("relevant_eo").isNotNull(), F.lit(params.topic or "")))
     else:
         rows = rows.withColumns({c: F.lit(None).cast("string") for c in
                                  ("description", "relevance_topic", "relevant_eo", "full_summary")})
-    return rows.withColumn("types", join_types("types")).select("page", "pos", *ARCHIVE_COLUMNS)
+    return rows.withColumn("types", join_types("types")).select(
+        "page", "pos", *ARCHIVE_COLUMNS, "text", "text_source")
 
 
 def run_ingest(listing_pages: DataFrame, archive_path: str, params: IngestParams, *,
                content: DataFrame | None = None, article_pages: DataFrame | None = None,
-               client_factory: Callable[[], object] | None = None) -> dict:
-    """Append one run to the silver archive; returns run metrics (AGG10)."""
+               client_factory: Callable[[], object] | None = None,
+               content_path: str | None = None) -> dict:
+    """Append one run to the silver archive; returns run metrics (AGG10).
+
+    With ``content_path``, texts extracted from pages in this run are added
+    to the content table (SNK2), so a later backfill finds them cached.
+    """
     spark = listing_pages.sparkSession
     try:
         archive = spark.read.parquet(archive_path)
@@ -126,7 +146,10 @@ def run_ingest(listing_pages: DataFrame, archive_path: str, params: IngestParams
     rows = stage(ingest_rows(listing_pages, known, params, content=content,
                              article_pages=article_pages, client_factory=client_factory),
                  "ingest")
-    m = rows.agg(F.count(F.lit(1)).alias("n"), F.count("relevant_eo").alias("a")).first()
+    m = rows.agg(F.count(F.lit(1)).alias("n"), F.count("relevant_eo").alias("a"),
+                 F.count_if(F.col("text_source") == "page").alias("f")).first()
     if m["n"]:
-        append_silver(to_silver(rows.drop("page", "pos")), archive_path)
-    return {"known": n_known, "new": m["n"], "annotated": m["a"]}
+        append_silver(to_silver(rows.drop("page", "pos", "text", "text_source")), archive_path)
+    if content_path and m["f"]:
+        append_content(rows.filter(F.col("text_source") == "page"), content_path)
+    return {"known": n_known, "new": m["n"], "annotated": m["a"], "fetched": m["f"]}

@@ -100,6 +100,26 @@ def _missing() -> str:
             f"{_strip('coalesce(relevant_eo, ' + _lit('') + ')')} <> '')")
 
 
+def _catalogue(sample: int | None) -> str:
+    cut = f"WHERE rn <= {sample}" if sample else ""
+    return f"""
+, f0 AS (SELECT CASE WHEN d.lang = 'en' THEN '{C.BASE_CSV}' ELSE concat('archive - ', d.lang, '.csv') END
+                AS file_name, {_strip('a.relevance_topic')} AS topic, a.doc_id AS ord
+         FROM actions a JOIN documents d ON a.doc_id = d.doc_id)
+, f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY file_name ORDER BY ord) AS rn FROM f0) {cut})
+, pt AS (SELECT file_name, topic, count(*) AS n, min(ord) AS first FROM f
+         WHERE topic IS NOT NULL AND topic <> '' GROUP BY file_name, topic)
+, best AS (SELECT file_name, topic AS mode_topic FROM (
+           SELECT *, row_number() OVER (PARTITION BY file_name ORDER BY n DESC, first ASC) AS rn FROM pt)
+           WHERE rn = 1)
+SELECT x.file_name,
+       coalesce(nullif(b.mode_topic, ''),
+                nullif(regexp_extract(x.file_name, '(?i)^archive - (.+)\\.csv$', 1), ''),
+                x.file_name) AS label,
+       lower(x.file_name) = '{C.BASE_CSV}' AS is_base
+FROM (SELECT DISTINCT file_name FROM f) x LEFT JOIN best b ON x.file_name = b.file_name"""
+
+
 def oracle_sql() -> dict[str, str]:
     q = {}
     q["kpis"] = _q("""
@@ -134,6 +154,19 @@ SELECT {ROWS} FROM silver WHERE {search(C.SEARCH)}""")
 SELECT {ROWS} FROM silver
 WHERE date_dt BETWEEN DATE '{C.ALL_RANGE[0]}' AND DATE '{C.ALL_RANGE[1]}'
   AND relevance = '{C.ALL_RELEVANCE}' AND ({all_types}) AND ({search(C.ALL_SEARCH)})""")
+    exact = ", ".join(_lit(t) for t in C.TYPES)
+    q["filter_types_exact"] = _q(f"""
+SELECT {ROWS} FROM silver
+WHERE list_has_any(list_filter(list_transform(string_split(types, '; '), lambda x: {_strip('x')}),
+                               lambda x: x <> ''),
+                   [{exact}])""")
+    q["search_literal"] = _q(f"""
+SELECT {ROWS} FROM silver
+WHERE {" OR ".join(f"coalesce(contains(lower({c}), {_lit(C.LITERAL_SEARCH)}), false)"
+                   for c in ("title", "description", "full_summary"))}""")
+    q["filter_date_compat"] = _q(f"""
+SELECT {ROWS} FROM silver
+WHERE date_dt >= DATE '{C.DATE_RANGE[0]}' AND date_dt <= DATE '{C.DATE_RANGE[1]}' + INTERVAL 1 DAY""")
     q["results_table"] = _q("""
 SELECT coalesce(date, '') AS date, coalesce(nullif(title, ''), '(untitled)') AS title,
        coalesce(types, '') AS types, coalesce(relevance, '') AS relevance,
@@ -198,21 +231,8 @@ FROM actions""")
 SELECT url, CASE WHEN coalesce(title, '') = '' THEN '{C.BASE_CSV}'
                  ELSE concat('./archive - ', {_safe(_strip('title'), 80)}, '.csv') END AS topic_csv
 FROM actions""")
-    q["topic_catalogue"] = _q(f"""
-, f AS (SELECT CASE WHEN d.lang = 'en' THEN '{C.BASE_CSV}' ELSE concat('archive - ', d.lang, '.csv') END
-               AS file_name, {_strip('a.relevance_topic')} AS topic, a.doc_id AS ord
-        FROM actions a JOIN documents d ON a.doc_id = d.doc_id)
-, pt AS (SELECT file_name, topic, count(*) AS n, min(ord) AS first FROM f
-         WHERE topic IS NOT NULL AND topic <> '' GROUP BY file_name, topic)
-, best AS (SELECT file_name, topic AS mode_topic FROM (
-           SELECT *, row_number() OVER (PARTITION BY file_name ORDER BY n DESC, first ASC) AS rn FROM pt)
-           WHERE rn = 1)
-SELECT x.file_name,
-       coalesce(nullif(b.mode_topic, ''),
-                nullif(regexp_extract(x.file_name, '(?i)^archive - (.+)\\.csv$', 1), ''),
-                x.file_name) AS label,
-       lower(x.file_name) = '{C.BASE_CSV}' AS is_base
-FROM (SELECT DISTINCT file_name FROM f) x LEFT JOIN best b ON x.file_name = b.file_name""")
+    q["topic_catalogue"] = _q(_catalogue(None))
+    q["topic_catalogue_sample"] = _q(_catalogue(C.SAMPLE_ROWS))
     d, g, s = _answer("t")
     q["backfill"] = _q(f"""
 , m AS (SELECT a.*, c.t, ({_missing()}) AND c.t IS NOT NULL AND c.t <> '' AS upd
@@ -232,6 +252,18 @@ SELECT w.page, w.date, w.title, w.url, w.types,
   CASE WHEN c.t <> '' THEN {_lit(C.TOPIC)} END AS relevance_topic,
   CASE WHEN c.t <> '' THEN {g} END AS relevant_eo,
   CASE WHEN c.t <> '' THEN {s} END AS full_summary
+FROM win w LEFT JOIN content c ON w.url = c.url""")
+    q["incremental_ingest"] = _q(f"""
+, win AS (SELECT * FROM items
+          WHERE NOT coalesce(CAST({_ARCHIVE_DATE} AS TIMESTAMP)
+                             < TIMESTAMP '2025-12-31 12:00:00' - INTERVAL {C.LOOKBACK_NARROW} DAY, false))
+SELECT w.date, w.title, w.url, w.types,
+  concat('{C.OUTPUT_DIR}/', coalesce(nullif(w.date, ''), '{C.TODAY}'), ' - ',
+         {_safe("coalesce(nullif(w.title, ''), 'untitled')", 60)}, '.txt') AS text_file,
+  CASE WHEN c.t <> '' THEN {d} END AS description,
+  CASE WHEN c.t <> '' THEN {_lit(C.TOPIC)} END AS relevance_topic,
+  CASE WHEN c.t <> '' THEN {g} END AS relevant_eo,
+  CASE WHEN c.t <> '' THEN {s} END AS full_summary
 FROM win w LEFT JOIN content c ON w.url = c.url""")
     q["daily_events_stream"] = """
 SELECT CAST(ts AS DATE) AS day, count(*) AS n_events FROM events GROUP BY 1

@@ -106,6 +106,23 @@ def write_archive_csv(df: DataFrame, path: str, mode: str = "append") -> None:
     to_bronze(df).write.mode(mode).options(**CSV_WRITE_OPTIONS).csv(path)
 
 
+def export_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """SNK4: the filtered rows as CSV, every column but ``date_dt`` (COL3).
+
+    Keeps both ``relevant_eo`` and the derived ``relevance``; lists are
+    joined by ``"; "``.
+    """
+    d = df.drop("date_dt", "types_list", "topic_slug")
+    if "types" in d.columns and isinstance(d.schema["types"].dataType, T.ArrayType):
+        d = d.withColumn("types", join_types("types"))
+    d.write.mode(mode).options(**CSV_WRITE_OPTIONS).csv(path)
+
+
+def append_content(df: DataFrame, path: str) -> None:
+    """SNK2: append article texts ``(url, text, text_file)`` to the content table."""
+    df.select("url", "text", "text_file").write.mode("append").parquet(path)
+
+
 def append_silver(df: DataFrame, path: str) -> None:
     """SNK1: append to silver, partitioned by topic (SNK5)."""
     silver = df if "date_dt" in df.columns else to_silver(df)

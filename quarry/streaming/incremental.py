@@ -38,7 +38,7 @@ def ingest_batch(batch: DataFrame, archive_path: str, params: IngestParams, *,
     rows = stage(rows, "stream-ingest")
     n = rows.count()
     if n:
-        append_silver(to_silver(rows.drop("page", "pos")), archive_path)
+        append_silver(to_silver(rows.drop("page", "pos", "text", "text_source")), archive_path)
     return n
 
 

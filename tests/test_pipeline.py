@@ -26,7 +26,7 @@ def test_ingest_twice_adds_nothing(spark, pages, tmp_path):
     p = IngestParams(as_of=AS_OF, lookback_days=None, topic="T")
     first = run_ingest(pages, arch, p, content=LD.content(spark, SF001),
                        client_factory=offline_client_factory())
-    assert first == {"known": 0, "new": 198, "annotated": 198}
+    assert first == {"known": 0, "new": 198, "annotated": 198, "fetched": 0}
     second = run_ingest(pages, arch, p, content=LD.content(spark, SF001),
                         client_factory=offline_client_factory())
     assert second["known"] == 198 and second["new"] == 0
@@ -102,3 +102,54 @@ def test_concurrent_calls_same_answers(spark):
     b = annotate(df, offline_client_factory(), keys=("url",))
     cols = ["url", "description", "relevant_eo", "full_summary"]
     assert a.select(cols).exceptAll(b.select(cols)).count() == 0
+
+
+def _listing_over_pages(spark):
+    """A listing whose items point at the landed article pages (10 per page)."""
+    p = LD.article_pages(spark, SF001)
+    li = F.concat(F.lit('<li class="wp-block-post"><h2 class="wp-block-post-title"><a href="'),
+                  F.col("url"), F.lit('">Page '), F.col("page_id").cast("string"),
+                  F.lit('</a></h2><div class="wp-block-post-date"><time>December 1, 2025</time></div></li>'))
+    items = p.select((F.floor(F.col("page_id") / 10) + 1).cast("int").alias("page"),
+                     F.col("page_id").alias("pos"), li.alias("li"))
+    return items.groupBy("page").agg(F.concat_ws("", F.array_sort(F.collect_list(
+        F.struct("pos", "li"))).getField("li")).alias("html"))
+
+
+def test_ingest_fetches_pages_and_saves_content(spark, tmp_path):
+    from quarry.operators.extract import article_text
+    listing = _listing_over_pages(spark)
+    arch, cont = str(tmp_path / "silver"), str(tmp_path / "content")
+    m = run_ingest(listing, arch, IngestParams(as_of=AS_OF, lookback_days=None, container="article"),
+                   article_pages=LD.article_pages(spark, SF001), content_path=cont,
+                   client_factory=offline_client_factory())
+    n_pages = LD.article_pages(spark, SF001).count()
+    assert m["new"] == n_pages and m["fetched"] == n_pages and m["annotated"] == n_pages
+    saved = spark.read.parquet(cont)
+    exp = article_text(LD.article_pages(spark, SF001), container="article").select("url", "text")
+    assert saved.select("url", "text").exceptAll(exp).count() == 0
+    assert saved.filter(~F.col("text_file").endswith(".txt")).count() == 0
+
+
+def test_dashboard_frames(spark, tmp_path):
+    import csv
+    import glob
+    import os
+
+    from quarry.plans.report import dashboard
+    from quarry.sources.archive import export_csv
+    s = to_silver(LD.actions(spark, SF001).drop("doc_id", "page", "pos"))
+    d = dashboard(s, relevance="Yes", types=["en"])
+    k = d["kpis"].first()
+    b = {r.label: r.n_actions for r in d["relevance_breakdown"].collect()}
+    assert k.total_actions == 200 == sum(b.values())          # AGG2 + Unlabeled = AGG1
+    assert b.get("Yes", 0) == k.n_yes and b.get("No", 0) == k.n_no
+    n = d["table"].count()
+    assert n == s.filter("relevance = 'Yes' and types like '%en%'").count() > 0
+    out = str(tmp_path / "export")
+    export_csv(d["export"].coalesce(1), out)
+    rows = []
+    for f in glob.glob(os.path.join(out, "*.csv")):
+        with open(f, newline="", encoding="utf-8") as fh:
+            rows += list(csv.DictReader(fh))
+    assert len(rows) == n and "date_dt" not in rows[0] and {"relevance", "relevant_eo"} <= set(rows[0])
