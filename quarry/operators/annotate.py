@@ -88,10 +88,12 @@ def annotate(df: DataFrame, client_factory: Callable[[], object], *, text_col: s
     schema = T.StructType(key_fields + ANSWER_FIELDS)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        client = client_factory()
+        client = None   # built on the first batch: empty partitions make none
         pool = ThreadPoolExecutor(concurrency) if concurrency > 1 else None
         try:
             for pdf in batches:
+                if client is None:
+                    client = client_factory()
                 prompts = pdf["__prompt"].tolist()
                 call = lambda p: (None, None, None, None) if p is None else _answer(
                     client, p, model, fallback_model, temperature)

@@ -113,3 +113,17 @@ def run_backfill(table: VersionedTable, client_factory: Callable[[], object], *,
     if n:
         table.write(to_silver(rows.drop("updated", ROW_KEY)))
     return n
+
+
+def run_backfill_csv(spark, csv_path: str, out_path: str, client_factory: Callable[[], object],
+                     **kw) -> int:
+    """SRC3 + PIP2 on the bronze CSV: read it, fill answers, write the whole
+    archive as CSV to ``out_path`` (a new folder; the input is never
+    overwritten).  Returns rows updated, counted after the write commits.
+    """
+    from quarry.sources.archive import read_archive_csv, write_archive_csv
+
+    bronze = read_archive_csv(spark, csv_path)
+    rows = stage(backfill_rows(bronze, client_factory, **kw), "backfill-csv")
+    write_archive_csv(rows, out_path, mode="errorifexists")
+    return rows.filter("updated").count()

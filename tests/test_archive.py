@@ -120,3 +120,11 @@ def test_topic_catalogue_sample(spark, tmp_path):
     rows = read_archive_dir(spark, str(d))
     assert topic_catalogue(rows, "archive.csv").first().label == "B"
     assert topic_catalogue(rows, "archive.csv", sample_rows=3).first().label == "A"
+
+
+def test_label_paths_keep_last(spark):
+    from quarry.operators.topics import label_paths
+    cat = spark.createDataFrame([("a.csv", "X", False), ("b.csv", "X", False), ("c.csv", "Y", False)],
+                                "file_name string, label string, is_base boolean").coalesce(1)
+    got = {r.label: r.file_name for r in label_paths(cat).collect()}
+    assert got == {"X": "b.csv", "Y": "c.csv"}

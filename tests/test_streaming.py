@@ -37,3 +37,17 @@ def test_incremental_ingest(spark, tmp_path):
     assert s.count() == 198 and s.select("url").distinct().count() == 198
     run_incremental(spark, land, arch, chk, params)   # nothing new landed
     assert spark.read.parquet(arch).count() == 198
+
+
+def test_dedup_stream_within_watermark(spark, tmp_path):
+    from quarry.streaming.incremental import dedup_stream
+    src, out, chk = str(tmp_path / "src"), str(tmp_path / "out"), str(tmp_path / "chk")
+    rows = [("u1", dt.datetime(2025, 5, 1)), ("u2", dt.datetime(2025, 5, 2)),
+            ("u1", dt.datetime(2025, 5, 3)), ("u3", dt.datetime(2025, 5, 3))]
+    spark.createDataFrame(rows, "url string, ts timestamp_ntz").write.parquet(src)
+    s = spark.readStream.schema("url string, ts timestamp_ntz").parquet(src)
+    q = (dedup_stream(s, "ts").writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", chk).trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = sorted(r.url for r in spark.read.parquet(out).collect())
+    assert got == ["u1", "u2", "u3"]
