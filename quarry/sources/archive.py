@@ -11,13 +11,13 @@ Survey IDs SRC1-SRC4, SRC8, SNK1-SNK5, COL1, COL3, COL4.
   ``relevance`` materialised on write, so date and grade predicates reach
   Parquet statistics and topic predicates prune partitions.
 * A rewrite (backfill) never overwrites the path it reads: each version is a
-  new directory ``v<NNNNNNNN>``; readers take the newest committed one.
+  new directory ``v<NNNNNNNN>``, committed by a row in the table's log;
+  readers take the newest committed one.
 """
 
 from __future__ import annotations
 
-import re
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,6 +36,7 @@ CSV_WRITE_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "encoding":
                      "emptyValue": "", "nullValue": ""}
 BASE_SLUG = ""   # partition value of rows without a topic
 VERSION_PREFIX = "v"
+LOG_DIR = "log"
 # ---------------------------------------------------------------------------
 
 ARCHIVE_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ARCHIVE_COLUMNS])
@@ -51,17 +52,18 @@ def ensure_columns(df: DataFrame, columns=ARCHIVE_COLUMNS) -> DataFrame:
     return df.withColumns({c: F.lit(None).cast("string") for c in missing}) if missing else df
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+def _absent(e: AnalysisException) -> bool:
+    return "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e)
 
 
 def read_archive_csv(spark: SparkSession, path: str) -> DataFrame:
     """SRC1-SRC3: read the bronze CSV (all strings); an absent path is empty."""
-    if not _exists(spark, path):
-        return empty_archive(spark)
-    df = spark.read.options(**CSV_OPTIONS).option("inferSchema", "false").csv(path)
+    try:
+        df = spark.read.options(**CSV_OPTIONS).option("inferSchema", "false").csv(path)
+    except AnalysisException as e:
+        if _absent(e):
+            return empty_archive(spark)
+        raise
     return ensure_columns(df)
 
 
@@ -148,37 +150,39 @@ def known_urls(archive: DataFrame) -> DataFrame:
 class VersionedTable:
     """SNK3: atomic replace by writing a new version directory.
 
-    Readers always take the newest version that has a ``_SUCCESS`` marker, so
-    a failed rewrite leaves the old version current and the path being read
-    is never overwritten.
+    Each version is written in full to ``<root>/v<NNNNNNNN>``; only then is a
+    row appended to the table's commit log (``<root>/log``, Parquet).  The
+    current version is the highest logged one, so a failed rewrite leaves the
+    old version current and the path being read is never overwritten.
     """
 
     def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet"):
         self.spark, self.root, self.fmt = spark, root.rstrip("/"), fmt
 
-    def _fs(self):
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.root)
-        return jvm, p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+    @property
+    def log_path(self) -> str:
+        return f"{self.root}/{LOG_DIR}"
 
     def versions(self) -> list[int]:
-        jvm, root, fs = self._fs()
-        if not fs.exists(root):
-            return []
-        out = []
-        for st in fs.listStatus(root):
-            name = st.getPath().getName()
-            m = re.fullmatch(VERSION_PREFIX + r"(\d+)", name)
-            if m and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(m.group(1)))
-        return sorted(out)
+        try:
+            log = self.spark.read.parquet(self.log_path)
+        except AnalysisException as e:
+            if _absent(e):
+                return []
+            raise
+        return sorted(r.version for r in log.select("version").distinct().collect())
 
     def path(self, version: int) -> str:
         return f"{self.root}/{VERSION_PREFIX}{version:08d}"
 
     def current(self) -> int | None:
-        v = self.versions()
-        return v[-1] if v else None
+        try:
+            log = self.spark.read.parquet(self.log_path)
+        except AnalysisException as e:
+            if _absent(e):
+                return None
+            raise
+        return log.agg(F.max("version")).first()[0]
 
     def read(self) -> DataFrame | None:
         v = self.current()
@@ -190,4 +194,7 @@ class VersionedTable:
         if partition_by and partition_by in df.columns:
             w = w.partitionBy(partition_by)
         w.save(self.path(v))
+        entry = self.spark.range(1).select(F.lit(v).alias("version"),
+                                           F.lit(self.path(v)).alias("path"))
+        entry.coalesce(1).write.mode("append").parquet(self.log_path)
         return v

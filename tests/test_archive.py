@@ -61,9 +61,9 @@ def test_versioned_table(spark, tmp_path):
     assert t.write(df) == 1
     assert t.write(df.filter("url = 'a'")) == 2
     assert t.current() == 2 and t.read().count() == 1
-    # an unfinished version (no _SUCCESS) is never current
-    os.makedirs(t.path(3))
-    assert t.current() == 2
+    # a version directory that was never committed to the log is never current
+    df.write.parquet(t.path(3))
+    assert t.current() == 2 and t.versions() == [1, 2]
 
 
 def _write_csv(path, topics):
