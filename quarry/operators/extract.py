@@ -91,9 +91,13 @@ class _Listing(_Tree):
         self.items: list[dict] = []
         self.open: list[dict] = []   # items under construction (innermost last)
 
-    def _under(self, cls, base, tag=None) -> bool:
-        """An ancestor (not the current element) at or below ``base`` has ``cls``."""
-        return any(cls in c and (tag is None or t == tag) for t, c in self.stack[base:-1])
+    def _under(self, cls, tag=None) -> bool:
+        """Some ancestor of the current element has ``cls`` (and is a ``tag``).
+
+        Like a scoped CSS select, the element must lie inside the item but the
+        ancestor named by the selector may be anywhere above it.
+        """
+        return any(cls in c and (tag is None or t == tag) for t, c in self.stack[:-1])
 
     def handle_starttag(self, tag, attrs):
         cls = _classes(attrs)
@@ -104,16 +108,18 @@ class _Listing(_Tree):
             self.open.append({"depth": depth, "title": None, "url": None, "date": None,
                               "types": [], "cap": []})
             return
+        in_title = tag == "a" and self._under(TITLE_CLASS, "h2")
+        in_date = tag == "time" and self._under(DATE_CLASS)
+        in_category = tag == "a" and self._under(CATEGORY_CLASS)
         for it in self.open:
-            base = it["depth"] + 1
-            if tag == "a" and it["title"] is None and self._under(TITLE_CLASS, base, "h2"):
+            if in_title and it["title"] is None:
                 href = dict(attrs).get("href") or ""
                 it["title"], it["url"] = [], href.strip()
                 it["cap"].append(("title", depth))
-            elif tag == "time" and it["date"] is None and self._under(DATE_CLASS, base):
+            elif in_date and it["date"] is None:
                 it["date"] = []
                 it["cap"].append(("date", depth))
-            if tag == "a" and self._under(CATEGORY_CLASS, base):
+            if in_category:
                 it["types"].append([])
                 it["cap"].append(("type", depth))
 
