@@ -123,8 +123,9 @@ FROM (SELECT DISTINCT file_name FROM f) x LEFT JOIN best b ON x.file_name = b.fi
 def oracle_sql() -> dict[str, str]:
     q = {}
     q["kpis"] = _q("""
-SELECT count(*) AS total_actions, count_if(relevance = 'Yes') AS n_yes,
-       count_if(relevance = 'Maybe') AS n_maybe, count_if(relevance = 'No') AS n_no,
+SELECT count(*) AS total_actions, CAST(count_if(relevance = 'Yes') AS BIGINT) AS n_yes,
+       CAST(count_if(relevance = 'Maybe') AS BIGINT) AS n_maybe,
+       CAST(count_if(relevance = 'No') AS BIGINT) AS n_no,
        max(date_dt) AS latest_date, min(date_dt) AS earliest_date FROM silver""")
     q["relevance_breakdown"] = _q("""
 SELECT CASE WHEN relevance = '' THEN 'Unlabeled' ELSE relevance END AS label, count(*) AS n_actions
