@@ -126,9 +126,13 @@ def append_content(df: DataFrame, path: str) -> None:
 
 
 def append_silver(df: DataFrame, path: str) -> None:
-    """SNK1: append to silver, partitioned by topic (SNK5)."""
+    """SNK1: append to silver, partitioned by topic (SNK5).
+
+    ``rebalance`` clusters rows by topic (few files per topic) and lets AQE
+    split a hot topic over several tasks instead of one.
+    """
     silver = df if "date_dt" in df.columns else to_silver(df)
-    (silver.repartition("topic_slug").write.mode("append")
+    (silver.hint("rebalance", "topic_slug").write.mode("append")
      .partitionBy("topic_slug").parquet(path))
 
 
@@ -190,9 +194,10 @@ class VersionedTable:
 
     def write(self, df: DataFrame, partition_by: str | None = "topic_slug") -> int:
         v = (self.current() or 0) + 1
-        w = df.write.mode("errorifexists").format(self.fmt)
-        if partition_by and partition_by in df.columns:
-            w = w.partitionBy(partition_by)
+        part = partition_by if partition_by and partition_by in df.columns else None
+        w = (df.hint("rebalance", part) if part else df).write.mode("errorifexists").format(self.fmt)
+        if part:
+            w = w.partitionBy(part)
         w.save(self.path(v))
         entry = self.spark.range(1).select(F.lit(v).alias("version"),
                                            F.lit(self.path(v)).alias("path"))
