@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quarry.functions.text import text_file_path
@@ -32,13 +32,15 @@ ANSWER_COLUMNS = ("description", "relevant_eo", "full_summary")
 
 
 def with_row_key(archive: DataFrame, key: str = ROW_KEY) -> DataFrame:
-    """A deterministic row key: a hash over the archive columns.
+    """A deterministic row key: two independent 64-bit hashes of the row.
 
     Identical rows share a key and get the same answer, so the write-back
-    join can't fan out on duplicate URLs (Q6).
+    join can't fan out on duplicate URLs (Q6).  128 bits keep accidental
+    collisions out of reach at billions of rows (one 64-bit hash would not).
     """
     cols = [F.coalesce(F.col(c), F.lit("\u0000")) for c in ARCHIVE_COLUMNS]
-    return archive.withColumn(key, F.xxhash64(*cols))
+    return archive.withColumn(key, F.concat(F.xxhash64(*cols).cast("string"), F.lit(":"),
+                                            F.xxhash64(F.lit("\u0001"), *cols).cast("string")))
 
 
 def backfill_answers(archive: DataFrame, client_factory: Callable[[], object], *,
@@ -98,8 +100,9 @@ def run_backfill(table: VersionedTable, client_factory: Callable[[], object], *,
     """Rewrite the current version with answers filled in; returns rows updated.
 
     The answers are staged once (model calls never repeat), joined back with
-    a checked broadcast, written as a new version, and the count is reported
-    only after that write commits (Q16).
+    a checked broadcast and written as a new version; the number of rows
+    updated is observed during that write (no extra pass over the archive)
+    and reported only after it commits (Q16).
     """
     current = table.read()
     if current is None:
@@ -107,12 +110,14 @@ def run_backfill(table: VersionedTable, client_factory: Callable[[], object], *,
     bronze = with_row_key(current.select(*[c for c in current.columns
                                            if c not in ("date_dt", "relevance", "types_list")]))
     answers = stage(backfill_answers(bronze, client_factory, topic=topic, **kw), "backfill")
+    if answers.count() == 0:      # staged: read from Parquet footers
+        return 0
     rows = apply_answers(bronze, answers, topic=topic, output_dir=output_dir, today=today,
                          max_broadcast_rows=max_broadcast_rows)
-    n = rows.filter("updated").count()
-    if n:
-        table.write(to_silver(rows.drop("updated", ROW_KEY)))
-    return n
+    seen = Observation("backfill")
+    rows = rows.observe(seen, F.count_if(F.col("updated")).alias("updated"))
+    table.write(to_silver(rows.drop("updated", ROW_KEY)))
+    return int(seen.get["updated"])
 
 
 def run_backfill_csv(spark, csv_path: str, out_path: str, client_factory: Callable[[], object],
