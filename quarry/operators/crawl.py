@@ -44,24 +44,6 @@ def complete_items(items: DataFrame) -> DataFrame:
     return items.filter(F.col("date").isNotNull() & F.col("title").isNotNull())
 
 
-def _first_gap(items: DataFrame, start_page: int) -> Column:
-    """FIL4: ``(p, -1)`` for the first page ``p >= start`` with no items.
-
-    Either the start page itself is empty, or the gap follows the first
-    present page whose successor is absent (a left anti join of the page
-    numbers against themselves, shuffled on the page number).
-    """
-    pos_type = items.schema["pos"].dataType
-    page_type = items.schema["page"].dataType
-    gap_at = lambda p: F.struct(p.cast(page_type).alias("page"), F.lit(-1).cast(pos_type).alias("pos"))
-    start_empty = items.agg(
-        F.when(F.count_if(F.col("page") == start_page) == 0, gap_at(F.lit(start_page))).alias("s"))
-    present = items.select("page").distinct()
-    succ = present.select((F.col("page") + 1).alias("page"))
-    after = succ.join(present, "page", "left_anti").agg(F.min(gap_at(F.col("page"))).alias("s"))
-    return F.least(start_empty.scalar(), after.scalar())
-
-
 def known_hits(items: DataFrame, known: DataFrame,
                max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
     """JOIN2: the distinct item URLs that the archive already holds.
@@ -76,28 +58,51 @@ def known_hits(items: DataFrame, known: DataFrame,
     return maybe_broadcast(hits, small), small
 
 
+def _gap_after(items: DataFrame) -> Column:
+    """FIL4, second half: ``(p + 1, -1)`` for the first present page ``p``
+    whose successor is absent (a left anti join of the page numbers against
+    themselves, shuffled on the page number)."""
+    present = items.select("page").distinct()
+    succ = present.select((F.col("page") + 1).alias("page"))
+    gaps = succ.join(present, "page", "left_anti")
+    return gaps.agg(F.min(_gap_at(F.col("page"), items))).scalar()
+
+
+def _gap_at(page: Column, items: DataFrame) -> Column:
+    return F.struct(page.cast(items.schema["page"].dataType).alias("page"),
+                    F.lit(-1).cast(items.schema["pos"].dataType).alias("pos"))
+
+
 def stop_position(items: DataFrame, *, known: DataFrame | None = None, cutoff=None,
                   parse=parse_ingest_date, page_gap: bool = True, start_page: int = 1,
                   max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> Column | None:
     """The first stop candidate in (page, pos) order, as a scalar subquery column.
 
-    Each candidate is one aggregate (partial per task, one tiny final step);
-    ``least`` takes the earliest and ignores candidates that found nothing.
-    None when no stop condition is configured.
+    One aggregate over the items finds the first known item, the first item
+    older than the cutoff and whether the start page is empty (items are
+    flagged by a left join with the known hits, which are no larger than the
+    listing); a second finds the first gap after a present page.  ``least``
+    takes the earliest and ignores candidates that found nothing.  None when
+    no stop condition is configured.
     """
-    cands = []
+    flagged = items.select("page", "pos", "url", "date")
+    hit = F.lit(False)
     if known is not None:
         seen, _ = known_hits(items, known, max_broadcast_rows)
-        hits = items.select("page", "pos", "url").join(seen, "url", "left_semi")
-        cands.append(hits.agg(F.min(position())).scalar())
+        flagged = flagged.join(seen.select("url", F.lit(True).alias("__known")), "url", "left")
+        hit = F.coalesce(F.col("__known"), F.lit(False))
     if cutoff is not None:
-        old = items.filter(older_than(parse("date"), cutoff))
-        cands.append(old.agg(F.min(position())).scalar())
+        hit = hit | F.coalesce(older_than(parse("date"), cutoff), F.lit(False))
+    aggs = []
+    if known is not None or cutoff is not None:
+        aggs.append(F.min(F.when(hit, position())))
     if page_gap:
-        cands.append(_first_gap(items, start_page))
-    if not cands:
+        aggs.append(F.when(F.count_if(F.col("page") == start_page) == 0,
+                           _gap_at(F.lit(start_page), items)))
+    if not aggs:
         return None
-    return cands[0] if len(cands) == 1 else F.least(*cands)
+    first = flagged.agg(F.least(*aggs) if len(aggs) > 1 else aggs[0]).scalar()
+    return F.least(first, _gap_after(items)) if page_gap else first
 
 
 def crawl_window(items: DataFrame, *, known: DataFrame | None = None, as_of=None,
