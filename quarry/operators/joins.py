@@ -3,7 +3,7 @@
 The big sides here (the archive's known URLs, the content cache, landed
 article pages) grow with the data; the small side is what one run touches
 (the URLs of newly listed items).  So the small side's keys are counted
-(bounded: at most ``n + 1`` rows are read) and, when proven small,
+(a distributed count; only per-task counts move) and, when proven small,
 broadcast to filter the big side map-side: the big table is scanned once and
 never shuffled.  Above the bound the joins shuffle on the key, and AQE can
 still switch to a broadcast when the measured shuffle output is small.
@@ -23,8 +23,14 @@ DEFAULT_BROADCAST_ROWS = 2_000_000   # ~ 200 MB of 100-byte URLs
 
 
 def at_most(df: DataFrame, n: int) -> bool:
-    """True when ``df`` has at most ``n`` rows (reads at most ``n + 1``)."""
-    return df.limit(n + 1).count() <= n
+    """True when ``df`` has at most ``n`` rows.
+
+    A plain count: every task counts its own rows and only the per-task
+    counts move (for a staged Parquet table the counts come from the file
+    footers).  ``limit(n + 1).count()`` would instead funnel up to ``n`` rows
+    from every task into a single partition.
+    """
+    return df.count() <= n
 
 
 def lookup_join(left: DataFrame, right: DataFrame, on, how: str,
