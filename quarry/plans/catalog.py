@@ -57,10 +57,16 @@ def _rows(df: DataFrame) -> DataFrame:
     return df.select(*ROW_COLUMNS)
 
 
-def listing(spark: SparkSession, sf: str) -> DataFrame:
+def listing(spark: SparkSession, sf: str, archive: DataFrame | None = None) -> DataFrame:
     """Listing items as the crawler sees them: archive rows with a date tag."""
-    return LD.actions(spark, sf).filter(F.col("date") != "").select(
-        "page", "pos", "date", "title", "url", "types")
+    a = archive if archive is not None else LD.actions(spark, sf)
+    return a.filter(F.col("date") != "").select("page", "pos", "date", "title", "url", "types")
+
+
+def listing_and_known(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """The listing and the known URLs, both from one derivation of the archive."""
+    a = LD.actions(spark, sf)
+    return listing(spark, sf, a), LD.known(spark, sf, a)
 
 
 def q_kpis(spark, sf):
@@ -136,12 +142,13 @@ def q_missing_summaries(spark, sf):
 
 
 def q_known_state(spark, sf):
-    return known_state(LD.actions(spark, sf).join(LD.known(spark, sf), "url", "left_semi"))
+    a = LD.actions(spark, sf)
+    return known_state(a.join(LD.known(spark, sf, a), "url", "left_semi"))
 
 
 def q_new_urls(spark, sf):
-    return new_items(listing(spark, sf), LD.known(spark, sf)).select(
-        "page", "pos", "url", "title", "date")
+    items, known = listing_and_known(spark, sf)
+    return new_items(items, known).select("page", "pos", "url", "title", "date")
 
 
 def _window(df):
@@ -149,13 +156,13 @@ def _window(df):
 
 
 def q_crawl_window_known(spark, sf):
-    return _window(crawl_window(listing(spark, sf), known=LD.known(spark, sf), as_of=AS_OF,
-                                lookback_days=LOOKBACK_WIDE))
+    items, known = listing_and_known(spark, sf)
+    return _window(crawl_window(items, known=known, as_of=AS_OF, lookback_days=LOOKBACK_WIDE))
 
 
 def q_crawl_window_lookback(spark, sf):
-    return _window(crawl_window(listing(spark, sf), known=LD.known(spark, sf), as_of=AS_OF,
-                                lookback_days=LOOKBACK_NARROW))
+    items, known = listing_and_known(spark, sf)
+    return _window(crawl_window(items, known=known, as_of=AS_OF, lookback_days=LOOKBACK_NARROW))
 
 
 def q_crawl_window_pages(spark, sf):
@@ -163,13 +170,13 @@ def q_crawl_window_pages(spark, sf):
 
 
 def q_crawl_window_filter(spark, sf):
-    return _window(crawl_window(listing(spark, sf), known=LD.known(spark, sf), as_of=AS_OF,
-                                lookback_days=LOOKBACK_NARROW, mode="filter"))
+    items, known = listing_and_known(spark, sf)
+    return _window(crawl_window(items, known=known, as_of=AS_OF, lookback_days=LOOKBACK_NARROW,
+                                mode="filter"))
 
 
 def q_run_metrics(spark, sf):
-    items = listing(spark, sf)
-    known = LD.known(spark, sf)
+    items, known = listing_and_known(spark, sf)
     win = crawl_window(items, known=known, as_of=AS_OF, lookback_days=LOOKBACK_WIDE)
     return run_metrics(items, win, known)
 
@@ -239,8 +246,8 @@ def q_backfill(spark, sf):
 
 def q_ingest(spark, sf):
     params = IngestParams(as_of=AS_OF, lookback_days=LOOKBACK_WIDE, topic=TOPIC, output_dir=OUTPUT_DIR)
-    pages = LD.listing_pages(LD.actions(spark, sf))
-    rows = ingest_rows(pages, LD.known(spark, sf), params, content=LD.content(spark, sf),
+    a = LD.actions(spark, sf)
+    rows = ingest_rows(LD.listing_pages(a), LD.known(spark, sf, a), params, content=LD.content(spark, sf),
                        client_factory=offline_client_factory())
     return rows.select("page", "date", "title", "url", "types", "text_file", "description",
                        "relevance_topic", "relevant_eo", "full_summary")

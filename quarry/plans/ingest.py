@@ -53,6 +53,11 @@ def scheduled_params(as_of: _dt.datetime) -> IngestParams:
     return IngestParams(as_of=as_of, lookback_days=SCHEDULED_LOOKBACK_DAYS, topic=SCHEDULED_TOPIC)
 
 
+def run_scheduled(listing_pages: DataFrame, archive_path: str, as_of: _dt.datetime, **kw) -> dict:
+    """PIP4: one scheduled single-topic run with the fixed preset."""
+    return run_ingest(listing_pages, archive_path, scheduled_params(as_of), **kw)
+
+
 def window_text(window: DataFrame, content: DataFrame | None, article_pages: DataFrame | None,
                 container: str = "main",
                 max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:

@@ -61,9 +61,10 @@ def actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def known(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """URLs already in the archive before this run."""
-    a = actions(spark, sf_dir)
+def known(spark: SparkSession, sf_dir: str, archive: DataFrame | None = None) -> DataFrame:
+    """URLs already in the archive before this run (from ``archive`` if given,
+    so one derivation of the archive serves a whole query)."""
+    a = archive if archive is not None else actions(spark, sf_dir)
     return a.filter((F.col("doc_id") >= KNOWN_FROM_ID) | (F.col("doc_id") == KNOWN_EARLY_HIT)).select("url")
 
 

@@ -153,3 +153,13 @@ def test_dashboard_frames(spark, tmp_path):
         with open(f, newline="", encoding="utf-8") as fh:
             rows += list(csv.DictReader(fh))
     assert len(rows) == n and "date_dt" not in rows[0] and {"relevance", "relevant_eo"} <= set(rows[0])
+
+
+def test_scheduled_preset(spark, pages, tmp_path):
+    from quarry.plans.ingest import SCHEDULED_TOPIC, run_scheduled
+    m = run_scheduled(pages, str(tmp_path / "silver"), AS_OF, content=LD.content(spark, SF001),
+                      client_factory=offline_client_factory())
+    s = spark.read.parquet(str(tmp_path / "silver"))
+    # 15-day lookback from 2025-12-31 12:00, topic stamped on every annotated row
+    assert 0 < m["new"] == s.count() < 60
+    assert s.filter(F.col("relevance_topic") != SCHEDULED_TOPIC).count() == 0
