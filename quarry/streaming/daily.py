@@ -13,6 +13,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.session import checkpoint_dir
 
@@ -25,14 +26,21 @@ WATERMARK_DELAY = "1 day"
 def daily_counts_stream(events: DataFrame, ts: str = "ts", delay: str = WATERMARK_DELAY) -> DataFrame:
     """Streaming plan: ``(day, n_events)`` per closed day.
 
-    Watermarks need ``TIMESTAMP``, so a ``TIMESTAMP_NTZ`` column is cast
-    (session time zone UTC keeps the wall clock).
+    Watermarks need ``TIMESTAMP``.  A ``TIMESTAMP_NTZ`` column is turned into
+    the instant whose UTC wall clock equals it, and the day is taken from
+    epoch seconds, so day buckets are wall-clock days whatever the session
+    time zone (event-time windows align to UTC midnight).
     """
-    e = events.withColumn(ts, F.col(ts).cast("timestamp"))
+    c = F.col(ts)
+    if isinstance(events.schema[ts].dataType, T.TimestampNTZType):
+        c = F.make_timestamp(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.minute(c),
+                             F.extract(F.lit("SECOND"), c), F.lit("UTC"))
+    e = events.withColumn(ts, c)
+    day = F.date_from_unix_date(F.floor(F.unix_seconds(F.col("w.start")) / 86400).cast("int"))
     return (e.withWatermark(ts, delay)
             .groupBy(F.window(ts, WINDOW).alias("w"))
             .agg(F.count(F.lit(1)).alias("n_events"))
-            .select(F.col("w.start").cast("date").alias("day"), "n_events"))
+            .select(day.alias("day"), "n_events"))
 
 
 def run_daily_counts(spark: SparkSession, source_dir: str, sink_path: str, checkpoint: str,

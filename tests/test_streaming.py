@@ -51,3 +51,14 @@ def test_dedup_stream_within_watermark(spark, tmp_path):
     q.awaitTermination()
     got = sorted(r.url for r in spark.read.parquet(out).collect())
     assert got == ["u1", "u2", "u3"]
+
+
+def test_stream_days_independent_of_session_zone(spark):
+    base = {r.day: r.n_events for r in daily_counts_stream_batch(spark, SF001, glob="events.parquet").collect()}
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        other = {r.day: r.n_events for r in
+                 daily_counts_stream_batch(spark, SF001, glob="events.parquet").collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert other == base
