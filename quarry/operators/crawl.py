@@ -132,14 +132,21 @@ def crawl_window(items: DataFrame, *, known: DataFrame | None = None, as_of=None
             out = out.filter(~F.coalesce(older_than(parse_archive_date("date"), cutoff), F.lit(False)))
     else:
         raise ValueError(f"mode must be 'prefix' or 'filter', not {mode!r}")
-    return first_by(out, "url", ("page", "pos")) if dedup else out
+    return _first_per_url(out) if dedup else out
+
+
+def _first_per_url(df: DataFrame) -> DataFrame:
+    """SET3 for items with a URL; items without one are all kept (a blank
+    URL identifies nothing, and the crawler appends every such item)."""
+    has = F.coalesce(F.col("url"), F.lit("")) != ""
+    return first_by(df.filter(has), "url", ("page", "pos")).unionByName(df.filter(~has))
 
 
 def new_items(items: DataFrame, known: DataFrame, dedup: bool = True,
               max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """JOIN1 + SET3: items whose URL isn't in the archive, first occurrence each."""
     out = items.join(known_hits(items, known, max_broadcast_rows)[0], "url", "left_anti")
-    return first_by(out, "url", ("page", "pos")) if dedup else out
+    return _first_per_url(out) if dedup else out
 
 
 def run_metrics(items: DataFrame, window: DataFrame, known: DataFrame) -> DataFrame:

@@ -106,3 +106,11 @@ def test_backfill_csv_round_trip(spark, tmp_path):
     assert n == 1 and got["u1"].description == "done" and got["u1"].relevance_topic in (None, "")
     assert got["u2"].description == "Text two is here." and got["u2"].relevance_topic == "Env"
     assert read_archive_csv(spark, src).filter(F.col("url") == "u2").first().description is None
+
+
+def test_items_without_url_are_all_kept(spark):
+    items = spark.createDataFrame(
+        [(1, 0, "May 3, 2025", "x", "", ["a"]), (1, 1, "May 3, 2025", "y", "", ["a"]),
+         (1, 2, "May 3, 2025", "z", "u", ["a"]), (1, 3, "May 3, 2025", "w", "u", ["a"])],
+        "page int, pos int, date string, title string, url string, types array<string>")
+    assert sorted(r.title for r in crawl_window(items).collect()) == ["x", "y", "z"]
