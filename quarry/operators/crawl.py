@@ -7,9 +7,12 @@ page with no items.  Relationally that is an *ordered prefix*:
     stop   = min over (page, pos) of every stop candidate
     window = items with (page, pos) < stop       (all items when no stop)
 
-``stop`` is one aggregate (partial per task, one tiny final step) used as an
-uncorrelated scalar subquery, so the window is a plain filter on the items:
-no global sort, no unpartitioned window function, no join with the stop row.
+``stop`` comes from two aggregates (one pass over the items for the known,
+too-old and empty-start candidates; one for the first page gap), each
+partial per task with one tiny final step, used as uncorrelated scalar
+subqueries combined by ``least``.  The window is then a plain filter on the
+items: no global sort, no unpartitioned window function, no join with the
+stop row.
 
 ``mode="filter"`` is the order-insensitive batch form: every item that is not
 known and not older than the cutoff.
@@ -24,6 +27,7 @@ from quarry.functions.dates import lookback_cutoff, older_than, parse_archive_da
 from quarry.operators.joins import (DEFAULT_BROADCAST_ROWS, first_by, is_small, maybe_broadcast,
                                    restrict_to)
 
+
 def position():
     """The (page, pos) struct; struct order is lexicographic."""
     return F.struct(F.col("page").alias("page"), F.col("pos").alias("pos"))
@@ -152,9 +156,7 @@ def new_items(items: DataFrame, known: DataFrame, dedup: bool = True,
 def run_metrics(items: DataFrame, window: DataFrame, known: DataFrame) -> DataFrame:
     """AGG10: one row of run counters (known set, items seen, items kept, pages)."""
     k = known.agg(F.count_distinct("url").alias("n_known"))
-    seen = items.agg(F.count(F.lit(1)).alias("n_listed"), F.count_distinct("page").alias("n_pages"))
-    kept = window.agg(F.count(F.lit(1)).alias("n_new"))
-    return k.select(F.col("n_known"),
-                    seen.select("n_listed").scalar().alias("n_listed"),
-                    seen.select("n_pages").scalar().alias("n_pages"),
-                    kept.select("n_new").scalar().alias("n_new"))
+    seen = items.agg(F.struct(F.count(F.lit(1)).alias("n"), F.count_distinct("page").alias("p"))).scalar()
+    kept = window.agg(F.count(F.lit(1))).scalar()
+    return k.select(F.col("n_known"), seen["n"].alias("n_listed"), seen["p"].alias("n_pages"),
+                    kept.alias("n_new"))
