@@ -2,7 +2,9 @@
 
 The tables of the driver are views in DuckDB; the derived archive, known set
 and content cache are the shared CTEs below (the FIXTURES.md derivation).
-Queries with no SQL form (HTML extraction) are absent.
+Every registered query has one; the article-text SQL holds for pages shaped
+like the fixture's (one ``<article>`` holding paragraphs, inline tags and
+headings), which is what the HTML walker is checked against.
 """
 
 from __future__ import annotations
@@ -120,6 +122,23 @@ SELECT x.file_name,
 FROM (SELECT DISTINCT file_name FROM f) x LEFT JOIN best b ON x.file_name = b.file_name"""
 
 
+def _article_text() -> str:
+    """``article p`` text in SQL, for pages shaped like the fixture's (one
+    ``<article>``; inside it only paragraphs, inline tags and headings)."""
+    from quarry.operators.extract import P_CLOSERS
+    closers = "|".join(sorted(t for t in P_CLOSERS if t != "p"))
+    cut = f"regexp_replace(seg, '(</p>|<({closers})[^a-z0-9]).*$', '', 's')"
+    text = f"regexp_replace({cut}, '<[^>]*>', '', 'g')"
+    for ent, ch in (("quot", '"'), ("lt", "<"), ("gt", ">")):
+        text = f"regexp_replace({text}, '&{ent};?', {_lit(ch)}, 'g')"
+    text = f"regexp_replace(replace({text}, '&#39;', {_lit(chr(39))}), '&amp;?', '&', 'g')"
+    body = "regexp_extract(html, '<article[^>]*>(.*)</article>', 1, 's')"
+    paras = f"list_transform((regexp_split_to_array({body}, '<p>'))[2:], lambda seg: {text})"
+    return f"""
+SELECT page_id, url, {_clean(f"array_to_string({paras}, ' ')")} AS text, true AS content_ok
+FROM pages"""
+
+
 def oracle_sql() -> dict[str, str]:
     q = {}
     q["kpis"] = _q("""
@@ -209,6 +228,7 @@ SELECT (SELECT count(DISTINCT url) FROM known) AS n_known, (SELECT count(*) FROM
        (SELECT count(DISTINCT page) FROM items) AS n_pages, (SELECT count(*) FROM win) AS n_new""")
     q["listing_items"] = _q("""
 SELECT page, date, title, url, types FROM items""")
+    q["article_text"] = _article_text()
     q["response_parse"] = """
 SELECT doc_id,
   CASE doc_id % 6 WHEN 0 THEN concat('Action ', doc_id, ' changes a rule.') WHEN 5 THEN ''
