@@ -23,8 +23,8 @@ from quarry.operators.crawl import crawl_window
 from quarry.operators.extract import article_text, listing_items
 from quarry.operators.joins import DEFAULT_BROADCAST_ROWS, lookup_join, restrict_to
 from quarry.session import materialize
-from quarry.sources.archive import (ARCHIVE_COLUMNS, append_content, append_silver, known_urls,
-                                   to_silver)
+from quarry.sources.archive import (ARCHIVE_COLUMNS, append_content, append_known_index,
+                                   append_silver, known_urls, read_known_index, to_silver)
 
 
 @dataclass(frozen=True)
@@ -135,19 +135,25 @@ def ingest_rows(listing_pages: DataFrame, known: DataFrame | None, params: Inges
 def run_ingest(listing_pages: DataFrame, archive_path: str, params: IngestParams, *,
                content: DataFrame | None = None, article_pages: DataFrame | None = None,
                client_factory: Callable[[], object] | None = None,
-               content_path: str | None = None) -> dict:
+               content_path: str | None = None, known_index: str | None = None) -> dict:
     """Append one run to the silver archive; returns run metrics (AGG10).
 
     With ``content_path``, texts extracted from pages in this run are added
     to the content table (SNK2), so a later backfill finds them cached.
+    With ``known_index``, known URLs come from the bucketed known-URL index
+    (only the buckets of this run's listing are read) and the run's new URLs
+    are added to it; otherwise the archive's URL column is scanned.
     """
     spark = listing_pages.sparkSession
-    try:
-        archive = spark.read.parquet(archive_path)
-        known = known_urls(archive)
-        n_known = known.count()
-    except Exception:  # absent archive: nothing is known (SRC1)
-        known, n_known = None, 0
+    if known_index:
+        known = read_known_index(spark, known_index)
+        n_known = None
+    else:
+        try:
+            known = known_urls(spark.read.parquet(archive_path))
+            n_known = known.count()
+        except Exception:  # absent archive: nothing is known (SRC1)
+            known, n_known = None, 0
     rows = stage(ingest_rows(listing_pages, known, params, content=content,
                              article_pages=article_pages, client_factory=client_factory),
                  "ingest")
@@ -155,6 +161,8 @@ def run_ingest(listing_pages: DataFrame, archive_path: str, params: IngestParams
                  F.count_if(F.col("text_source") == "page").alias("f")).first()
     if m["n"]:
         append_silver(to_silver(rows.drop("page", "pos", "text", "text_source")), archive_path)
+        if known_index:
+            append_known_index(rows, known_index)
     if content_path and m["f"]:
         append_content(rows.filter(F.col("text_source") == "page"), content_path)
     return {"known": n_known, "new": m["n"], "annotated": m["a"], "fetched": m["f"]}

@@ -35,6 +35,7 @@ CSV_WRITE_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "encoding":
                      "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
                      "emptyValue": "", "nullValue": ""}
 BASE_SLUG = ""   # partition value of rows without a topic
+KNOWN_BUCKETS = 1024   # hash buckets of the known-URL index
 VERSION_PREFIX = "v"
 LOG_DIR = "log"
 # ---------------------------------------------------------------------------
@@ -146,6 +147,33 @@ def known_state(archive: DataFrame) -> DataFrame:
                        F.max(parse_ingest_date("date")).alias("latest_date"))
 
 
+def url_bucket(c="url"):
+    """The known-URL index bucket of a URL (a stable hash, ``KNOWN_BUCKETS`` ways)."""
+    col = F.col(c) if isinstance(c, str) else c
+    return F.pmod(F.xxhash64(col), F.lit(KNOWN_BUCKETS)).cast("int")
+
+
+def append_known_index(urls: DataFrame, path: str) -> None:
+    """Add URLs to the known-URL index: ``url`` partitioned by ``url_bucket``.
+
+    A run then reads only the buckets its listed URLs fall in (see
+    ``operators.crawl.known_hits``), so its cost follows the listing, not
+    the archive.
+    """
+    (urls.select("url").filter(F.coalesce(F.col("url"), F.lit("")) != "")
+     .withColumn("url_bucket", url_bucket("url"))
+     .hint("rebalance", "url_bucket").write.mode("append").partitionBy("url_bucket").parquet(path))
+
+
+def read_known_index(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if _absent(e):
+            return None
+        raise
+
+
 def known_urls(archive: DataFrame) -> DataFrame:
     """The known-URL set (JOIN1/JOIN2 build side)."""
     return archive.select("url").filter(F.coalesce(F.col("url"), F.lit("")) != "").distinct()

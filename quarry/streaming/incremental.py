@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from quarry.operators.annotate import stage
 from quarry.plans.ingest import IngestParams, ingest_rows
-from quarry.sources.archive import append_silver, known_urls, to_silver
+from quarry.sources.archive import (append_known_index, append_silver, known_urls,
+                                   read_known_index, to_silver)
 
 
 def _known(spark: SparkSession, archive_path: str) -> DataFrame | None:
@@ -29,16 +30,24 @@ def _known(spark: SparkSession, archive_path: str) -> DataFrame | None:
 
 def ingest_batch(batch: DataFrame, archive_path: str, params: IngestParams, *,
                  content: DataFrame | None = None, article_pages: DataFrame | None = None,
-                 client_factory: Callable[[], object] | None = None) -> int:
-    """One micro-batch: new rows of these pages -> staged -> appended."""
+                 client_factory: Callable[[], object] | None = None,
+                 known_index: str | None = None) -> int:
+    """One micro-batch: new rows of these pages -> staged -> appended.
+
+    With ``known_index`` the known URLs come from the bucketed index (only the
+    batch's buckets are read) and the batch's new URLs are added to it.
+    """
     spark = batch.sparkSession
     p = IngestParams(**{**params.__dict__, "mode": "filter"})
-    rows = ingest_rows(batch, _known(spark, archive_path), p, content=content,
+    known = read_known_index(spark, known_index) if known_index else _known(spark, archive_path)
+    rows = ingest_rows(batch, known, p, content=content,
                        article_pages=article_pages, client_factory=client_factory)
     rows = stage(rows, "stream-ingest")
     n = rows.count()
     if n:
         append_silver(to_silver(rows.drop("page", "pos", "text", "text_source")), archive_path)
+        if known_index:
+            append_known_index(rows, known_index)
     return n
 
 

@@ -163,3 +163,22 @@ def test_scheduled_preset(spark, pages, tmp_path):
     # 15-day lookback from 2025-12-31 12:00, topic stamped on every annotated row
     assert 0 < m["new"] == s.count() < 60
     assert s.filter(F.col("relevance_topic") != SCHEDULED_TOPIC).count() == 0
+
+
+def test_known_index_prunes_and_dedups(spark, pages, tmp_path, capsys):
+    from quarry.operators.crawl import known_hits
+    from quarry.sources.archive import read_known_index
+    arch, idx = str(tmp_path / "silver"), str(tmp_path / "known")
+    p = IngestParams(as_of=AS_OF, lookback_days=None)
+    first = run_ingest(pages, arch, p, known_index=idx)
+    assert first["new"] == 198
+    second = run_ingest(pages, arch, p, known_index=idx)
+    assert second["new"] == 0 and spark.read.parquet(arch).count() == 198
+    known = read_known_index(spark, idx)
+    assert known.count() == 198
+    items = LD.actions(spark, SF001).filter("page = 1").select("page", "pos", "url")
+    hits, small = known_hits(items, known)
+    hits.explain("formatted")
+    plan = capsys.readouterr().out
+    assert small and "array_contains(Subquery" in plan       # bucket pruning at scan time
+    assert hits.count() == 10
