@@ -24,7 +24,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.dates import lookback_cutoff, older_than, parse_archive_date, parse_ingest_date
-from quarry.sources.archive import url_bucket
 from quarry.operators.joins import (DEFAULT_BROADCAST_ROWS, first_by, is_small, maybe_broadcast,
                                    restrict_to)
 
@@ -59,16 +58,8 @@ def known_hits(items: DataFrame, known: DataFrame,
     lets it be broadcast back onto the items; the flag says whether it held.
     """
     small = is_small(items.select("url"), max_broadcast_rows)
-    if "url_bucket" in known.columns:
-        # a known-URL index: read only the buckets the listed URLs fall in
-        # (a partition filter fed by a scalar subquery over at most
-        # KNOWN_BUCKETS values, applied when the scan runs)
-        keys = items.select("url").distinct().withColumn("url_bucket", url_bucket("url"))
-        buckets = keys.agg(F.collect_set("url_bucket")).scalar()
-        pruned = known.filter(F.array_contains(buckets, F.col("url_bucket")))
-        hits = pruned.join(maybe_broadcast(keys, small), ["url_bucket", "url"], "left_semi")
-        return maybe_broadcast(hits.select("url").distinct(), small), small
-    hits = restrict_to(known.select("url"), items, "url", small=small).distinct()
+    cols = ["url", "url_bucket"] if "url_bucket" in known.columns else ["url"]
+    hits = restrict_to(known.select(*cols), items, "url", small=small).select("url").distinct()
     return maybe_broadcast(hits, small), small
 
 

@@ -57,10 +57,21 @@ def restrict_to(big: DataFrame, keys: DataFrame, on: str,
 
     With a proven-small key set (checked on the raw key column, or passed
     in as ``small``) the distinct keys are broadcast and ``big`` is filtered
-    in place (no shuffle of ``big``).
+    in place (no shuffle of ``big``).  When ``big`` is partitioned by
+    ``url_bucket`` (known-URL index, content table), only the buckets of the
+    keys are read.
     """
     if small is None:
         small = is_small(keys.select(on), max_broadcast_rows)
+    if on == "url" and "url_bucket" in big.columns:
+        # a table partitioned by URL bucket: read only the buckets the keys
+        # fall in (a partition filter fed by a scalar subquery over at most
+        # KNOWN_BUCKETS values, applied when the scan runs)
+        from quarry.sources.archive import url_bucket
+        kb = keys.select("url").distinct().withColumn("url_bucket", url_bucket("url"))
+        buckets = kb.agg(F.collect_set("url_bucket")).scalar()
+        pruned = big.filter(F.array_contains(buckets, F.col("url_bucket")))
+        return pruned.join(maybe_broadcast(kb, small), ["url_bucket", "url"], "left_semi")
     k = maybe_broadcast(keys.select(on).distinct(), small)
     return big.join(k, on, "left_semi")
 

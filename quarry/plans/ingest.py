@@ -71,7 +71,8 @@ def window_text(window: DataFrame, content: DataFrame | None, article_pages: Dat
     out = window
     cols = []
     if content is not None:
-        cached = restrict_to(content.select("url", "text"), window, "url", max_broadcast_rows)
+        keep = ["url", "text"] + (["url_bucket"] if "url_bucket" in content.columns else [])
+        cached = restrict_to(content.select(*keep), window, "url", max_broadcast_rows)
         out = lookup_join(out, cached.select("url", F.col("text").alias("__cached")), "url", "left",
                           None)
         cols.append(F.nullif(F.col("__cached"), F.lit("")))

@@ -122,8 +122,13 @@ def export_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
 
 
 def append_content(df: DataFrame, path: str) -> None:
-    """SNK2: append article texts ``(url, text, text_file)`` to the content table."""
-    df.select("url", "text", "text_file").write.mode("append").parquet(path)
+    """SNK2: append article texts ``(url, text, text_file)`` to the content table.
+
+    Partitioned by ``url_bucket`` so a run that needs a few texts reads only
+    their buckets, not every text ever stored.
+    """
+    (df.select("url", "text", "text_file").withColumn("url_bucket", url_bucket("url"))
+     .hint("rebalance", "url_bucket").write.mode("append").partitionBy("url_bucket").parquet(path))
 
 
 def append_silver(df: DataFrame, path: str) -> None:

@@ -182,3 +182,17 @@ def test_known_index_prunes_and_dedups(spark, pages, tmp_path, capsys):
     plan = capsys.readouterr().out
     assert small and "array_contains(Subquery" in plan       # bucket pruning at scan time
     assert hits.count() == 10
+
+
+def test_content_table_read_by_bucket(spark, tmp_path, capsys):
+    from quarry.plans.ingest import window_text
+    from quarry.sources.archive import append_content
+    path = str(tmp_path / "content")
+    append_content(LD.content(spark, SF001).withColumn("text_file", F.lit("t.txt")), path)
+    content = spark.read.parquet(path)
+    window = LD.actions(spark, SF001).filter("page = 2").select("url")
+    got = window_text(window, content, None)
+    got.explain("formatted")
+    assert "array_contains(Subquery" in capsys.readouterr().out
+    exp = {r.url: r.text for r in LD.content(spark, SF001).join(window, "url").collect()}
+    assert {r.url: r.text for r in got.collect()} == exp and len(exp) == 10
