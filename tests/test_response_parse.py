@@ -53,3 +53,28 @@ def test_prompt_scope_line(spark):
     assert "Relevance scope: Immigration. Mark 'Relevant' only if the action materially concerns " \
            "Immigration (not just tangential mentions).\n" in with_topic
     assert with_topic.endswith("Executive Action:\nTEXT")
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_word = st.text(alphabet="abcdefghijklmnopqrstuvwxyzéü ,.", min_size=1, max_size=20).map(str.strip).filter(
+    lambda w: w and not w.lower().startswith(("summary", "relevan", "detail")))
+_pad = st.sampled_from(["", " ", "\t", " "])
+_case = st.tuples(_word, st.sampled_from(["Yes", "No", "Maybe", "yes", "MAYBE"]), _word, _pad, _pad,
+                  st.booleans())
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(cases=st.lists(_case, min_size=1, max_size=25))
+def test_labelled_answers_parse_to_their_parts(spark, cases):
+    rows, expected = [], []
+    for i, (summary, grade, details, p1, p2, blank) in enumerate(cases):
+        sep = NL + NL if blank else NL
+        text = f"{p1}Summary: {summary}{p2}{sep}Relevant: {grade}{NL}{p2}Details: {details}{p1}"
+        rows.append((i, text))
+        g = grade.capitalize()
+        expected.append((summary, g, details if g in ("Yes", "Maybe") else ""))
+    df = spark.createDataFrame(rows, "id int, response string")
+    got = {r.id: (r.description, r.relevant_eo, r.full_summary) for r in parse_response(df).collect()}
+    assert [got[i] for i in range(len(rows))] == expected
