@@ -23,11 +23,21 @@ URL_PREFIX = "https://example.org/a/"
 # Known-archive boundary (row 457 is an early hit inside the new ground).
 KNOWN_FROM_ID = 600
 KNOWN_EARLY_HIT = 457
+# Declared schemas of the landed tables (no inference from file footers).
+SCHEMAS = {
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+    "labels": "doc_id BIGINT, quality INT, toxic INT",
+    "pages": "page_id BIGINT, url STRING, html STRING",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+              "value DOUBLE, props STRING",
+}
 # ---------------------------------------------------------------------------
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A landed table; known tables are read with their declared schema."""
+    reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def actions(spark: SparkSession, sf_dir: str) -> DataFrame:
