@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from conftest import SF01
 from quarry.operators.annotate import annotate, offline_client_factory
