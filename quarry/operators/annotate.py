@@ -162,19 +162,22 @@ class _Chat:
 
 
 def rule_answer(text: str, model: str = DEFAULT_MODEL) -> str:
-    """A deterministic answer in one of three shapes, chosen by text length.
+    """A deterministic answer computed from the whole text.
 
-    Shape 0: labelled lines with a Yes grade and details; shape 1: labelled
-    summary and a No grade; shape 2: numbered lines with a Maybe grade.
-    Summary = first 48 characters, details = the next 112.
+    The shape is chosen by text length: 0 -> labelled lines with a Yes grade
+    and details; 1 -> labelled summary and a No grade; 2 -> numbered lines
+    with a Maybe grade.  The summary states the word and character counts,
+    the details the first and last word.
     """
-    head, rest = text[:48], text[48:160]
+    words = text.split()
+    summary = f"A text of {len(words)} words and {len(text)} characters."
+    details = f"It starts with {words[0]} and ends with {words[-1]}." if words else "It is empty."
     k = len(text) % 3
     if k == 0:
-        return f"Summary: {head}\nRelevant: Yes\nDetails: {rest}"
+        return f"Summary: {summary}\nRelevant: Yes\nDetails: {details}"
     if k == 1:
-        return f"Summary: {head}\nRelevance: no"
-    return f"1. Summary: {head}\n2. Relevant: Maybe\n3. {rest}"
+        return f"Summary: {summary}\nRelevance: no"
+    return f"1. Summary: {summary}\n2. Relevant: Maybe\n3. {details}"
 
 
 class OfflineClient:

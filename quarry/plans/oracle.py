@@ -30,7 +30,6 @@ def _clean(x: str) -> str:
     return f"trim(regexp_replace({x}, '{WS}+', ' ', 'g'))"
 
 
-_LABEL_PREFIX = (f"^{WS}*(?:[0-9]+[.)]{WS}*|[-*]{WS}*)?(?:Summary|Relevant|Relevance|Details?):?{WS}*")
 
 _INGEST_DATE = "coalesce(try_strptime(date, '%B %d, %Y'), try_strptime(date, '%d-%b-%y'))"
 _ARCHIVE_DATE = ("coalesce(try_strptime(date, '%B %d, %Y'), try_strptime(date, '%Y-%m-%d'), "
@@ -73,13 +72,14 @@ def _q(body: str) -> str:
 
 
 def _answer(t: str) -> tuple[str, str, str]:
-    """The parsed offline-client answer for text ``t`` (description, grade, details)."""
+    """The parsed offline-client answer for a cleaned text ``t`` (single spaces,
+    no outer whitespace): description, grade, details."""
     k = f"(length({t}) % 3)"
-    desc = f"trim(substr({t}, 1, 48))"
+    words = f"string_split({t}, ' ')"
+    desc = f"concat('A text of ', len({words}), ' words and ', length({t}), ' characters.')"
     grade = f"CASE {k} WHEN 0 THEN 'Yes' WHEN 1 THEN 'No' ELSE 'Maybe' END"
-    tail = _strip(f"'3. ' || substr({t}, 49, 112)")
-    shape2 = _strip(f"regexp_replace({tail}, '{_LABEL_PREFIX}', '', 'i')")
-    details = f"CASE {k} WHEN 0 THEN trim(substr({t}, 49, 112)) WHEN 1 THEN '' ELSE {shape2} END"
+    said = f"concat('It starts with ', {words}[1], ' and ends with ', {words}[-1], '.')"
+    details = f"CASE {k} WHEN 0 THEN {said} WHEN 1 THEN '' ELSE concat('3. ', {said}) END"
     return desc, grade, details
 
 
