@@ -116,3 +116,16 @@ def test_items_without_url_are_all_kept(spark):
          (1, 2, "May 3, 2025", "z", "u", ["a"]), (1, 3, "May 3, 2025", "w", "u", ["a"])],
         "page int, pos int, date string, title string, url string, types array<string>")
     assert sorted(r.title for r in crawl_window(items).collect()) == ["x", "y", "z"]
+
+
+def test_backfill_duplicate_rows_do_not_fan_out(spark):
+    from quarry.plans.backfill import backfill_rows
+    rows = [row(url="d", title="Dup"), row(url="d", title="Dup"), row(url="d", title="Other"),
+            row(url="e", title="Done", desc="x", rel="Yes")]
+    archive = spark.createDataFrame(rows, SCHEMA)
+    content = spark.createDataFrame([("d", "One two three."), ("e", "Four.")], "url string, text string")
+    out = backfill_rows(archive, offline_client_factory(), content=content).collect()
+    assert len(out) == 4
+    updated = [r for r in out if r.updated]
+    assert len(updated) == 3 and {r.description for r in updated} == {"A text of 3 words and 14 characters."}
+    assert [r.description for r in out if r.url == "e"] == ["x"]
