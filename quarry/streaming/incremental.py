@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators.annotate import stage
 from quarry.plans.ingest import IngestParams, ingest_rows
-from quarry.sources.archive import (append_known_index, append_silver, known_urls,
+from quarry.sources.archive import (append_content, append_known_index, append_silver, known_urls,
                                    read_known_index, to_silver)
 
 
@@ -31,11 +31,12 @@ def _known(spark: SparkSession, archive_path: str) -> DataFrame | None:
 def ingest_batch(batch: DataFrame, archive_path: str, params: IngestParams, *,
                  content: DataFrame | None = None, article_pages: DataFrame | None = None,
                  client_factory: Callable[[], object] | None = None,
-                 known_index: str | None = None) -> int:
+                 known_index: str | None = None, content_path: str | None = None) -> int:
     """One micro-batch: new rows of these pages -> staged -> appended.
 
     With ``known_index`` the known URLs come from the bucketed index (only the
-    batch's buckets are read) and the batch's new URLs are added to it.
+    batch's buckets are read) and the batch's new URLs are added to it; with
+    ``content_path`` texts extracted from pages are saved (SNK2).
     """
     spark = batch.sparkSession
     p = IngestParams(**{**params.__dict__, "mode": "filter"})
@@ -48,6 +49,10 @@ def ingest_batch(batch: DataFrame, archive_path: str, params: IngestParams, *,
         append_silver(to_silver(rows.drop("page", "pos", "text", "text_source")), archive_path)
         if known_index:
             append_known_index(rows, known_index)
+        if content_path:
+            fetched = rows.filter(F.col("text_source") == "page")
+            if not fetched.isEmpty():
+                append_content(fetched, content_path)
     return n
 
 

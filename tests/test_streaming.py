@@ -62,3 +62,16 @@ def test_stream_days_independent_of_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert other == base
+
+
+def test_incremental_with_index_and_pages(spark, tmp_path):
+    from test_pipeline import _listing_over_pages
+    land, arch = str(tmp_path / "land"), str(tmp_path / "silver")
+    idx, cont, chk = str(tmp_path / "known"), str(tmp_path / "content"), str(tmp_path / "chk")
+    _listing_over_pages(spark).write.parquet(land)
+    params = IngestParams(as_of=dt.datetime(2025, 12, 31, 12), lookback_days=None, container="article")
+    run_incremental(spark, land, arch, chk, params, article_pages=LD.article_pages(spark, SF001),
+                    known_index=idx, content_path=cont)
+    n = LD.article_pages(spark, SF001).count()
+    assert spark.read.parquet(arch).count() == n
+    assert spark.read.parquet(idx).count() == n and spark.read.parquet(cont).count() == n
