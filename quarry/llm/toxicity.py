@@ -38,8 +38,8 @@ from quarry.session import materialize
 
 #: Terms and exception phrases kept at most, by log odds times support.
 MAX_TERMS = 4096
-MIN_DOCS = 4
-MIN_ODDS = 3.0
+MIN_DOCS = 6
+MIN_ODDS = 4.0
 BEGINNINGS = range(4, 8)
 
 # Letters that look like Latin letters, and signs that stand for letters.
@@ -123,6 +123,29 @@ def _term_counts(sample: DataFrame) -> dict[str, tuple[int, int]]:
     return {r.term: (r.toxic, r.clean) for r in rows}
 
 
+def one_of_each(sample: DataFrame) -> DataFrame:
+    """One text of each group of copies in the sample, so that a copied text is evidence once.
+
+    The key is the smallest hash of a text's three-word runs (of its words,
+    if there are fewer), which copies and near copies share.
+    """
+    def keyed(batches):
+        for batch, texts in tc.chunks(batches):
+            _, _, document, word = tc.words(*tc.text_bytes(texts))
+            key = np.zeros(batch.num_rows, np.uint64)
+            for values, owner in ((word, document), (lambda h, at: (h, document[at]))(*tc.windows(word, document, 3))):
+                first = tc.runs(owner)
+                if len(first):
+                    key[owner[first]] = np.minimum.reduceat(values, first)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(batch.schema.get_field_index("text")),
+                 batch.column(batch.schema.get_field_index("label")).cast(pa.int32()),
+                 pa.array(key.astype(np.int64))], names=["text", "label", "key"])
+
+    return (sample.select("text", "label").mapInArrow(keyed, "text string, label int, key long")
+            .groupBy("key", "label").agg(F.min("text").alias("text")).select("text", "label"))
+
+
 def learn(sample: DataFrame) -> Lexicon:
     """Lexicon, exceptions and curve from (text, label)."""
     sizes = {r.label: r["count"] for r in sample.groupBy("label").count().collect()}
@@ -133,15 +156,18 @@ def learn(sample: DataFrame) -> Lexicon:
     odds = {}
     for term, (toxic, clean) in _term_counts(sample).items():
         value = np.log((toxic + 0.5) / (n1 + 1.0)) - np.log((clean + 0.5) / (n0 + 1.0))
-        # evidence beyond chance: under independence a term falls on toxic documents at their share
-        surplus = toxic * np.log(max(toxic / (toxic + clean) / (n1 / (n1 + n0)), 1e-9))
-        if value >= MIN_ODDS and surplus >= 12:
+        if value >= MIN_ODDS:
             odds[term] = (float(value), float(value * (toxic + clean)))
     kept: dict[str, float] = {}
-    for term in sorted(odds, key=lambda t: (-odds[t][1], len(t), t)):
-        # a beginning that is kept already speaks for the words and longer beginnings under it
-        if len(kept) < MAX_TERMS and not any(term[:k] in kept for k in range(5, len(term))):
+    spoken: dict[str, float] = {}
+    for term in sorted(odds, key=lambda t: (-odds[t][1], -len(t), t)):
+        # a kept beginning speaks for the words under it, and a kept word for its
+        # beginnings unless they occur in clearly more documents
+        if (len(kept) < MAX_TERMS and not any(term[:k] in kept for k in range(5, len(term)))
+                and odds[term][1] > 1.1 * spoken.get(term, 0.0)):
             kept[term] = odds[term][0]
+            for k in range(5, len(term)):
+                spoken[term[:k]] = max(spoken.get(term[:k], 0.0), odds[term][1])
     lexicon = Lexicon(kept, {})
     lexicon.exceptions = _exceptions(sample, lexicon)
     lexicon.curve = _curve(sample, lexicon)
@@ -246,5 +272,5 @@ def score(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.5) -> DataFram
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
     """doc_id, held_out, score, predicted of every document."""
-    lexicon = learn(materialize(fit_sample(docs, labels, "toxic", rows), "toxic-sample"))
+    lexicon = learn(materialize(one_of_each(fit_sample(docs, labels, "toxic", rows)), "toxic-sample"))
     return score(docs, lexicon).select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
