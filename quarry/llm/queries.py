@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import quality, toxicity
+from quarry.llm import quality, rules, toxicity, wavelet
+from quarry.session import checkpoint_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,10 +18,23 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def _shared(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def op3_wavelet_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wavelet.token_ids(_table(spark, sf_dir, "documents"), wavelet.tokenizer_path(), _shared(spark, "token-shards"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op4_toxicity)}
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.quality_report(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op3_wavelet_token_ids, op4_toxicity, op6_quality_rules)}
 
 ORACLES: dict[str, str] = {}

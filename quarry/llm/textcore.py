@@ -29,24 +29,11 @@ def mix64(x: np.ndarray, salt: int = 0) -> np.ndarray:
         return x ^ (x >> _U(31))
 
 
-_BYTE_CODE = mix64(np.arange(256, dtype=_U), 7)
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-
 #: Bytes that belong to a word: all but space and 0x09-0x0D.
-NON_SPACE = np.ones(256, bool)
-NON_SPACE[[0x20, *range(0x09, 0x0E)]] = False
-
-_POWERS = {"p": np.ones(1, _U)}
-
-
-def _powers(n: int) -> np.ndarray:
-    if len(_POWERS["p"]) < n:
-        with np.errstate(over="ignore"):
-            steps = np.full(max(n, 4096), _U(0x9E3779B97F4A7C55))
-            steps[0] = _U(1)
-            _POWERS["p"] = np.multiply.accumulate(steps)
-    return _POWERS["p"]
+NON_SPACE = bytes(0 if b == 0x20 or 0x09 <= b <= 0x0D else 1 for b in range(256))
+_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+#: Keeps the first 0 to 8 bytes of a little-endian 64-bit load.
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(9)], _U)
 
 
 def text_array(column: pa.Array | pa.ChunkedArray) -> pa.Array:
@@ -81,38 +68,37 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str = "text",
             at = end
 
 
-def words(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray = NON_SPACE,
+def words(data: np.ndarray, offsets: np.ndarray, is_word: bytes = NON_SPACE,
           lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Maximal runs of word bytes that lie inside one document.
 
     Returns (start, end, document, hash) of each word, in text order; A-Z
-    are folded before hashing if ``lower``.
+    are folded before hashing if ``lower``.  The hash takes eight bytes of
+    every word at a time.
     """
     if not len(data):
         none = np.zeros(0, np.int64)
         return none, none, none, np.zeros(0, _U)
-    mask = is_word[data]
+    raw = data.tobytes()
+    mask = np.frombuffer(raw.translate(is_word), bool)
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
-    before = np.empty(len(data), bool)
-    before[0], before[1:] = False, mask[:-1]
-    after = np.empty(len(data), bool)
-    after[-1], after[:-1] = False, mask[1:]
-    start = np.flatnonzero(mask & (edge[:-1] | ~before))
-    end = np.flatnonzero(mask & (edge[1:] | ~after)) + 1
-    document = np.searchsorted(offsets, start, "right") - 1
-    if not len(start):
-        return start, end, document, np.zeros(0, _U)
-    length = end - start
-    inside = np.flatnonzero(mask)
-    within = np.arange(len(inside)) - np.repeat(np.cumsum(length) - length, length)
-    code = _BYTE_CODE[_LOWER[data[inside]] if lower else data[inside]]
-    with np.errstate(over="ignore"):
-        total = np.cumsum(code * _powers(int(length.max()))[within])
-        last = np.cumsum(length) - 1
-        value = total[last]
-        value[1:] -= total[last[:-1]]
-        value = mix64(value + length.astype(_U))
+    first, last = mask & edge[:-1], mask & edge[1:]
+    first[1:] |= mask[1:] & ~mask[:-1]
+    first[0] |= mask[0]
+    last[:-1] |= mask[:-1] & ~mask[1:]
+    last[-1] |= mask[-1]
+    start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+    counts = np.diff(np.searchsorted(start, offsets))
+    document = np.repeat(np.arange(len(counts)), counts)
+    loads = np.ndarray((len(raw),), "<u8", (raw.translate(_LOWER) if lower else raw) + bytes(8), strides=(1,))
+    left = end - start
+    value = mix64(left.astype(_U))
+    todo, at = np.arange(len(start)), start
+    while len(todo):
+        value[todo] = mix64(value[todo] ^ (loads[at] & _KEEP[np.minimum(left, 8)]), 5)
+        more = np.flatnonzero(left > 8)
+        todo, at, left = todo[more], at[more] + 8, left[more] - 8
     return start, end, document, value
 
 
