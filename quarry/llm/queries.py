@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import decontaminate, minhash, quality, rules, suffixdedup, toxicity, wavelet
+from quarry.llm import brown, decontaminate, minhash, quality, rules, suffixdedup, toxicity, wavelet
 from quarry.session import checkpoint_dir
 
 
@@ -18,6 +18,10 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op2_brown_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown.corpus_scores(_table(spark, sf_dir, "documents"))
+
+
 def _shared(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -47,7 +51,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op3_wavelet_token_ids, op4_toxicity, op5_circulant_minhash, op6_quality_rules, op8_suffix_dedup,
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_brown_class_lm, op3_wavelet_token_ids, op4_toxicity, op5_circulant_minhash, op6_quality_rules, op8_suffix_dedup,
                                   op10_benchmark_decontamination)}
 
 _WORD = r"[^\x20\x09-\x0D]+"
