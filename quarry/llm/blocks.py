@@ -55,6 +55,11 @@ def unpack_arrays(raw, **kinds) -> list[np.ndarray]:
 
 def make_blocks(docs: DataFrame, name: str, size: int = BLOCK_BYTES) -> DataFrame:
     """(block, n_bytes, docs): all columns of ``docs``, packed, as a written table."""
+    return materialize(blocks_of(docs, size), name)
+
+
+def blocks_of(docs: DataFrame, size: int = BLOCK_BYTES) -> DataFrame:
+    """(block, n_bytes, docs) that is not written: the same blocks again only if ``docs`` reads alike."""
     def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -78,15 +83,18 @@ def make_blocks(docs: DataFrame, name: str, size: int = BLOCK_BYTES) -> DataFram
         if held:
             yield flush()
 
-    return materialize(docs.mapInArrow(grouped, "block long, n_bytes long, docs binary"), name)
+    return docs.mapInArrow(grouped, "block long, n_bytes long, docs binary")
 
 
-def bucket_count(blocks: DataFrame, size: int = BUCKET_BYTES) -> int:
+def buckets_for(total: int, size: int = BUCKET_BYTES) -> int:
     """Buckets so that each gets the strings of about ``size`` bytes of text."""
-    total = blocks.agg(F.sum("n_bytes").alias("n")).first().n or 0
     return int(max(8, total // size))
 
 
+def bucket_count(blocks: DataFrame, size: int = BUCKET_BYTES) -> int:
+    return buckets_for(blocks.agg(F.sum("n_bytes").alias("n")).first().n or 0, size)
+
+
 def by_bucket(bucket: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
     """Stable order of rows by bucket, and where each bucket begins in it (and the last ends)."""
     order = np.argsort(bucket, kind="stable")

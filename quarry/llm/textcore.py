@@ -119,3 +119,18 @@ def runs(sorted_values: np.ndarray) -> np.ndarray:
     if not len(sorted_values):
         return np.zeros(0, np.int64)
     return np.flatnonzero(np.concatenate(([True], sorted_values[1:] != sorted_values[:-1])))
+
+
+def loads(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from every position as an integer, zeros beyond the end."""
+    return np.ndarray((len(data) + 16,), "<u8", data.tobytes() + bytes(24), strides=(1,))
+
+
+def piece_hash(loaded: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Hash of the ``size`` bytes from each position in ``first``."""
+    value, left, at, todo = mix64(size.astype(_U), 9), size, first, np.arange(len(first))
+    while len(todo):
+        value[todo] = mix64(value[todo] ^ (loaded[at] & _KEEP[np.minimum(left, 8)]), 13)
+        more = np.flatnonzero(left > 8)
+        todo, at, left = todo[more], at[more] + 8, left[more] - 8
+    return value
