@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import brown, decontaminate, minhash, pieces, quality, rules, suffixdedup, toxicity, wavelet
+from quarry.llm import brown, decontaminate, minhash, pieces, quality, rollups, rules, suffixdedup, toxicity, wavelet
 from quarry.session import checkpoint_dir
 
 
@@ -51,11 +51,15 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixdedup.repeated_bytes(_table(spark, sf_dir, "documents"))
 
 
+def op9_token_count_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollups.corpus_rollup(_table(spark, sf_dir, "documents"), wavelet.tokenizer_path(), _shared(spark, "token-ledger"))
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_brown_class_lm, op3_wavelet_token_ids, op4_toxicity, op5_circulant_minhash, op6_quality_rules, op7_sentencepiece, op8_suffix_dedup,
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_brown_class_lm, op3_wavelet_token_ids, op4_toxicity, op5_circulant_minhash, op6_quality_rules, op7_sentencepiece, op8_suffix_dedup, op9_token_count_rollups,
                                   op10_benchmark_decontamination)}
 
 _WORD = r"[^\x20\x09-\x0D]+"

@@ -145,8 +145,9 @@ def cascade(ordered: list[Estimate], text: Column, words: Column) -> Column:
 def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, rows: int = SAMPLE_ROWS) -> DataFrame:
     """``docs`` with ``rejected_by``: the rule that rejects each document, or null."""
     ordered = plan(docs, rules, rows)
-    return (docs.withColumn("__words", words_of(F.col("text")))
-            .withColumn("rejected_by", cascade(ordered, F.col("text"), F.col("__words"))).drop("__words"))
+    # the words are bound inside the expression: a filter on the verdict that Catalyst
+    # pushes below a projection of them would split the text anew for every use
+    return docs.withColumn("rejected_by", _let(words_of(F.col("text")), lambda words: cascade(ordered, F.col("text"), words)))
 
 
 def quality_report(docs: DataFrame, rules: tuple[Rule, ...] = RULES, rows: int = SAMPLE_ROWS) -> DataFrame:
