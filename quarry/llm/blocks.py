@@ -12,6 +12,7 @@ see the same blocks whatever is recomputed.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -68,8 +69,10 @@ def blocks_of(docs: DataFrame, size: int = BLOCK_BYTES) -> DataFrame:
         def flush():
             nonlocal held, bulk, seq
             table = pa.Table.from_batches(held).combine_chunks()
+            # the number tells blocks apart and changes with their content
+            number = int(tc.mix64(np.array([part << 32 | seq], np.uint64), zlib.crc32(repr((table.slice(0, 1).to_pydict(), table.num_rows, bulk)).encode()))[0] >> np.uint64(1))
             row = pa.RecordBatch.from_arrays(
-                [pa.array([part << 32 | seq], pa.int64()), pa.array([bulk], pa.int64()), pa.array([pack_table(table)], pa.binary())],
+                [pa.array([number], pa.int64()), pa.array([bulk], pa.int64()), pa.array([pack_table(table)], pa.binary())],
                 names=["block", "n_bytes", "docs"])
             held, bulk, seq = [], 0, seq + 1
             return row
@@ -129,10 +132,17 @@ def answer(asked: DataFrame, reply: Callable[[list[int], list[pa.Buffer]], Itera
     return asked.groupBy("bucket").applyInArrow(run, "block long, bucket int, payload binary")
 
 
+def check_block(left: pa.Table) -> None:
+    """Answers without their block mean that the documents were read differently the second time."""
+    if not left.num_rows:
+        raise RuntimeError("the documents changed between two reads: write them to a table first")
+
+
 def with_answers(blocks: DataFrame, answers: DataFrame, use: Callable[[pa.Table, dict[int, pa.Buffer]], pa.Table],
                  schema: str) -> DataFrame:
     """``use(documents, {bucket: payload})`` for every block, with or without answers."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        check_block(left)
         found = {b.as_py(): p.as_buffer() for b, p in zip(right.column("bucket"), right.column("payload"), strict=True)}
         return use(unpack_table(left.column("docs")[0].as_buffer()), found)
 

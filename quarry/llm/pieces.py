@@ -410,7 +410,7 @@ def encode_documents(docs: DataFrame, pieces: Pieces, with_ids: bool = False) ->
     """doc_id, n_pieces, ids_crc32, round_trip of every document, and its ids if asked for.
 
     The blocks are read from ``docs`` twice rather than kept, so ``docs``
-    must give the same rows each time, as a table does.
+    must give the same rows each time, as a table does; else the run stops.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     source = docs.select("doc_id", "text")
