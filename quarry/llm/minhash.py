@@ -13,11 +13,17 @@ At the threshold of 0.85 a pair shares none of the buckets with probability
 under 1e-6.
 
 *Verification* on the full sets.  In each bucket every class is compared with
-one pivot; the links found are contracted to components, and another pivot
-follows; what then still lies in different components of one bucket is
-compared pair by pair.  A group of near copies collapses on its first pivot,
-so its pairs are never listed, and no candidate pair across components is
-left out.
+one pivot, the class that shares buckets with the most others, and the links
+found are contracted to components.  A class x that is not similar to the
+pivot P can be similar to a class y of the bucket only if they share a
+shingle outside P, unless y is clearly smaller: if all they share lies in P,
+|x & y| <= |x & P|, so 85 (|x| + |y|) <= 185 |x & P| must hold.  So the
+classes of a bucket that still has several components go on to buckets of
+(pivot, shingle outside the pivot), where the same follows with a new pivot;
+the few pairs that the size condition lets by are compared directly.  What
+remains in different components of one of these small buckets is compared
+pair by pair.  The pairs of a group of near copies are never listed, and no
+candidate pair across components is left out.
 
 The result has one row per document; a component's id is its smallest doc_id.
 Documents without words have no shingles and are alone.  Rows that repeat an
@@ -40,8 +46,8 @@ SHINGLE = 5
 BANDS, ROWS = 24, 5
 #: Similarity in hundredths.
 THRESHOLD = 85
-#: Pivots per bucket before the rest is compared pair by pair.
-PIVOTS = 2
+#: Rounds of pivots before the rest is compared pair by pair.
+ROUNDS = 3
 
 _U = np.uint64
 _PI1, _PI2 = _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
@@ -146,25 +152,47 @@ def class_sets(docs: DataFrame) -> DataFrame:
     return docs.select("cid", "text").mapInArrow(sets, "cid binary, shingles binary")
 
 
-def similar(pairs: DataFrame, sets: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """The (a, b) whose sets satisfy 100 * intersection >= threshold * union, on the full sets."""
+def _both_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, x, y): pairs with their sets."""
     left = sets.select(F.col("cid").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("cid").alias("b"), F.col("shingles").alias("y"))
-    size = lambda c: F.octet_length(c)
-    joined = (pairs.join(left, "a").join(right, "b")
-              .where(100 * F.least(size("x"), size("y")) >= threshold * F.greatest(size("x"), size("y")))
-              .select("a", "b", "x", "y"))
+    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y")
 
+
+def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, both, na, nb): sizes of the intersection and of the two sets, on the full sets."""
     def check(batches):
         for batch in batches:
-            keep = np.zeros(batch.num_rows, bool)
+            both = np.zeros(batch.num_rows, np.int64)
+            sizes = np.zeros((2, batch.num_rows), np.int64)
             for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
                 u, v = np.frombuffer(x.as_buffer(), _U), np.frombuffer(y.as_buffer(), _U)
-                both = len(np.intersect1d(u, v, assume_unique=True))
-                keep[i] = 100 * both >= threshold * (len(u) + len(v) - both)
-            yield batch.select([0, 1]).filter(pa.array(keep))
+                both[i], sizes[0, i], sizes[1, i] = len(np.intersect1d(u, v, assume_unique=True)), len(u), len(v)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(both), pa.array(sizes[0]), pa.array(sizes[1])],
+                                             names=["a", "b", "both", "na", "nb"])
+
+    return _both_sets(pairs, sets).mapInArrow(check, "a binary, b binary, both long, na long, nb long")
+
+
+def linked(threshold: int) -> Column:
+    return F.expr(f"100 * both >= {threshold} * (na + nb - both)")
+
+
+def outside(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, element): the shingles of b that a lacks."""
+    def find(batches):
+        for batch in batches:
+            lists = []
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                u, v = np.frombuffer(x.as_buffer(), _U), np.frombuffer(y.as_buffer(), _U)
+                lists.append(np.setdiff1d(v, u, assume_unique=True).view(np.int64))
+            ends = np.cumsum([0] + [len(z) for z in lists]).astype(np.int32)
+            flat = np.concatenate(lists) if lists else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["a", "b", "elements"])
 
-    return joined.mapInArrow(check, "a binary, b binary")
+    return (_both_sets(pairs, sets).mapInArrow(find, "a binary, b binary, elements array<long>")
+            .select("a", "b", F.explode("elements").alias("element")))
 
 
 def _several(entries: DataFrame, value: str) -> DataFrame:
@@ -180,7 +208,40 @@ def _text_of_classes(docs: DataFrame, sketch: DataFrame, wanted: DataFrame) -> D
     return rows.join(picked, "row").select("cid", "text")
 
 
-def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, pivots: int = PIVOTS) -> DataFrame:
+def _contracted(now: DataFrame, links: DataFrame) -> DataFrame:
+    """(cid, comp) after the links (a, b) between classes."""
+    owner = now.select("cid", "comp")
+    pairs = (links.select("a", "b").join(owner.select(F.col("cid").alias("a"), F.col("comp").alias("u")), "a")
+             .join(owner.select(F.col("cid").alias("b"), F.col("comp").alias("v")), "b")
+             .where("u <> v").select(F.col("u").alias("a"), F.col("v").alias("b")).distinct())
+    merged = connected(pairs).select(F.col("node").alias("comp"), F.col("comp").alias("root"))
+    return materialize(now.join(merged, "comp", "left").select("cid", F.coalesce("root", "comp").alias("comp")), "components")
+
+
+def _open(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """Entries, with components, of the buckets that hold more than one component."""
+    entries = buckets.join(labels, "cid")
+    several = (entries.groupBy("b1", "b2").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+               .where("low <> high").select("b1", "b2"))
+    return materialize(entries.join(several, ["b1", "b2"]).select("b1", "b2", "cid", "comp"), "open-entries")
+
+
+def _small_pairs(rest: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Links of the pairs that may be similar though all they share lies in the pivot."""
+    x = rest.where("not near").select("b1", "b2", F.col("cid").alias("a"), F.col("comp").alias("u"), F.col("both").alias("i"), F.col("n").alias("na"))
+    floor = rest.groupBy("b1", "b2").agg(F.min("n").alias("least"))
+    room = f"{100 + threshold} * i >= {threshold} * "
+    x = x.join(floor, ["b1", "b2"]).where(room + "(na + least)")
+    most = x.groupBy("b1", "b2").agg(F.max(F.expr(f"{100 + threshold} * i - {threshold} * na")).alias("room"))
+    y = (rest.join(most, ["b1", "b2"]).where(f"room >= {threshold} * n")
+         .select("b1", "b2", F.col("cid").alias("b"), F.col("comp").alias("v"), "near", F.col("both").alias("j"), F.col("n").alias("nb")))
+    pairs = (x.join(y, ["b1", "b2"])
+             .where(f"u <> v and {room} (na + nb) and (near or {100 + threshold} * j >= {threshold} * (na + nb))")
+             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    return materialize(compared(pairs, sets), "compared").where(linked(threshold))
+
+
+def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row of ``docs``."""
     docs = docs.select("doc_id", "text")
     keyed = docs.select(F.struct(F.col("doc_id"), F.xxhash64("text")).alias("doc_id"), "text")
@@ -189,35 +250,38 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, pivots: int = P
                .agg(F.first("bands").alias("bands")))
     spread = materialize(classes.select("cid", F.posexplode("bands").alias("band", "key")), "band-entries")
     shared = _several(spread, "cid")
-    entries = materialize(spread.join(shared.select("band", "key"), ["band", "key"]).select("band", "key", "cid"), "bucket-entries")
+    # a bucket is two values: band and key at first, pivot and shingle later
+    buckets = materialize(spread.join(shared.select("band", "key"), ["band", "key"])
+                          .select(F.encode(F.col("band").cast("string"), "UTF-8").alias("b1"), F.col("key").alias("b2"), "cid"), "buckets")
     sets = materialize(
-        class_sets(_text_of_classes(docs, sketch, entries.select("cid").distinct())).dropDuplicates(["cid"]), "class-sets")
-
-    labels = None          # (cid, comp) of the classes that have a link
-    now = entries.withColumn("comp", F.col("cid"))
-    for turn in range(pivots + 1):
-        split = _several(now, "comp")
-        open_entries = materialize(now.join(split.select("band", "key"), ["band", "key"])
-                                   .select("band", "key", "cid", "comp"), "open-entries")
-        if turn < pivots:
-            # the pivot is the first class of a component that the bucket has not been compared with yet
-            order = F.struct(F.xxhash64("comp", F.lit(turn)).alias("o"), "cid", "comp") if turn else F.struct("cid", "comp")
-            pivot = open_entries.groupBy("band", "key").agg(F.min(order).alias("p"))
-            pairs = (open_entries.join(pivot, ["band", "key"]).where("comp <> p.comp")
-                     .select(F.least("cid", "p.cid").alias("a"), F.greatest("cid", "p.cid").alias("b")))
-        else:
-            other = open_entries.select("band", "key", F.col("cid").alias("d"), F.col("comp").alias("other"))
-            pairs = (open_entries.join(other, ["band", "key"]).where("cid < d and comp <> other")
-                     .select(F.col("cid").alias("a"), F.col("d").alias("b")))
-        found = materialize(similar(pairs.distinct(), sets, threshold), "links")
-        owner = open_entries.select("cid", "comp").distinct()
-        links = (found.join(owner.select(F.col("cid").alias("a"), F.col("comp").alias("u")), "a")
-                 .join(owner.select(F.col("cid").alias("b"), F.col("comp").alias("v")), "b")
-                 .select(F.col("u").alias("a"), F.col("v").alias("b")).distinct())
-        merged = connected(links).select(F.col("node").alias("comp"), F.col("comp").alias("root"))
-        base = labels if labels is not None else entries.select("cid").distinct().withColumn("comp", F.col("cid"))
-        labels = materialize(base.join(merged, "comp", "left").select("cid", F.coalesce("root", "comp").alias("comp")), "labels")
-        now = open_entries.drop("comp").join(labels, "cid").select("band", "key", "cid", "comp")
+        class_sets(_text_of_classes(docs, sketch, buckets.select("cid").distinct())).dropDuplicates(["cid"]), "class-sets")
+
+    labels = materialize(buckets.select("cid").distinct().withColumn("comp", F.col("cid")), "components")
+    for _ in range(rounds):
+        now = _open(buckets, labels)
+        size = now.groupBy("b1", "b2").agg(F.count("*").alias("n"))
+        weight = now.join(size, ["b1", "b2"]).groupBy("cid").agg(F.sum("n").alias("w"))
+        pivot = (now.join(weight, "cid").groupBy("b1", "b2")
+                 .agg(F.max(F.struct("w", "cid", "comp")).alias("p")).select("b1", "b2", F.col("p.cid").alias("pivot"), F.col("p.comp").alias("home")))
+        held = materialize(now.join(pivot, ["b1", "b2"]).where("cid <> pivot"), "pivoted-entries")
+        tested = materialize(compared(held.select(F.col("pivot").alias("a"), F.col("cid").alias("b")).distinct(), sets), "compared")
+        labels = _contracted(labels, tested.where(linked(threshold)))
+        # members beside the pivot that are still in different components
+        rest = _open(held.select("b1", "b2", "cid"), labels)
+        rest = materialize(rest.join(pivot.select("b1", "b2", "pivot"), ["b1", "b2"])
+                           .join(tested.select(F.col("a").alias("pivot"), F.col("b").alias("cid"), "both", F.col("nb").alias("n"),
+                                               linked(threshold).alias("near")), ["pivot", "cid"]), "unresolved")
+        labels = _contracted(labels, _small_pairs(rest, sets, threshold))
+        members = rest.select(F.col("pivot").alias("a"), F.col("cid").alias("b")).distinct()
+        found = outside(members, sets).select(F.col("a").alias("b1"), F.col("element").alias("b2"), F.col("b").alias("cid"))
+        found = materialize(found, "outside-entries")
+        buckets = found.join(_several(found.withColumnsRenamed({"b1": "band", "b2": "key"}), "cid")
+                             .select(F.col("band").alias("b1"), F.col("key").alias("b2")), ["b1", "b2"])
+    left = _open(buckets, labels)
+    other = left.select("b1", "b2", F.col("cid").alias("d"), F.col("comp").alias("other"))
+    pairs = (left.join(other, ["b1", "b2"]).where("cid < d and comp <> other")
+             .select(F.col("cid").alias("a"), F.col("d").alias("b")).distinct())
+    labels = _contracted(labels, materialize(compared(pairs, sets), "compared").where(linked(threshold)))
 
     rows = sketch.select(F.col("row.doc_id").alias("doc_id"), "n_shingles", "cid")
     whole = rows.where("n_shingles > 0").join(labels, "cid", "left").select(
