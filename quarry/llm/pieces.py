@@ -47,6 +47,8 @@ from quarry.llm import textcore as tc
 from quarry.session import materialize
 
 SPACE = "▁"
+#: Bytes of corpus text whose distinct units make a bucket.
+BUCKET_BYTES = 4 << 20
 #: Symbols of a unit that fit the bit mask of boundaries.
 MASK_SYMBOLS = 61
 
@@ -163,7 +165,7 @@ def _asked_units(raw) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return text, first, size, tc.piece_hash(tc.loads(text), first, size)
 
 
-def distinct_units(asked: DataFrame) -> DataFrame:
+def distinct_units(asked: DataFrame, partitions: int) -> DataFrame:
     """(bucket, key, unit): every distinct unit once, with spaces written as the piece table writes them."""
     def run(table: pa.Table) -> pa.Table:
         parts = [_asked_units(p.as_buffer()) for p in table.column("payload")]
@@ -177,7 +179,9 @@ def distinct_units(asked: DataFrame) -> DataFrame:
         return pa.table({"bucket": pa.array([table.column("bucket")[0].as_py()] * len(keys), pa.int32()),
                          "key": pa.array(keys.view(np.int64)), "unit": pa.array(units, pa.string())})
 
-    return asked.groupBy("bucket").applyInArrow(run, "bucket int, key long, unit string")
+    # as many tasks as buckets, whatever the packed size: what follows unfolds it many times over
+    return (asked.repartition(partitions, "bucket").groupBy("bucket")
+            .applyInArrow(run, "bucket int, key long, unit string"))
 
 
 # ---- the lattice -----------------------------------------------------------
@@ -415,9 +419,9 @@ def encode_documents(docs: DataFrame, pieces: Pieces, with_ids: bool = False) ->
     kind = docs.schema["doc_id"].dataType.simpleString()
     source = docs.select("doc_id", "text")
     blocks = bl.blocks_of(source)
-    count = bl.buckets_for(source.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0)
+    count = bl.buckets_for(source.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0, BUCKET_BYTES)
     asked = materialize(bl.ask(blocks, _units_asked(count)), "asked-units")
-    encoded = encode_units(distinct_units(asked), pieces)
+    encoded = encode_units(distinct_units(asked, count), pieces)
     answers = _ids_answered(asked, encoded, pieces.bytes_at)
 
     def use(table: pa.Table, found: dict[int, pa.Buffer]) -> pa.Table:
