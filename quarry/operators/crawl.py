@@ -7,12 +7,11 @@ page with no items.  Relationally that is an *ordered prefix*:
     stop   = min over (page, pos) of every stop candidate
     window = items with (page, pos) < stop       (all items when no stop)
 
-``stop`` comes from two aggregates (one pass over the items for the known,
-too-old and empty-start candidates; one for the first page gap), each
-partial per task with one tiny final step, used as uncorrelated scalar
-subqueries combined by ``least``.  The window is then a plain filter on the
-items: no global sort, no unpartitioned window function, no join with the
-stop row.
+Both the stop candidates and the first page gap come from one small table
+with a row per page (its first known or too-old position), computed in one
+aggregate over the items and written to the shared folder; the stop is a
+scalar subquery over it and the window a plain filter on the items: no global
+sort, no unpartitioned window function, no join with the stop row.
 
 ``mode="filter"`` is the order-insensitive batch form: every item that is not
 known and not older than the cutoff.
@@ -20,12 +19,14 @@ known and not older than the cutoff.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.dates import lookback_cutoff, older_than, parse_archive_date, parse_ingest_date
-from quarry.operators.joins import (DEFAULT_BROADCAST_ROWS, first_by, is_small, maybe_broadcast,
-                                   restrict_to)
+from quarry.operators.joins import first_by, restrict_to
+from quarry.session import materialize
 
 
 def position():
@@ -48,73 +49,57 @@ def complete_items(items: DataFrame) -> DataFrame:
     return items.filter(F.col("date").isNotNull() & F.col("title").isNotNull())
 
 
-def known_hits(items: DataFrame, known: DataFrame,
-               max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+def known_hits(items: DataFrame, known: DataFrame) -> DataFrame:
     """JOIN2: the distinct item URLs that the archive already holds.
 
-    The archive's URL set is scanned once and filtered by the (small,
-    count-checked, broadcast) set of listed URLs, so the archive is never
-    shuffled.  The result is no larger than the listing, so the same proof
-    lets it be broadcast back onto the items; the flag says whether it held.
+    The archive's URL set is scanned once and reduced to the listed URLs, so
+    the result is no larger than the listing; AQE broadcasts the listing's
+    URLs when their measured bytes allow, else both sides shuffle.
     """
-    small = is_small(items.select("url"), max_broadcast_rows)
     cols = ["url", "url_bucket"] if "url_bucket" in known.columns else ["url"]
-    hits = restrict_to(known.select(*cols), items, "url", small=small).select("url").distinct()
-    return maybe_broadcast(hits, small), small
-
-
-def _gap_after(items: DataFrame) -> Column:
-    """FIL4, second half: ``(p + 1, -1)`` for the first present page ``p``
-    whose successor is absent (a left anti join of the page numbers against
-    themselves, shuffled on the page number)."""
-    present = items.select("page").distinct()
-    succ = present.select((F.col("page") + 1).alias("page"))
-    gaps = succ.join(present, "page", "left_anti")
-    return gaps.agg(F.min(_gap_at(F.col("page"), items))).scalar()
-
-
-def _gap_at(page: Column, items: DataFrame) -> Column:
-    return F.struct(page.cast(items.schema["page"].dataType).alias("page"),
-                    F.lit(-1).cast(items.schema["pos"].dataType).alias("pos"))
+    return restrict_to(known.select(*cols), items, "url").select("url").distinct()
 
 
-def stop_position(items: DataFrame, *, known: DataFrame | None = None, cutoff=None,
-                  parse=parse_ingest_date, page_gap: bool = True, start_page: int = 1,
-                  max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> Column | None:
-    """The first stop candidate in (page, pos) order, as a scalar subquery column.
-
-    One aggregate over the items finds the first known item, the first item
-    older than the cutoff and whether the start page is empty (items are
-    flagged by a left join with the known hits, which are no larger than the
-    listing); a second finds the first gap after a present page.  ``least``
-    takes the earliest and ignores candidates that found nothing.  None when
-    no stop condition is configured.
-    """
+def page_stops(items: DataFrame, *, known: DataFrame | None = None, cutoff=None,
+               parse=parse_ingest_date) -> DataFrame:
+    """(page, first): each present page and its first known or too-old position (or NULL)."""
     flagged = items.select("page", "pos", "url", "date")
     hit = F.lit(False)
     if known is not None:
-        seen, _ = known_hits(items, known, max_broadcast_rows)
+        seen = known_hits(items, known)
         flagged = flagged.join(seen.select("url", F.lit(True).alias("__known")), "url", "left")
         hit = F.coalesce(F.col("__known"), F.lit(False))
     if cutoff is not None:
         hit = hit | F.coalesce(older_than(parse("date"), cutoff), F.lit(False))
-    aggs = []
-    if known is not None or cutoff is not None:
-        aggs.append(F.min(F.when(hit, position())))
-    if page_gap:
-        aggs.append(F.when(F.count_if(F.col("page") == start_page) == 0,
-                           _gap_at(F.lit(start_page), items)))
-    if not aggs:
+    return flagged.groupBy("page").agg(F.min(F.when(hit, F.col("pos"))).alias("first"))
+
+
+def stop_position(items: DataFrame, *, known: DataFrame | None = None, cutoff=None,
+                  parse=parse_ingest_date, page_gap: bool = True,
+                  start_page: int = 1) -> Column | None:
+    """The first stop candidate in (page, pos) order, as a scalar subquery column.
+
+    Candidates: the first known or too-old item (FIL2, FIL3) and, with
+    ``page_gap``, position -1 of the first page without items at or after the
+    start page (FIL4).  None when no stop condition is configured.
+    """
+    if known is None and cutoff is None and not page_gap:
         return None
-    first = flagged.agg(F.least(*aggs) if len(aggs) > 1 else aggs[0]).scalar()
-    return F.least(first, _gap_after(items)) if page_gap else first
+    pages = materialize(page_stops(items, known=known, cutoff=cutoff, parse=parse), "page-stops")
+    kind, pos = items.schema["page"].dataType, items.schema["pos"].dataType
+    at = [pages.filter("first is not null").select("page", F.col("first").alias("pos"))]
+    if page_gap:
+        after = pages.select((F.col("page") + 1).cast(kind).alias("page")).join(pages.select("page"), "page", "left_anti")
+        missing = F.when(F.count_if(F.col("page") == start_page) == 0, F.lit(start_page).cast(kind))
+        start = pages.agg(missing.alias("page")).filter("page is not null")
+        at += [x.select("page", F.lit(-1).cast(pos).alias("pos")) for x in (after, start)]
+    return reduce(DataFrame.unionByName, at).agg(F.min(position())).scalar()
 
 
 def crawl_window(items: DataFrame, *, known: DataFrame | None = None, as_of=None,
                  lookback_days: int | None = None, start_page: int = 1,
                  max_pages: int | None = None, single_page: bool = False,
-                 mode: str = "prefix", dedup: bool = True, page_gap: bool = True,
-                 max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                 mode: str = "prefix", dedup: bool = True, page_gap: bool = True) -> DataFrame:
     """New items of one crawl (PIP1's selection step).
 
     ``items``: ``(page, pos, date, title, url, ...)`` as extracted.
@@ -127,12 +112,12 @@ def crawl_window(items: DataFrame, *, known: DataFrame | None = None, as_of=None
     cutoff = lookback_cutoff(as_of, lookback_days) if as_of is not None else None
     if mode == "prefix":
         stop = stop_position(its, known=known, cutoff=cutoff, page_gap=page_gap,
-                             start_page=start_page, max_broadcast_rows=max_broadcast_rows)
+                             start_page=start_page)
         out = its if stop is None else its.filter(F.coalesce(position() < stop, F.lit(True)))
     elif mode == "filter":
         out = its
         if known is not None:
-            out = out.join(known_hits(its, known, max_broadcast_rows)[0], "url", "left_anti")
+            out = out.join(known_hits(its, known), "url", "left_anti")
         if cutoff is not None:
             out = out.filter(~F.coalesce(older_than(parse_archive_date("date"), cutoff), F.lit(False)))
     else:
@@ -143,14 +128,15 @@ def crawl_window(items: DataFrame, *, known: DataFrame | None = None, as_of=None
 def _first_per_url(df: DataFrame) -> DataFrame:
     """SET3 for items with a URL; items without one are all kept (a blank
     URL identifies nothing, and the crawler appends every such item)."""
-    has = F.coalesce(F.col("url"), F.lit("")) != ""
-    return first_by(df.filter(has), "url", ("page", "pos")).unionByName(df.filter(~has))
+    blank = F.coalesce(F.col("url"), F.lit("")) == ""
+    own = F.concat(F.lit("\u0000"), F.col("page").cast("string"), F.lit(":"), F.col("pos").cast("string"))
+    keyed = df.withColumn("__url", F.when(blank, own).otherwise(F.col("url")))
+    return first_by(keyed, "__url", ("page", "pos")).select(*df.columns)
 
 
-def new_items(items: DataFrame, known: DataFrame, dedup: bool = True,
-              max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def new_items(items: DataFrame, known: DataFrame, dedup: bool = True) -> DataFrame:
     """JOIN1 + SET3: items whose URL isn't in the archive, first occurrence each."""
-    out = items.join(known_hits(items, known, max_broadcast_rows)[0], "url", "left_anti")
+    out = items.join(known_hits(items, known), "url", "left_anti")
     return _first_per_url(out) if dedup else out
 
 

@@ -7,10 +7,11 @@ single Filter that it pushes to the Parquet scan where the column is stored.
 from __future__ import annotations
 
 import datetime as _dt
-import re
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import SparkSession, Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.text import strip_ws
@@ -63,20 +64,27 @@ def types_any(choices, exact: bool = False) -> Column | None:
     return reduce(lambda a, b: a | b, [s.contains(c) for c in choices])
 
 
+def _check_pattern(query: str, pattern: str) -> None:
+    spark = SparkSession.getActiveSession()
+    try:
+        spark.range(1).select(F.lit("").rlike(pattern)).first()
+    except (PySparkException, Py4JJavaError) as e:
+        raise ValueError(f"invalid search pattern {query!r}: {e}") from e
+
+
 def search(query: str | None, literal: bool = False, columns=SEARCH_COLUMNS) -> Column | None:
     """FIL12: case-folded regex (or literal) search over title/summaries.
 
-    The pattern is checked on the driver first so a bad one fails there, not
-    inside a task (Q5).  NULL text never matches (Q12).
+    The pattern is compiled on the driver first, by the engine that runs it,
+    so a bad one fails there and not inside a task (Q5).  NULL text never
+    matches (Q12).
     """
     if not query:
         return None
     q = query.lower()
     if not literal:
-        try:
-            re.compile(q)
-        except re.error as e:
-            raise ValueError(f"invalid search pattern {query!r}: {e}") from e
+        q = "(?U)" + q  # Unicode letters and digits, as in the pattern language of the caller
+        _check_pattern(query, q)
     def one(c):
         low = F.lower(F.col(c))
         return F.coalesce(low.contains(q) if literal else low.rlike(q), F.lit(False))

@@ -1,15 +1,11 @@
-"""Look-up joins with a checked broadcast (survey IDs JOIN1, JOIN2, JOIN3).
+"""Look-up joins and first-per-key (survey IDs JOIN1, JOIN2, JOIN3, SET3).
 
 The big sides here (the archive's known URLs, the content cache, landed
 article pages) grow with the data; the small side is what one run touches
-(the URLs of newly listed items).  So the small side's keys are counted
-(a distributed count; only per-task counts move) and, when proven small,
-broadcast to filter the big side map-side: the big table is scanned once and
-never shuffled.  Above the bound the joins shuffle on the key, and AQE can
-still switch to a broadcast when the measured shuffle output is small.
-
-Counting reads the small side's plan, so callers pass materialized (staged or
-checkpointed) inputs where that plan is expensive.
+(the URLs of newly listed items).  The plans carry no broadcast hints: AQE
+sees the measured bytes of the small side after its own stage and turns the
+join into a broadcast when they are under the session's threshold, otherwise
+it stays a shuffle join in which AQE splits skewed keys.
 """
 
 from __future__ import annotations
@@ -17,71 +13,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# --- fixed values -----------------------------------------------------------
-DEFAULT_BROADCAST_ROWS = 2_000_000   # ~ 200 MB of 100-byte URLs
-# ---------------------------------------------------------------------------
-
-
-def at_most(df: DataFrame, n: int) -> bool:
-    """True when ``df`` has at most ``n`` rows.
-
-    A plain count: every task counts its own rows and only the per-task
-    counts move (for a staged Parquet table the counts come from the file
-    footers).  ``limit(n + 1).count()`` would instead funnel up to ``n`` rows
-    from every task into a single partition.
-    """
-    return df.count() <= n
-
-
-def lookup_join(left: DataFrame, right: DataFrame, on, how: str,
-                max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Join ``right`` as a look-up side, broadcasting it only when proven small."""
-    if max_broadcast_rows and at_most(right, max_broadcast_rows):
-        right = F.broadcast(right)
-    return left.join(right, on, how)
-
-
-def is_small(df: DataFrame, max_rows: int | None) -> bool:
-    """A proven bound: ``df`` has at most ``max_rows`` rows (None: unproven)."""
-    return bool(max_rows) and at_most(df, max_rows)
-
-
-def maybe_broadcast(df: DataFrame, small: bool) -> DataFrame:
-    return F.broadcast(df) if small else df
-
 
-def restrict_to(big: DataFrame, keys: DataFrame, on: str,
-                max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
-                small: bool | None = None) -> DataFrame:
+def restrict_to(big: DataFrame, keys: DataFrame, on: str) -> DataFrame:
     """Rows of ``big`` whose ``on`` occurs in ``keys`` (a semi join).
 
-    With a proven-small key set (checked on the raw key column, or passed
-    in as ``small``) the distinct keys are broadcast and ``big`` is filtered
-    in place (no shuffle of ``big``).  When ``big`` is partitioned by
-    ``url_bucket`` (known-URL index, content table), only the buckets of the
-    keys are read.
+    When ``big`` is partitioned by ``url_bucket`` (known-URL index, content
+    table), only the buckets of the keys are read: a partition filter fed by
+    a scalar subquery over at most KNOWN_BUCKETS values, applied when the
+    scan runs.
     """
-    if small is None:
-        small = is_small(keys.select(on), max_broadcast_rows)
     if on == "url" and "url_bucket" in big.columns:
-        # a table partitioned by URL bucket: read only the buckets the keys
-        # fall in (a partition filter fed by a scalar subquery over at most
-        # KNOWN_BUCKETS values, applied when the scan runs)
         from quarry.sources.archive import url_bucket
-        kb = keys.select("url").distinct().withColumn("url_bucket", url_bucket("url"))
+        kb = keys.select("url").withColumn("url_bucket", url_bucket("url"))
         buckets = kb.agg(F.collect_set("url_bucket")).scalar()
         pruned = big.filter(F.array_contains(buckets, F.col("url_bucket")))
-        return pruned.join(maybe_broadcast(kb, small), ["url_bucket", "url"], "left_semi")
-    k = maybe_broadcast(keys.select(on).distinct(), small)
-    return big.join(k, on, "left_semi")
+        return pruned.join(kb, ["url_bucket", "url"], "left_semi")
+    return big.join(keys.select(on), on, "left_semi")
 
 
 def first_by(df: DataFrame, key: str, order: tuple[str, ...]) -> DataFrame:
-    """SET3: keep one row per ``key``, the first in ``order``.
+    """SET3: one row per ``key``, the first in ``order``, ties by the other columns.
 
-    ``min(struct(order..., rest...))`` is an ordinary aggregate with a
-    map-side partial step, so a key repeated on a third of all rows is
-    reduced inside each task instead of landing whole in one.
+    The aggregate combines map-side, so a key repeated on a third of all rows
+    is reduced inside each task instead of landing whole in one.
     """
     rest = [c for c in df.columns if c != key and c not in order]
     best = F.min(F.struct(*order, *rest)).alias("__first")

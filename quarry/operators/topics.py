@@ -19,10 +19,6 @@ from pyspark.sql.window import Window
 
 from quarry.functions.text import strip_ws
 
-# --- fixed values -----------------------------------------------------------
-SAMPLE_ROWS = 200      # rows per dataset the dashboard looked at
-# ---------------------------------------------------------------------------
-
 
 def _root_ext(base_csv: str) -> tuple[str, str]:
     root, ext = os.path.splitext(os.path.basename(base_csv))
@@ -36,25 +32,13 @@ def dataset_files(df: DataFrame, base_csv: str) -> DataFrame:
     return df.filter(F.lower(n).endswith(".csv") & ((n == root + ext) | n.startswith(root + " - ")))
 
 
-def first_rows(df: DataFrame, n: int = SAMPLE_ROWS) -> DataFrame:
-    """SRC7/LIM2: the first ``n`` rows of every file by ``ord``.
+def topic_catalogue(df: DataFrame, base_csv: str) -> DataFrame:
+    """AGG8 + STR9 + STR10 + SORT4, over all rows of every dataset (SRC7, LIM2).
 
-    Two steps: the first ``n`` of every (file, split) -- a group no larger
-    than one input split -- then the first ``n`` of those per file, so the
-    per-file ranking never holds more than ``n`` rows per split.
+    A label taken from the first rows of a file would change with their order.
     """
-    w1 = Window.partitionBy("file_name", F.col("ord._block")).orderBy(F.col("ord._row"))
-    w2 = Window.partitionBy("file_name").orderBy("ord")
-    pre = df.withColumn("__rn", F.row_number().over(w1)).filter(F.col("__rn") <= n)
-    return pre.withColumn("__rn", F.row_number().over(w2)).filter(F.col("__rn") <= n).drop("__rn")
-
-
-def topic_catalogue(df: DataFrame, base_csv: str, sample_rows: int | None = None) -> DataFrame:
-    """AGG8 + STR9 + STR10 + SORT4."""
     root, ext = _root_ext(base_csv)
     rows = dataset_files(df, base_csv)
-    if sample_rows:
-        rows = first_rows(rows, sample_rows)
     topic = strip_ws(F.col("relevance_topic"))
     t = rows.select("file_name", "ord", topic.alias("topic")).filter(
         F.col("topic").isNotNull() & (F.col("topic") != ""))

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from quarry.functions.text import text_file_path
 from quarry.operators.annotate import annotate, stage
 from quarry.operators.filters import missing_summary
-from quarry.operators.joins import DEFAULT_BROADCAST_ROWS, first_by, lookup_join
+from quarry.operators.joins import first_by
 from quarry.plans.ingest import window_text
 from quarry.sources.archive import ARCHIVE_COLUMNS, VersionedTable, to_silver
 
@@ -47,12 +47,11 @@ def backfill_answers(archive: DataFrame, client_factory: Callable[[], object], *
                      key: str = ROW_KEY, content: DataFrame | None = None,
                      article_pages: DataFrame | None = None, topic: str | None = None,
                      container: str = "main", model: str = "gpt-4o",
-                     partitions: int | None = None, concurrency: int = 1,
-                     max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                     partitions: int | None = None, concurrency: int = 1) -> DataFrame:
     """``key`` + answer columns for every row that lacks one and has text."""
     need = archive.filter(missing_summary()).select(key, "url")
     need = first_by(need, key, ())
-    texts = window_text(need, content, article_pages, container, max_broadcast_rows)
+    texts = window_text(need, content, article_pages, container)
     # FIL8 + Q8: a row with no readable text gets no model call and no answer
     ann = annotate(texts, client_factory, text_col="text", keys=(key,), topic=topic, model=model,
                    partitions=partitions, concurrency=concurrency)
@@ -60,12 +59,11 @@ def backfill_answers(archive: DataFrame, client_factory: Callable[[], object], *
 
 
 def apply_answers(archive: DataFrame, answers: DataFrame, *, key: str = ROW_KEY,
-                  topic: str | None = None, output_dir: str = "texts", today: str = "1970-01-01",
-                  max_broadcast_rows: int | None = None) -> DataFrame:
+                  topic: str | None = None, output_dir: str = "texts", today: str = "1970-01-01") -> DataFrame:
     """JOIN4: write answers back to their rows; ``updated`` flags them."""
     ans = answers.select(key, F.lit(True).alias("__upd"),
                          *[F.col(c).alias("__" + c) for c in ANSWER_COLUMNS])
-    out = lookup_join(archive, ans, key, "left", max_broadcast_rows)
+    out = archive.join(ans, key, "left")
     upd = F.coalesce(F.col("__upd"), F.lit(False))
     new_topic = F.lit(topic) if topic else F.coalesce(F.col("relevance_topic"), F.lit(""))
     path = F.coalesce(F.nullif(F.col("text_file"), F.lit("")),
@@ -95,12 +93,11 @@ def backfill_rows(archive: DataFrame, client_factory: Callable[[], object], *,
 
 
 def run_backfill(table: VersionedTable, client_factory: Callable[[], object], *,
-                 topic: str | None = None, output_dir: str = "texts", today: str = "1970-01-01",
-                 max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS, **kw) -> int:
+                 topic: str | None = None, output_dir: str = "texts", today: str = "1970-01-01", **kw) -> int:
     """Rewrite the current version with answers filled in; returns rows updated.
 
-    The answers are staged once (model calls never repeat), joined back with
-    a checked broadcast and written as a new version; the number of rows
+    The answers are staged once (model calls never repeat), joined back
+    and written as a new version; the number of rows
     updated is observed during that write (no extra pass over the archive)
     and reported only after it commits (Q16).
     """
@@ -112,8 +109,7 @@ def run_backfill(table: VersionedTable, client_factory: Callable[[], object], *,
     answers = stage(backfill_answers(bronze, client_factory, topic=topic, **kw), "backfill")
     if answers.count() == 0:      # staged: read from Parquet footers
         return 0
-    rows = apply_answers(bronze, answers, topic=topic, output_dir=output_dir, today=today,
-                         max_broadcast_rows=max_broadcast_rows)
+    rows = apply_answers(bronze, answers, topic=topic, output_dir=output_dir, today=today)
     seen = Observation("backfill")
     rows = rows.observe(seen, F.count_if(F.col("updated")).alias("updated"))
     table.write(to_silver(rows.drop("updated", ROW_KEY)))

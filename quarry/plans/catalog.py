@@ -45,7 +45,6 @@ LOOKBACK_NARROW = 60
 PAGES_FROM = 3
 ROW_COLUMNS = ("url", "date", "title", "types", "relevance", "date_dt")
 LITERAL_SEARCH = "e."
-SAMPLE_ROWS = 200
 # ----------------------------------------------------------------------------
 
 
@@ -233,10 +232,6 @@ def q_topic_catalogue(spark, sf):
     return topic_catalogue(topic_files(spark, sf), BASE_CSV)
 
 
-def q_topic_catalogue_sample(spark, sf):
-    return topic_catalogue(topic_files(spark, sf), BASE_CSV, sample_rows=SAMPLE_ROWS)
-
-
 def q_backfill(spark, sf):
     out = backfill_rows(LD.actions(spark, sf).drop("page", "pos"), offline_client_factory(),
                         content=LD.content(spark, sf), topic=TOPIC, output_dir=OUTPUT_DIR,
@@ -309,7 +304,6 @@ QUERIES = {
     "text_path": q_text_path,
     "topic_slug": q_topic_slug,
     "topic_catalogue": q_topic_catalogue,
-    "topic_catalogue_sample": q_topic_catalogue_sample,
     "backfill": q_backfill,
     "ingest": q_ingest,
     "incremental_ingest": q_incremental_ingest,

@@ -19,12 +19,13 @@ from pyspark.sql import functions as F
 
 from quarry.functions.text import join_types, text_file_path
 from quarry.operators.annotate import annotate, stage
-from quarry.operators.crawl import crawl_window
+from quarry.operators.crawl import crawl_window, page_range
 from quarry.operators.extract import article_text, listing_items
-from quarry.operators.joins import DEFAULT_BROADCAST_ROWS, lookup_join, restrict_to
+from quarry.operators.joins import restrict_to
 from quarry.session import materialize
 from quarry.sources.archive import (ARCHIVE_COLUMNS, append_content, append_known_index,
-                                   append_silver, known_urls, read_known_index, to_silver)
+                                   append_silver, known_in_topic, read_known_index,
+                                   silver_of_topic)
 
 
 @dataclass(frozen=True)
@@ -58,62 +59,53 @@ def run_scheduled(listing_pages: DataFrame, archive_path: str, as_of: _dt.dateti
     return run_ingest(listing_pages, archive_path, scheduled_params(as_of), **kw)
 
 
+def _one_text(texts: DataFrame, name: str) -> DataFrame:
+    """One non-empty text per URL (the smallest, whatever order rows arrive in)."""
+    return (texts.filter(F.coalesce(F.col("text"), F.lit("")) != "")
+            .groupBy("url").agg(F.min("text").alias(name)))
+
+
 def window_text(window: DataFrame, content: DataFrame | None, article_pages: DataFrame | None,
-                container: str = "main",
-                max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                container: str = "main") -> DataFrame:
     """JOIN3: ``text`` per window URL: cached text, else extracted page text.
 
-    The content cache and the landed pages hold every text ever seen; the
-    window's URL set is a checked broadcast when small, so both are filtered
-    in place (no shuffle of texts or raw HTML) and only the window's pages
-    are parsed.  The filtered sides are as small as the window.
+    The content cache and the landed pages hold every text ever seen; both
+    are first reduced to the window's URLs, pages also to those without a
+    cached text, so only what is needed is parsed.  Each side gives one text
+    per URL: repeated content rows or pages don't multiply the window's rows.
     """
-    out = window
-    cols = []
+    out = window.withColumn("__cached", F.lit(None).cast("string"))
+    missing = window
     if content is not None:
         keep = ["url", "text"] + (["url_bucket"] if "url_bucket" in content.columns else [])
-        cached = restrict_to(content.select(*keep), window, "url", max_broadcast_rows)
-        out = lookup_join(out, cached.select("url", F.col("text").alias("__cached")), "url", "left",
-                          None)
-        cols.append(F.nullif(F.col("__cached"), F.lit("")))
-    if article_pages is not None:
-        wanted = restrict_to(article_pages, window, "url", max_broadcast_rows)
-        fetched = article_text(wanted, container=container).select(
-            "url", F.col("text").alias("__fetched"))
-        out = lookup_join(out, fetched, "url", "left", None)
-        cols.append(F.nullif(F.col("__fetched"), F.lit("")))
-    text = F.coalesce(*cols) if cols else F.lit(None).cast("string")
-    source = F.lit(None).cast("string")
-    if article_pages is not None:
-        source = F.when(F.col("__fetched_ok"), F.lit("page"))
-    if content is not None:
-        source = F.when(F.col("__cached_ok"), F.lit("cache")).otherwise(source)
-    flags = {}
-    if content is not None:
-        flags["__cached_ok"] = F.nullif(F.col("__cached"), F.lit("")).isNotNull()
+        cached = _one_text(restrict_to(content.select(*keep), window, "url").select("url", "text"), "__cached")
+        out = window.join(cached, "url", "left")
+        missing = window.select("url").join(cached.select("url"), "url", "left_anti")
+    out = out.withColumn("__fetched", F.lit(None).cast("string"))
     if article_pages is not None:
-        flags["__fetched_ok"] = F.nullif(F.col("__fetched"), F.lit("")).isNotNull()
-    out = out.withColumns(flags) if flags else out
-    return (out.withColumns({"text": text, "text_source": source})
-            .drop("__cached", "__fetched", "__cached_ok", "__fetched_ok"))
+        wanted = restrict_to(article_pages, missing, "url")
+        fetched = _one_text(article_text(wanted, container=container).select("url", "text"), "__fetched")
+        out = out.drop("__fetched").join(fetched, "url", "left")
+    source = (F.when(F.col("__cached").isNotNull(), F.lit("cache"))
+              .when(F.col("__fetched").isNotNull(), F.lit("page")))
+    return (out.withColumns({"text": F.coalesce("__cached", "__fetched"), "text_source": source})
+            .drop("__cached", "__fetched"))
 
 
 def ingest_rows(listing_pages: DataFrame, known: DataFrame | None, params: IngestParams, *,
                 content: DataFrame | None = None, article_pages: DataFrame | None = None,
-                client_factory: Callable[[], object] | None = None,
-                max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                client_factory: Callable[[], object] | None = None) -> DataFrame:
     """PIP1 as one plan: the archive rows this run appends (plus page/pos)."""
     # the extracted items feed the stop aggregate and the window filter:
-    # extract once (Python) and let every branch read the checkpoint
-    items = materialize(listing_items(listing_pages), "items")
+    # extract once (Python), only the pages in range, and let every branch read the table
+    landed = page_range(listing_pages, params.start_page, params.max_pages, params.single_page)
+    items = materialize(listing_items(landed), "items")
     window = crawl_window(items, known=known, as_of=params.as_of, lookback_days=params.lookback_days,
                           start_page=params.start_page, max_pages=params.max_pages,
-                          single_page=params.single_page, mode=params.mode,
-                          max_broadcast_rows=max_broadcast_rows)
-    # the window is small and feeds several joins: materialize it so its size
-    # check and every join read rows, not the crawl plan
+                          single_page=params.single_page, mode=params.mode)
+    # the window feeds several joins: each reads rows, not the crawl plan
     window = materialize(window, "window")
-    rows = window_text(window, content, article_pages, params.container, max_broadcast_rows)
+    rows = window_text(window, content, article_pages, params.container)
     today = params.as_of.strftime("%Y-%m-%d")
     rows = rows.withColumn("text_file", text_file_path(params.output_dir, "date", "title", today))
     if client_factory is not None:
@@ -147,23 +139,20 @@ def run_ingest(listing_pages: DataFrame, archive_path: str, params: IngestParams
     """
     spark = listing_pages.sparkSession
     if known_index:
-        known = read_known_index(spark, known_index)
+        known = read_known_index(spark, known_index, params.topic)
         n_known = None
     else:
-        try:
-            known = known_urls(spark.read.parquet(archive_path))
-            n_known = known.count()
-        except Exception:  # absent archive: nothing is known (SRC1)
-            known, n_known = None, 0
+        known = known_in_topic(spark, archive_path, params.topic)
+        n_known = known.count() if known is not None else 0
     rows = stage(ingest_rows(listing_pages, known, params, content=content,
                              article_pages=article_pages, client_factory=client_factory),
                  "ingest")
     m = rows.agg(F.count(F.lit(1)).alias("n"), F.count("relevant_eo").alias("a"),
                  F.count_if(F.col("text_source") == "page").alias("f")).first()
     if m["n"]:
-        append_silver(to_silver(rows.drop("page", "pos", "text", "text_source")), archive_path)
+        append_silver(silver_of_topic(rows.drop("page", "pos", "text", "text_source"), params.topic), archive_path)
         if known_index:
-            append_known_index(rows, known_index)
+            append_known_index(rows, known_index, params.topic)
     if content_path and m["f"]:
         append_content(rows.filter(F.col("text_source") == "page"), content_path)
     return {"known": n_known, "new": m["n"], "annotated": m["a"], "fetched": m["f"]}

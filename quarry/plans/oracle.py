@@ -38,28 +38,29 @@ _ARCHIVE_DATE = ("coalesce(try_strptime(date, '%B %d, %Y'), try_strptime(date, '
 BASE = f"""
 adoc AS (
   SELECT d.doc_id, d.text, d.lang, d.source, l.quality, l.toxic,
-         DATE '2025-12-31' - CAST(floor(d.doc_id / 3) AS INT) AS day
+         DATE '2025-12-31' - CAST(floor(d.doc_id * 400 / (SELECT max(doc_id) + 1 FROM documents)) AS INT) AS day
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
 actions AS (
   SELECT doc_id,
     CAST(floor(doc_id / 10) AS INT) + 1 AS page, CAST(doc_id % 10 AS INT) AS pos,
     CASE WHEN doc_id % 97 = 96 THEN '' WHEN doc_id % 4 = 3 THEN strftime(day, '%Y-%m-%d')
          WHEN doc_id % 4 = 2 THEN strftime(day, '%d-%b-%y') ELSE strftime(day, '%B %-d, %Y') END AS date,
-    trim(replace(substring(text, 1, 60), chr(10), ' ')) AS title,
+    trim(split_part(text, chr(10), 1)) AS title,
     concat('https://example.org/a/', doc_id) AS url,
     CASE WHEN doc_id % 11 = 10 THEN 'no types' ELSE concat(source, '; ', lang) END AS types,
     CAST(NULL AS VARCHAR) AS text_file,
-    CASE WHEN quality IS NOT NULL AND doc_id % 7 <> 0 THEN substring(text, 1, 80) END AS description,
+    CASE WHEN quality IS NOT NULL AND doc_id % 7 <> 0 THEN split_part(text, chr(10) || chr(10), 1) END AS description,
     source AS relevance_topic,
     CASE WHEN quality = 1 AND toxic = 0 THEN 'Yes' WHEN quality = 1 THEN 'Maybe - see details'
          WHEN quality = 0 THEN 'No.' END AS relevant_eo,
-    CASE WHEN quality = 1 THEN substring(text, 1, 200) END AS full_summary
+    CASE WHEN quality = 1 THEN text END AS full_summary
   FROM adoc),
 silver AS (
   SELECT *, CAST({_ARCHIVE_DATE} AS DATE) AS date_dt,
          coalesce(regexp_extract(relevant_eo, '\\b(Yes|No|Maybe)\\b', 1), '') AS relevance
   FROM actions),
-known AS (SELECT url FROM actions WHERE doc_id >= 600 OR doc_id = 457),
+size AS (SELECT max(doc_id) + 1 AS n FROM documents),
+known AS (SELECT url FROM actions, size WHERE doc_id * 1000 >= n * 600 OR doc_id = floor(n * 457 / 1000)),
 items AS (SELECT page, pos, date, title, url, types FROM actions WHERE date <> ''),
 content AS (SELECT concat('https://example.org/a/', doc_id) AS url, {_clean('text')} AS t FROM documents)
 """
@@ -102,13 +103,11 @@ def _missing() -> str:
             f"{_strip('coalesce(relevant_eo, ' + _lit('') + ')')} <> '')")
 
 
-def _catalogue(sample: int | None) -> str:
-    cut = f"WHERE rn <= {sample}" if sample else ""
+def _catalogue() -> str:
     return f"""
-, f0 AS (SELECT CASE WHEN d.lang = 'en' THEN '{C.BASE_CSV}' ELSE concat('archive - ', d.lang, '.csv') END
+, f AS (SELECT CASE WHEN d.lang = 'en' THEN '{C.BASE_CSV}' ELSE concat('archive - ', d.lang, '.csv') END
                 AS file_name, {_strip('a.relevance_topic')} AS topic, a.doc_id AS ord
          FROM actions a JOIN documents d ON a.doc_id = d.doc_id)
-, f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY file_name ORDER BY ord) AS rn FROM f0) {cut})
 , pt AS (SELECT file_name, topic, count(*) AS n, min(ord) AS first FROM f
          WHERE topic IS NOT NULL AND topic <> '' GROUP BY file_name, topic)
 , best AS (SELECT file_name, topic AS mode_topic FROM (
@@ -252,8 +251,7 @@ FROM actions""")
 SELECT url, CASE WHEN coalesce(title, '') = '' THEN '{C.BASE_CSV}'
                  ELSE concat('./archive - ', {_safe(_strip('title'), 80)}, '.csv') END AS topic_csv
 FROM actions""")
-    q["topic_catalogue"] = _q(_catalogue(None))
-    q["topic_catalogue_sample"] = _q(_catalogue(C.SAMPLE_ROWS))
+    q["topic_catalogue"] = _q(_catalogue())
     d, g, s = _answer("t")
     q["backfill"] = _q(f"""
 , m AS (SELECT a.*, c.t, ({_missing()}) AND c.t IS NOT NULL AND c.t <> '' AS upd
@@ -287,6 +285,5 @@ SELECT w.date, w.title, w.url, w.types,
   CASE WHEN c.t <> '' THEN {s} END AS full_summary
 FROM win w LEFT JOIN content c ON w.url = c.url""")
     q["daily_events_stream"] = """
-SELECT CAST(ts AS DATE) AS day, count(*) AS n_events FROM events GROUP BY 1
-HAVING CAST(CAST(ts AS DATE) AS TIMESTAMP) + INTERVAL 2 DAY <= (SELECT max(ts) FROM events)"""
+SELECT CAST(ts AS DATE) AS day, count(*) AS n_events FROM events GROUP BY 1"""
     return q

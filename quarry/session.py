@@ -39,12 +39,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for staged tables and checkpoints.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (distributed) folder;
-    it is read from the session.  Only when it is unset (local tests) a
-    scratch folder is created and registered.
+    it is read from the session.  Only when it is unset and the master is
+    local (tests) a scratch folder is created and registered.
     """
     d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
+    if not d and not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share: "
+                           "intermediate tables are written there")
     if not d:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="quarry-ckpt-"))
         d = spark.sparkContext.getCheckpointDir()

@@ -17,8 +17,10 @@ Survey IDs SRC1-SRC4, SRC8, SNK1-SNK5, COL1, COL3, COL4.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,7 +36,7 @@ CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"
 CSV_WRITE_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "encoding": "UTF-8",
                      "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
                      "emptyValue": "", "nullValue": ""}
-BASE_SLUG = ""   # partition value of rows without a topic
+BASE_SLUG = "_base"   # partition value of rows without a topic (an empty one reads back as NULL)
 KNOWN_BUCKETS = 1024   # hash buckets of the known-URL index
 VERSION_PREFIX = "v"
 LOG_DIR = "log"
@@ -92,10 +94,49 @@ def to_silver(bronze: DataFrame) -> DataFrame:
         "relevance": grade_of("relevant_eo"),
         "types": F.coalesce(F.col("types"), F.lit("")),
         "types_list": split_types("types"),
-        "topic_slug": F.coalesce(topic_slug("relevance_topic"), F.lit(BASE_SLUG)),
+        "topic_slug": slug_or_base(F.col("relevance_topic")),
     })
 
 
+def slug_or_base(topic: Column) -> Column:
+    """SNK5: the partition value of a topic; blank and missing topics share one."""
+    return F.coalesce(F.nullif(topic_slug(topic), F.lit("")), F.lit(BASE_SLUG))
+
+
+def silver_of_topic(rows: DataFrame, topic: str | None) -> DataFrame:
+    """Silver rows of a run: they all belong to the run's dataset, annotated or not."""
+    return to_silver(rows).withColumn("topic_slug", slug_or_base(F.lit(topic).cast("string")))
+
+
+def read_silver(spark: SparkSession, path: str) -> DataFrame | None:
+    """The silver archive; None if it does not exist (other errors are raised).
+
+    The partition column is declared: a topic that looks like a number or a
+    date stays text.
+    """
+    try:
+        found = spark.read.parquet(path)
+    except AnalysisException as e:
+        if _absent(e):
+            return None
+        raise
+    parts = [T.StructField(n, T.StringType()) for n in ("topic_slug", "batch")]
+    declared = T.StructType([*(f for f in found.schema.fields if f.name not in ("topic_slug", "batch")), *parts])
+    return spark.read.schema(declared).parquet(path)
+
+
+def known_in_topic(spark: SparkSession, path: str, topic: str | None, but: str | None = None) -> DataFrame | None:
+    """Known URLs of one topic's dataset (FIL16), without those of batch ``but``; None without an archive.
+
+    Topic and batch are partitions, so only their files are read.
+    """
+    silver = read_silver(spark, path)
+    if silver is None:
+        return None
+    silver = silver.filter(F.col("topic_slug") == slug_or_base(F.lit(topic).cast("string")))
+    return known_urls(silver.filter(F.col("batch") != but) if but else silver)
+
+
 def to_bronze(df: DataFrame) -> DataFrame:
     """COL3/COL4: back to the nine archive columns, lists joined by ``"; "``."""
     d = df
@@ -121,25 +162,35 @@ def export_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     d.write.mode(mode).options(**CSV_WRITE_OPTIONS).csv(path)
 
 
-def append_content(df: DataFrame, path: str) -> None:
-    """SNK2: append article texts ``(url, text, text_file)`` to the content table.
+def _write_batch(df: DataFrame, path: str, batch: str | None, *partitions: str) -> None:
+    """Add rows under a batch name, replacing what this batch wrote before.
+
+    Only the partitions of this batch are overwritten, so a run that is
+    repeated after a failure leaves one copy of its rows.  Without a name the
+    rows are a batch of their own.
+    """
+    (df.withColumn("batch", F.lit(batch or f"run-{uuid.uuid4().hex}"))
+     .hint("rebalance", *partitions).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partitions, "batch").parquet(path))
+
+
+def append_content(df: DataFrame, path: str, batch: str | None = None) -> None:
+    """SNK2: add article texts ``(url, text, text_file)`` to the content table.
 
     Partitioned by ``url_bucket`` so a run that needs a few texts reads only
     their buckets, not every text ever stored.
     """
-    (df.select("url", "text", "text_file").withColumn("url_bucket", url_bucket("url"))
-     .hint("rebalance", "url_bucket").write.mode("append").partitionBy("url_bucket").parquet(path))
+    _write_batch(df.select("url", "text", "text_file").withColumn("url_bucket", url_bucket("url")),
+                 path, batch, "url_bucket")
 
 
-def append_silver(df: DataFrame, path: str) -> None:
-    """SNK1: append to silver, partitioned by topic (SNK5).
+def append_silver(df: DataFrame, path: str, batch: str | None = None) -> None:
+    """SNK1: add rows to silver, partitioned by topic (SNK5) and batch.
 
     ``rebalance`` clusters rows by topic (few files per topic) and lets AQE
     split a hot topic over several tasks instead of one.
     """
-    silver = df if "date_dt" in df.columns else to_silver(df)
-    (silver.hint("rebalance", "topic_slug").write.mode("append")
-     .partitionBy("topic_slug").parquet(path))
+    _write_batch(df if "date_dt" in df.columns else to_silver(df), path, batch, "topic_slug")
 
 
 def known_state(archive: DataFrame) -> DataFrame:
@@ -158,25 +209,33 @@ def url_bucket(c="url"):
     return F.pmod(F.xxhash64(col), F.lit(KNOWN_BUCKETS)).cast("int")
 
 
-def append_known_index(urls: DataFrame, path: str) -> None:
-    """Add URLs to the known-URL index: ``url`` partitioned by ``url_bucket``.
+def _index_schema() -> str:
+    return "url STRING, topic_slug STRING, url_bucket INT, batch STRING"
+
+
+def append_known_index(urls: DataFrame, path: str, topic: str | None = None, batch: str | None = None) -> None:
+    """Add a topic's URLs to the known-URL index, partitioned by topic and ``url_bucket``.
 
     A run then reads only the buckets its listed URLs fall in (see
     ``operators.crawl.known_hits``), so its cost follows the listing, not
     the archive.
     """
-    (urls.select("url").filter(F.coalesce(F.col("url"), F.lit("")) != "")
-     .withColumn("url_bucket", url_bucket("url"))
-     .hint("rebalance", "url_bucket").write.mode("append").partitionBy("url_bucket").parquet(path))
+    _write_batch(urls.select("url").filter(F.coalesce(F.col("url"), F.lit("")) != "")
+                 .withColumns({"topic_slug": slug_or_base(F.lit(topic).cast("string")), "url_bucket": url_bucket("url")}),
+                 path, batch, "topic_slug", "url_bucket")
 
 
-def read_known_index(spark: SparkSession, path: str) -> DataFrame | None:
+def read_known_index(spark: SparkSession, path: str, topic: str | None = None,
+                     but: str | None = None) -> DataFrame | None:
+    """(url, url_bucket) known in one topic, without those of batch ``but``; None without an index."""
     try:
-        return spark.read.parquet(path)
+        index = spark.read.schema(_index_schema()).parquet(path)
     except AnalysisException as e:
         if _absent(e):
             return None
         raise
+    index = index.filter(F.col("topic_slug") == slug_or_base(F.lit(topic).cast("string")))
+    return (index.filter(F.col("batch") != but) if but else index).select("url", "url_bucket")
 
 
 def known_urls(archive: DataFrame) -> DataFrame:

@@ -15,13 +15,14 @@ from pyspark.sql import functions as F
 from quarry.functions.text import clean_text
 
 # --- fixed values -----------------------------------------------------------
-# Newest archive day and the listing geometry of the derived archive.
+# Newest archive day, the days the archive spans and the listing geometry.
 LAST_DAY = "2025-12-31"
-ITEMS_PER_DAY = 3
+SPAN_DAYS = 400
 ITEMS_PER_PAGE = 10
 URL_PREFIX = "https://example.org/a/"
-# Known-archive boundary (row 457 is an early hit inside the new ground).
-KNOWN_FROM_ID = 600
+# Known archive, in thousandths of the documents: everything from here on, and
+# one early hit inside the new ground.
+KNOWN_FROM = 600
 KNOWN_EARLY_HIT = 457
 # Declared schemas of the landed tables (no inference from file footers).
 SCHEMAS = {
@@ -40,13 +41,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def size_of(spark: SparkSession, sf_dir: str):
+    """Largest document id + 1, as a scalar subquery: positions are shares of it."""
+    return table(spark, sf_dir, "documents").agg(F.max("doc_id") + 1).scalar()
+
+
 def actions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The archive as the crawler wrote it (bronze columns + doc_id/page/pos)."""
+    """The archive as the crawler wrote it (bronze columns + doc_id/page/pos).
+
+    Titles are first lines, descriptions first paragraphs and full summaries
+    whole texts; the documents are spread over ``SPAN_DAYS``, newest first.
+    """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     d = docs.join(labels, "doc_id", "left").withColumn(
         "day", F.date_sub(F.lit(LAST_DAY).cast("date"),
-                          F.floor(F.col("doc_id") / ITEMS_PER_DAY).cast("int")))
+                          F.floor(F.col("doc_id") * SPAN_DAYS / size_of(spark, sf_dir)).cast("int")))
     i = F.col("doc_id")
     date = (F.when(i % 97 == 96, F.lit(""))
             .when(i % 4 == 3, F.date_format("day", "yyyy-MM-dd"))
@@ -58,16 +68,16 @@ def actions(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.floor(i / ITEMS_PER_PAGE).cast("int") + 1).alias("page"),
         (i % ITEMS_PER_PAGE).cast("int").alias("pos"),
         date.alias("date"),
-        F.trim(F.replace(F.substring("text", 1, 60), F.lit("\n"), F.lit(" "))).alias("title"),
+        F.trim(F.substring_index("text", "\n", 1)).alias("title"),
         F.concat(F.lit(URL_PREFIX), i.cast("string")).alias("url"),
         F.when(i % 11 == 10, F.lit("no types"))
         .otherwise(F.concat("source", F.lit("; "), "lang")).alias("types"),
         F.lit(None).cast("string").alias("text_file"),
-        F.when(q.isNotNull() & (i % 7 != 0), F.substring("text", 1, 80)).alias("description"),
+        F.when(q.isNotNull() & (i % 7 != 0), F.substring_index("text", "\n\n", 1)).alias("description"),
         F.col("source").alias("relevance_topic"),
         F.when((q == 1) & (t == 0), F.lit("Yes")).when(q == 1, F.lit("Maybe - see details"))
         .when(q == 0, F.lit("No.")).alias("relevant_eo"),
-        F.when(q == 1, F.substring("text", 1, 200)).alias("full_summary"),
+        F.when(q == 1, F.col("text")).alias("full_summary"),
     )
 
 
@@ -75,7 +85,9 @@ def known(spark: SparkSession, sf_dir: str, archive: DataFrame | None = None) ->
     """URLs already in the archive before this run (from ``archive`` if given,
     so one derivation of the archive serves a whole query)."""
     a = archive if archive is not None else actions(spark, sf_dir)
-    return a.filter((F.col("doc_id") >= KNOWN_FROM_ID) | (F.col("doc_id") == KNOWN_EARLY_HIT)).select("url")
+    n = size_of(spark, sf_dir)
+    return a.filter((F.col("doc_id") * 1000 >= n * KNOWN_FROM)
+                    | (F.col("doc_id") == F.floor(n * KNOWN_EARLY_HIT / 1000))).select("url")
 
 
 def _esc(c):

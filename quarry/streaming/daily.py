@@ -1,10 +1,10 @@
 """Daily counts as a stream (survey IDs STM3, STM4, AGG6).
 
-Event-time tumbling windows of one day with a watermark: state for a day is
-dropped once the watermark passes its end, so state stays bounded however
-long the stream runs, and late rows older than the watermark are ignored.
-Output mode ``append`` emits each day once, when it closes, into a Parquet
-file sink (exactly-once through the sink's commit log).
+Each micro-batch reduces the events that landed since the last one to a row
+per day and writes it under its batch number, replacing what an interrupted
+attempt left there; the result is the sum over the batches.  Every event
+counts whenever it arrives: no watermark closes a day or drops late rows, and
+no state is kept but one small row per day and batch.
 """
 
 from __future__ import annotations
@@ -13,51 +13,42 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quarry.session import checkpoint_dir
 
-# --- fixed values -----------------------------------------------------------
-WINDOW = "1 day"
-WATERMARK_DELAY = "1 day"
-# ---------------------------------------------------------------------------
+def day_counts(events: DataFrame, ts: str = "ts") -> DataFrame:
+    """``(day, n_events)`` of these events.
 
-
-def daily_counts_stream(events: DataFrame, ts: str = "ts", delay: str = WATERMARK_DELAY) -> DataFrame:
-    """Streaming plan: ``(day, n_events)`` per closed day.
-
-    Watermarks need ``TIMESTAMP``.  A ``TIMESTAMP_NTZ`` column is turned into
-    the instant whose UTC wall clock equals it, and the day is taken from
-    epoch seconds, so day buckets are wall-clock days whatever the session
-    time zone (event-time windows align to UTC midnight).
+    A ``TIMESTAMP_NTZ`` column gives wall-clock days whatever the session time
+    zone; a ``TIMESTAMP`` gives days of the session's zone.
     """
-    c = F.col(ts)
-    if isinstance(events.schema[ts].dataType, T.TimestampNTZType):
-        c = F.make_timestamp(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.minute(c),
-                             F.extract(F.lit("SECOND"), c), F.lit("UTC"))
-    e = events.withColumn(ts, c)
-    day = F.date_from_unix_date(F.floor(F.unix_seconds(F.col("w.start")) / 86400).cast("int"))
-    return (e.withWatermark(ts, delay)
-            .groupBy(F.window(ts, WINDOW).alias("w"))
-            .agg(F.count(F.lit(1)).alias("n_events"))
-            .select(day.alias("day"), "n_events"))
+    return (events.where(F.col(ts).isNotNull()).groupBy(F.col(ts).cast("date").alias("day"))
+            .agg(F.count(F.lit(1)).alias("n_events")))
 
 
 def run_daily_counts(spark: SparkSession, source_dir: str, sink_path: str, checkpoint: str,
-                     available_now: bool = True, glob: str = "*.parquet"):
+                     available_now: bool = True, glob: str = "*.parquet", ts: str = "ts"):
     """Start the stream over a Parquet landing folder; returns the query handle."""
     schema = spark.read.option("pathGlobFilter", glob).parquet(source_dir).schema
     src = spark.readStream.schema(schema).option("pathGlobFilter", glob).parquet(source_dir)
-    w = (daily_counts_stream(src).writeStream.outputMode("append").format("parquet")
-         .option("checkpointLocation", checkpoint).option("path", sink_path))
+
+    def write(batch: DataFrame, number: int) -> None:
+        day_counts(batch, ts).coalesce(1).write.mode("overwrite").parquet(f"{sink_path}/batch={number}")
+
+    w = src.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 
 
+def read_daily_counts(spark: SparkSession, sink_path: str) -> DataFrame:
+    """All days that the stream has seen, with their counts so far."""
+    return (spark.read.schema("day DATE, n_events BIGINT").parquet(sink_path)
+            .groupBy("day").agg(F.sum("n_events").alias("n_events")))
+
+
 def daily_counts_stream_batch(spark: SparkSession, source_dir: str,
                               glob: str = "*.parquet") -> DataFrame:
-    """Run the stream once over what has landed and return the closed days."""
+    """Run the stream once over what has landed and return all days."""
     base = f"{checkpoint_dir(spark).rstrip('/')}/daily-{uuid.uuid4().hex}"
-    q = run_daily_counts(spark, source_dir, f"{base}/out", f"{base}/chk", glob=glob)
-    q.awaitTermination()
-    return spark.read.parquet(f"{base}/out")
+    run_daily_counts(spark, source_dir, f"{base}/out", f"{base}/chk", glob=glob).awaitTermination()
+    return read_daily_counts(spark, f"{base}/out")

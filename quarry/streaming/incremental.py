@@ -10,6 +10,7 @@ dropped by the lookback predicate.
 
 from __future__ import annotations
 
+import zlib
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,18 +18,11 @@ from pyspark.sql import functions as F
 
 from quarry.operators.annotate import stage
 from quarry.plans.ingest import IngestParams, ingest_rows
-from quarry.sources.archive import (append_content, append_known_index, append_silver, known_urls,
-                                   read_known_index, to_silver)
+from quarry.sources.archive import (append_content, append_known_index, append_silver, known_in_topic,
+                                   read_known_index, silver_of_topic)
 
 
-def _known(spark: SparkSession, archive_path: str) -> DataFrame | None:
-    try:
-        return known_urls(spark.read.parquet(archive_path))
-    except Exception:  # no archive yet
-        return None
-
-
-def ingest_batch(batch: DataFrame, archive_path: str, params: IngestParams, *,
+def ingest_batch(batch: DataFrame, archive_path: str, params: IngestParams, *, name: str | None = None,
                  content: DataFrame | None = None, article_pages: DataFrame | None = None,
                  client_factory: Callable[[], object] | None = None,
                  known_index: str | None = None, content_path: str | None = None) -> int:
@@ -36,23 +30,27 @@ def ingest_batch(batch: DataFrame, archive_path: str, params: IngestParams, *,
 
     With ``known_index`` the known URLs come from the bucketed index (only the
     batch's buckets are read) and the batch's new URLs are added to it; with
-    ``content_path`` texts extracted from pages are saved (SNK2).
+    ``content_path`` texts extracted from pages are saved (SNK2).  All three
+    tables are written under the batch's ``name``: a batch that is run again
+    does not see its own rows as known and replaces what it left, wherever it
+    was interrupted.
     """
     spark = batch.sparkSession
     p = IngestParams(**{**params.__dict__, "mode": "filter"})
-    known = read_known_index(spark, known_index) if known_index else _known(spark, archive_path)
+    known = (read_known_index(spark, known_index, p.topic, name) if known_index
+             else known_in_topic(spark, archive_path, p.topic, name))
     rows = ingest_rows(batch, known, p, content=content,
                        article_pages=article_pages, client_factory=client_factory)
     rows = stage(rows, "stream-ingest")
     n = rows.count()
     if n:
-        append_silver(to_silver(rows.drop("page", "pos", "text", "text_source")), archive_path)
-        if known_index:
-            append_known_index(rows, known_index)
         if content_path:
             fetched = rows.filter(F.col("text_source") == "page")
             if not fetched.isEmpty():
-                append_content(fetched, content_path)
+                append_content(fetched, content_path, name)
+        if known_index:
+            append_known_index(rows, known_index, p.topic, name)
+        append_silver(silver_of_topic(rows.drop("page", "pos", "text", "text_source"), p.topic), archive_path, name)
     return n
 
 
@@ -61,13 +59,12 @@ def run_incremental(spark: SparkSession, landing_path: str, archive_path: str, c
     """Process every listing page landed since the last run, then stop."""
     schema = spark.read.parquet(landing_path).schema
     src = spark.readStream.schema(schema).parquet(landing_path)
-    q = (src.writeStream.foreachBatch(lambda b, _id: ingest_batch(b, archive_path, params, **kw))
+    stream = f"{zlib.crc32(checkpoint.encode()):08x}"   # batch numbers are per checkpoint
+
+    def run(batch: DataFrame, number: int) -> None:
+        ingest_batch(batch, archive_path, params, name=f"stream-{stream}-{number}", **kw)
+
+    q = (src.writeStream.foreachBatch(run)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return q
-
-
-def dedup_stream(items: DataFrame, ts: str, delay: str = "15 days") -> DataFrame:
-    """STM2 bounded-state alternative: drop repeated URLs seen within the watermark."""
-    e = items.withColumn(ts, F.col(ts).cast("timestamp"))
-    return e.withWatermark(ts, delay).dropDuplicatesWithinWatermark(["url"])

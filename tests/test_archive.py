@@ -112,14 +112,24 @@ def test_silver_partition_and_pushdown(spark, tmp_path, capsys):
                                  "date_dt between '2025-11-01' and '2025-11-30'").count()
 
 
-def test_topic_catalogue_sample(spark, tmp_path):
+def test_topic_catalogue_reads_whole_files(spark, tmp_path):
     d = tmp_path / "csvs"
     d.mkdir()
-    # within the first 3 rows "A" leads; over the whole file "B" does
+    # in the first rows "A" leads, over the whole file "B" does
     _write_csv(d / "archive - s.csv", ["A", "A", "B", "B", "B", "B"])
-    rows = read_archive_dir(spark, str(d))
-    assert topic_catalogue(rows, "archive.csv").first().label == "B"
-    assert topic_catalogue(rows, "archive.csv", sample_rows=3).first().label == "A"
+    assert topic_catalogue(read_archive_dir(spark, str(d)), "archive.csv").first().label == "B"
+
+
+def test_topic_that_looks_like_a_number(spark, tmp_path):
+    from quarry.sources.archive import append_silver, known_in_topic, read_silver, silver_of_topic
+    path = str(tmp_path / "silver")
+    for topic in ("0075", None):
+        rows = spark.createDataFrame([(f"u-{topic}",)], "url string")
+        append_silver(silver_of_topic(rows, topic), path)
+    assert {r.topic_slug for r in read_silver(spark, path).collect()} == {"0075", "_base"}
+    assert [r.url for r in known_in_topic(spark, path, "0075").collect()] == ["u-0075"]
+    assert [r.url for r in known_in_topic(spark, path, None).collect()] == ["u-None"]
+    assert read_silver(spark, str(tmp_path / "none")) is None
 
 
 def test_label_paths_keep_last(spark):

@@ -1,6 +1,7 @@
 """Every registered query equals its DuckDB oracle (sf0.001; sf0.01 for the crawl)."""
 
 import datetime as dt
+import re
 
 import duckdb
 import pytest
@@ -40,8 +41,13 @@ def _compare(spark, con, name, sf):
     return len(got)
 
 
+def _own(names):
+    """Without the removable subpackage's queries; they are tested in tests/llm."""
+    return {n for n in names if n != "pipeline" and not re.match(r"op\d+_", n)}
+
+
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert _own(E.queries()) == _own(E.oracle_sql())
 
 
 @pytest.fixture(scope="module")
@@ -49,7 +55,7 @@ def duck001():
     return _duck(SF001)
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(_own(E.oracle_sql())))
 def test_oracle_sf0001(spark, duck001, name):
     _compare(spark, duck001, name, SF001)
 
@@ -59,7 +65,7 @@ def duck01():
     return _duck(SF01)
 
 
-@pytest.mark.parametrize("name,rows", [("crawl_window_known", 453), ("crawl_window_lookback", 179)])
+@pytest.mark.parametrize("name,rows", [("crawl_window_known", 453), ("crawl_window_lookback", 149)])
 def test_crawl_stops_sf001(spark, duck01, name, rows):
     # the known-URL stop only bites at sf0.01 (sf0.001 has no known URLs)
     assert _compare(spark, duck01, name, SF01) == rows

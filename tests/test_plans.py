@@ -6,7 +6,6 @@ import datetime as dt
 from conftest import SF01
 from quarry.operators.annotate import annotate, offline_client_factory
 from quarry.operators.crawl import crawl_window
-from quarry.operators.joins import lookup_join
 from quarry.operators.report import kpis
 from quarry.plans import catalog as C
 from quarry.sources import landing as LD
@@ -23,19 +22,16 @@ def test_crawl_window_has_no_window_or_cross_join(spark, capsys):
     p = plan(df, capsys)
     assert "Subquery" in p                       # the stop is a scalar subquery
     assert "Window" not in p and "Cartesian" not in p and "NestedLoop" not in p
-    assert df.count() == 179
+    assert df.count() == 149
 
 
-def test_known_set_broadcast_only_when_checked(spark, capsys):
-    items = C.listing(spark, SF01)
-    known = LD.known(spark, SF01)
-    small = plan(lookup_join(items, known, "url", "left_anti", max_broadcast_rows=10_000), capsys)
-    assert "BroadcastHashJoin" in small
+def test_no_forced_broadcast(spark, capsys):
+    from quarry.operators.crawl import new_items
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
-        big = plan(lookup_join(items, known, "url", "left_anti", max_broadcast_rows=10), capsys)
-        assert "BroadcastHashJoin" not in big and "SortMergeJoin" in big
+        p = plan(new_items(C.listing(spark, SF01), LD.known(spark, SF01)), capsys)
+        assert "BroadcastHashJoin" not in p and "SortMergeJoin" in p
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
@@ -49,7 +45,7 @@ def test_model_calls_spread_by_key(spark, capsys):
 
 def test_kpis_single_pass_with_partial_aggregate(spark, capsys):
     p = plan(kpis(C.silver(spark, SF01)), capsys)
-    assert p.count(") Scan parquet") == 2        # documents + labels, once each
+    assert p.count(") Scan parquet") == 3        # documents, labels, and the largest id
     assert "ReadSchema: struct<doc_id:bigint>" in p   # text column pruned away
     assert "HashAggregate" in p and "partial_count" in p
 
