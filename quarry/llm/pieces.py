@@ -82,9 +82,10 @@ class Pieces:
                    next(i for i, p in enumerate(model.pieces) if p.piece == "<0x00>"), model.trainer_spec.model_type == 2)
 
     def table(self, spark: SparkSession) -> DataFrame:
-        """(piece, id, score)."""
-        rows = [(t, i, float(s)) for i, (t, s) in enumerate(zip(self.texts, self.scores, strict=True)) if t]
-        return spark.createDataFrame(rows, "piece string, id int, score double")
+        """(piece, id, score, place): equal scores share a place, the best is 0."""
+        places = {s: k for k, s in enumerate(sorted(set(self.scores), reverse=True))}
+        rows = [(t, i, float(s), places[s]) for i, (t, s) in enumerate(zip(self.texts, self.scores, strict=True)) if t]
+        return spark.createDataFrame(rows, "piece string, id int, score double, place long")
 
     @property
     def longest(self) -> int:
@@ -186,22 +187,37 @@ def distinct_units(asked: DataFrame, partitions: int) -> DataFrame:
 
 # ---- the lattice -----------------------------------------------------------
 
-def edges(units: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
-    """(bucket, key, unit, n, edges) of every unit that has an edge; edges are (rank, s, e, id) structs, the best score first."""
+def edges(units: DataFrame, pieces: DataFrame, longest: int, merges: bool = True) -> DataFrame:
+    """(bucket, key, unit, edges) of every unit that has an edge, the best score first, then from the left.
+
+    In a merge model an edge is one integer: place of the score << 32 |
+    start << 26 | end << 20 | id; in a unigram model a struct (s, e, id, score).
+    """
     n = F.length("unit")
     spread = (units.select("bucket", "key", "unit", F.explode(F.sequence(F.lit(0), n - 1)).alias("s"))
               .select("bucket", "key", "unit", "s",
                       F.explode(F.sequence(F.col("s") + 1, F.least(F.col("s") + longest, F.length("unit")))).alias("e"))
               .select("bucket", "key", "unit", "s", "e", F.expr("substring(unit, s + 1, e - s)").alias("piece")))
-    return (spread.join(F.broadcast(pieces), "piece")
-            .groupBy("bucket", "key", "unit")
-            .agg(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("rank"), "s", "e", "id"))).alias("edges")))
+    packed = F.expr("shiftleft(place, 32) | shiftleft(cast(s as long), 26) | shiftleft(cast(e as long), 20) | id")
+    edge = packed if merges else F.struct("s", "e", "id", "score")
+    return (spread.join(F.broadcast(pieces), "piece").select("bucket", "key", "unit", edge.alias("edge"))
+            .groupBy("bucket", "key", "unit").agg(F.sort_array(F.collect_list("edge")).alias("edges")))
 
 
 def _bit(i: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), i)
 
 
+def _field(x: Column, shift: int, mask: int) -> Column:
+    return F.call_function("shiftright", x, F.lit(shift)).bitwiseAND(F.lit(mask)).cast("int")
+
+
+def _spread(packed: Column) -> Column:
+    """The packed edges as structs (s, e, id)."""
+    return F.transform(packed, lambda x: F.struct(
+        _field(x, 26, 63).alias("s"), _field(x, 20, 63).alias("e"), _field(x, 0, (1 << 20) - 1).alias("id")))
+
+
 def _ends(x: Column) -> Column:
     return _bit(x["s"]).bitwiseOR(_bit(x["e"]))
 
@@ -248,7 +264,7 @@ def viterbi_fold(edge_list: Column, unit: Column, unknown: float) -> Column:
 
     def best(state: Column, e: Column) -> Column:
         into = F.transform(F.filter(edge_list, lambda x: x["e"] == e), lambda x: F.struct(
-            (F.get(state, x["s"])["score"] - x["rank"]).alias("score"),
+            (F.get(state, x["s"])["score"] + x["score"]).alias("score"),
             F.get(state, x["s"])["mask"].bitwiseOR(_bit(e)).alias("mask")))
         alone = F.struct((F.get(state, e - 1)["score"] + F.lit(float(unknown))).alias("score"),
                          F.get(state, e - 1)["mask"].bitwiseOR(_bit(e)).alias("mask"))
@@ -337,11 +353,14 @@ def encode_units(units: DataFrame, pieces: Pieces) -> DataFrame:
     spark = units.sparkSession
     unknown = min(pieces.scores) - 10.0
     short, long = units.where(F.length("unit") <= MASK_SYMBOLS), units.where(F.length("unit") > MASK_SYMBOLS)
-    lattice = edges(short, pieces.table(spark), pieces.longest)
-    e, u = F.col("edges"), F.col("unit")
-    mask = merge_fold(e, u) if pieces.merges else viterbi_fold(e, u, unknown)
-    folded = lattice.select("bucket", "key", "unit", "edges", mask.alias("mask"))
-    folded = folded.select("bucket", "key", ids_on(e, u, F.col("mask"), pieces.bytes_at).alias("ids"))
+    lattice = edges(short, pieces.table(spark), pieces.longest, pieces.merges)
+    u = F.col("unit")
+
+    def fold(e: Column) -> Column:
+        mask = merge_fold(e, u) if pieces.merges else viterbi_fold(e, u, unknown)
+        return ids_on(e, u, mask, pieces.bytes_at)
+
+    folded = lattice.select("bucket", "key", _let(_spread(F.col("edges")) if pieces.merges else F.col("edges"), fold).alias("ids"))
     rank = {t: i for i, t in enumerate(pieces.texts) if t}
 
     def longer(batches):
