@@ -180,9 +180,10 @@ def distinct_units(asked: DataFrame, partitions: int) -> DataFrame:
         return pa.table({"bucket": pa.array([table.column("bucket")[0].as_py()] * len(keys), pa.int32()),
                          "key": pa.array(keys.view(np.int64)), "unit": pa.array(units, pa.string())})
 
-    # as many tasks as buckets, whatever the packed size: what follows unfolds it many times over
-    return (asked.repartition(partitions, "bucket").groupBy("bucket")
-            .applyInArrow(run, "bucket int, key long, unit string"))
+    # spread by the columns that the lattice is grouped by, over as many tasks as buckets:
+    # its edges, many times the units, then stay where they are made
+    return (asked.groupBy("bucket").applyInArrow(run, "bucket int, key long, unit string")
+            .repartition(partitions, "bucket", "key", "unit"))
 
 
 # ---- the lattice -----------------------------------------------------------
