@@ -106,9 +106,12 @@ def test_rule_order_does_not_change_the_verdict(spark, odd):
     from pyspark.sql import functions as F
     estimates = rules.plan(odd)
     assert sorted(e.rule.name for e in estimates) == sorted(r.name for r in rules.RULES)
-    found = [odd.select("doc_id", rules._let(rules.words_of(F.col("text")), lambda w, order=order: rules.cascade(order, F.col("text"), w))
-                        .isNull().alias("kept")) for order in (estimates, estimates[::-1])]
-    assert rows(found[0]) == rows(found[1])
+
+    def verdicts(order):
+        kept = rules._let(rules.words_of(F.col("text")), lambda words: rules.cascade(order, F.col("text"), words)).isNull()
+        return rows(odd.select("doc_id", kept.alias("kept")))
+
+    assert verdicts(estimates) == verdicts(estimates[::-1])
 
 
 def test_decontamination(spark, odd, none):
