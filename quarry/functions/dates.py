@@ -67,8 +67,3 @@ def lookback_cutoff(as_of, days) -> Column | None:
 def older_than(date_col, cutoff: Column) -> Column:
     """A parsed date (midnight) strictly before the cutoff instant."""
     return _c(date_col).cast("timestamp_ntz") < cutoff
-
-
-def day_of(c) -> Column:
-    """DATE4: truncate to the day."""
-    return _c(c).cast("date")

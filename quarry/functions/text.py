@@ -62,12 +62,6 @@ def safe_filename(c, max_len: int = 120) -> Column:
     return F.regexp_replace(F.substring(_c(c), 1, max_len), UNSAFE_FILENAME_CHARS, "_")
 
 
-def nonblank(c) -> Column:
-    """NULL for NULL or whitespace-only values, the value otherwise."""
-    c = _c(c)
-    return F.when(strip_ws(c) != "", c)
-
-
 def text_file_path(output_dir: str, date, title, today: str) -> Column:
     """STR5: ``<dir>/<date> - <safe(title, 60)>.txt``.
 

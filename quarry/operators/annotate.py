@@ -80,10 +80,11 @@ def annotate(df: DataFrame, client_factory: Callable[[], object], *, text_col: s
     readable = t.isNotNull() & (t != "")
     src = df.select(*keys, *carry, F.when(readable, prompt_text(text_col, topic)).alias("__prompt"))
     # Model calls take seconds per row, so spread them over every core
-    # whatever the input's file layout; hashing on the key keeps the split
-    # deterministic when a task is retried.
+    # whatever the input's file layout; hashing on key and prompt keeps the
+    # split deterministic when a task is retried and spreads rows whose key is
+    # blank (those without a prompt make no call).
     n = partitions or df.sparkSession.sparkContext.defaultParallelism
-    src = src.repartition(n, *keys)
+    src = src.repartition(n, F.xxhash64(*keys, "__prompt"))
     key_fields = [src.schema[k] for k in (*keys, *carry)]
     schema = T.StructType(key_fields + ANSWER_FIELDS)
 

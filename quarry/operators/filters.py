@@ -18,7 +18,6 @@ from quarry.functions.text import strip_ws
 
 # --- fixed values -----------------------------------------------------------
 ANY = "Any"
-RELEVANCE_CHOICES = (ANY, "Yes", "Maybe", "No", "")
 SEARCH_COLUMNS = ("title", "description", "full_summary")
 # ---------------------------------------------------------------------------
 
@@ -109,8 +108,3 @@ def missing_summary() -> Column:
     d = strip_ws(F.coalesce(F.col("description"), F.lit("")))
     r = strip_ws(F.coalesce(F.col("relevant_eo"), F.lit("")))
     return ~((d != "") & (r != ""))
-
-
-def dated(df: DataFrame) -> DataFrame:
-    """FIL14: rows with a parsed date."""
-    return df.filter(F.col("date_dt").isNotNull())

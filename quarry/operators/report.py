@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from quarry.functions.text import blank_label, display_or, split_types
 
 # --- fixed values -----------------------------------------------------------
-DISPLAY_COLUMNS = ("date", "title", "types", "relevance", "description")
 UNTITLED = "(untitled)"
 # ---------------------------------------------------------------------------
 

@@ -22,6 +22,7 @@ from quarry.operators.extract import article_text, listing_items
 from quarry.operators.topics import topic_catalogue
 from quarry.plans.backfill import backfill_rows
 from quarry.plans.ingest import IngestParams, ingest_rows
+from quarry.plans.report import dashboard
 from quarry.sources import landing as LD
 from quarry.sources.archive import known_state, to_silver
 
@@ -127,6 +128,11 @@ def q_results_table(spark, sf):
     return RP.results_table(silver(spark, sf))
 
 
+def q_dashboard_table(spark, sf):
+    """PIP3 with its defaults: the archive's span is the date range."""
+    return dashboard(silver(spark, sf))["table"]
+
+
 def q_detail_view(spark, sf):
     return RP.detail_view(silver(spark, sf))
 
@@ -285,6 +291,7 @@ QUERIES = {
     "search_literal": q_search_literal,
     "filter_date_compat": q_filter_date_compat,
     "results_table": q_results_table,
+    "dashboard_table": q_dashboard_table,
     "detail_view": q_detail_view,
     "export_rows": q_export_rows,
     "missing_summaries": q_missing_summaries,

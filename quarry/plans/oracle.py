@@ -190,6 +190,11 @@ WHERE date_dt >= DATE '{C.DATE_RANGE[0]}' AND date_dt <= DATE '{C.DATE_RANGE[1]}
 SELECT coalesce(date, '') AS date, coalesce(nullif(title, ''), '(untitled)') AS title,
        coalesce(types, '') AS types, coalesce(relevance, '') AS relevance,
        coalesce(description, '') AS description, url FROM silver""")
+    q["dashboard_table"] = _q("""
+SELECT coalesce(date, '') AS date, coalesce(nullif(title, ''), '(untitled)') AS title,
+       coalesce(types, '') AS types, coalesce(relevance, '') AS relevance,
+       coalesce(description, '') AS description, url FROM silver
+WHERE date_dt IS NOT NULL""")
     q["detail_view"] = _q("""
 SELECT coalesce(date, '') AS date, coalesce(nullif(title, ''), '(untitled)') AS title,
        nullif(url, '') AS url, nullif(text_file, '') AS text_file, coalesce(types, '') AS types,

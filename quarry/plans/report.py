@@ -17,8 +17,11 @@ from quarry.operators.report import (daily_counts, detail_view, export_projectio
 
 def dashboard(silver: DataFrame, *, date_range=None, relevance: str | None = None, types=None,
               query: str | None = None, exact_types: bool = False, literal: bool = False,
-              compat: bool = False) -> dict[str, DataFrame]:
-    filtered = dashboard_filter(silver, date_range=date_range, relevance=relevance, types=types,
+              compat: bool = False, undated: bool = False) -> dict[str, DataFrame]:
+    """Without a date range the archive's whole span is the range, as in the
+    dashboard: rows without a date are in the table only with ``undated``."""
+    ranged = silver if undated or date_range is not None else silver.filter("date_dt is not null")
+    filtered = dashboard_filter(ranged, date_range=date_range, relevance=relevance, types=types,
                                 query=query, exact_types=exact_types, literal=literal,
                                 compat=compat)
     return {

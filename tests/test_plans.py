@@ -40,7 +40,7 @@ def test_no_forced_broadcast(spark, capsys):
 def test_model_calls_spread_by_key(spark, capsys):
     df = annotate(LD.content(spark, SF01), offline_client_factory(), keys=("url",), partitions=6)
     p = plan(df, capsys)
-    assert "hashpartitioning(url" in p and "MapInPandas" in p
+    assert "hashpartitioning(xxhash64(url" in p and "MapInPandas" in p
 
 
 def test_kpis_single_pass_with_partial_aggregate(spark, capsys):
