@@ -2,22 +2,23 @@
 
 *Signature*: two permutations of the 64-bit integers.  The first spreads the
 shingle hashes; the second, shifted by k, gives coordinate k: the minimum of
-``pi(sigma(x) - k)`` over the document's shingles.  All ``BANDS * ROWS``
-coordinates come from these two.
+``pi(sigma(x) - k)`` over the document's shingles.  All coordinates come from
+these two.
 
 *Classes*: documents with the same shingle set are one class from the start,
 so copies cost one row each and are never paired.
 
 *Banding*: classes whose ``ROWS`` coordinates of a band agree share a bucket.
-At the threshold of 0.85 a pair shares none of the buckets with probability
-under 1e-6.
+There are as many bands as it takes for a pair at the threshold to share none
+of the buckets with probability under ``MISSED``: 24 at 0.85, 35 at 0.80.
 
 *Verification* on the full sets.  In each bucket every class is compared with
 one pivot, the class that shares buckets with the most others, and the links
 found are contracted to components.  A class x that is not similar to the
 pivot P can be similar to a class y of the bucket only if they share a
 shingle outside P, unless y is clearly smaller: if all they share lies in P,
-|x & y| <= |x & P|, so 85 (|x| + |y|) <= 185 |x & P| must hold.  So the
+|x & y| <= |x & P|, so t (|x| + |y|) <= (100 + t) |x & P| must hold
+for a threshold of t hundredths.  So the
 classes of a bucket that still has several components go on to buckets of
 (pivot, shingle outside the pivot), where the same follows with a new pivot;
 the few pairs that the size condition lets by are compared directly.  What
@@ -33,6 +34,8 @@ other row of the component has one.  Further columns are not read.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -43,7 +46,9 @@ from quarry.llm.components import connected
 from quarry.session import materialize
 
 SHINGLE = 5
-BANDS, ROWS = 24, 5
+ROWS = 5
+#: Largest probability that a pair at the threshold shares no bucket.
+MISSED = 1e-6
 #: Similarity in hundredths.
 THRESHOLD = 85
 #: Rounds of pivots before the rest is compared pair by pair.
@@ -53,6 +58,12 @@ _U = np.uint64
 _PI1, _PI2 = _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
 
 
+def bands_for(threshold: int) -> int:
+    """Bands of ``ROWS`` coordinates that a threshold in hundredths takes."""
+    agree = (threshold / 100) ** ROWS
+    return 1 if agree >= 1 else math.ceil(math.log(MISSED) / math.log1p(-agree))
+
+
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(document, hash) of the distinct shingles of each document, sorted by both.
 
@@ -81,7 +92,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return owner, value
 
 
-def signatures(owner: np.ndarray, value: np.ndarray, k: int = BANDS * ROWS) -> np.ndarray:
+def signatures(owner: np.ndarray, value: np.ndarray, k: int) -> np.ndarray:
     """The k circulant coordinates of each run of ``owner``."""
     begin = tc.runs(owner)
     out = np.empty((len(begin), k), _U)
@@ -107,7 +118,7 @@ def _packed(parts: list[np.ndarray], width: int) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(width), n, [None, pa.py_buffer(raw)]).cast(pa.binary())
 
 
-def sketches(docs: DataFrame) -> DataFrame:
+def sketches(docs: DataFrame, n_bands: int) -> DataFrame:
     """doc_id, n_shingles, cid (digest of the set), bands of every document."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -119,18 +130,18 @@ def sketches(docs: DataFrame) -> DataFrame:
             size = np.bincount(owner, minlength=n)
             has = np.flatnonzero(size)
             digest = np.zeros((n, 2), _U)
-            bands = np.zeros((n, BANDS), _U)
+            bands = np.zeros((n, n_bands), _U)
             if len(has):
                 with np.errstate(over="ignore"):
                     digest[has, 0] = tc.mix64(np.add.reduceat(tc.mix64(value, 31), begin) + size[has].astype(_U))
                     digest[has, 1] = np.add.reduceat(tc.mix64(value, 37), begin)
-                    mins = signatures(owner, value).reshape(len(has), BANDS, ROWS)
-                    total = np.zeros((len(has), BANDS), _U)
+                    mins = signatures(owner, value, n_bands * ROWS).reshape(len(has), n_bands, ROWS)
+                    total = np.zeros((len(has), n_bands), _U)
                     for r in range(ROWS):
                         total = tc.mix64(total ^ mins[:, :, r], 41)
                     bands[has] = total
             lists = pa.ListArray.from_arrays(
-                pa.array(np.arange(n + 1, dtype=np.int32) * BANDS), pa.array(bands.ravel().view(np.int64)))
+                pa.array(np.arange(n + 1, dtype=np.int32) * n_bands), pa.array(bands.ravel().view(np.int64)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(batch.schema.get_field_index("doc_id")), pa.array(size.astype(np.int64)),
                  _packed([digest], 16), lists], names=["doc_id", "n_shingles", "cid", "bands"])
@@ -245,7 +256,7 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, rounds: int = R
     """doc_id, n_shingles, component_id, kept of every row of ``docs``."""
     docs = docs.select("doc_id", "text")
     keyed = docs.select(F.struct(F.col("doc_id"), F.xxhash64("text")).alias("doc_id"), "text")
-    sketch = materialize(sketches(keyed).withColumnRenamed("doc_id", "row"), "sketches")
+    sketch = materialize(sketches(keyed, bands_for(threshold)).withColumnRenamed("doc_id", "row"), "sketches")
     classes = (sketch.where("n_shingles > 0").groupBy("cid")
                .agg(F.first("bands").alias("bands")))
     spread = materialize(classes.select("cid", F.posexplode("bands").alias("band", "key")), "band-entries")

@@ -28,6 +28,40 @@ def test_pipeline_equals_plain_stages(spark):
     assert got == want and 50 < len(got) < 200
 
 
+def _plain_components(docs, threshold):
+    """(id, set size, smallest id of the group) of each row, linked from this threshold on."""
+    sets = [brute.shingles(t) for _, t in docs]
+    group = list(range(len(docs)))
+    for i in range(len(docs)):
+        for j in range(i):
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= threshold * len(sets[i] | sets[j]) and group[i] != group[j]:
+                old, new = group[i], group[j]
+                group = [new if g == old else g for g in group]
+    low = {g: min(d for (d, _), h in zip(docs, group) if h == g) for g in set(group)}
+    return [(d, len(x), low[g]) for (d, _), x, g in zip(docs, sets, group)]
+
+
+def _plain_near_dedup(docs, threshold):
+    return sorted(d for d, _, low in _plain_components(docs, threshold) if d == low)
+
+
+def test_pipeline_equals_plain_stages_from_080_on(spark, monkeypatch):
+    monkeypatch.setattr(brute, "components", lambda docs: _plain_components(docs, 80))
+    test_pipeline_equals_plain_stages(spark)
+
+
+def test_near_dedup_links_from_080_on(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    base = [f"w{i}" for i in range(200)]
+    for k, edits in enumerate(([20, 60, 100, 140], [20, 60, 100], [20, 60, 100, 140, 180])):   # similarity 0.81, 0.86, 0.77
+        docs.append((10_000 + k, " ".join(f"e{k}x{i}" if i in edits else w for i, w in enumerate(base))))
+    docs.append((9_999, " ".join(base)))
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, table, SF).collect())
+    assert got == _plain_near_dedup(docs, 80) != _plain_near_dedup(docs, 85)
+    assert 10_000 not in got and 10_002 in got
+
+
 def test_stages_on_odd_rows(spark, odd, as_table):
     docs = as_table(odd)
     for name, stage in corpus_pipeline.STAGES[:-1]:
