@@ -52,7 +52,7 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_token_count_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollups.corpus_rollup(_table(spark, sf_dir, "documents"), wavelet.tokenizer_path(), _shared(spark, "token-ledger"))
+    return rollups.document_rollup(_table(spark, sf_dir, "documents"), wavelet.tokenizer_path(), _shared(spark, "token-ledger"))
 
 
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

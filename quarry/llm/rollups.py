@@ -124,28 +124,43 @@ def token_counts(docs: DataFrame, path: str) -> DataFrame:
             .mapInArrow(counted, f"doc_id {kind}, source string, lang string, copy string, words long, pieces long"))
 
 
-def corpus_rollup(docs: DataFrame, path: str, root: str) -> DataFrame:
-    """Totals after three batches over the whole corpus, the second of them committed twice.
-
-    1. every document is inserted with its word and its piece count;
-    2. every copy of a text but the one with the smallest id is deleted;
-    3. the piece counts are revised to include the end-of-text id.
-    """
-    spark = docs.sparkSession
-    ledger = Ledger(spark, root, docs.schema["doc_id"].dataType.simpleString())
-    counts = materialize(token_counts(docs, path), "token-counts")
+def _rows(counts: DataFrame, version: str, tokens, deleted: bool = False) -> DataFrame:
+    return counts.select("doc_id", F.lit(version).alias("version"), "source", "lang", tokens.alias("tokens"), F.lit(deleted).alias("deleted"))
 
-    def rows(df: DataFrame, version: str, tokens, deleted: bool = False) -> DataFrame:
-        return df.select("doc_id", F.lit(version).alias("version"), "source", "lang", tokens.alias("tokens"), F.lit(deleted).alias("deleted"))
 
+def _three_batches(ledger: Ledger, counts: DataFrame) -> DataFrame:
+    """Commits the batches of ``corpus_rollup``; returns the counts that the second one deletes."""
     words, pieces = F.col("words"), F.col("pieces")
-    ledger.commit(1, rows(counts, "words", words).unionByName(rows(counts, "pieces", pieces)))
+    ledger.commit(1, _rows(counts, "words", words).unionByName(_rows(counts, "pieces", pieces)))
     first = counts.groupBy("copy").agg(F.min("doc_id").alias("first"))
     copies = counts.join(first, "copy").where(~F.col("doc_id").eqNullSafe(F.col("first")))
-    removal = rows(copies, "words", words, True).unionByName(rows(copies, "pieces", pieces, True))
+    removal = _rows(copies, "words", words, True).unionByName(_rows(copies, "pieces", pieces, True))
     ledger.commit(2, removal)
     ledger.commit(2, removal)
     revised = ledger.counts().where("version = 'pieces'").select(
         "doc_id", "version", "source", "lang", (F.col("tokens") + 1).alias("tokens"), F.lit(False).alias("deleted"))
     ledger.commit(3, revised)
+    return copies
+
+
+def corpus_rollup(docs: DataFrame, path: str, root: str) -> DataFrame:
+    """Totals of the texts' first copies: three batches over the whole corpus, the second of them committed twice.
+
+    1. every document is inserted with its word and its piece count;
+    2. every copy of a text but the one with the smallest id is deleted;
+    3. the piece counts are revised to include the end-of-text id.
+    """
+    ledger = Ledger(docs.sparkSession, root, docs.schema["doc_id"].dataType.simpleString())
+    _three_batches(ledger, materialize(token_counts(docs, path), "token-counts"))
+    return ledger.totals()
+
+
+def document_rollup(docs: DataFrame, path: str, root: str) -> DataFrame:
+    """Totals of all documents: the batches of ``corpus_rollup`` and
+
+    4. the deleted copies are inserted again, with the end-of-text id.
+    """
+    ledger = Ledger(docs.sparkSession, root, docs.schema["doc_id"].dataType.simpleString())
+    copies = _three_batches(ledger, materialize(token_counts(docs, path), "token-counts"))
+    ledger.commit(4, _rows(copies, "words", F.col("words")).unionByName(_rows(copies, "pieces", F.col("pieces") + 1)))
     return ledger.totals()

@@ -156,3 +156,27 @@ def test_corpus_rollup(spark, odd, none, tmp_path):
     counts = [max(len(tokenizer.encode(t, add_special_tokens=False).ids) for t in ts) + 1 for ts in by_id.values()]
     assert got["pieces"] == (len(by_id), sum(counts))
     assert rollups.corpus_rollup(none, path, str(tmp_path / "b")).count() == 0
+
+
+def _plain_totals(docs, tokenizer):
+    """(source, lang, version, docs, tokens) counted over all rows of (doc_id, text, lang, source)."""
+    import brute
+    total = {}
+    for _, t, lang, source in docs:
+        pieces_of = len(tokenizer.encode(t or "", add_special_tokens=False).ids) + 1
+        for version, tokens in (("words", len(brute.words(t))), ("pieces", pieces_of)):
+            was = total.get((source, lang, version), (0, 0))
+            total[source, lang, version] = (was[0] + 1, was[1] + tokens)
+    return sorted(((*k, *v) for k, v in total.items()), key=repr)
+
+
+def test_document_rollup_covers_every_document(spark, none, tmp_path):
+    from tokenizers import Tokenizer
+
+    path = wavelet.tokenizer_path()
+    docs = [(i, f"one two three {i % 4}", "en" if i % 3 else None, "s" if i % 5 else "t") for i in range(24)] + [(90, None, "en", "s"), (91, "", "en", "s")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")
+    got = rollups.document_rollup(df, path, str(tmp_path / "a"))
+    assert got.columns == ["source", "lang", "version", "docs", "tokens"]
+    assert rows(got) == _plain_totals(docs, Tokenizer.from_file(path))
+    assert rollups.document_rollup(none, path, str(tmp_path / "b")).count() == 0
