@@ -28,7 +28,8 @@ candidate pair across components is left out.
 
 The result has one row per document; a component's id is its smallest doc_id.
 Documents without words have no shingles and are alone.  Rows that repeat an
-id are judged by their own texts.  A null id is the component's id only if no
+id are judged by their own texts; ``survivors`` names one row of a component
+by id and text hash, where ``kept`` marks every row with the component's id.  A null id is the component's id only if no
 other row of the component has one.  Further columns are not read.
 """
 
@@ -215,7 +216,7 @@ def _several(entries: DataFrame, value: str) -> DataFrame:
 def _text_of_classes(docs: DataFrame, sketch: DataFrame, wanted: DataFrame) -> DataFrame:
     """(cid, text): one document's text for each wanted class."""
     picked = (sketch.join(wanted, "cid", "left_semi").groupBy("cid").agg(F.min("row").alias("row")))
-    rows = docs.select(F.struct(F.col("doc_id"), F.xxhash64("text")).alias("row"), "text")
+    rows = docs.select(row_key().alias("row"), "text")
     return rows.join(picked, "row").select("cid", "text")
 
 
@@ -252,10 +253,15 @@ def _small_pairs(rest: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     return materialize(compared(pairs, sets), "compared").where(linked(threshold))
 
 
-def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, rounds: int = ROUNDS) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row of ``docs``."""
+def row_key() -> Column:
+    """What names a row: its id and the hash of its text."""
+    return F.struct(F.col("doc_id"), F.xxhash64("text"))
+
+
+def grouped(docs: DataFrame, threshold: int, rounds: int) -> DataFrame:
+    """row, n_shingles, comp of every row of ``docs``; rows without words have no comp."""
     docs = docs.select("doc_id", "text")
-    keyed = docs.select(F.struct(F.col("doc_id"), F.xxhash64("text")).alias("doc_id"), "text")
+    keyed = docs.select(row_key().alias("doc_id"), "text")
     sketch = materialize(sketches(keyed, bands_for(threshold)).withColumnRenamed("doc_id", "row"), "sketches")
     classes = (sketch.where("n_shingles > 0").groupBy("cid")
                .agg(F.first("bands").alias("bands")))
@@ -294,11 +300,24 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, rounds: int = R
              .select(F.col("cid").alias("a"), F.col("d").alias("b")).distinct())
     labels = _contracted(labels, materialize(compared(pairs, sets), "compared").where(linked(threshold)))
 
-    rows = sketch.select(F.col("row.doc_id").alias("doc_id"), "n_shingles", "cid")
-    whole = rows.where("n_shingles > 0").join(labels, "cid", "left").select(
-        "doc_id", "n_shingles", F.coalesce("comp", "cid").alias("comp"))
+    whole = sketch.where("n_shingles > 0").join(labels, "cid", "left").select("row", "n_shingles", F.coalesce("comp", "cid").alias("comp"))
+    return whole.unionByName(sketch.where("n_shingles = 0").select("row", "n_shingles", F.lit(None).cast("binary").alias("comp")))
+
+
+def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, rounds: int = ROUNDS) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every row of ``docs``."""
+    rows = grouped(docs, threshold, rounds).select(F.col("row.doc_id").alias("doc_id"), "n_shingles", "comp")
+    whole = rows.where("comp is not null")
     low = whole.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     kept: Column = F.col("doc_id").eqNullSafe(F.col("component_id"))
     return (whole.join(low, "comp").select("doc_id", "n_shingles", "component_id")
-            .unionByName(rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+            .unionByName(rows.where("comp is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
             .withColumn("kept", kept))
+
+
+def survivors(docs: DataFrame, threshold: int = THRESHOLD, rounds: int = ROUNDS) -> DataFrame:
+    """row: the key of one row of each component, smallest id first and null last, and of every row without words."""
+    rows = grouped(docs, threshold, rounds)
+    first = F.min(F.struct(F.col("row.doc_id").isNull(), F.col("row"))).alias("first")
+    return (rows.where("comp is not null").groupBy("comp").agg(first).select("first.row")
+            .union(rows.where("comp is null").select("row").distinct()))

@@ -62,6 +62,14 @@ def test_near_dedup_links_from_080_on(spark):
     assert 10_000 not in got and 10_002 in got
 
 
+def test_near_dedup_names_rows_by_id_and_text(spark):
+    a, b, c, d, e = (" ".join(f"{x}{i}" for i in range(20)) for x in "abcde")
+    docs = [(1, a), (1, a), (1, b), (2, b), (2, c), (None, c), (None, d), (None, d), (None, e), (3, e), (4, ""), (5, None)]
+    got = corpus_pipeline.near_dedup(spark, spark.createDataFrame(docs, "doc_id long, text string").repartition(3), SF)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(
+        [(1, a), (1, b), (2, c), (None, d), (3, e), (4, ""), (5, None)], key=repr)
+
+
 def test_stages_on_odd_rows(spark, odd, as_table):
     docs = as_table(odd)
     for name, stage in corpus_pipeline.STAGES[:-1]:
