@@ -21,7 +21,8 @@ must be the newest or bring the same changes as before.
 
 Of several changes of one key in a batch a delete wins, otherwise the largest
 (tokens, source, lang).  Null keys and null group values are values like any
-other; a null count is 0.  An empty batch commits no change.  Further columns
+other; a null count is 0.  Rows that repeat an id are one key to the ledger;
+``document_rollup`` gives each row a key of its own.  An empty batch commits no change.  Further columns
 are not read.
 """
 
@@ -42,7 +43,7 @@ GROUP = ("source", "lang", "version")
 
 
 class Ledger:
-    """Token totals under ``root``; ``doc_id`` is the Spark type of document ids."""
+    """Token totals under ``root``; ``doc_id`` is the Spark type of document ids (or of rows' keys)."""
 
     def __init__(self, spark: SparkSession, root: str, doc_id: str = "long"):
         self.spark, self.root = spark, root.rstrip("/")
@@ -155,12 +156,23 @@ def corpus_rollup(docs: DataFrame, path: str, root: str) -> DataFrame:
     return ledger.totals()
 
 
+def by_row(counts: DataFrame) -> DataFrame:
+    """The counts with a key of each row's own as ``doc_id``: id, text hash, source, lang and a number among equal rows.
+
+    Equal rows are counted and unfolded again, which takes no task per key.
+    """
+    same = counts.groupBy(*counts.columns).agg(F.count("*").alias("n"))
+    numbered = same.select(*counts.columns, F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("nth"))
+    return numbered.withColumn("doc_id", F.struct("doc_id", "copy", "source", "lang", "nth")).select(*counts.columns)
+
+
 def document_rollup(docs: DataFrame, path: str, root: str) -> DataFrame:
-    """Totals of all documents: the batches of ``corpus_rollup`` and
+    """Totals of all rows of documents: the batches of ``corpus_rollup`` over keys of :func:`by_row`, and
 
     4. the deleted copies are inserted again, with the end-of-text id.
     """
-    ledger = Ledger(docs.sparkSession, root, docs.schema["doc_id"].dataType.simpleString())
-    copies = _three_batches(ledger, materialize(token_counts(docs, path), "token-counts"))
+    counts = materialize(by_row(token_counts(docs, path)), "token-counts")
+    ledger = Ledger(docs.sparkSession, root, counts.schema["doc_id"].dataType.simpleString())
+    copies = _three_batches(ledger, counts)
     ledger.commit(4, _rows(copies, "words", F.col("words")).unionByName(_rows(copies, "pieces", F.col("pieces") + 1)))
     return ledger.totals()

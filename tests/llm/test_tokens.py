@@ -180,3 +180,14 @@ def test_document_rollup_covers_every_document(spark, none, tmp_path):
     assert got.columns == ["source", "lang", "version", "docs", "tokens"]
     assert rows(got) == _plain_totals(docs, Tokenizer.from_file(path))
     assert rollups.document_rollup(none, path, str(tmp_path / "b")).count() == 0
+
+
+def test_document_rollup_counts_rows_that_share_an_id(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    path = wavelet.tokenizer_path()
+    docs = [(d, t, "en" if t else None, source) for d, t in ODD for source in ("s", None)] + [(1, ODD[0][1], "en", "s"), (None, "a", "en", "s")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").repartition(3)
+    got = rows(rollups.document_rollup(df, path, str(tmp_path / "a")))
+    assert got == _plain_totals(docs, Tokenizer.from_file(path))
+    assert sum(r[3] for r in got) == 2 * len(docs)
