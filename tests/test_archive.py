@@ -94,7 +94,7 @@ def test_topic_catalogue_from_folder(spark, tmp_path):
 
 
 def test_silver_partition_and_pushdown(spark, tmp_path, capsys):
-    from conftest import SF001
+    from table_paths import SF001
     from quarry.operators.filters import dashboard_filter
     from quarry.sources import landing as LD
     from quarry.sources.archive import append_silver

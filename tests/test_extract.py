@@ -68,7 +68,7 @@ def test_article_text_column(spark):
 
 
 def test_listing_round_trip_sf001(spark):
-    from conftest import SF01
+    from table_paths import SF01
     from quarry.sources import landing as LD
     a = LD.actions(spark, SF01)
     items = listing_items(LD.listing_pages(a))

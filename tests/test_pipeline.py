@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from table_paths import SF001
 from quarry.operators.annotate import annotate, offline_client_factory
 from quarry.operators.filters import missing_summary
 from quarry.plans.backfill import backfill_rows, run_backfill

@@ -3,7 +3,7 @@
 import datetime as dt
 
 
-from conftest import SF01
+from table_paths import SF01
 from quarry.operators.annotate import annotate, offline_client_factory
 from quarry.operators.crawl import crawl_window
 from quarry.operators.report import kpis

@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from table_paths import SF001
 from quarry.plans.ingest import IngestParams
 from quarry.sources import landing as LD
 from quarry.streaming.daily import daily_counts_stream_batch
