@@ -5,13 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-ODD = [  # nulls, empty and blank texts, ties and repeated rows, a long text, signs of all kinds
-    (1, "one two three four five six seven eight nine ten eleven twelve"),
-    (2, None), (3, ""), (4, " \n\t "), (5, "a"), (5, "a"), (None, "b c d e f g"), (None, None),
-    (6, "One TWO three four five six seven eight nine ten eleven twelve"),
-    (7, "x" * 3000), (8, " ".join(f"w{i % 997}é" for i in range(20000))),
-    (9, "日本語 текст ñandú 🎉 \x00 \x85   * # |"), (10, "\n".join(["same line here"] * 40)),
-]
+from odd_rows import ODD  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -39,7 +33,3 @@ def as_table(spark, tmp_path):
         return spark.read.schema(df.schema).parquet(path)
 
     return write
-
-
-def rows(df):
-    return sorted((tuple(r) for r in df.collect()), key=repr)

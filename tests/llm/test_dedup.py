@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 import brute
-from conftest import ODD, rows
+from odd_rows import ODD, rows
 from quarry.llm import decontaminate, minhash, rules, suffixdedup
 
 

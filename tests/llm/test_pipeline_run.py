@@ -18,7 +18,7 @@ def test_pipeline_equals_plain_stages(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     docs = [(d, t) for d, t in docs if brute.rules(t)[-1]]
-    low = {d: c for d, _, c in brute.components(docs)}
+    low = {d: c for d, _, c in _plain_components(docs, 80)}
     docs = [(d, t) for d, t in docs if low[d] == d]
     docs = [(d, bytes(x for x, y in zip(b, gone) if not y).decode("utf-8", "ignore")) for d, b, gone in brute.repeats(docs)]
     docs = [(d, t) for (d, t), row in zip(docs, brute.contamination(docs, items)) if not row[-1]]
@@ -45,11 +45,6 @@ def _plain_near_dedup(docs, threshold):
     return sorted(d for d, _, low in _plain_components(docs, threshold) if d == low)
 
 
-def test_pipeline_equals_plain_stages_from_080_on(spark, monkeypatch):
-    monkeypatch.setattr(brute, "components", lambda docs: _plain_components(docs, 80))
-    test_pipeline_equals_plain_stages(spark)
-
-
 def test_near_dedup_links_from_080_on(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     base = [f"w{i}" for i in range(200)]

@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 
 import brute
-from conftest import ODD
+from odd_rows import ODD
 from quarry.llm import brown, quality, toxicity
 
 SYLLABLES = "ba be bi bo bu da de di do du ka ke ki ko ku la le li lo lu".split()

@@ -7,7 +7,7 @@ import zlib
 import numpy as np
 import pytest
 
-from conftest import ODD, rows
+from odd_rows import ODD, rows
 from quarry.llm import pieces, rollups, wavelet
 
 
