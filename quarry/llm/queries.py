@@ -6,7 +6,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import brown, decontaminate, minhash, pieces, quality, rollups, rules, suffixdedup, toxicity, wavelet
+from quarry.llm import (brown, decontaminate, exactdedup, minhash, periodicruns, pieces, quality, rollups, rules, suffixdedup,
+                        toxicity, wavelet, whitening)
 from quarry.session import checkpoint_dir
 
 
@@ -59,8 +60,20 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodicruns.periodic_runs(_table(spark, sf_dir, "documents"))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exactdedup.exact_duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_brown_class_lm, op3_wavelet_token_ids, op4_toxicity, op5_circulant_minhash, op6_quality_rules, op7_sentencepiece, op8_suffix_dedup, op9_token_count_rollups,
-                                  op10_benchmark_decontamination)}
+                                  op10_benchmark_decontamination, op11_embedding_whitening, op12_periodic_runs, op13_exact_dedup)}
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -101,5 +114,10 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(cov.n, 0) AS BIG
        coalesce(cov.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN cov USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
+_OP13 = rf"""
+WITH d AS (SELECT doc_id, {_FOLD} AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept, sha256(t) AS text_sha256
+FROM d WINDOW g AS (PARTITION BY t)"""
+
 #: The oracles take doc_id as a key, which it is in the given tables.
-ORACLES: dict[str, str] = {"op6_quality_rules": _OP6, "op10_benchmark_decontamination": _OP10}
+ORACLES: dict[str, str] = {"op6_quality_rules": _OP6, "op10_benchmark_decontamination": _OP10, "op13_exact_dedup": _OP13}
