@@ -1,18 +1,28 @@
 """Batch model annotation (survey IDs ANN1-ANN4, ANN8).
 
-``annotate`` sends each text to a chat-completions client through
-``mapInPandas``: one client per task (built by the injected, picklable
-``client_factory``), an optional thread pool per task for I/O-bound calls,
-one retry with a fallback model, and per-row error isolation (a failing row
-keeps a NULL answer and an ``error``; the task never raises).  Parallelism is
-bounded by the number of partitions (``partitions``, default: the cluster's
-default parallelism); rows are hash-partitioned on the key first.
-
-The answer text is parsed JVM-side by ``quarry.functions.response``.
-
-Model calls are the one non-deterministic, expensive step, so pipelines
-stage their output as a table (``stage``) before using it twice: a lost
-executor then re-reads rows instead of re-calling the model.
+An *answerer* turns the texts of a run into answers: a function from a frame
+with the key columns and ``text`` (only rows that have one) and the topic to
+a frame of the keys and
+
+    response, model_used, error, latency_ms, n_attempts
+
+with a row for each key.  There are two:
+
+* ``live``: a chat-completions client through ``mapInPandas``: one client per
+  task (built by the injected, picklable ``client_factory``), an optional
+  thread pool per task for I/O-bound calls, one retry with a fallback model,
+  and per-row error isolation (a failing row keeps a NULL answer and an
+  ``error``; the task never raises).  Rows are hash-partitioned on the key
+  first, so calls spread over all cores.  Only keys and prompts cross into
+  Python, and only keys and answers come back.
+* ``recorded``: a table of attempts that a batch service has answered already,
+  joined by key: the first attempt that succeeded gives the answer, the last
+  failure the error, all attempts the latency.
+
+Model calls are the one non-deterministic, expensive step, so ``annotate``
+writes the answers as a table before they are joined back: a lost executor
+then re-reads rows instead of re-calling the model.  The answer text is parsed
+JVM-side by ``quarry.functions.response``.
 """
 
 from __future__ import annotations
@@ -26,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.functions.response import (DEFAULT_MODEL, FALLBACK_MODEL, PROMPT_BODY, SYSTEM_MESSAGE,
+from quarry.functions.response import (DEFAULT_MODEL, FALLBACK_MODEL, SYSTEM_MESSAGE,
                                        TEMPERATURE, parse_response, prompt_text)
 from quarry.session import materialize
 
@@ -35,7 +45,14 @@ ANSWER_FIELDS = [
     T.StructField("model_used", T.StringType()),
     T.StructField("error", T.StringType()),
     T.StructField("latency_ms", T.DoubleType()),
+    T.StructField("n_attempts", T.IntegerType()),
 ]
+ANSWER_COLUMNS = [f.name for f in ANSWER_FIELDS]
+PARSED_COLUMNS = ["description", "relevant_eo", "full_summary"]
+# What a text gets that no recorded attempt is about.
+NOT_RECORDED = "no recorded answer"
+
+Answerer = Callable[[DataFrame, "tuple[str, ...]", "str | None"], DataFrame]
 
 
 def _ask(client, prompt: str, model: str, temperature: float) -> str:
@@ -52,70 +69,114 @@ def _answer(client, prompt: str, model: str, fallback: str | None, temperature:
     t0 = time.perf_counter()
     try:
         out = (_ask(client, prompt, model, temperature), model, None)
+        tries = 1
     except Exception as first:  # ANN3: one retry with the fallback model
-        if not fallback:
-            out = (None, None, f"{type(first).__name__}: {first}")
-        else:
+        tries = 1
+        out = (None, None, f"{type(first).__name__}: {first}")
+        if fallback:
+            tries = 2
             try:
                 out = (_ask(client, prompt, fallback, temperature), fallback, None)
             except Exception as second:  # ANN4: isolate the row
                 out = (None, None, f"{type(second).__name__}: {second}")
-    return (*out, (time.perf_counter() - t0) * 1000.0)
-
-
-def annotate(df: DataFrame, client_factory: Callable[[], object], *, text_col: str = "text",
-             keys: tuple[str, ...] = ("url",), topic: str | None = None,
-             model: str = DEFAULT_MODEL, fallback_model: str | None = FALLBACK_MODEL,
-             temperature: float = TEMPERATURE, partitions: int | None = None,
-             concurrency: int = 1, parse: bool = True, carry: tuple[str, ...] = ()) -> DataFrame:
-    """Annotate every row of ``df`` (ANN1-ANN5, ANN8).
-
-    Returns ``keys`` + ``carry`` + ``response, model_used, error, latency_ms``
-    and, with ``parse``, ``description, relevant_eo, full_summary`` (NULL when
-    there was no answer).  Rows whose text is NULL or empty are passed through
-    without a model call (FIL7).  The prompt is built JVM-side; only keys,
-    carried columns and prompt cross into Python.
+    return (*out, (time.perf_counter() - t0) * 1000.0, tries)
+
+
+def live(client_factory: Callable[[], object], *, model: str = DEFAULT_MODEL,
+         fallback_model: str | None = FALLBACK_MODEL, temperature: float = TEMPERATURE,
+         partitions: int | None = None, concurrency: int = 1) -> Answerer:
+    """Answers from a chat-completions client (ANN2-ANN4, ANN8)."""
+    def answers(texts: DataFrame, keys: tuple[str, ...], topic: str | None) -> DataFrame:
+        # The prompt is built JVM-side.  Model calls take seconds per row, so
+        # spread them over every core whatever the input's file layout; hashing
+        # on key and prompt keeps the split deterministic when a task is
+        # retried and spreads rows whose key is blank.
+        src = texts.select(*keys, prompt_text("text", topic).alias("__prompt"))
+        n = partitions or texts.sparkSession.sparkContext.defaultParallelism
+        src = src.repartition(n, F.xxhash64(*keys, "__prompt"))
+        schema = T.StructType([src.schema[k] for k in keys] + ANSWER_FIELDS)
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            client = None   # built on the first batch: empty partitions make none
+            pool = ThreadPoolExecutor(concurrency) if concurrency > 1 else None
+            try:
+                for pdf in batches:
+                    if client is None:
+                        client = client_factory()
+                    prompts = pdf["__prompt"].tolist()
+                    call = lambda p: _answer(client, p, model, fallback_model, temperature)
+                    rows = list(pool.map(call, prompts)) if pool else [call(p) for p in prompts]
+                    out = pdf[[*keys]].copy()
+                    for k, c in enumerate(ANSWER_COLUMNS):
+                        out[c] = [r[k] for r in rows]
+                    yield out
+            finally:
+                if pool:
+                    pool.shutdown()
+
+        return src.mapInPandas(run, schema)
+    return answers
+
+
+def recorded(attempts: DataFrame, on: tuple[str, ...] = ("url",)) -> Answerer:
+    """Answers from a table of attempts (ANN3, ANN4, ANN8 as joins and aggregates).
+
+    ``attempts``: the ``on`` columns, ``attempt`` (order), ``model``,
+    ``response`` (NULL if it failed), ``error``, ``latency_ms``.  Attempts
+    after the first success don't count.  The attempts of a key are combined
+    in each task before the shuffle; a key that they don't know keeps a NULL
+    answer and an error.
+    """
+    def answers(texts: DataFrame, keys: tuple[str, ...], topic: str | None) -> DataFrame:
+        wanted = texts.select(*dict.fromkeys((*keys, *on)))
+        known = attempts.join(wanted.select(*on).distinct(), list(on), "left_semi")
+        ok = F.col("response").isNotNull()
+        won = known.groupBy(*on).agg(F.min(F.when(ok, F.col("attempt"))).alias("__won"))
+        counted = known.join(won, list(on)).filter(F.col("__won").isNull() | (F.col("attempt") <= F.col("__won")))
+        per_key = counted.groupBy(*on).agg(
+            F.max_by(F.struct("response", F.when(ok, F.col("model")).alias("model"), F.when(~ok, F.col("error")).alias("error")),
+                     F.struct("attempt", "model")).alias("__last"),
+            F.sum("latency_ms").alias("latency_ms"), F.count(F.lit(1)).cast("int").alias("n_attempts"))
+        out = wanted.join(per_key, list(on), "left")
+        return out.select(*keys, F.col("__last.response").alias("response"), F.col("__last.model").alias("model_used"),
+                          F.when(F.col("__last").isNull(), F.lit(NOT_RECORDED)).otherwise(F.col("__last.error")).alias("error"),
+                          F.col("latency_ms").cast("double").alias("latency_ms"), F.coalesce("n_attempts", F.lit(0)).alias("n_attempts"))
+    return answers
+
+
+def annotate(df: DataFrame, answerer: Answerer, *, keys: tuple[str, ...] = ("url",), topic: str | None = None,
+             parse: bool = True) -> DataFrame:
+    """Annotate every row of ``df`` (ANN1-ANN5, ANN8); ``keys`` name a row and ``text`` is its text.
+
+    Returns the rows with ``response, model_used, error, latency_ms,
+    n_attempts`` and, with ``parse``, ``description, relevant_eo,
+    full_summary`` (NULL when there was no answer).  Rows whose text is NULL
+    or empty pass through without a model call (FIL7).  ``df`` is read twice:
+    stage it first if it is expensive.
     """
-    t = F.col(text_col)
-    readable = t.isNotNull() & (t != "")
-    src = df.select(*keys, *carry, F.when(readable, prompt_text(text_col, topic)).alias("__prompt"))
-    # Model calls take seconds per row, so spread them over every core
-    # whatever the input's file layout; hashing on key and prompt keeps the
-    # split deterministic when a task is retried and spreads rows whose key is
-    # blank (those without a prompt make no call).
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
-    src = src.repartition(n, F.xxhash64(*keys, "__prompt"))
-    key_fields = [src.schema[k] for k in (*keys, *carry)]
-    schema = T.StructType(key_fields + ANSWER_FIELDS)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        client = None   # built on the first batch: empty partitions make none
-        pool = ThreadPoolExecutor(concurrency) if concurrency > 1 else None
-        try:
-            for pdf in batches:
-                if client is None:
-                    client = client_factory()
-                prompts = pdf["__prompt"].tolist()
-                call = lambda p: (None, None, None, None) if p is None else _answer(
-                    client, p, model, fallback_model, temperature)
-                rows = list(pool.map(call, prompts)) if pool else [call(p) for p in prompts]
-                out = pdf[[*keys, *carry]].copy()
-                out["response"] = [r[0] for r in rows]
-                out["model_used"] = [r[1] for r in rows]
-                out["error"] = [r[2] for r in rows]
-                out["latency_ms"] = [r[3] for r in rows]
-                yield out
-        finally:
-            if pool:
-                pool.shutdown()
-
-    answered = src.mapInPandas(run, schema)
-    if not parse:
-        return answered
-    parsed = parse_response(answered.withColumn("__r", F.coalesce("response", F.lit(""))), "__r")
-    ok = F.col("response").isNotNull()
-    return parsed.drop("__r").withColumns({
-        c: F.when(ok, F.col(c)) for c in ("description", "relevant_eo", "full_summary")})
+    readable = df.filter(F.coalesce(F.col("text"), F.lit("")) != "")
+    found = stage(answerer(readable, keys, topic), "answers")
+    if parse:
+        ok = F.col("response").isNotNull()
+        found = parse_response(found.withColumn("__r", F.coalesce("response", F.lit(""))), "__r").drop("__r").withColumns(
+            {c: F.when(ok, F.col(c)) for c in PARSED_COLUMNS})
+    new = [c for c in found.columns if c not in keys]
+    same = None
+    for k in keys:
+        one = df[k].eqNullSafe(F.col(f"__k_{k}"))
+        same = one if same is None else same & one
+    right = found.withColumnsRenamed({k: f"__k_{k}" for k in keys})
+    return df.drop(*[c for c in new if c in df.columns]).join(right, same, "left").select(
+        *[c for c in df.columns if c not in new], *new)
+
+
+def latency_report(answered: DataFrame, by: str = "model_used") -> DataFrame:
+    """ANN8: calls, failures and latency quantiles per model, in one aggregate."""
+    q = F.percentile_approx("latency_ms", [0.5, 0.9, 0.99])
+    return (answered.filter(F.col("n_attempts") > 0).groupBy(F.coalesce(by, F.lit("(none)")).alias(by))
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.count("error").alias("n_failed"),
+                 F.sum(F.col("n_attempts") - 1).cast("long").alias("n_retries"), q.alias("__q"))
+            .select(by, "n_rows", "n_failed", "n_retries", *[F.col("__q")[i].alias(n) for i, n in enumerate(("p50_ms", "p90_ms", "p99_ms"))]))
 
 
 def stage(df: DataFrame, name: str = "annotations") -> DataFrame:
@@ -125,73 +186,3 @@ def stage(df: DataFrame, name: str = "annotations") -> DataFrame:
     model calls, also after an executor loss.
     """
     return materialize(df, name)
-
-
-# --- offline client ---------------------------------------------------------
-
-class _Msg:
-    def __init__(self, content):
-        self.content = content
-
-
-class _Choice:
-    def __init__(self, content):
-        self.message = _Msg(content)
-
-
-class _Resp:
-    def __init__(self, content):
-        self.choices = [_Choice(content)]
-
-
-class _Completions:
-    def __init__(self, answer: Callable[[str, str], str], fail_models: frozenset):
-        self._answer, self._fail = answer, fail_models
-
-    def create(self, model, messages, temperature=None, **_):
-        if model in self._fail:
-            raise RuntimeError(f"model {model} unavailable")
-        user = messages[-1]["content"]
-        marker = PROMPT_BODY.rsplit("\n\n", 1)[-1]
-        text = user.split(marker, 1)[1] if marker in user else user
-        return _Resp(self._answer(text, model))
-
-
-class _Chat:
-    def __init__(self, completions):
-        self.completions = completions
-
-
-def rule_answer(text: str, model: str = DEFAULT_MODEL) -> str:
-    """A deterministic answer computed from the whole text.
-
-    The shape is chosen by text length: 0 -> labelled lines with a Yes grade
-    and details; 1 -> labelled summary and a No grade; 2 -> numbered lines
-    with a Maybe grade.  The summary states the word and character counts,
-    the details the first and last word.
-    """
-    words = text.split()
-    summary = f"A text of {len(words)} words and {len(text)} characters."
-    details = f"It starts with {words[0]} and ends with {words[-1]}." if words else "It is empty."
-    k = len(text) % 3
-    if k == 0:
-        return f"Summary: {summary}\nRelevant: Yes\nDetails: {details}"
-    if k == 1:
-        return f"Summary: {summary}\nRelevance: no"
-    return f"1. Summary: {summary}\n2. Relevant: Maybe\n3. {details}"
-
-
-class OfflineClient:
-    """A chat-completions client that answers locally with ``rule_answer``.
-
-    Used for tests and dry runs; ``fail_models`` makes chosen models raise,
-    to exercise the fallback and error isolation.
-    """
-
-    def __init__(self, answer: Callable[[str, str], str] = rule_answer, fail_models=()):
-        self.chat = _Chat(_Completions(answer, frozenset(fail_models)))
-
-
-def offline_client_factory(fail_models=()) -> Callable[[], OfflineClient]:
-    fail = tuple(fail_models)
-    return lambda: OfflineClient(fail_models=fail)

@@ -53,11 +53,12 @@ def known_hits(items: DataFrame, known: DataFrame) -> DataFrame:
     """JOIN2: the distinct item URLs that the archive already holds.
 
     The archive's URL set is scanned once and reduced to the listed URLs, so
-    the result is no larger than the listing; AQE broadcasts the listing's
-    URLs when their measured bytes allow, else both sides shuffle.
+    the result is no larger than the listing.  AQE broadcasts the listing's
+    URLs when their measured bytes allow; else a known-URL table, which is
+    bucketed by URL, is joined where it lies and only the listing is
+    exchanged, and a plain archive shuffles both.
     """
-    cols = ["url", "url_bucket"] if "url_bucket" in known.columns else ["url"]
-    return restrict_to(known.select(*cols), items, "url").select("url").distinct()
+    return restrict_to(known.select("url"), items, "url").distinct()
 
 
 def page_stops(items: DataFrame, *, known: DataFrame | None = None, cutoff=None,
@@ -147,3 +148,13 @@ def run_metrics(items: DataFrame, window: DataFrame, known: DataFrame) -> DataFr
     kept = window.agg(F.count(F.lit(1))).scalar()
     return k.select(F.col("n_known"), seen["n"].alias("n_listed"), seen["p"].alias("n_pages"),
                     kept.alias("n_new"))
+
+
+def page_counts(results: DataFrame, rows: DataFrame) -> DataFrame:
+    """AGG10 per page: items found, items kept by the run, and why a page couldn't be read.
+
+    ``results``: the extraction's row per page; ``rows``: what the run keeps.
+    """
+    found = results.select("page", F.size("items").cast("long").alias("n_found"), "error")
+    kept = rows.groupBy("page").agg(F.count(F.lit(1)).alias("n_new"))
+    return found.join(kept, "page", "left").select("page", "n_found", F.coalesce("n_new", F.lit(0).cast("long")).alias("n_new"), "error")

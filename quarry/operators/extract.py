@@ -26,6 +26,8 @@ DATE_CLASS = "wp-block-post-date"
 CATEGORY_CLASS = "taxonomy-category"
 # Text stored when an article page can't be read.
 NO_CONTENT = "[no content]"
+# Why a page that wasn't fetched can't be read.
+NO_PAGE = "no page"
 # Elements without an end tag.
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # Elements whose content is code, not text.
@@ -189,39 +191,50 @@ def parse_article(html: str | None, container: str = "main", compat: bool = Fals
     return " ".join(t for t in texts if t.strip())
 
 
-@F.pandas_udf(T.ArrayType(ITEM_TYPE))
-def _listing_udf(html: pd.Series) -> pd.Series:
-    out = []
-    for h in html:
-        try:
-            out.append(parse_listing(h))
-        except Exception:  # a broken page yields no items, like a failed fetch
-            out.append([])
-    return pd.Series(out)
+LISTING_TYPE = T.StructType([T.StructField("items", T.ArrayType(ITEM_TYPE)), T.StructField("error", T.StringType())])
+ARTICLE_TYPE = T.StructType([T.StructField("text", T.StringType()), T.StructField("error", T.StringType())])
+
+
+def _guarded(parse, html: str | None, empty) -> tuple:
+    """(result, error): a page that isn't there or can't be parsed gives ``empty`` and says why."""
+    if html is None or not html.strip():
+        return empty, NO_PAGE
+    try:
+        return parse(html), None
+    except Exception as e:  # noqa: BLE001 - one broken page doesn't end the run
+        return empty, f"{type(e).__name__}: {e}"
+
+
+@F.pandas_udf(LISTING_TYPE)
+def _listing_udf(html: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([_guarded(parse_listing, h, []) for h in html], columns=["items", "error"])
 
 
 def _article_udf(container: str, compat: bool):
-    @F.pandas_udf(T.StringType())
-    def run(html: pd.Series) -> pd.Series:
-        out = []
-        for h in html:
-            try:
-                out.append(parse_article(h, container, compat))
-            except Exception:
-                out.append(None)
-        return pd.Series(out, dtype=object)
+    @F.pandas_udf(ARTICLE_TYPE)
+    def run(html: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([_guarded(lambda h: parse_article(h, container, compat), h, None) for h in html],
+                            columns=["text", "error"], dtype=object)
     return run
 
 
-def listing_items(pages: DataFrame, page_col: str = "page", html_col: str = "html") -> DataFrame:
-    """EXT1 + FIL1 + STR4: ``(page, html)`` -> ``(page, pos, date, title, url, types)``.
+def listing_results(pages: DataFrame, page_col: str = "page", html_col: str = "html") -> DataFrame:
+    """EXT1 + EXT3: ``(page, html)`` -> ``(page, items, error)``, a row per page.
+
+    A page that couldn't be read has no items and an ``error``; an empty page
+    has neither.  The crawl stops at both, but only the first is a fault.
+    """
+    found = pages.select(F.col(page_col).alias("page"), _listing_udf(F.col(html_col)).alias("r"))
+    return found.select("page", "r.items", "r.error")
+
+
+def items_of(results: DataFrame) -> DataFrame:
+    """FIL1 + STR4: the items of listing results: ``(page, pos, date, title, url, types)``.
 
     ``pos`` counts extracted items in page order.  Incomplete items (no title
     link or no date tag) are dropped by the walker before positions are taken.
     """
-    exploded = pages.select(F.col(page_col).alias("page"),
-                            F.posexplode(_listing_udf(F.col(html_col))).alias("pos", "it"))
-    return exploded.select(
+    return results.select("page", F.posexplode("items").alias("pos", "it")).select(
         "page", F.col("pos").cast("int").alias("pos"),
         strip_ws("it.date").alias("date"),
         strip_ws("it.title").alias("title"),
@@ -230,16 +243,31 @@ def listing_items(pages: DataFrame, page_col: str = "page", html_col: str = "htm
     )
 
 
+def listing_items(pages: DataFrame, page_col: str = "page", html_col: str = "html") -> DataFrame:
+    """EXT1: the items of landed listing pages."""
+    return items_of(listing_results(pages, page_col, html_col))
+
+
+def article_results(pages: DataFrame, container: str = "main", compat: bool = False,
+                    html_col: str = "html", keep: tuple[str, ...] = ("url",)) -> DataFrame:
+    """EXT2 + EXT3: ``html`` -> ``text`` (cleaned), ``content_ok`` and, for a page that couldn't be read, ``error``.
+
+    ``text`` is NULL then; the sentinel is applied by the sinks alone.
+    """
+    raw = pages.select(*keep, _article_udf(container, compat)(F.col(html_col)).alias("__raw"))
+    return raw.select(*keep, clean_text("__raw.text").alias("text"), F.col("__raw.error").isNull().alias("content_ok"),
+                      F.col("__raw.error").alias("error"))
+
+
 def article_text(pages: DataFrame, container: str = "main", compat: bool = False,
                  html_col: str = "html", keep: tuple[str, ...] = ("url",)) -> DataFrame:
-    """EXT2 + EXT3: ``html`` -> ``text`` (cleaned) and ``content_ok``.
+    """EXT2: ``html`` -> ``text`` and ``content_ok``."""
+    return article_results(pages, container, compat, html_col, keep).drop("error")
 
-    ``text`` is NULL when the page couldn't be read; ``content_ok`` says so.
-    The export sentinel is applied only by ``with_sentinel``.
-    """
-    raw = _article_udf(container, compat)(F.col(html_col))
-    return pages.select(*keep, raw.alias("__raw")).select(
-        *keep, clean_text("__raw").alias("text"), F.col("__raw").isNotNull().alias("content_ok"))
+
+def unreadable(results: DataFrame) -> DataFrame:
+    """The quarantine: results (of listing or article pages) that couldn't be read, with the reason."""
+    return results.filter(F.col("error").isNotNull()).drop("items", "text", "content_ok")
 
 
 def with_sentinel(text: Column) -> Column:

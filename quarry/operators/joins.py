@@ -17,17 +17,9 @@ from pyspark.sql import functions as F
 def restrict_to(big: DataFrame, keys: DataFrame, on: str) -> DataFrame:
     """Rows of ``big`` whose ``on`` occurs in ``keys`` (a semi join).
 
-    When ``big`` is partitioned by ``url_bucket`` (known-URL index, content
-    table), only the buckets of the keys are read: a partition filter fed by
-    a scalar subquery over at most KNOWN_BUCKETS values, applied when the
-    scan runs.
+    If ``big`` is a table bucketed by ``on`` (known URLs, content), its rows
+    stay where they are and only the keys are exchanged.
     """
-    if on == "url" and "url_bucket" in big.columns:
-        from quarry.sources.archive import url_bucket
-        kb = keys.select("url").withColumn("url_bucket", url_bucket("url"))
-        buckets = kb.agg(F.collect_set("url_bucket")).scalar()
-        pruned = big.filter(F.array_contains(buckets, F.col("url_bucket")))
-        return pruned.join(kb, ["url_bucket", "url"], "left_semi")
     return big.join(keys.select(on), on, "left_semi")
 
 

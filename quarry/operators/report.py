@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.text import blank_label, display_or, split_types
+from quarry.operators.ranking import numbered
 
 # --- fixed values -----------------------------------------------------------
 UNTITLED = "(untitled)"
@@ -37,6 +38,11 @@ def relevance_breakdown(df: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_actions")).orderBy("label"))
 
 
+def ranked_breakdown(df: DataFrame) -> DataFrame:
+    """SORT2 as data: the breakdown with each label's place."""
+    return numbered(relevance_breakdown(df), F.asc("label"))
+
+
 def daily_counts(df: DataFrame) -> DataFrame:
     """AGG6 + FIL14 + DATE4: rows per day; days without rows don't appear."""
     return (df.filter(F.col("date_dt").isNotNull())
@@ -50,21 +56,42 @@ def type_options(df: DataFrame) -> DataFrame:
             .distinct().orderBy("type"))
 
 
+def ranked_types(df: DataFrame) -> DataFrame:
+    """SORT3 as data: the types with their place, ascending by code point."""
+    return numbered(type_options(df), F.asc("type"))
+
+
+def _newest():
+    return F.desc_nulls_last("date_dt"), F.asc_nulls_last("url")
+
+
 def newest_first(df: DataFrame) -> DataFrame:
     """SORT1: newest first, undated last, URL as the deterministic tie-break."""
-    return df.orderBy(F.desc_nulls_last("date_dt"), F.asc_nulls_last("url"))
+    return df.orderBy(*_newest())
 
 
 def results_table(df: DataFrame) -> DataFrame:
     """SORT1 + COL2 + COL5: the display projection of the filtered rows."""
-    return newest_first(df).select(
+    return newest_first(df).select(*_display())
+
+
+def _display():
+    return [
         F.coalesce(F.col("date"), F.lit("")).alias("date"),
         display_or("title", UNTITLED).alias("title"),
         F.coalesce(F.col("types"), F.lit("")).alias("types"),
         F.coalesce(F.col("relevance"), F.lit("")).alias("relevance"),
         F.coalesce(F.col("description"), F.lit("")).alias("description"),
-        "url",
-    )
+        F.col("url"),
+    ]
+
+
+def ranked_results(df: DataFrame) -> DataFrame:
+    """SORT1 as data: the results table with each row's place, so that a page
+    of the dashboard is a filter on ``rank`` (rows are ordered before the
+    projection, dates as dates)."""
+    rows = df.select("date_dt", *_display())
+    return numbered(rows, *_newest()).drop("date_dt")
 
 
 def detail_view(df: DataFrame) -> DataFrame:

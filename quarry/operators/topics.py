@@ -15,9 +15,9 @@ import os
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from quarry.functions.text import strip_ws
+from quarry.operators.ranking import numbered
 
 
 def _root_ext(base_csv: str) -> tuple[str, str]:
@@ -55,11 +55,25 @@ def topic_catalogue(df: DataFrame, base_csv: str) -> DataFrame:
         F.coalesce(F.nullif(F.col("mode_topic"), F.lit("")), F.nullif(name_topic, F.lit("")),
                    F.col("file_name")).alias("label"),
         (F.lower("file_name") == (root + ext).lower()).alias("is_base"))
-    return out.orderBy(F.desc("is_base"), F.lower("label"), "file_name")
+    return out.orderBy(*catalogue_order())
+
+
+def catalogue_order():
+    """SORT4: the base dataset first, then by lower-cased label, then by file."""
+    return F.desc("is_base"), F.asc(F.lower("label")), F.asc("file_name")
+
+
+def ranked_catalogue(df: DataFrame, base_csv: str) -> DataFrame:
+    """SORT4 as data: the catalogue with each dataset's place."""
+    return numbered(topic_catalogue(df, base_csv), *catalogue_order())
 
 
 def label_paths(catalogue: DataFrame) -> DataFrame:
-    """SET2: label -> file; a label shared by several files keeps the last one."""
-    w = Window.partitionBy("label").orderBy(F.desc("__ord"))
-    c = catalogue.withColumn("__ord", F.monotonically_increasing_id())
-    return c.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn", "__ord")
+    """SET2: label -> file; a label shared by several files keeps the last one in catalogue order.
+
+    One aggregate per label over the columns that make the order; base files
+    come first in the catalogue, so any other file is later.
+    """
+    place = F.struct(~F.col("is_base"), F.lower("label"), F.col("file_name"))
+    return catalogue.groupBy("label").agg(F.max_by(F.struct("file_name", "is_base"), place).alias("last")).select(
+        "label", "last.file_name", "last.is_base")

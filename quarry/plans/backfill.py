@@ -2,33 +2,31 @@
 
 Rows without a description or grade get text (content cache, else extracted
 page), are annotated, and the answers are written back to exactly those rows;
-all other rows pass through unchanged.  The rewrite goes to a new version of
-the table, never over the one being read.
+all other rows pass through unchanged, in the topic they are in.
 
 Two steps, so the answers can be staged between them:
 
 * ``backfill_answers``: the rows that need work -> one answer per row key;
-* ``apply_answers``: archive LEFT JOIN answers on the row key.  When the
-  staged answers are proven small they are broadcast, so the archive is
-  rewritten in place by a map-only pass instead of being shuffled.
+* ``apply_answers``: archive LEFT JOIN answers on the row key.
+
+``run_backfill`` reads and rewrites only the partitions (topic and batch) that
+hold a row with an answer.
 """
 
 from __future__ import annotations
 
-from typing import Callable
-
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.text import text_file_path
-from quarry.operators.annotate import annotate, stage
+from quarry.operators.annotate import PARSED_COLUMNS, Answerer, annotate, stage
 from quarry.operators.filters import missing_summary
 from quarry.operators.joins import first_by
-from quarry.plans.ingest import window_text
-from quarry.sources.archive import ARCHIVE_COLUMNS, VersionedTable, to_silver
+from quarry.session import materialize
+from quarry.sources.archive import (ARCHIVE_COLUMNS, PARTITIONS, new_batch, read_silver, rewrite_partitions,
+                                   slug_or_base, staged_rewrite, to_silver)
 
 ROW_KEY = "__rid"
-ANSWER_COLUMNS = ("description", "relevant_eo", "full_summary")
 
 
 def with_row_key(archive: DataFrame, key: str = ROW_KEY) -> DataFrame:
@@ -38,93 +36,91 @@ def with_row_key(archive: DataFrame, key: str = ROW_KEY) -> DataFrame:
     join can't fan out on duplicate URLs (Q6).  128 bits keep accidental
     collisions out of reach at billions of rows (one 64-bit hash would not).
     """
-    cols = [F.coalesce(F.col(c), F.lit("\u0000")) for c in ARCHIVE_COLUMNS]
+    cols = [F.coalesce(F.col(c), F.lit("\u0000")) for c in (*ARCHIVE_COLUMNS, *(p for p in PARTITIONS if p in archive.columns))]
     return archive.withColumn(key, F.concat(F.xxhash64(*cols).cast("string"), F.lit(":"),
                                             F.xxhash64(F.lit("\u0001"), *cols).cast("string")))
 
 
-def backfill_answers(archive: DataFrame, client_factory: Callable[[], object], *,
-                     key: str = ROW_KEY, content: DataFrame | None = None,
+def backfill_answers(archive: DataFrame, answerer: Answerer, *, key: str = ROW_KEY, content: DataFrame | None = None,
                      article_pages: DataFrame | None = None, topic: str | None = None,
-                     container: str = "main", model: str = "gpt-4o",
-                     partitions: int | None = None, concurrency: int = 1) -> DataFrame:
-    """``key`` + answer columns for every row that lacks one and has text."""
-    need = archive.filter(missing_summary()).select(key, "url")
-    need = first_by(need, key, ())
-    texts = window_text(need, content, article_pages, container)
+                     container: str = "main", carry: tuple[str, ...] = ()) -> DataFrame:
+    """``key`` + ``carry`` + answer columns for every row that lacks one and has text."""
+    from quarry.plans.ingest import window_text
+
+    need = first_by(archive.filter(missing_summary()).select(key, "url", *carry), key, ())
+    texts = materialize(window_text(need, content, article_pages, container), "missing")
     # FIL8 + Q8: a row with no readable text gets no model call and no answer
-    ann = annotate(texts, client_factory, text_col="text", keys=(key,), topic=topic, model=model,
-                   partitions=partitions, concurrency=concurrency)
-    return ann.filter(F.col("response").isNotNull()).select(key, *ANSWER_COLUMNS)
+    ann = annotate(texts, answerer, keys=(key,), topic=topic)
+    return ann.filter(F.col("response").isNotNull()).select(key, *carry, *PARSED_COLUMNS)
 
 
 def apply_answers(archive: DataFrame, answers: DataFrame, *, key: str = ROW_KEY,
                   topic: str | None = None, output_dir: str = "texts", today: str = "1970-01-01") -> DataFrame:
     """JOIN4: write answers back to their rows; ``updated`` flags them."""
     ans = answers.select(key, F.lit(True).alias("__upd"),
-                         *[F.col(c).alias("__" + c) for c in ANSWER_COLUMNS])
+                         *[F.col(c).alias("__" + c) for c in PARSED_COLUMNS])
     out = archive.join(ans, key, "left")
     upd = F.coalesce(F.col("__upd"), F.lit(False))
     new_topic = F.lit(topic) if topic else F.coalesce(F.col("relevance_topic"), F.lit(""))
     path = F.coalesce(F.nullif(F.col("text_file"), F.lit("")),
                       text_file_path(output_dir, "date", "title", today))
-    cols = {c: F.when(upd, F.col("__" + c)).otherwise(F.col(c)) for c in ANSWER_COLUMNS}
+    cols = {c: F.when(upd, F.col("__" + c)).otherwise(F.col(c)) for c in PARSED_COLUMNS}
     cols.update({
         "relevance_topic": F.when(upd, new_topic).otherwise(F.col("relevance_topic")),
         "text_file": F.when(upd, path).otherwise(F.col("text_file")),
         "updated": upd,
     })
-    return out.withColumns(cols).drop("__upd", *["__" + c for c in ANSWER_COLUMNS])
+    return out.withColumns(cols).drop("__upd", *["__" + c for c in PARSED_COLUMNS])
 
 
-def backfill_rows(archive: DataFrame, client_factory: Callable[[], object], *,
-                  content: DataFrame | None = None, article_pages: DataFrame | None = None,
-                  topic: str | None = None, output_dir: str = "texts", today: str = "1970-01-01",
-                  container: str = "main", model: str = "gpt-4o", partitions: int | None = None,
-                  concurrency: int = 1, key: str | None = None) -> DataFrame:
+def backfill_rows(archive: DataFrame, answerer: Answerer, *, content: DataFrame | None = None,
+                  article_pages: DataFrame | None = None, topic: str | None = None, output_dir: str = "texts",
+                  today: str = "1970-01-01", container: str = "main") -> DataFrame:
     """PIP2 as one plan: the whole archive with answers filled in, plus ``updated``."""
-    k = key or ROW_KEY
-    arch = archive if key else with_row_key(archive)
-    ans = backfill_answers(arch, client_factory, key=k, content=content,
-                           article_pages=article_pages, topic=topic, container=container,
-                           model=model, partitions=partitions, concurrency=concurrency)
-    out = apply_answers(arch, ans, key=k, topic=topic, output_dir=output_dir, today=today)
-    return out if key else out.drop(ROW_KEY)
-
-
-def run_backfill(table: VersionedTable, client_factory: Callable[[], object], *,
-                 topic: str | None = None, output_dir: str = "texts", today: str = "1970-01-01", **kw) -> int:
-    """Rewrite the current version with answers filled in; returns rows updated.
-
-    The answers are staged once (model calls never repeat), joined back
-    and written as a new version; the number of rows
-    updated is observed during that write (no extra pass over the archive)
-    and reported only after it commits (Q16).
+    arch = with_row_key(archive)
+    ans = backfill_answers(arch, answerer, content=content, article_pages=article_pages, topic=topic, container=container)
+    return apply_answers(arch, ans, topic=topic, output_dir=output_dir, today=today).drop(ROW_KEY)
+
+
+def run_backfill(spark: SparkSession, archive_path: str, answerer: Answerer, *, topic: str | None = None,
+                 dataset: str | None = None, name: str | None = None, output_dir: str = "texts",
+                 today: str = "1970-01-01", **kw) -> int:
+    """Fill in the answers of a silver archive, in place; returns rows updated.
+
+    ``dataset`` restricts the work to one topic's partition (``""``: the rows
+    without a topic); ``topic`` is the scope of the questions and is stamped
+    on the rows.  Only partitions with an answered row are read in full and
+    replaced.  Give the same ``name`` to repeat a backfill that was stopped:
+    from the point on where its rows were staged, model calls don't repeat.
     """
-    current = table.read()
-    if current is None:
-        return 0
-    bronze = with_row_key(current.select(*[c for c in current.columns
-                                           if c not in ("date_dt", "relevance", "types_list")]))
-    answers = stage(backfill_answers(bronze, client_factory, topic=topic, **kw), "backfill")
-    if answers.count() == 0:      # staged: read from Parquet footers
-        return 0
-    rows = apply_answers(bronze, answers, topic=topic, output_dir=output_dir, today=today)
-    seen = Observation("backfill")
-    rows = rows.observe(seen, F.count_if(F.col("updated")).alias("updated"))
-    table.write(to_silver(rows.drop("updated", ROW_KEY)))
-    return int(seen.get["updated"])
-
-
-def run_backfill_csv(spark, csv_path: str, out_path: str, client_factory: Callable[[], object],
-                     **kw) -> int:
+    name = name or new_batch()
+    if staged_rewrite(spark, name) is None:
+        silver = read_silver(spark, archive_path)
+        if silver is None:
+            return 0
+        if dataset is not None:
+            silver = silver.filter(F.col("topic_slug") == slug_or_base(F.lit(dataset)))
+        keyed = with_row_key(silver.drop("date_dt", "relevance", "types_list"))
+        answers = stage(backfill_answers(keyed, answerer, topic=topic, carry=PARTITIONS, **kw), "backfill")
+        if answers.isEmpty():
+            return 0
+        # the touched partitions, as a partition filter that the scan applies
+        touched = answers.agg(F.collect_set(F.struct(*PARTITIONS))).scalar()
+        rows = keyed.filter(F.array_contains(touched, F.struct(*PARTITIONS)))
+        rows = apply_answers(rows, answers.select(ROW_KEY, *PARSED_COLUMNS), topic=topic, output_dir=output_dir, today=today)
+        done = rewrite_partitions(spark, archive_path, to_silver(rows.drop(ROW_KEY)), name, but=("updated",))
+    else:
+        done = rewrite_partitions(spark, archive_path, None, name, but=("updated",))
+    return done.filter("updated").count()
+
+
+def run_backfill_csv(spark: SparkSession, csv_path: str, out_path: str, answerer: Answerer, **kw) -> int:
     """SRC3 + PIP2 on the bronze CSV: read it, fill answers, write the whole
     archive as CSV to ``out_path`` (a new folder; the input is never
-    overwritten).  Returns rows updated, counted after the write commits.
+    overwritten).  Returns rows updated.
     """
     from quarry.sources.archive import read_archive_csv, write_archive_csv
 
-    bronze = read_archive_csv(spark, csv_path)
-    rows = stage(backfill_rows(bronze, client_factory, **kw), "backfill-csv")
-    write_archive_csv(rows, out_path, mode="errorifexists")
+    rows = stage(backfill_rows(read_archive_csv(spark, csv_path), answerer, **kw), "backfill-csv")
+    write_archive_csv(rows, out_path, mode="errorifexists", extra=True)
     return rows.filter("updated").count()

@@ -16,10 +16,12 @@ from quarry.functions import text as TX
 from quarry.functions.response import parse_response, prompt_text
 from quarry.operators import filters as FL
 from quarry.operators import report as RP
-from quarry.operators.annotate import offline_client_factory
+from quarry.operators.annotate import recorded
 from quarry.operators.crawl import crawl_window, new_items, run_metrics
 from quarry.operators.extract import article_text, listing_items
-from quarry.operators.topics import topic_catalogue
+from quarry.operators.joins import first_by
+from quarry.operators.topics import label_paths, ranked_catalogue, topic_catalogue
+from quarry.plans import jobs as J
 from quarry.plans.backfill import backfill_rows
 from quarry.plans.ingest import IngestParams, ingest_rows
 from quarry.plans.report import dashboard
@@ -46,6 +48,7 @@ LOOKBACK_NARROW = 60
 PAGES_FROM = 3
 ROW_COLUMNS = ("url", "date", "title", "types", "relevance", "date_dt")
 LITERAL_SEARCH = "e."
+MAX_PAGES = 7
 # ----------------------------------------------------------------------------
 
 
@@ -74,7 +77,7 @@ def q_kpis(spark, sf):
 
 
 def q_relevance_breakdown(spark, sf):
-    return RP.relevance_breakdown(silver(spark, sf))
+    return RP.ranked_breakdown(silver(spark, sf))
 
 
 def q_daily_counts(spark, sf):
@@ -88,7 +91,7 @@ def q_daily_events(spark, sf):
 
 
 def q_type_options(spark, sf):
-    return RP.type_options(silver(spark, sf))
+    return RP.ranked_types(silver(spark, sf))
 
 
 def q_filter_date(spark, sf):
@@ -125,7 +128,7 @@ def q_filter_date_compat(spark, sf):
 
 
 def q_results_table(spark, sf):
-    return RP.results_table(silver(spark, sf))
+    return RP.ranked_results(silver(spark, sf))
 
 
 def q_dashboard_table(spark, sf):
@@ -174,6 +177,23 @@ def q_crawl_window_pages(spark, sf):
     return _window(crawl_window(listing(spark, sf), start_page=PAGES_FROM))
 
 
+def q_crawl_window_max_pages(spark, sf):
+    """LIM1: a page cap from the start page on."""
+    return _window(crawl_window(listing(spark, sf), start_page=PAGES_FROM, max_pages=MAX_PAGES))
+
+
+def q_crawl_window_gap(spark, sf):
+    """FIL4: a listing in which a page is missing ends before it."""
+    items = listing(spark, sf)
+    hole = items.agg(F.floor(F.max("page") * 7 / 10)).scalar()
+    return _window(crawl_window(items.filter(F.col("page") != hole)))
+
+
+def q_first_per_title(spark, sf):
+    """SET3: titles repeat (documents have near and exact copies); the first listed row of each stays."""
+    return first_by(listing(spark, sf).select("title", "page", "pos", "url"), "title", ("page", "pos"))
+
+
 def q_crawl_window_filter(spark, sf):
     items, known = listing_and_known(spark, sf)
     return _window(crawl_window(items, known=known, as_of=AS_OF, lookback_days=LOOKBACK_NARROW,
@@ -224,24 +244,28 @@ def q_topic_slug(spark, sf):
 
 
 def topic_files(spark, sf):
-    """The archive split into one dataset file per language (English is the base)."""
+    """The archive split into one dataset file per language (English is the base); the Spanish one has no topics."""
     a = LD.actions(spark, sf)
     name = F.when(F.col("lang") == "en", F.lit(BASE_CSV)).otherwise(
         F.concat(F.lit("archive - "), F.col("lang"), F.lit(".csv")))
     docs = LD.table(spark, sf, "documents").select("doc_id", "lang")
     return a.join(docs, "doc_id").select(
-        name.alias("file_name"), "relevance_topic",
+        name.alias("file_name"), F.when(F.col("lang") != "es", F.col("relevance_topic")).alias("relevance_topic"),
         F.struct(F.lit(0).cast("long").alias("_block"), F.col("doc_id").alias("_row")).alias("ord"))
 
 
 def q_topic_catalogue(spark, sf):
-    return topic_catalogue(topic_files(spark, sf), BASE_CSV)
+    return ranked_catalogue(topic_files(spark, sf), BASE_CSV)
+
+
+def q_label_paths(spark, sf):
+    """SET2 over the catalogue; datasets whose commonest topic is the same share a label."""
+    return label_paths(topic_catalogue(topic_files(spark, sf), BASE_CSV)).select("label", "file_name")
 
 
 def q_backfill(spark, sf):
-    out = backfill_rows(LD.actions(spark, sf).drop("page", "pos"), offline_client_factory(),
-                        content=LD.content(spark, sf), topic=TOPIC, output_dir=OUTPUT_DIR,
-                        today=TODAY)
+    out = backfill_rows(LD.actions(spark, sf).drop("page", "pos"), recorded(LD.attempts(spark, sf)),
+                        content=LD.content(spark, sf), topic=TOPIC, output_dir=OUTPUT_DIR, today=TODAY)
     return out.select("url", "description", "relevant_eo", "full_summary", "relevance_topic", "updated")
 
 
@@ -249,26 +273,9 @@ def q_ingest(spark, sf):
     params = IngestParams(as_of=AS_OF, lookback_days=LOOKBACK_WIDE, topic=TOPIC, output_dir=OUTPUT_DIR)
     a = LD.actions(spark, sf)
     rows = ingest_rows(LD.listing_pages(a), LD.known(spark, sf, a), params, content=LD.content(spark, sf),
-                       client_factory=offline_client_factory())
+                       answerer=recorded(LD.attempts(spark, sf)))
     return rows.select("page", "date", "title", "url", "types", "text_file", "description",
-                       "relevance_topic", "relevant_eo", "full_summary")
-
-
-def q_incremental_ingest(spark, sf):
-    """STM1: listing pages land in a folder; one availableNow run ingests them."""
-    import uuid
-
-    from quarry.session import checkpoint_dir
-    from quarry.streaming.incremental import run_incremental
-    base = f"{checkpoint_dir(spark).rstrip('/')}/incremental-{uuid.uuid4().hex}"
-    LD.listing_pages(LD.actions(spark, sf)).write.parquet(f"{base}/landing")
-    params = IngestParams(as_of=AS_OF, lookback_days=LOOKBACK_NARROW, topic=TOPIC,
-                          output_dir=OUTPUT_DIR)
-    run_incremental(spark, f"{base}/landing", f"{base}/archive", f"{base}/chk", params,
-                    content=LD.content(spark, sf), client_factory=offline_client_factory())
-    return spark.read.parquet(f"{base}/archive").select(
-        "date", "title", "url", "types", "text_file", "description", "relevance_topic",
-        "relevant_eo", "full_summary")
+                       "relevance_topic", "relevant_eo", "full_summary", "model_used", "error", "n_attempts")
 
 
 def q_daily_events_stream(spark, sf):
@@ -300,7 +307,10 @@ QUERIES = {
     "crawl_window_known": q_crawl_window_known,
     "crawl_window_lookback": q_crawl_window_lookback,
     "crawl_window_pages": q_crawl_window_pages,
+    "crawl_window_max_pages": q_crawl_window_max_pages,
+    "crawl_window_gap": q_crawl_window_gap,
     "crawl_window_filter": q_crawl_window_filter,
+    "first_per_title": q_first_per_title,
     "run_metrics": q_run_metrics,
     "listing_items": q_listing_items,
     "article_text": q_article_text,
@@ -311,8 +321,9 @@ QUERIES = {
     "text_path": q_text_path,
     "topic_slug": q_topic_slug,
     "topic_catalogue": q_topic_catalogue,
+    "label_paths": q_label_paths,
     "backfill": q_backfill,
     "ingest": q_ingest,
-    "incremental_ingest": q_incremental_ingest,
     "daily_events_stream": q_daily_events_stream,
+    **J.QUERIES,
 }

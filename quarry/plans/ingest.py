@@ -1,31 +1,34 @@
-"""Ingest (survey IDs PIP1, PIP4, JOIN3, FIL7, COL6, SNK1-SNK2).
+"""Ingest (survey IDs PIP1, PIP4, JOIN3, FIL7, COL6, AGG10, SNK1-SNK2).
 
 Landed listing pages -> items -> crawl window against the archive's known
 URLs -> article text (content cache first, then extracted pages) -> model
 annotation of the readable texts -> rows to append.
 
 ``ingest_rows`` is the pure plan (a DataFrame); ``run_ingest`` stages the
-annotated rows once, appends them to the silver archive and reports metrics.
+annotated rows once and writes texts, known URLs and archive rows, in that
+order, all under the run's batch name.  A run that is repeated under its name
+doesn't count its own rows as known and replaces what an earlier attempt left,
+wherever that stopped.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass
-from typing import Callable
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.text import join_types, text_file_path
-from quarry.operators.annotate import annotate, stage
-from quarry.operators.crawl import crawl_window, page_range
-from quarry.operators.extract import article_text, listing_items
+from quarry.operators.annotate import ANSWER_COLUMNS, PARSED_COLUMNS, Answerer, annotate, stage
+from quarry.operators.crawl import crawl_window, page_counts, page_range
+from quarry.operators.extract import article_text, items_of, listing_results, unreadable
 from quarry.operators.joins import restrict_to
+from quarry.plans.backfill import run_backfill
+from quarry.plans.retries import record_outcomes
 from quarry.session import materialize
-from quarry.sources.archive import (ARCHIVE_COLUMNS, append_content, append_known_index,
-                                   append_silver, known_in_topic, read_known_index,
-                                   silver_of_topic)
+from quarry.sources.archive import (ARCHIVE_COLUMNS, append_content, append_known, append_silver, known_in_topic,
+                                   new_batch, read_content, read_known, silver_of_topic)
 
 
 @dataclass(frozen=True)
@@ -40,9 +43,6 @@ class IngestParams:
     mode: str = "prefix"
     output_dir: str = "texts"
     container: str = "main"
-    model: str = "gpt-4o"
-    partitions: int | None = None
-    concurrency: int = 1
 
 
 # PIP4: the scheduled single-topic preset (fixed values).
@@ -56,7 +56,8 @@ def scheduled_params(as_of: _dt.datetime) -> IngestParams:
 
 def run_scheduled(listing_pages: DataFrame, archive_path: str, as_of: _dt.datetime, **kw) -> dict:
     """PIP4: one scheduled single-topic run with the fixed preset."""
-    return run_ingest(listing_pages, archive_path, scheduled_params(as_of), **kw)
+    overrides = {k: kw.pop(k) for k in ("output_dir", "container") if k in kw}
+    return run_ingest(listing_pages, archive_path, replace(scheduled_params(as_of), **overrides), **kw)
 
 
 def _one_text(texts: DataFrame, name: str) -> DataFrame:
@@ -77,8 +78,7 @@ def window_text(window: DataFrame, content: DataFrame | None, article_pages: Dat
     out = window.withColumn("__cached", F.lit(None).cast("string"))
     missing = window
     if content is not None:
-        keep = ["url", "text"] + (["url_bucket"] if "url_bucket" in content.columns else [])
-        cached = _one_text(restrict_to(content.select(*keep), window, "url").select("url", "text"), "__cached")
+        cached = _one_text(restrict_to(content.select("url", "text"), window, "url"), "__cached")
         out = window.join(cached, "url", "left")
         missing = window.select("url").join(cached.select("url"), "url", "left_anti")
     out = out.withColumn("__fetched", F.lit(None).cast("string"))
@@ -92,14 +92,19 @@ def window_text(window: DataFrame, content: DataFrame | None, article_pages: Dat
             .drop("__cached", "__fetched"))
 
 
-def ingest_rows(listing_pages: DataFrame, known: DataFrame | None, params: IngestParams, *,
-                content: DataFrame | None = None, article_pages: DataFrame | None = None,
-                client_factory: Callable[[], object] | None = None) -> DataFrame:
-    """PIP1 as one plan: the archive rows this run appends (plus page/pos)."""
-    # the extracted items feed the stop aggregate and the window filter:
-    # extract once (Python), only the pages in range, and let every branch read the table
+def listed(listing_pages: DataFrame, params: IngestParams) -> tuple[DataFrame, DataFrame]:
+    """(items, results) of the pages in range, extracted once (Python) and staged for all that read them."""
     landed = page_range(listing_pages, params.start_page, params.max_pages, params.single_page)
-    items = materialize(listing_items(landed), "items")
+    results = materialize(listing_results(landed), "listing")
+    return items_of(results), results
+
+
+def ingest_rows(listing_pages: DataFrame | None, known: DataFrame | None, params: IngestParams, *,
+                content: DataFrame | None = None, article_pages: DataFrame | None = None,
+                answerer: Answerer | None = None, items: DataFrame | None = None) -> DataFrame:
+    """PIP1 as one plan: the archive rows this run appends (plus page/pos and the answers' particulars)."""
+    if items is None:
+        items, _ = listed(listing_pages, params)
     window = crawl_window(items, known=known, as_of=params.as_of, lookback_days=params.lookback_days,
                           start_page=params.start_page, max_pages=params.max_pages,
                           single_page=params.single_page, mode=params.mode)
@@ -108,51 +113,68 @@ def ingest_rows(listing_pages: DataFrame, known: DataFrame | None, params: Inges
     rows = window_text(window, content, article_pages, params.container)
     today = params.as_of.strftime("%Y-%m-%d")
     rows = rows.withColumn("text_file", text_file_path(params.output_dir, "date", "title", today))
-    if client_factory is not None:
-        # one pass: rows ride through the model step (FIL7: only readable,
-        # non-empty texts are sent), so nothing is joined back
-        rows = annotate(rows, client_factory, text_col="text", keys=("url",), topic=params.topic,
-                        model=params.model, partitions=params.partitions,
-                        concurrency=params.concurrency,
-                        carry=("page", "pos", "date", "title", "types", "text_file", "text",
-                               "text_source"))
+    if answerer is not None:
+        # staged: the texts go to the model step and to the rows
+        rows = annotate(materialize(rows, "texts"), answerer, keys=("page", "pos"), topic=params.topic)
         rows = rows.withColumn("relevance_topic",
                                F.when(F.col("relevant_eo").isNotNull(), F.lit(params.topic or "")))
     else:
-        rows = rows.withColumns({c: F.lit(None).cast("string") for c in
-                                 ("description", "relevance_topic", "relevant_eo", "full_summary")})
+        kinds = {"latency_ms": "double", "n_attempts": "int"}
+        rows = rows.withColumns({c: F.lit(None).cast(kinds.get(c, "string"))
+                                 for c in (*PARSED_COLUMNS, "relevance_topic", *ANSWER_COLUMNS)})
     return rows.withColumn("types", join_types("types")).select(
-        "page", "pos", *ARCHIVE_COLUMNS, "text", "text_source")
-
-
-def run_ingest(listing_pages: DataFrame, archive_path: str, params: IngestParams, *,
-               content: DataFrame | None = None, article_pages: DataFrame | None = None,
-               client_factory: Callable[[], object] | None = None,
-               content_path: str | None = None, known_index: str | None = None) -> dict:
-    """Append one run to the silver archive; returns run metrics (AGG10).
-
-    With ``content_path``, texts extracted from pages in this run are added
-    to the content table (SNK2), so a later backfill finds them cached.
-    With ``known_index``, known URLs come from the bucketed known-URL index
-    (only the buckets of this run's listing are read) and the run's new URLs
-    are added to it; otherwise the archive's URL column is scanned.
+        "page", "pos", *ARCHIVE_COLUMNS, "text", "text_source", *ANSWER_COLUMNS)
+
+
+def run_ingest(listing_pages: DataFrame, archive_path: str, params: IngestParams, **kw) -> dict:
+    """One run over landed listing pages: see :func:`ingest_items`."""
+    items, results = listed(listing_pages, params)
+    return ingest_items(items, results, archive_path, params, **kw)
+
+
+def ingest_items(items: DataFrame, results: DataFrame | None, archive_path: str, params: IngestParams, *,
+                 name: str | None = None, content: DataFrame | None = None, article_pages: DataFrame | None = None,
+                 answerer: Answerer | None = None, content_path: str | None = None, known_path: str | None = None,
+                 pages_path: str | None = None, retry_path: str | None = None, update_missing: bool = False) -> dict:
+    """Append one run's new items to the silver archive; returns run metrics (AGG10).
+
+    ``name``: the run's batch; give the same one to repeat a run.
+    ``content_path``: texts extracted from pages in this run are added to the
+    content table (SNK2) and found there by later runs.
+    ``known_path``: known URLs come from the known-URL table, which gets the
+    run's new ones; otherwise the archive's URL column is scanned.
+    ``pages_path``: a row per listing page (items found, items new, error) is
+    added to that table (``results`` are the extraction's rows).
+    ``retry_path``: the outcome of every answered row goes to the retry table.
+    ``update_missing``: afterwards the topic's rows without a summary are
+    filled in (PIP2).
     """
-    spark = listing_pages.sparkSession
-    if known_index:
-        known = read_known_index(spark, known_index, params.topic)
-        n_known = None
-    else:
-        known = known_in_topic(spark, archive_path, params.topic)
-        n_known = known.count() if known is not None else 0
-    rows = stage(ingest_rows(listing_pages, known, params, content=content,
-                             article_pages=article_pages, client_factory=client_factory),
-                 "ingest")
-    m = rows.agg(F.count(F.lit(1)).alias("n"), F.count("relevant_eo").alias("a"),
+    spark = items.sparkSession
+    name = name or new_batch()
+    known = read_known(spark, known_path, params.topic, name) if known_path else known_in_topic(spark, archive_path, params.topic, name)
+    if content is None and content_path:
+        content = read_content(spark, content_path, but=name)
+    rows = stage(ingest_rows(None, known, params, content=content, article_pages=article_pages,
+                             answerer=answerer, items=items), "ingest")
+    m = rows.agg(F.count(F.lit(1)).alias("n"), F.count("relevant_eo").alias("a"), F.count("error").alias("e"),
                  F.count_if(F.col("text_source") == "page").alias("f")).first()
-    if m["n"]:
-        append_silver(silver_of_topic(rows.drop("page", "pos", "text", "text_source"), params.topic), archive_path)
-        if known_index:
-            append_known_index(rows, known_index, params.topic)
     if content_path and m["f"]:
-        append_content(rows.filter(F.col("text_source") == "page"), content_path)
-    return {"known": n_known, "new": m["n"], "annotated": m["a"], "fetched": m["f"]}
+        append_content(rows.filter(F.col("text_source") == "page"), content_path, name)
+    if retry_path:
+        record_outcomes(rows, retry_path, name)
+    bad = 0
+    if results is not None:
+        bad = unreadable(results).count()
+        if pages_path:
+            page_counts(results, rows).withColumn("batch", F.lit(name)).write.mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(pages_path)
+    if m["n"]:
+        if known_path:
+            append_known(rows, known_path, params.topic, name)
+        append_silver(silver_of_topic(rows.select(*ARCHIVE_COLUMNS), params.topic), archive_path, name)
+    updated = 0
+    if update_missing and answerer is not None:
+        updated = run_backfill(spark, archive_path, answerer, topic=params.topic, dataset=params.topic or "",
+                               output_dir=params.output_dir, today=params.as_of.strftime("%Y-%m-%d"), content=content,
+                               article_pages=article_pages, container=params.container, name=f"{name}-missing")
+    return {"new": m["n"], "annotated": m["a"], "failed": m["e"], "fetched": m["f"], "updated": updated, "unreadable_pages": bad}

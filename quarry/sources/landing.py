@@ -31,7 +31,17 @@ SCHEMAS = {
     "pages": "page_id BIGINT, url STRING, html STRING",
     "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
               "value DOUBLE, props STRING",
+    "conversations": "conv_id BIGINT, turn BIGINT, role STRING, text STRING",
 }
+# Recorded answers: which calls failed (by document number) and how.
+FIRST_FAILS = (5, 2)         # number % 5 = 2: the first model's call
+FALLBACK_FAILS = (25, 7)     # number % 25 = 7: the fallback's, too
+LATER_FAILS = (50, 32)       # number % 50 = 32: both again in the next round
+RATE_LIMIT = "RateLimitError: 429"
+NO_ANSWER = "EmptyAnswer"
+MODELS = ("gpt-4o", "gpt-4o-mini")
+# Every so many pages one wasn't fetched; every so many listings one is missing.
+UNFETCHED = (13, 5)
 # ---------------------------------------------------------------------------
 
 
@@ -120,21 +130,80 @@ def listing_pages(archive: DataFrame) -> DataFrame:
                  F.lit("</ul>")).alias("html"))
 
 
+def _said(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(conv_id, said): the first answer of each conversation."""
+    turns = table(spark, sf_dir, "conversations").filter("role = 'assistant'")
+    return turns.groupBy("conv_id").agg(F.min_by("text", "turn").alias("said"))
+
+
+def conversations_n(spark: SparkSession, sf_dir: str):
+    return table(spark, sf_dir, "conversations").agg(F.max("conv_id") + 1).scalar()
+
+
+def document_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, response, other): what a model said about each document, in given texts.
+
+    Labelled documents: the document's first line, its grade and the rest of
+    it, as labelled lines, numbered lines or bare lines.  Others: the first
+    answer of the conversation with the document's number (``other``: of the
+    next one), which follows no form at all.
+    """
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    n, i, nl = conversations_n(spark, sf_dir), F.col("doc_id"), F.lit("\n")
+    said = _said(spark, sf_dir)
+    first = F.trim(F.substring_index("text", "\n", 1))
+    rest = F.expr("substr(text, length(substring_index(text, '\n', 1)) + 2)")
+    grade = F.when((F.col("quality") == 1) & (F.col("toxic") == 0), F.lit("Yes")).when(F.col("quality") == 1, F.lit("Maybe, in part")).otherwise(F.lit("No"))
+    formed = (F.when(i % 3 == 0, F.concat(F.lit("Summary: "), first, nl, F.lit("Relevant: "), grade, nl, F.lit("Details: "), rest))
+              .when(i % 3 == 1, F.concat(F.lit("1. Summary: "), first, nl, F.lit("2. Relevance: "), grade, nl, F.lit("3. "), rest))
+              .otherwise(F.concat(first, nl, nl, F.lit("- "), F.lower(grade), nl, rest)))
+    rows = docs.join(labels, "doc_id", "left").withColumns({"c1": i % n, "c2": (i + 1) % n})
+    return (rows.join(said.select(F.col("conv_id").alias("c1"), "said"), "c1", "left")
+            .join(said.select(F.col("conv_id").alias("c2"), F.col("said").alias("other")), "c2", "left")
+            .select("doc_id", F.when(F.col("quality").isNotNull(), formed).otherwise(F.col("said")).alias("response"), "other"))
+
+
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Model answers in six shapes, one per document."""
+    """(source, response): every recorded answer: one per document, and all assistant turns."""
+    docs = document_answers(spark, sf_dir).select(F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("source"), "response")
+    turns = table(spark, sf_dir, "conversations").filter("role = 'assistant'").select(
+        F.concat(F.lit("conv-"), F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string")).alias("source"),
+        F.col("text").alias("response"))
+    return docs.unionByName(turns)
+
+
+def attempts(spark: SparkSession, sf_dir: str, later: bool = False) -> DataFrame:
+    """(url, attempt, model, response, error, latency_ms): the recorded calls for each archive URL.
+
+    The first model's calls fail for a fifth of the documents, or give
+    nothing; then the fallback was asked, which fails for some of them.
+    ``later``: the calls of the next round, for those without an answer.
+    Latencies are the events' values, by number.
+    """
     i = F.col("doc_id")
-    n = i.cast("string")
-    nl = F.lit("\n")
-    r = (F.when(i % 6 == 0, F.concat(F.lit("Summary: Action "), n, F.lit(" changes a rule."), nl,
-                                      F.lit("Relevant: Yes"), nl, F.lit("Details: One."), nl, F.lit(" Two.")))
-         .when(i % 6 == 1, F.concat(F.lit("1. Summary: Action "), n, F.lit("."), nl,
-                                     F.lit("2. Relevant: Maybe"), nl, F.lit("3. Because.")))
-         .when(i % 6 == 2, F.concat(F.lit("Action "), n, F.lit("."), nl, nl, F.lit("yes"), nl, F.lit("More.")))
-         .when(i % 6 == 3, F.concat(F.lit("Summary: Action "), n, F.lit("."), nl,
-                                     F.lit("Relevance: no"), nl, F.lit("Details: dropped")))
-         .when(i % 6 == 4, F.concat(F.lit("Relevant: unclear"), nl, F.lit("Summary: Action "), n, F.lit(".")))
-         .otherwise(F.lit("")))
-    return table(spark, sf_dir, "documents").select("doc_id", r.alias("response"))
+    fails = lambda rule: i % rule[0] == rule[1]
+    ev = table(spark, sf_dir, "events").select("event_id", "value")
+    rows = (document_answers(spark, sf_dir)
+            .join(ev.select(F.col("event_id").alias("doc_id"), F.col("value").alias("l1")), "doc_id", "left")
+            .join(ev.select((F.col("event_id") - 1).alias("doc_id"), F.col("value").alias("l2")), "doc_id", "left"))
+    url = F.concat(F.lit(URL_PREFIX), i.cast("string")).alias("url")
+
+    def call(attempt, model, failed, text, latency):
+        error = F.when(failed, F.lit(RATE_LIMIT)).when(text.isNull(), F.lit(NO_ANSWER))
+        return F.struct(F.lit(attempt).alias("attempt"), F.lit(model).alias("model"), F.when(error.isNull(), text).alias("response"),
+                        error.alias("error"), F.col(latency).alias("latency_ms"))
+    first_failed, second_failed = (fails(LATER_FAILS),) * 2 if later else (fails(FIRST_FAILS), fails(FALLBACK_FAILS))
+    first = call(1, MODELS[0], first_failed, F.col("response"), "l1")
+    second = call(2, MODELS[1], second_failed, F.col("other"), "l2")
+    calls = rows.select(url, F.when(first["error"].isNull(), F.array(first)).otherwise(F.array(first, second)).alias("calls"))
+    return calls.select("url", F.inline("calls"))
+
+
+def fetched_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Article pages ``(page_id, url, html)`` as fetched: every so many have no html."""
+    every, which = UNFETCHED
+    return article_pages(spark, sf_dir).withColumn("html", F.when(F.col("page_id") % every != which, F.col("html")))
 
 
 def article_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
