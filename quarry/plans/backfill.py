@@ -94,7 +94,7 @@ def run_backfill(spark: SparkSession, archive_path: str, answerer: Answerer, *,
     from the point on where its rows were staged, model calls don't repeat.
     """
     name = name or new_batch()
-    if staged_rewrite(spark, name) is None:
+    if staged_rewrite(spark, archive_path, name) is None:
         silver = read_silver(spark, archive_path)
         if silver is None:
             return 0

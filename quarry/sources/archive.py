@@ -240,19 +240,25 @@ def _overwrite_partitions(rows: DataFrame, path: str) -> None:
      .partitionBy(*PARTITIONS).parquet(path))
 
 
-def staged_rewrite(spark: SparkSession, name: str) -> DataFrame | None:
-    """The rows that a rewrite of this name has staged in full; None if it hasn't come that far."""
+def _rewrite_note(spark: SparkSession, path: str, name: str) -> str:
+    """Where the state of an archive's rewrite is noted; names count per archive."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/rewrite-{zlib.crc32(path.encode()):08x}-{name}-note"
+
+
+def _noted(spark: SparkSession, path: str, name: str):
+    """The rewrite's (folder, done); None if it hasn't staged its rows."""
     try:
-        at = spark.read.schema("path STRING").parquet(_rewrite_note(spark, name)).first()
+        return spark.read.schema("folder STRING, done BOOLEAN").parquet(_rewrite_note(spark, path, name)).first()
     except AnalysisException as e:
         if _absent(e):
             return None
         raise
-    return read_silver(spark, at.path) if at else None
 
 
-def _rewrite_note(spark: SparkSession, name: str) -> str:
-    return f"{checkpoint_dir(spark).rstrip('/')}/rewrite-{name}-staged"
+def staged_rewrite(spark: SparkSession, path: str, name: str) -> DataFrame | None:
+    """The rows that the archive's rewrite of this name has staged in full; None if it hasn't come that far."""
+    note = _noted(spark, path, name)
+    return read_silver(spark, note.folder) if note else None
 
 
 def rewrite_partitions(spark: SparkSession, path: str, rows: DataFrame | None, name: str,
@@ -262,21 +268,29 @@ def rewrite_partitions(spark: SparkSession, path: str, rows: DataFrame | None, n
     Columns ``but`` are staged for the caller and don't go into the archive.
 
     First the rows are written to a folder of their own, then a note says
-    where they are, then they replace the partitions.  A rewrite that was
-    killed anywhere is repeated under its name: before the note it starts
-    anew, after it the same rows are copied again (``rows`` may be None
-    then).  Nothing that a dead attempt left behind is ever read or stands in
-    the way, and partitions not in ``rows`` keep their files.
+    where they are, then they replace the partitions, and the note says so.  A
+    rewrite that was killed anywhere is repeated under its name: before the
+    note it starts anew, after it the same rows are copied again (``rows`` may
+    be None then), and one that is done changes nothing.  Nothing that a dead
+    attempt left behind is ever read or stands in the way, and partitions not
+    in ``rows`` keep their files.
     """
-    staged = staged_rewrite(spark, name)
-    if staged is None:
+    def note(folder: str, done: bool) -> None:
+        (spark.range(1).select(F.lit(folder).alias("folder"), F.lit(done).alias("done")).coalesce(1)
+         .write.mode("overwrite").parquet(_rewrite_note(spark, path, name)))
+
+    state = _noted(spark, path, name)
+    if state is None:
         if rows is None:
             raise ValueError(f"nothing is staged for the rewrite {name!r}")
-        folder = f"{checkpoint_dir(spark).rstrip('/')}/rewrite-{name}-{uuid.uuid4().hex}"
+        folder = f"{checkpoint_dir(spark).rstrip('/')}/rewrite-{uuid.uuid4().hex}"
         rows.hint("rebalance", *PARTITIONS).write.mode("errorifexists").partitionBy(*PARTITIONS).parquet(folder)
-        spark.range(1).select(F.lit(folder).alias("path")).coalesce(1).write.mode("overwrite").parquet(_rewrite_note(spark, name))
-        staged = staged_rewrite(spark, name)
-    _overwrite_partitions(staged.drop(*but), path)
+        note(folder, False)
+        state = _noted(spark, path, name)
+    staged = read_silver(spark, state.folder)
+    if not state.done:
+        _overwrite_partitions(staged.drop(*but), path)
+        note(state.folder, True)
     return staged
 
 
