@@ -22,9 +22,11 @@ Survey IDs SRC1-SRC4, SRC8, SNK1-SNK5, COL1, COL3, COL4.
 from __future__ import annotations
 
 import csv
+import re
 import uuid
 import zlib
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -113,7 +115,9 @@ def read_archive_dir(spark: SparkSession, directory: str) -> DataFrame:
     """
     shapes: dict[tuple[str, ...], list[str]] = {}
     for r in dataset_headers(spark, directory).collect():      # a row per dataset file
-        shapes.setdefault(header_columns(r.header), []).append(r.path)
+        # the path arrives URI-encoded, and is read as a pattern
+        path = re.sub(r"([\\\[\]{}*?])", r"\\\1", unquote(r.path))
+        shapes.setdefault(header_columns(r.header), []).append(path)
     parts = []
     for columns, paths in sorted(shapes.items()):
         # a name given twice is the first of them, like in a dictionary of a row's first values

@@ -7,8 +7,8 @@ import os
 from pyspark.sql import functions as F
 
 from quarry.operators.topics import topic_catalogue
-from quarry.sources.archive import (ARCHIVE_COLUMNS, VersionedTable, known_state, read_archive_csv,
-                                    read_archive_dir, to_silver, write_archive_csv)
+from quarry.sources.archive import (ARCHIVE_COLUMNS, header_columns, known_state, read_archive_csv, read_archive_dir,
+                                    to_silver, write_archive_csv)
 
 TRICKY = [
     ("May 1, 2025", 'He said "hi", then left', "https://x/1", "A; B", "", "line1\nline2", "T", "Yes", ""),
@@ -54,16 +54,29 @@ def test_known_state(spark):
     assert r.n_known == 1 and str(r.latest_date) == "2025-05-09"
 
 
-def test_versioned_table(spark, tmp_path):
-    t = VersionedTable(spark, str(tmp_path / "silver"))
-    assert t.read() is None and t.current() is None
-    df = spark.createDataFrame([("a", "t1"), ("b", "t2")], "url string, topic_slug string")
-    assert t.write(df) == 1
-    assert t.write(df.filter("url = 'a'")) == 2
-    assert t.current() == 2 and t.read().count() == 1
-    # a version directory that was never committed to the log is never current
-    df.write.parquet(t.path(3))
-    assert t.current() == 2 and t.versions() == [1, 2]
+def test_headers_in_any_order(spark, tmp_path):
+    d = tmp_path / "csvs"
+    d.mkdir()
+    (d / "a.csv").write_text("date,title,url\n\"May 1, 2025\",t1,u1\n", encoding="utf-8")
+    (d / "b.csv").write_text("\ufeffurl,reviewer,title\nu2,r2,\"t\n2\"\n", encoding="utf-8")
+    (d / "c.CSV").write_text("title,url,title\nt3,u3,other\n", encoding="utf-8")
+    (d / "empty.csv").write_text("date,title,url\n", encoding="utf-8")
+    (d / "none.txt").write_text("x", encoding="utf-8")
+    got = {r.url: r for r in read_archive_dir(spark, str(d)).collect()}
+    assert {u: (r.date, r.title, r.reviewer, r.file_name, r.description) for u, r in got.items()} == {
+        "u1": ("May 1, 2025", "t1", None, "a.csv", None), "u2": (None, "t\n2", "r2", "b.csv", None), "u3": (None, "t3", None, "c.CSV", None)}
+    assert header_columns('"a ", b,"c,d"') == ("a", "b", "c,d")
+
+
+def test_a_column_that_only_some_batches_have(spark, tmp_path):
+    from quarry.sources.archive import append_silver, read_silver, to_bronze
+    path = str(tmp_path / "silver")
+    nine = spark.createDataFrame(TRICKY[:1], ",".join(f"{c} string" for c in ARCHIVE_COLUMNS))
+    append_silver(to_silver(nine), path, "a")
+    append_silver(to_silver(nine.withColumn("reviewer", F.lit("r"))), path, "b")
+    got = read_silver(spark, path)
+    assert sorted((r.batch, r.reviewer) for r in got.collect()) == [("a", None), ("b", "r")]
+    assert to_bronze(got, extra=True).columns == [*ARCHIVE_COLUMNS, "reviewer"] and to_bronze(got).columns == ARCHIVE_COLUMNS
 
 
 def _write_csv(path, topics):
@@ -134,7 +147,7 @@ def test_topic_that_looks_like_a_number(spark, tmp_path):
 
 def test_label_paths_keep_last(spark):
     from quarry.operators.topics import label_paths
-    cat = spark.createDataFrame([("a.csv", "X", False), ("b.csv", "X", False), ("c.csv", "Y", False)],
-                                "file_name string, label string, is_base boolean").coalesce(1)
+    cat = spark.createDataFrame([("b.csv", "X", False), ("z.csv", "X", True), ("a.csv", "X", False), ("c.csv", "Y", False)],
+                                "file_name string, label string, is_base boolean").repartition(3)
     got = {r.label: r.file_name for r in label_paths(cat).collect()}
     assert got == {"X": "b.csv", "Y": "c.csv"}

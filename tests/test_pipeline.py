@@ -6,12 +6,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from table_paths import SF001
-from quarry.operators.annotate import annotate, offline_client_factory
+from offline import offline
+from quarry.operators.annotate import annotate, latency_report, recorded
 from quarry.operators.filters import missing_summary
 from quarry.plans.backfill import backfill_rows, run_backfill
 from quarry.plans.ingest import IngestParams, ingest_rows, run_ingest
 from quarry.sources import landing as LD
-from quarry.sources.archive import VersionedTable, to_silver
+from quarry.sources.archive import append_silver, read_silver, to_silver
 
 AS_OF = dt.datetime(2025, 12, 31, 12, 0, 0)
 
@@ -25,11 +26,11 @@ def test_ingest_twice_adds_nothing(spark, pages, tmp_path):
     arch = str(tmp_path / "silver")
     p = IngestParams(as_of=AS_OF, lookback_days=None, topic="T")
     first = run_ingest(pages, arch, p, content=LD.content(spark, SF001),
-                       client_factory=offline_client_factory())
-    assert first == {"known": 0, "new": 198, "annotated": 198, "fetched": 0}
+                       answerer=offline())
+    assert first == {"new": 198, "annotated": 198, "failed": 0, "fetched": 0, "updated": 0, "unreadable_pages": 0}
     second = run_ingest(pages, arch, p, content=LD.content(spark, SF001),
-                        client_factory=offline_client_factory())
-    assert second["known"] == 198 and second["new"] == 0
+                        answerer=offline())
+    assert second["new"] == 0
     s = spark.read.parquet(arch)
     assert s.count() == 198 and s.select("url").distinct().count() == 198
     assert s.filter("relevance_topic = 'T'").count() == 198
@@ -39,7 +40,7 @@ def test_ingest_twice_adds_nothing(spark, pages, tmp_path):
 def test_two_topics_on_one_archive(spark, pages, tmp_path):
     arch = str(tmp_path / "silver")
     runs = [run_ingest(pages, arch, IngestParams(as_of=AS_OF, lookback_days=None, topic=t)) for t in ("A", "0075", "A")]
-    assert [(m["known"], m["new"]) for m in runs] == [(0, 198), (0, 198), (198, 0)]
+    assert [m["new"] for m in runs] == [198, 198, 0]
     from quarry.sources.archive import read_silver
     got = {r.topic_slug: r["count"] for r in read_silver(spark, arch).groupBy("topic_slug").count().collect()}
     assert got == {"A": 198, "0075": 198}      # rows without an answer stay in their topic
@@ -74,7 +75,7 @@ def test_prefix_is_subset_of_filter(spark, pages):
 
 def test_backfill_leaves_complete_rows(spark, tmp_path):
     arch = LD.actions(spark, SF001).drop("page", "pos")
-    out = backfill_rows(arch, offline_client_factory(), content=LD.content(spark, SF001), today="2025-12-31")
+    out = backfill_rows(arch, offline(), content=LD.content(spark, SF001), today="2025-12-31")
     before = {r.url: r for r in arch.collect()}
     after = {r.url: r for r in out.collect()}
     assert len(after) == len(before)
@@ -90,23 +91,138 @@ def test_backfill_leaves_complete_rows(spark, tmp_path):
     assert out.filter("updated").count() == arch.filter(missing_summary()).count()
 
 
-def test_run_backfill_versions(spark, tmp_path):
-    t = VersionedTable(spark, str(tmp_path / "silver"))
-    t.write(to_silver(LD.actions(spark, SF001).drop("doc_id", "page", "pos")))
-    n_missing = t.read().filter(missing_summary()).count()
-    n = run_backfill(t, offline_client_factory(), content=LD.content(spark, SF001), topic="Env")
-    assert n == n_missing and t.current() == 2
-    assert t.read().filter(missing_summary()).count() == 0
-    assert run_backfill(t, offline_client_factory(), content=LD.content(spark, SF001)) == 0
-    assert t.current() == 2
+def _files(path):
+    import os
+    return {os.path.relpath(os.path.join(d, f), path): os.stat(os.path.join(d, f)).st_mtime_ns
+            for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")}
+
+
+def test_backfill_rewrites_only_touched_partitions(spark, tmp_path):
+    path = str(tmp_path / "silver")
+    actions = LD.actions(spark, SF001).drop("doc_id", "page", "pos")
+    append_silver(to_silver(actions), path, "b")
+    # a row without a topic of its own that belongs to the dataset 0075
+    from quarry.sources.archive import silver_of_topic
+    append_silver(silver_of_topic(actions.limit(3).withColumn("relevance_topic", F.lit(None).cast("string")), "0075"), path, "odd")
+    before, n = _files(path), read_silver(spark, path).filter(missing_summary()).filter("topic_slug = 'src1'").count()
+    got = run_backfill(spark, path, offline(), dataset="src1", topic="Env", content=LD.content(spark, SF001))
+    after = _files(path)
+    assert got == n > 0
+    assert {f for f in before if f.startswith("topic_slug=src1/")}.isdisjoint(after)
+    assert {f: t for f, t in before.items() if not f.startswith("topic_slug=src1/")} == {
+        f: t for f, t in after.items() if not f.startswith("topic_slug=src1/")}
+    rows = read_silver(spark, path)
+    assert rows.count() == 203 and rows.filter("topic_slug = 'src1'").filter(missing_summary()).count() == 0
+    run_backfill(spark, path, offline(), dataset="0075", topic="Env", content=LD.content(spark, SF001))
+    assert {r.topic_slug for r in read_silver(spark, path).filter("batch = 'odd'").collect()} == {"0075"}
+    assert run_backfill(spark, path, offline(), dataset="src1", content=LD.content(spark, SF001)) == 0
+    assert run_backfill(spark, str(tmp_path / "none"), offline()) == 0
+
+
+@pytest.mark.parametrize("stop", ["before the note", "after the note"])
+def test_killed_rewrite_blocks_nothing(spark, tmp_path, monkeypatch, stop):
+    from quarry.sources import archive as A
+    path = str(tmp_path / "silver")
+    append_silver(to_silver(LD.actions(spark, SF001).drop("doc_id", "page", "pos")), path, "b")
+    calls = []
+
+    def answers(texts, keys, topic):
+        calls.append(1)
+        return offline()(texts, keys, topic)
+
+    def dead(*_):
+        raise RuntimeError("lost here")
+    with monkeypatch.context() as m:
+        m.setattr(A, "_overwrite_partitions" if stop == "after the note" else "_rewrite_note", dead)
+        with pytest.raises(RuntimeError):
+            from quarry.plans import backfill as B
+            if stop == "before the note":
+                m.setattr(B, "staged_rewrite", lambda *_: None)
+            B.run_backfill(spark, path, answers, content=LD.content(spark, SF001), name="n")
+    first = len(calls)
+    n = run_backfill(spark, path, answers, content=LD.content(spark, SF001), name="n")
+    assert n > 0 and read_silver(spark, path).filter(missing_summary()).count() == 0
+    assert len(calls) == (first if stop == "after the note" else first + 1)
+    append_silver(to_silver(LD.actions(spark, SF001).drop("doc_id", "page", "pos").limit(5)), path, "b")
+    assert run_backfill(spark, path, answers, name="n") == n             # done: nothing is copied again
+    assert read_silver(spark, path).filter("batch = 'b'").count() < 200
+
+
+def test_run_again_after_any_write(spark, tmp_path, monkeypatch):
+    """PIP1: a failure after each write, then the same run again: one copy of every row and text."""
+    from quarry.plans import ingest as G
+    listing, articles = _listing_over_pages(spark), LD.article_pages(spark, SF001)
+    n = articles.count()
+    for stop in ("append_content", "record_outcomes", "append_known", "append_silver"):
+        base = str(tmp_path / stop)
+        kw = dict(name="run", article_pages=articles, content_path=f"{base}/c", known_path=f"{base}/k", retry_path=f"{base}/r",
+                  pages_path=f"{base}/p", answerer=offline())
+        params = IngestParams(as_of=AS_OF, lookback_days=None, container="article")
+        whole = getattr(G, stop)
+
+        def broken(*a, _whole=whole, **k):
+            _whole(*a, **k)
+            raise RuntimeError("lost here")
+        with monkeypatch.context() as m:
+            m.setattr(G, stop, broken)
+            with pytest.raises(RuntimeError):
+                run_ingest(listing, f"{base}/a", params, **kw)
+        assert run_ingest(listing, f"{base}/a", params, **kw)["new"] == n
+        for x in "ackr":
+            assert spark.read.parquet(f"{base}/{x}").count() == n, (stop, x)
+
+
+def test_unreadable_listing_page_is_reported(spark, pages, tmp_path):
+    broken = pages.withColumn("html", F.when(F.col("page") != 4, F.col("html")))
+    path = str(tmp_path / "pages")
+    m = run_ingest(broken, str(tmp_path / "silver"), IngestParams(as_of=AS_OF, lookback_days=None), pages_path=path)
+    assert m["unreadable_pages"] == 1 and 0 < m["new"] < 40             # the crawl ends there, and says so
+    got = {r.page: r for r in spark.read.parquet(path).collect()}
+    assert got[4].error == "no page" and got[4].n_found == 0 and got[3].n_new == got[3].n_found > 0 and got[5].n_new == 0
+
+
+def test_recorded_attempts(spark):
+    texts = spark.createDataFrame([("a", "t"), ("b", "t"), ("c", "t"), ("d", "t"), ("e", ""), ("f", None)], "url string, text string")
+    calls = spark.createDataFrame(
+        [("a", 1, "m1", "Summary: A\nRelevant: yes", None, 1.0), ("a", 2, "m2", "late", None, 50.0),
+         ("b", 1, "m1", None, "x1", 2.0), ("b", 2, "m2", "one line", None, 3.0),
+         ("c", 1, "m1", None, "x1", 4.0), ("c", 2, "m2", None, "x2", 5.0), ("e", 1, "m1", "never sent", None, 9.0)],
+        "url string, attempt int, model string, response string, error string, latency_ms double")
+    got = {r.url: r for r in annotate(texts, recorded(calls)).collect()}
+    pick = lambda u: (got[u].model_used, got[u].error, got[u].latency_ms, got[u].n_attempts, got[u].description, got[u].relevant_eo)
+    assert pick("a") == ("m1", None, 1.0, 1, "A", "Yes")
+    assert pick("b") == ("m2", None, 5.0, 2, "one line", "No")
+    assert pick("c") == (None, "x2", 9.0, 2, None, None)
+    assert pick("d") == (None, "no recorded answer", None, 0, None, None)
+    assert pick("e") == pick("f") == (None, None, None, None, None, None)
+
+
+def test_latency_quantiles(spark):
+    rows = spark.range(1, 1001).selectExpr("cast(id as double) latency_ms", "'m' model_used", "cast(null as string) error", "1 n_attempts")
+    r = latency_report(rows).first()
+    assert (r.p50_ms, r.p90_ms, r.p99_ms, r.n_rows, r.n_retries) == (500.0, 900.0, 990.0, 1000, 0)
+
+
+def test_retries_end(spark, tmp_path):
+    from quarry.plans.retries import due, outcomes, record_outcomes, retry_round
+    path = str(tmp_path / "r")
+    texts = LD.content(spark, SF001).limit(20)
+    dead = offline(("gpt-4o", "gpt-4o-mini"))
+    record_outcomes(annotate(texts, dead, parse=False), path, "1")
+    assert due(outcomes(spark, path)).count() == 20
+    for name in ("2", "3"):
+        assert retry_round(texts, path, dead, name).count() == 20
+    assert retry_round(texts, path, offline(), "4").count() == 0          # six attempts each are used up
+    assert retry_round(texts, path, offline(), "4", max_attempts=7).count() == 20
+    assert due(outcomes(spark, path), 100).count() == 0
 
 
 def test_fallback_and_error_isolation(spark):
     df = LD.content(spark, SF001).limit(20)
-    fb = annotate(df, offline_client_factory(fail_models=("gpt-4o",)), keys=("url",))
+    fb = annotate(df, offline(("gpt-4o",)), keys=("url",))
     rows = fb.collect()
     assert {r.model_used for r in rows} == {"gpt-4o-mini"} and all(r.error is None for r in rows)
-    dead = annotate(df, offline_client_factory(fail_models=("gpt-4o", "gpt-4o-mini")), keys=("url",))
+    dead = annotate(df, offline(("gpt-4o", "gpt-4o-mini")), keys=("url",))
     rows = dead.collect()
     assert len(rows) == 20
     assert all(r.response is None and r.description is None and "unavailable" in r.error for r in rows)
@@ -114,8 +230,8 @@ def test_fallback_and_error_isolation(spark):
 
 def test_concurrent_calls_same_answers(spark):
     df = LD.content(spark, SF001)
-    a = annotate(df, offline_client_factory(), keys=("url",), concurrency=4, partitions=3)
-    b = annotate(df, offline_client_factory(), keys=("url",))
+    a = annotate(df, offline(concurrency=4, partitions=3), keys=("url",))
+    b = annotate(df, offline(), keys=("url",))
     cols = ["url", "description", "relevant_eo", "full_summary"]
     assert a.select(cols).exceptAll(b.select(cols)).count() == 0
 
@@ -138,7 +254,7 @@ def test_ingest_fetches_pages_and_saves_content(spark, tmp_path):
     arch, cont = str(tmp_path / "silver"), str(tmp_path / "content")
     m = run_ingest(listing, arch, IngestParams(as_of=AS_OF, lookback_days=None, container="article"),
                    article_pages=LD.article_pages(spark, SF001), content_path=cont,
-                   client_factory=offline_client_factory())
+                   answerer=offline())
     n_pages = LD.article_pages(spark, SF001).count()
     assert m["new"] == n_pages and m["fetched"] == n_pages and m["annotated"] == n_pages
     saved = spark.read.parquet(cont)
@@ -174,41 +290,39 @@ def test_dashboard_frames(spark, tmp_path):
 def test_scheduled_preset(spark, pages, tmp_path):
     from quarry.plans.ingest import SCHEDULED_TOPIC, run_scheduled
     m = run_scheduled(pages, str(tmp_path / "silver"), AS_OF, content=LD.content(spark, SF001),
-                      client_factory=offline_client_factory())
+                      answerer=offline())
     s = spark.read.parquet(str(tmp_path / "silver"))
     # 15-day lookback from 2025-12-31 12:00, topic stamped on every annotated row
     assert 0 < m["new"] == s.count() < 60
     assert s.filter(F.col("relevance_topic") != SCHEDULED_TOPIC).count() == 0
 
 
-def test_known_index_prunes_and_dedups(spark, pages, tmp_path, capsys):
-    from quarry.operators.crawl import known_hits
-    from quarry.sources.archive import read_known_index
-    arch, idx = str(tmp_path / "silver"), str(tmp_path / "known")
+def test_known_table_dedups_by_topic(spark, pages, tmp_path):
+    from quarry.sources.archive import read_known
+    arch, known = str(tmp_path / "silver"), str(tmp_path / "known")
     p = IngestParams(as_of=AS_OF, lookback_days=None)
-    first = run_ingest(pages, arch, p, known_index=idx)
-    assert first["new"] == 198
-    second = run_ingest(pages, arch, p, known_index=idx)
-    assert second["new"] == 0 and spark.read.parquet(arch).count() == 198
-    known = read_known_index(spark, idx)
-    assert known.count() == 198
-    items = LD.actions(spark, SF001).filter("page = 1").select("page", "pos", "url")
-    hits = known_hits(items, known)
-    hits.explain("formatted")
-    plan = capsys.readouterr().out
-    assert "array_contains(Subquery" in plan       # bucket pruning at scan time
-    assert hits.count() == 10
-
-
-def test_content_table_read_by_bucket(spark, tmp_path, capsys):
+    assert run_ingest(pages, arch, p, known_path=known)["new"] == 198
+    assert run_ingest(pages, arch, p, known_path=known)["new"] == 0 and spark.read.parquet(arch).count() == 198
+    assert read_known(spark, known).count() == 198 and read_known(spark, known, "other").count() == 0
+
+
+def test_known_table_of_another_session(spark, tmp_path):
+    """A session that hasn't declared the table finds its partitions."""
+    from quarry.sources.archive import append_known, known_table, read_known
+    path = str(tmp_path / "it's known")
+    append_known(spark.range(5).selectExpr("concat('u', id) as url"), path, "a topic", "b1")
+    spark.sql(f"DROP TABLE {known_table(spark, path)}")
+    assert read_known(spark, path, "a topic").count() == 5
+
+
+def test_content_table(spark, tmp_path):
     from quarry.plans.ingest import window_text
-    from quarry.sources.archive import append_content
+    from quarry.sources.archive import append_content, read_content
     path = str(tmp_path / "content")
-    append_content(LD.content(spark, SF001).withColumn("text_file", F.lit("t.txt")), path)
-    content = spark.read.parquet(path)
+    for _ in range(2):
+        append_content(LD.content(spark, SF001).withColumn("text_file", F.lit("t.txt")), path, "b")
     window = LD.actions(spark, SF001).filter("page = 2").select("url")
-    got = window_text(window, content, None)
-    got.explain("formatted")
-    assert "array_contains(Subquery" in capsys.readouterr().out
+    got = window_text(window, read_content(spark, path), None)
     exp = {r.url: r.text for r in LD.content(spark, SF001).join(window, "url").collect()}
     assert {r.url: r.text for r in got.collect()} == exp and len(exp) == 10
+    assert read_content(spark, path, but="b").count() == 0

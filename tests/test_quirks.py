@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 
-from quarry.operators.annotate import annotate, offline_client_factory
+from offline import offline
+from quarry.operators.annotate import annotate
 from quarry.operators.crawl import crawl_window
 from quarry.operators.filters import dashboard_filter, search
 from quarry.plans.backfill import run_backfill_csv
@@ -78,7 +79,7 @@ def test_page_gap_and_known_stop(spark):
 
 def test_q8_sentinel_and_empty_never_annotated(spark):
     df = spark.createDataFrame([("a", ""), ("b", None), ("c", "Some text here.")], "url string, text string")
-    out = {r.url: r for r in annotate(df, offline_client_factory(), keys=("url",)).collect()}
+    out = {r.url: r for r in annotate(df, offline(), keys=("url",)).collect()}
     assert out["a"].response is None and out["b"].response is None and out["a"].error is None
     assert out["c"].response is not None
     assert out["c"].description == "A text of 3 words and 15 characters."
@@ -102,7 +103,7 @@ def test_backfill_csv_round_trip(spark, tmp_path):
     rows = [row(url="u1", title="One", desc="done", rel="Yes"), row(url="u2", title="Two")]
     write_archive_csv(spark.createDataFrame(rows, SCHEMA).coalesce(1), src, mode="overwrite")
     content = spark.createDataFrame([("u1", "Text one."), ("u2", "Text two is here.")], "url string, text string")
-    n = run_backfill_csv(spark, src, out, offline_client_factory(), content=content, topic="Env")
+    n = run_backfill_csv(spark, src, out, offline(), content=content, topic="Env")
     got = {r.url: r for r in read_archive_csv(spark, out).collect()}
     assert n == 1 and got["u1"].description == "done" and got["u1"].relevance_topic in (None, "")
     assert got["u2"].description == "A text of 4 words and 17 characters."
@@ -124,7 +125,7 @@ def test_backfill_duplicate_rows_do_not_fan_out(spark):
             row(url="e", title="Done", desc="x", rel="Yes")]
     archive = spark.createDataFrame(rows, SCHEMA)
     content = spark.createDataFrame([("d", "One two three."), ("e", "Four.")], "url string, text string")
-    out = backfill_rows(archive, offline_client_factory(), content=content).collect()
+    out = backfill_rows(archive, offline(), content=content).collect()
     assert len(out) == 4
     updated = [r for r in out if r.updated]
     assert len(updated) == 3 and {r.description for r in updated} == {"A text of 3 words and 14 characters."}

@@ -31,21 +31,22 @@ def test_late_events_count(spark, tmp_path):
 
 def test_batch_run_again_after_any_write(spark, tmp_path, monkeypatch):
     """A failure after each of the three writes, then the same batch again: one copy of every row."""
+    from quarry.plans import ingest as G
     from quarry.streaming import incremental as I
     from test_pipeline import _listing_over_pages
     params = IngestParams(as_of=dt.datetime(2025, 12, 31, 12), lookback_days=None, container="article")
     pages, articles = _listing_over_pages(spark), LD.article_pages(spark, SF001)
     n = articles.count()
-    for stop in ("append_content", "append_known_index", "append_silver"):
+    for stop in ("append_content", "append_known", "append_silver"):
         arch, idx, cont = (str(tmp_path / f"{stop}-{x}") for x in ("a", "i", "c"))
-        kw = dict(article_pages=articles, known_index=idx, content_path=cont, name="stream-x-0")
-        whole = getattr(I, stop)
+        kw = dict(article_pages=articles, known_path=idx, content_path=cont, name="stream-x-0")
+        whole = getattr(G, stop)
 
         def broken(*a, _whole=whole, **k):
             _whole(*a, **k)
             raise RuntimeError("lost here")
         with monkeypatch.context() as m:
-            m.setattr(I, stop, broken)
+            m.setattr(G, stop, broken)
             try:
                 I.ingest_batch(pages, arch, params, **kw)
             except RuntimeError:
@@ -90,7 +91,49 @@ def test_incremental_with_index_and_pages(spark, tmp_path):
     _listing_over_pages(spark).write.parquet(land)
     params = IngestParams(as_of=dt.datetime(2025, 12, 31, 12), lookback_days=None, container="article")
     run_incremental(spark, land, arch, chk, params, article_pages=LD.article_pages(spark, SF001),
-                    known_index=idx, content_path=cont)
+                    known_path=idx, content_path=cont)
     n = LD.article_pages(spark, SF001).count()
     assert spark.read.parquet(arch).count() == n
     assert spark.read.parquet(idx).count() == n and spark.read.parquet(cont).count() == n
+
+
+def test_statuses_of_listed_urls():
+    from quarry.streaming.seen import statuses
+    remembered = {"a": 10, "z": 3}
+    rows = [("a", 12), ("b", 9), ("b", 9), ("c", 4), ("z", 4), (None, 9), ("", 1), ("d", None)]
+    assert statuses(rows, remembered, 5) == ["repeat", "new", "repeat", "late", "late", "new", "new", "new"]
+    assert remembered == {"a": 12, "b": 9, "z": 3}
+
+
+def test_bounded_memory_over_three_landings(spark, tmp_path):
+    """A URL is new once within the window; older rows are set aside, each of them; the archive holds every URL once."""
+    from quarry.sources.archive import read_silver
+    from quarry.streaming.incremental import ingest_late, late_items, run_deduplicated
+    a = LD.actions(spark, SF001)
+    land, arch, chk, late = (str(tmp_path / x) for x in ("land", "silver", "chk", "late"))
+    params = IngestParams(as_of=dt.datetime(2025, 12, 31, 12), lookback_days=None)
+    pages = LD.listing_pages(a)
+    for cut in ("page <= 5", "page <= 8", "page > 3"):
+        pages.filter(cut).coalesce(1).write.mode("append").parquet(land)
+        run_deduplicated(spark, land, arch, chk, params, window_days=30, late_path=late)
+    set_aside = {(r.page, r.url) for r in late_items(spark, late).collect()}
+    before = {r.url for r in read_silver(spark, arch).collect()}
+    items = {(r.page, r.url) for r in a.filter("date <> ''").collect()}
+    # two items a day: after the first landing the watermark is 30 days, 15 items, back
+    assert set_aside and before and before | {u for _, u in set_aside} == {u for _, u in items}
+    ingest_late(spark, late, arch, params)
+    ingest_late(spark, late, arch, params)                 # again under the same name
+    got = [r.url for r in read_silver(spark, arch).collect()]
+    assert sorted(got) == sorted(u for _, u in items)
+
+
+def test_stream_metrics_of_each_micro_batch(spark, tmp_path):
+    from quarry.streaming.metrics import read_metrics
+    land, arch, chk, met = (str(tmp_path / x) for x in ("land", "silver", "chk", "metrics"))
+    pages = LD.listing_pages(LD.actions(spark, SF001))
+    pages.filter("page <= 4").coalesce(1).write.parquet(land)
+    pages.filter("page > 4").withColumn("html", F.when(F.col("page") != 9, F.col("html"))).coalesce(1).write.mode("append").parquet(land)
+    run_incremental(spark, land, arch, chk, IngestParams(as_of=dt.datetime(2025, 12, 31, 12), lookback_days=None),
+                    files_per_batch=1, metrics_path=met)
+    got = {r.number: (r.n_pages, r.n_empty) for r in read_metrics(spark, met).collect()}
+    assert got == {0: (4, 0), 1: (16, 1)}
