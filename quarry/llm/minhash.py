@@ -14,17 +14,14 @@ of the buckets with probability under ``MISSED``: 24 at 0.85, 35 at 0.80.
 
 *Verification* on the full sets.  In each bucket every class is compared with
 one pivot, the class that shares buckets with the most others, and the links
-found are contracted to components.  A class x that is not similar to the
-pivot P can be similar to a class y of the bucket only if they share a
-shingle outside P, unless y is clearly smaller: if all they share lies in P,
-|x & y| <= |x & P|, so t (|x| + |y|) <= (100 + t) |x & P| must hold
-for a threshold of t hundredths.  So the
-classes of a bucket that still has several components go on to buckets of
-(pivot, shingle outside the pivot), where the same follows with a new pivot;
-the few pairs that the size condition lets by are compared directly.  What
-remains in different components of one of these small buckets is compared
-pair by pair.  The pairs of a group of near copies are never listed, and no
-candidate pair across components is left out.
+found are contracted to components; buckets that are one component are done,
+and the others do this again without their pivot, ``ROUNDS`` times.  That is
+linear in the entries and links the groups of near copies.  In a bucket that
+still has several components, all classes outside its largest component are
+compared with all others: both are dealt out to blocks of about ``BLOCK``
+classes, and a task gets the sets of two blocks and returns links only.  So
+each set moves once for each opposite block, the pairs of a bucket are never
+listed, and no candidate pair across components is left out.
 
 The result has one row per document; a component's id is its smallest doc_id.
 Documents without words have no shingles and are alone.  Rows that repeat an
@@ -52,8 +49,10 @@ ROWS = 5
 MISSED = 1e-6
 #: Similarity in hundredths.
 THRESHOLD = 85
-#: Rounds of pivots before the rest is compared pair by pair.
+#: Rounds of pivots before the rest is compared block by block.
 ROUNDS = 3
+#: Classes, about, of a block whose sets are in one task together with another block's.
+BLOCK = 256
 
 _U = np.uint64
 _PI1, _PI2 = _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
@@ -190,23 +189,6 @@ def linked(threshold: int) -> Column:
     return F.expr(f"100 * both >= {threshold} * (na + nb - both)")
 
 
-def outside(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, element): the shingles of b that a lacks."""
-    def find(batches):
-        for batch in batches:
-            lists = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                u, v = np.frombuffer(x.as_buffer(), _U), np.frombuffer(y.as_buffer(), _U)
-                lists.append(np.setdiff1d(v, u, assume_unique=True).view(np.int64))
-            ends = np.cumsum([0] + [len(z) for z in lists]).astype(np.int32)
-            flat = np.concatenate(lists) if lists else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["a", "b", "elements"])
-
-    return (_both_sets(pairs, sets).mapInArrow(find, "a binary, b binary, elements array<long>")
-            .select("a", "b", F.explode("elements").alias("element")))
-
-
 def _several(entries: DataFrame, value: str) -> DataFrame:
     """(band, key, low) of the buckets with more than one value of this column."""
     return (entries.groupBy("band", "key").agg(F.min(value).alias("low"), F.max(value).alias("high"))
@@ -238,19 +220,52 @@ def _open(buckets: DataFrame, labels: DataFrame) -> DataFrame:
     return materialize(entries.join(several, ["b1", "b2"]).select("b1", "b2", "cid", "comp"), "open-entries")
 
 
-def _small_pairs(rest: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """Links of the pairs that may be similar though all they share lies in the pivot."""
-    x = rest.where("not near").select("b1", "b2", F.col("cid").alias("a"), F.col("comp").alias("u"), F.col("both").alias("i"), F.col("n").alias("na"))
-    floor = rest.groupBy("b1", "b2").agg(F.min("n").alias("least"))
-    room = f"{100 + threshold} * i >= {threshold} * "
-    x = x.join(floor, ["b1", "b2"]).where(room + "(na + least)")
-    most = x.groupBy("b1", "b2").agg(F.max(F.expr(f"{100 + threshold} * i - {threshold} * na")).alias("room"))
-    y = (rest.join(most, ["b1", "b2"]).where(f"room >= {threshold} * n")
-         .select("b1", "b2", F.col("cid").alias("b"), F.col("comp").alias("v"), "near", F.col("both").alias("j"), F.col("n").alias("nb")))
-    pairs = (x.join(y, ["b1", "b2"])
-             .where(f"u <> v and {room} (na + nb) and (near or {100 + threshold} * j >= {threshold} * (na + nb))")
-             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    return materialize(compared(pairs, sets), "compared").where(linked(threshold))
+def block_links(x_sets: list[np.ndarray], x_comp: np.ndarray, y_sets: list[np.ndarray], y_comp: np.ndarray,
+                threshold: int) -> tuple[np.ndarray, np.ndarray]:
+    """(i, j) with sets x_i and y_j of different components similar; one j for each i and component of j."""
+    size = np.array([len(v) for v in y_sets], np.int64)
+    token = np.concatenate([*y_sets, np.zeros(0, _U)])
+    order = np.argsort(token, kind="stable")
+    token, owner = token[order], np.repeat(np.arange(len(size)), size)[order]
+    left, right = [], []
+    for i, v in enumerate(x_sets):
+        lo, hi = np.searchsorted(token, v, "left"), np.searchsorted(token, v, "right")
+        count = hi - lo
+        at = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count) + np.repeat(lo, count)
+        both = np.bincount(owner[at], minlength=len(size))
+        near = np.flatnonzero((100 * both >= threshold * (len(v) + size - both)) & (y_comp != x_comp[i]))
+        near = near[np.unique(y_comp[near], return_index=True)[1]]
+        left.append(np.full(len(near), i))
+        right.append(near)
+    none = [np.zeros(0, np.int64)]
+    return np.concatenate(left + none), np.concatenate(right + none)
+
+
+def _block_pairs(now: DataFrame, sets: DataFrame, threshold: int, block: int) -> DataFrame:
+    """Links (a, b) within buckets that hold several components, compared block by block."""
+    per = now.groupBy("b1", "b2", "comp").agg(F.count("*").alias("k"))
+    plan = per.groupBy("b1", "b2").agg(F.max(F.struct("k", "comp")).alias("top"), F.sum("k").alias("n")).select(
+        "b1", "b2", F.col("top.comp").alias("main"), F.ceil(F.col("n") / block).cast("int").alias("g"),
+        F.ceil((F.col("n") - F.col("top.k")) / block).cast("int").alias("gm"))
+    rows = now.join(plan, ["b1", "b2"])
+    spot = F.xxhash64("cid")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    keys = ["b1", "b2", "i", "j"]
+    left = rows.where("comp <> main").select("b1", "b2", F.pmod(spot, F.col("gm")).cast("int").alias("i"), every("g").alias("j"), "cid", "comp", F.lit(True).alias("x"))
+    right = rows.select("b1", "b2", every("gm").alias("i"), F.pmod(spot, F.col("g")).cast("int").alias("j"), "cid", "comp", F.lit(False).alias("x"))
+    dealt = left.unionByName(right).join(sets, "cid").select(*keys, "cid", "comp", "x", "shingles")
+
+    def compare(group: pa.Table) -> pa.Table:
+        cids, comps = group.column("cid").to_pylist(), group.column("comp").to_pylist()
+        number = {c: k for k, c in enumerate(dict.fromkeys(comps))}
+        comp = np.array([number[c] for c in comps], np.int64)
+        is_x = np.array(group.column("x").to_pylist(), bool)
+        every_set = [np.frombuffer(v.as_buffer(), _U) for v in group.column("shingles")]
+        xs, ys = np.flatnonzero(is_x), np.flatnonzero(~is_x)
+        i, j = block_links([every_set[k] for k in xs], comp[xs], [every_set[k] for k in ys], comp[ys], threshold)
+        return pa.table({"a": pa.array([cids[xs[k]] for k in i], pa.binary()), "b": pa.array([cids[ys[k]] for k in j], pa.binary())})
+
+    return dealt.groupBy(*keys).applyInArrow(compare, "a binary, b binary").distinct()
 
 
 def row_key() -> Column:
@@ -258,7 +273,7 @@ def row_key() -> Column:
     return F.struct(F.col("doc_id"), F.xxhash64("text"))
 
 
-def grouped(docs: DataFrame, threshold: int, rounds: int) -> DataFrame:
+def grouped(docs: DataFrame, threshold: int, rounds: int, block: int = BLOCK) -> DataFrame:
     """row, n_shingles, comp of every row of ``docs``; rows without words have no comp."""
     docs = docs.select("doc_id", "text")
     keyed = docs.select(row_key().alias("doc_id"), "text")
@@ -267,46 +282,32 @@ def grouped(docs: DataFrame, threshold: int, rounds: int) -> DataFrame:
                .agg(F.first("bands").alias("bands")))
     spread = materialize(classes.select("cid", F.posexplode("bands").alias("band", "key")), "band-entries")
     shared = _several(spread, "cid")
-    # a bucket is two values: band and key at first, pivot and shingle later
     buckets = materialize(spread.join(shared.select("band", "key"), ["band", "key"])
-                          .select(F.encode(F.col("band").cast("string"), "UTF-8").alias("b1"), F.col("key").alias("b2"), "cid"), "buckets")
+                          .select(F.col("band").alias("b1"), F.col("key").alias("b2"), "cid"), "buckets")
     sets = materialize(
         class_sets(_text_of_classes(docs, sketch, buckets.select("cid").distinct())).dropDuplicates(["cid"]), "class-sets")
 
     labels = materialize(buckets.select("cid").distinct().withColumn("comp", F.col("cid")), "components")
+    now = _open(buckets, labels)
     for _ in range(rounds):
-        now = _open(buckets, labels)
         size = now.groupBy("b1", "b2").agg(F.count("*").alias("n"))
         weight = now.join(size, ["b1", "b2"]).groupBy("cid").agg(F.sum("n").alias("w"))
         pivot = (now.join(weight, "cid").groupBy("b1", "b2")
-                 .agg(F.max(F.struct("w", "cid", "comp")).alias("p")).select("b1", "b2", F.col("p.cid").alias("pivot"), F.col("p.comp").alias("home")))
+                 .agg(F.max(F.struct("w", "cid")).alias("p")).select("b1", "b2", F.col("p.cid").alias("pivot")))
         held = materialize(now.join(pivot, ["b1", "b2"]).where("cid <> pivot"), "pivoted-entries")
         tested = materialize(compared(held.select(F.col("pivot").alias("a"), F.col("cid").alias("b")).distinct(), sets), "compared")
         labels = _contracted(labels, tested.where(linked(threshold)))
-        # members beside the pivot that are still in different components
-        rest = _open(held.select("b1", "b2", "cid"), labels)
-        rest = materialize(rest.join(pivot.select("b1", "b2", "pivot"), ["b1", "b2"])
-                           .join(tested.select(F.col("a").alias("pivot"), F.col("b").alias("cid"), "both", F.col("nb").alias("n"),
-                                               linked(threshold).alias("near")), ["pivot", "cid"]), "unresolved")
-        labels = _contracted(labels, _small_pairs(rest, sets, threshold))
-        members = rest.select(F.col("pivot").alias("a"), F.col("cid").alias("b")).distinct()
-        found = outside(members, sets).select(F.col("a").alias("b1"), F.col("element").alias("b2"), F.col("b").alias("cid"))
-        found = materialize(found, "outside-entries")
-        buckets = found.join(_several(found.withColumnsRenamed({"b1": "band", "b2": "key"}), "cid")
-                             .select(F.col("band").alias("b1"), F.col("key").alias("b2")), ["b1", "b2"])
-    left = _open(buckets, labels)
-    other = left.select("b1", "b2", F.col("cid").alias("d"), F.col("comp").alias("other"))
-    pairs = (left.join(other, ["b1", "b2"]).where("cid < d and comp <> other")
-             .select(F.col("cid").alias("a"), F.col("d").alias("b")).distinct())
-    labels = _contracted(labels, materialize(compared(pairs, sets), "compared").where(linked(threshold)))
+        # the pivot has met all of its bucket; the others go on where they are still apart
+        now = _open(held.select("b1", "b2", "cid"), labels)
+    labels = _contracted(labels, materialize(_block_pairs(now, sets, threshold, block), "links-within"))
 
     whole = sketch.where("n_shingles > 0").join(labels, "cid", "left").select("row", "n_shingles", F.coalesce("comp", "cid").alias("comp"))
     return whole.unionByName(sketch.where("n_shingles = 0").select("row", "n_shingles", F.lit(None).cast("binary").alias("comp")))
 
 
-def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, rounds: int = ROUNDS) -> DataFrame:
+def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, rounds: int = ROUNDS, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row of ``docs``."""
-    rows = grouped(docs, threshold, rounds).select(F.col("row.doc_id").alias("doc_id"), "n_shingles", "comp")
+    rows = grouped(docs, threshold, rounds, block).select(F.col("row.doc_id").alias("doc_id"), "n_shingles", "comp")
     whole = rows.where("comp is not null")
     low = whole.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     kept: Column = F.col("doc_id").eqNullSafe(F.col("component_id"))

@@ -39,11 +39,27 @@ def test_near_duplicates(spark, odd, none):
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
     got = rows(minhash.near_duplicates(df).select("doc_id", "n_shingles", "component_id"))
     assert got == sorted(brute.components(docs), key=repr)
+    # no pivots and blocks of a few classes: the same links
+    assert rows(minhash.near_duplicates(df, rounds=0, block=3).select("doc_id", "n_shingles", "component_id")) == got
     kept = minhash.near_duplicates(odd).where("kept").select("doc_id")
     assert {r.doc_id for r in kept.collect()} == {1, 2, 3, 4, 5, 7, 8, 9, 10, None}
     assert minhash.near_duplicates(none).count() == 0
 
 
+def test_block_links():
+    rng = np.random.default_rng(6)
+    base = np.unique(rng.integers(0, 2**63, 300).astype(np.uint64))
+    sets = [np.unique(np.append(rng.choice(base, rng.integers(230, 300), replace=False), rng.integers(0, 2**63, 8).astype(np.uint64))) for _ in range(40)]
+    comp = np.arange(40) % 29
+    for threshold in (60, 80, 85):
+        i, j = minhash.block_links(sets[:15], comp[:15], sets[15:], comp[15:], threshold)
+        near = {(a, comp[b]) for a in range(15) for b in range(15, 40) if comp[a] != comp[b] and
+                100 * len(np.intersect1d(sets[a], sets[b])) >= threshold * len(np.union1d(sets[a], sets[b]))}
+        assert {(a, comp[15 + b]) for a, b in zip(i, j)} == near and len(near) == len(i)
+        assert all(100 * len(np.intersect1d(sets[a], sets[15 + b])) >= threshold * len(np.union1d(sets[a], sets[15 + b])) for a, b in zip(i, j))
+    assert [len(x) for x in minhash.block_links([], np.zeros(0, int), [], np.zeros(0, int), 85)] == [0, 0]
+
+
 def test_signatures_estimate_similarity():
     rng = np.random.default_rng(0)
     a = rng.integers(0, 2**63, 2000).astype(np.uint64)
