@@ -74,6 +74,16 @@ def test_stages_on_odd_rows(spark, odd, as_table):
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == docs.count()
 
 
+def test_stages_keep_columns_named_like_inner_ones(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    docs = spark.createDataFrame([(1, text, "a", "b", "c"), (2, text, "d", "e", "f"), (3, "", "g", "h", "i")],
+                                 "doc_id long, text string, rejected_by string, kept_row string, _kept_row string")
+    assert [tuple(r) for r in corpus_pipeline.quality_rules(spark, docs, SF).orderBy("doc_id").collect()] == [
+        (1, text, "a", "b", "c"), (2, text, "d", "e", "f")]
+    assert [tuple(r) for r in corpus_pipeline.near_dedup(spark, docs, SF).orderBy("doc_id").collect()] == [
+        (1, text, "a", "b", "c"), (3, "", "g", "h", "i")]
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_oracle(spark, name):
     con = duckdb.connect()
