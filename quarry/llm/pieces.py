@@ -21,8 +21,12 @@ Characters without a piece become byte pieces.  Decoding maps ids to piece
 bytes, drops the leading space and must give back the text, byte by byte.
 
 Blocks of documents send their distinct units to hash buckets, so that a unit
-is encoded once however often it occurs, and get the ids back.  The piece
-table is broadcast: its size is the model's, not the data's.
+is encoded once however often it occurs, and get the ids back.  A block is at
+most ``BLOCK_BYTES`` of what one scan task reads; its texts are handled part by
+part.  Questions, units and lattice are partitioned by bucket alike, so that
+what a bucket was asked, its edges and its answers stay in one task.  The piece
+table is broadcast: its size is the model's, not the data's.  Units of more
+symbols than the bit mask holds are encoded by the bucket itself, in Python.
 
 Null and empty texts have no pieces and decode to the empty text.  The space
 sign of the piece table is read as a space, as in the library, so a text that
@@ -33,7 +37,10 @@ rows are encoded one by one; further columns are not read.
 from __future__ import annotations
 
 import heapq
+import itertools
+import re
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -44,11 +51,12 @@ from pyspark.sql import functions as F
 
 from quarry.llm import blocks as bl
 from quarry.llm import textcore as tc
-from quarry.session import materialize
 
 SPACE = "▁"
 #: Bytes of corpus text whose distinct units make a bucket.
 BUCKET_BYTES = 4 << 20
+#: Bytes of text that ask together, and that are handled at once.
+BLOCK_BYTES, PART_BYTES = 32 << 20, 2 << 20
 #: Symbols of a unit that fit the bit mask of boundaries.
 MASK_SYMBOLS = 61
 
@@ -78,6 +86,8 @@ class Pieces:
         with open(path, "rb") as f:
             model.ParseFromString(f.read())
         normal = 1
+        if any(p.type == normal and re.search(f"[^{SPACE}]{SPACE}|\n.|.\n", p.piece) for p in model.pieces):
+            raise ValueError("a piece of this model crosses the units that texts are cut into")
         return cls(tuple(p.piece if p.type == normal else "" for p in model.pieces), tuple(p.score for p in model.pieces),
                    next(i for i, p in enumerate(model.pieces) if p.piece == "<0x00>"), model.trainer_spec.model_type == 2)
 
@@ -134,29 +144,58 @@ def _bucket(key: np.ndarray, count: int) -> np.ndarray:
     return (tc.mix64(key, 23) % _U(count)).astype(np.int64)
 
 
-def _distinct(key: np.ndarray, count: int):
-    """Distinct keys by (bucket, key): a sample unit of each, every unit's number, and the buckets' cuts."""
-    keys, sample, number = np.unique(key, return_index=True, return_inverse=True)
-    bucket = _bucket(keys, count)
-    order, cut = bl.by_bucket(bucket, count)
-    place = np.empty(len(order), np.int64)
-    place[order] = np.arange(len(order))
-    return sample[order], place[number], cut
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
+    """(block, documents): the scan task's documents in parts, and the number of the block that each belongs to."""
+    from pyspark import TaskContext
+
+    task, seq, block, bulk, held, size = TaskContext.get().partitionId(), 0, None, 0, [], 0
+    for batch, texts in tc.chunks(batches, limit=PART_BYTES):
+        n = int(tc.text_bytes(texts)[1][-1])
+        full = block is None or bulk + n > BLOCK_BYTES
+        if held and (full or size + n > PART_BYTES):
+            yield block, pa.Table.from_batches(held)
+            held, size = [], 0
+        if full:  # the number tells blocks apart and changes with their first row
+            first = zlib.crc32(repr(batch.slice(0, 1).to_pydict()).encode())
+            block = int(tc.mix64(np.array([task << 32 | seq], _U), first)[0] >> _U(1))
+            seq, bulk = seq + 1, 0
+        held.append(batch)
+        size, bulk = size + n, bulk + n
+    if held:
+        yield block, pa.Table.from_batches(held)
+
+
+def _gather(data: np.ndarray, start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The ``n`` entries from each start, on end."""
+    total = np.cumsum(n)
+    return data[np.repeat(start - (total - n), n) + np.arange(int(total[-1]) if len(total) else 0)]
 
 
-def _units_asked(count: int):
-    def question(table: pa.Table):
-        data, _, _, start, size, key = _units(table)
-        sample, _, cut = _distinct(key, count)
-        for b in range(count):
-            mine = sample[cut[b]:cut[b + 1]]
-            if len(mine):
-                n = size[mine]
-                total = np.cumsum(n)
-                text = data[np.repeat(start[mine] - (total - n), n) + np.arange(int(total[-1]))]
-                yield b, bl.pack_arrays(size=n.astype(np.uint32), text=text)
+def _one_each(key: np.ndarray, data: np.ndarray, start: np.ndarray, size: np.ndarray):
+    """(keys, size, text) of the distinct units, by key."""
+    keys, sample = np.unique(key, return_index=True)
+    return keys, size[sample], _gather(data, start[sample], size[sample])
+
 
-    return question
+def _units_asked(count: int):
+    """Batches of documents -> (block, bucket, payload): the distinct units of every block, by (bucket, key)."""
+    def run(batches):
+        for block, parts in itertools.groupby(_parts(batches), lambda x: x[0]):
+            keys, size, text = np.zeros(0, _U), np.zeros(0, np.int64), np.zeros(0, np.uint8)
+            for _, table in parts:
+                data, _, _, start, n, key = _units(table)
+                more, n, data = _one_each(key, data, start, n)
+                size = np.concatenate((size, n))
+                keys, size, text = _one_each(np.concatenate((keys, more)), np.concatenate((text, data)), np.cumsum(size) - size, size)
+            order, cut = bl.by_bucket(_bucket(keys, count), count)
+            start = np.cumsum(size) - size
+            for b in np.flatnonzero(np.diff(cut)).tolist():
+                mine = order[cut[b]:cut[b + 1]]
+                payload = bl.pack_arrays(size=size[mine].astype(np.uint32), text=_gather(text, start[mine], size[mine]))
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([b], pa.int32()), pa.array([payload], pa.binary())],
+                                                 names=["block", "bucket", "payload"])
+
+    return run
 
 
 def _asked_units(raw) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -180,10 +219,8 @@ def distinct_units(asked: DataFrame, partitions: int) -> DataFrame:
         return pa.table({"bucket": pa.array([table.column("bucket")[0].as_py()] * len(keys), pa.int32()),
                          "key": pa.array(keys.view(np.int64)), "unit": pa.array(units, pa.string())})
 
-    # spread by the columns that the lattice is grouped by, over as many tasks as buckets:
-    # its edges, many times the units, then stay where they are made
-    return (asked.groupBy("bucket").applyInArrow(run, "bucket int, key long, unit string")
-            .repartition(partitions, "bucket", "key", "unit"))
+    # partitioned like the questions: the lattice and the answers then need no exchange
+    return asked.groupBy("bucket").applyInArrow(run, "bucket int, key long, unit string").repartition(partitions, "bucket")
 
 
 # ---- the lattice -----------------------------------------------------------
@@ -332,8 +369,7 @@ def _merge_long(unit: str, rank: dict[str, int], pieces: Pieces) -> list[int]:
     return out
 
 
-def _viterbi_long(unit: str, pieces: Pieces, unknown: float) -> list[int]:
-    rank = {t: i for i, t in enumerate(pieces.texts) if t}
+def _viterbi_long(unit: str, rank: dict[str, int], pieces: Pieces, unknown: float) -> list[int]:
     best = [(0.0, 0)] + [(-1e300, 0)] * len(unit)
     for e in range(1, len(unit) + 1):
         best[e] = (best[e - 1][0] + unknown, e - 1)
@@ -350,55 +386,53 @@ def _viterbi_long(unit: str, pieces: Pieces, unknown: float) -> list[int]:
 
 
 def encode_units(units: DataFrame, pieces: Pieces) -> DataFrame:
-    """(bucket, key, ids) of every unit."""
-    spark = units.sparkSession
-    unknown = min(pieces.scores) - 10.0
-    short, long = units.where(F.length("unit") <= MASK_SYMBOLS), units.where(F.length("unit") > MASK_SYMBOLS)
-    lattice = edges(short, pieces.table(spark), pieces.longest, pieces.merges)
+    """(bucket, key, ids) of every unit that the bit mask holds and that has an edge."""
+    lattice = edges(units.where(F.length("unit") <= MASK_SYMBOLS), pieces.table(units.sparkSession), pieces.longest, pieces.merges)
     u = F.col("unit")
 
     def fold(e: Column) -> Column:
-        mask = merge_fold(e, u) if pieces.merges else viterbi_fold(e, u, unknown)
+        mask = merge_fold(e, u) if pieces.merges else viterbi_fold(e, u, min(pieces.scores) - 10.0)
         return ids_on(e, u, mask, pieces.bytes_at)
 
-    folded = lattice.select("bucket", "key", _let(_spread(F.col("edges")) if pieces.merges else F.col("edges"), fold).alias("ids"))
-    rank = {t: i for i, t in enumerate(pieces.texts) if t}
+    return lattice.select("bucket", "key", _let(_spread(F.col("edges")) if pieces.merges else F.col("edges"), fold).alias("ids"))
 
-    def longer(batches):
-        for batch in batches:
-            got = [_merge_long(t, rank, pieces) if pieces.merges else _viterbi_long(t, pieces, unknown)
-                   for t in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(got, pa.list_(pa.int32()))],
-                                             names=["bucket", "key", "ids"])
 
-    return folded.unionByName(long.select("bucket", "key", "unit").mapInArrow(longer, "bucket int, key long, ids array<int>"))
+def encode_alone(unit: str, rank: dict[str, int], pieces: Pieces) -> list[int]:
+    """Ids of a unit that the lattice has no answer for: it is too long for the mask, or bytes alone."""
+    if len(unit) <= MASK_SYMBOLS:
+        return [pieces.bytes_at + b for b in unit.encode()]
+    return _merge_long(unit, rank, pieces) if pieces.merges else _viterbi_long(unit, rank, pieces, min(pieces.scores) - 10.0)
 
 
 # ---- documents -------------------------------------------------------------
 
-def _ids_answered(asked: DataFrame, encoded: DataFrame, bytes_at: int) -> DataFrame:
+def _ids_answered(asked: DataFrame, encoded: DataFrame, pieces: Pieces) -> DataFrame:
     """(block, bucket, payload): the ids of the units that each block asked for, in its order."""
+    rank = {t: i for i, t in enumerate(pieces.texts) if t}
+
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        key = right.column("key").combine_chunks().to_numpy().view(_U)
-        lists = right.column("ids").combine_chunks()
-        lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+        key = tc.flat(right.column("key")).to_numpy().view(_U)
+        lists = tc.flat(right.column("ids"))
         flat = lists.flatten().to_numpy().astype(np.uint32)
         size = np.diff(lists.offsets.to_numpy()).astype(np.int64)
-        start = np.cumsum(size) - size
         order = np.argsort(key)
-        key, size, start = key[order], size[order], start[order]
+        key, size, start = key[order], size[order], (np.cumsum(size) - size)[order]
+        alone: dict[int, np.ndarray] = {}
         blocks, payloads = [], []
         for block, raw in zip(left.column("block").to_pylist(), left.column("payload"), strict=True):
             text, first, width, mine = _asked_units(raw.as_buffer())
             at = np.minimum(np.searchsorted(key, mine), max(len(key) - 1, 0))
             has = key[at] == mine if len(key) else np.zeros(len(mine), bool)
-            n = np.where(has, size[at] if len(key) else 0, width)  # a unit without any edge is bytes alone
-            total = np.cumsum(n)
-            out = np.empty(int(total[-1]) if len(total) else 0, np.uint32)
-            inner = np.arange(len(out)) - np.repeat(total - n, n)
-            known = np.repeat(has, n)
-            out[known] = flat[np.repeat(start[at], n)[known] + inner[known]] if len(key) else 0
-            out[~known] = text[np.repeat(first, n)[~known] + inner[~known]].astype(np.uint32) + bytes_at
+            for i in np.flatnonzero(~has).tolist():
+                if int(mine[i]) not in alone:
+                    unit = text[first[i]:first[i] + width[i]].tobytes().decode().replace(" ", SPACE)
+                    alone[int(mine[i])] = np.array(encode_alone(unit, rank, pieces), np.uint32)
+            other = [alone[k] for k in mine[~has].tolist()]
+            n = np.empty(len(mine), np.int64)
+            n[has], n[~has] = size[at[has]] if len(key) else 0, [len(x) for x in other]
+            out, known = np.empty(int(n.sum()), np.uint32), np.repeat(has, n)
+            out[known] = _gather(flat, start[at[has]], n[has]) if len(key) else 0
+            out[~known] = np.concatenate(other) if other else 0
             blocks.append(block)
             payloads.append(bl.pack_arrays(n=n.astype(np.uint32), ids=out))
         bucket = left.column("bucket")[0].as_py() if left.num_rows else 0
@@ -409,57 +443,74 @@ def _ids_answered(asked: DataFrame, encoded: DataFrame, bytes_at: int) -> DataFr
             .applyInArrow(run, "block long, bucket int, payload binary"))
 
 
-def _block_ids(table: pa.Table, found: dict[int, pa.Buffer], count: int):
-    """All ids of the block on end, and the number of ids of each document."""
-    _, _, document, _, _, key = _units(table)
-    _, number, cut = _distinct(key, count)
-    sizes, flat = [], []
-    for b in range(count):
-        if cut[b] < cut[b + 1]:
-            if b not in found:
-                raise RuntimeError("a block got no answer: its documents were read differently the second time")
-            n, ids = bl.unpack_arrays(found[b], n=np.uint32, ids=np.uint32)
-            sizes.append(n)
-            flat.append(ids)
-    size = np.concatenate(sizes).astype(np.int64) if sizes else np.zeros(0, np.int64)
-    flat = np.concatenate(flat) if flat else np.zeros(0, np.uint32)
-    start = np.cumsum(size) - size
-    n = size[number]
-    total = np.cumsum(n)
-    ids = flat[np.repeat(start[number] - (total - n), n) + np.arange(int(total[-1]) if len(total) else 0)]
-    return ids, np.bincount(document, n, table.num_rows).astype(np.int64)
+def _packed(batches):
+    """Batches of documents -> (block, part, docs), the documents packed."""
+    for block, parts in itertools.groupby(_parts(batches), lambda x: x[0]):
+        for i, (_, table) in enumerate(parts):
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([i], pa.int32()), pa.array([bl.pack_table(table.combine_chunks())], pa.binary())],
+                                             names=["block", "part", "docs"])
+
+
+def _encoded(table: pa.Table, ids: np.ndarray, n: np.ndarray, pieces: Pieces, with_ids: bool) -> pa.Table:
+    """The result's rows of a part, from its ids on end and the number of ids of each document."""
+    back, width = pieces.decode(ids)
+    ends = np.concatenate(([0], np.cumsum(n)))
+    made = np.concatenate(([0], np.cumsum(width)))[ends]
+    raw, back = ids.astype("<u4"), back.tobytes()
+    plain, at = tc.text_bytes(tc.text_array(table.column("text")))
+    text = plain.tobytes()
+    out = {
+        "doc_id": table.column("doc_id"), "n_pieces": pa.array(n),
+        "ids_crc32": pa.array([zlib.crc32(raw[a:b].data) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)], pa.int64()),
+        "round_trip": pa.array([back[a + 1:b] == text[c:d] for a, b, c, d in zip(  # without the leading space
+            made[:-1].tolist(), made[1:].tolist(), at[:-1].tolist(), at[1:].tolist(), strict=True)])}
+    if with_ids:
+        out["ids"] = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.astype(np.int32)))
+    return pa.table(out)
 
 
 def encode_documents(docs: DataFrame, pieces: Pieces, with_ids: bool = False) -> DataFrame:
     """doc_id, n_pieces, ids_crc32, round_trip of every document, and its ids if asked for.
 
-    The blocks are read from ``docs`` twice rather than kept, so ``docs``
-    must give the same rows each time, as a table does; else the run stops.
+    The documents are read twice rather than kept, so ``docs`` must give the
+    same rows each time, as a table does; else the run stops.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     source = docs.select("doc_id", "text")
-    blocks = bl.blocks_of(source)
     count = bl.buckets_for(source.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0, BUCKET_BYTES)
-    asked = materialize(bl.ask(blocks, _units_asked(count)), "asked-units")
+    asked = source.mapInArrow(_units_asked(count), "block long, bucket int, payload binary").repartition(count, "bucket")
     encoded = encode_units(distinct_units(asked, count), pieces)
-    answers = _ids_answered(asked, encoded, pieces.bytes_at)
-
-    def use(table: pa.Table, found: dict[int, pa.Buffer]) -> pa.Table:
-        ids, n = _block_ids(table, found, count)
-        back, width = pieces.decode(ids)
-        ends = np.concatenate(([0], np.cumsum(n)))
-        made = np.concatenate(([0], np.cumsum(width)))[ends]
-        raw, back = ids.astype("<u4"), back.tobytes()
-        plain, at = tc.text_bytes(tc.text_array(table.column("text")))
-        text = plain.tobytes()
-        out = {
-            "doc_id": table.column("doc_id"), "n_pieces": pa.array(n),
-            "ids_crc32": pa.array([zlib.crc32(raw[a:b].data) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)], pa.int64()),
-            "round_trip": pa.array([back[a + 1:b] == text[c:d] for a, b, c, d in zip(  # without the leading space
-                made[:-1].tolist(), made[1:].tolist(), at[:-1].tolist(), at[1:].tolist(), strict=True)])}
-        if with_ids:
-            out["ids"] = pa.LargeListArray.from_arrays(pa.array(ends), pa.array(ids.astype(np.int32))).cast(pa.list_(pa.int32()))
-        return pa.table(out)
-
-    return bl.with_answers(blocks, answers, use, f"doc_id {kind}, n_pieces long, ids_crc32 long, round_trip boolean"
-                           + (", ids array<int>" if with_ids else ""))
+    answers = _ids_answered(asked, encoded, pieces)
+    blocks = source.mapInArrow(_packed, "block long, part int, docs binary")
+
+    def use(left: pa.Table, right: pa.Table) -> pa.Table:
+        bl.check_block(left)
+        left = left.sort_by("part")
+        tables, seen = [], []                     # of each part: its units' keys, their numbers, units of each document
+        for packed in left.column("docs"):
+            table = bl.unpack_table(packed.as_buffer())
+            _, _, document, _, _, key = _units(table)
+            keys, number = np.unique(key, return_inverse=True)
+            tables.append(packed)
+            seen.append((keys, number.astype(np.int32), np.bincount(document, minlength=table.num_rows)))
+        keys = np.unique(np.concatenate([k for k, *_ in seen]))
+        order, cut = bl.by_bucket(_bucket(keys, count), count)
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        found = {b.as_py(): p.as_buffer() for b, p in zip(right.column("bucket"), right.column("payload"), strict=True)}
+        if set(found) != set(np.flatnonzero(np.diff(cut)).tolist()):
+            raise RuntimeError("a block got other answers than it asked for: its documents were read differently the second time")
+        got = [bl.unpack_arrays(found[b], n=np.uint32, ids=np.uint32) for b in sorted(found)]
+        size = np.concatenate([np.zeros(0, np.int64)] + [n.astype(np.int64) for n, _ in got])
+        flat = np.concatenate([np.zeros(0, np.uint32)] + [x for _, x in got])
+        start = np.cumsum(size) - size
+        out = []
+        for packed, (mine, number, units) in zip(tables, seen, strict=True):
+            at = place[np.searchsorted(keys, mine)][number]
+            n = size[at]
+            ends = np.concatenate(([0], np.cumsum(n)))[np.concatenate(([0], np.cumsum(units)))]
+            out.append(_encoded(bl.unpack_table(packed.as_buffer()), _gather(flat, start[at], n), np.diff(ends), pieces, with_ids))
+        return pa.concat_tables(out).combine_chunks()
+
+    return (blocks.groupBy("block").cogroup(answers.groupBy("block"))
+            .applyInArrow(use, f"doc_id {kind}, n_pieces long, ids_crc32 long, round_trip boolean" + (", ids array<int>" if with_ids else "")))

@@ -45,6 +45,13 @@ def text_array(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     return pc.fill_null(column.cast(pa.large_string()), "")
 
 
+def flat(column: pa.Array | pa.ChunkedArray) -> pa.Array:
+    """The column as one array."""
+    if isinstance(column, pa.ChunkedArray):
+        return pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
+    return column
+
+
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts on end, and the offset at which each begins (and the last ends)."""
     if len(texts) == 0:
