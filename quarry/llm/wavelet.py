@@ -45,7 +45,9 @@ BLOCK_BITS = 512
 #: Ids in a shard, unless a single document has more.
 SHARD_IDS = 1 << 22
 #: Words that a worker remembers the ids of (about 30 bytes each).
-CACHE_WORDS = 1 << 20
+CACHE_WORDS = 1 << 21
+#: Words that go through the tokenizer as one text.
+TOGETHER = 128
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -67,16 +69,49 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.mark = self._separator()
         self._forget()
 
+    def _plain(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _separator(self) -> tuple[str, int] | None:
+        """A sign of one id that may stand between words without changing their ids, and its id."""
+        for sign in map(chr, range(0xA1, 0x3000)):
+            ids = self._plain(sign)
+            if len(ids) == 1 and self._plain(f"a {sign} {sign} b") == [*self._plain("a"), *ids, *ids, *self._plain("b")]:
+                return sign, ids[0]
+        return None
+
+    def _ids_of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words on end, and the number of ids of each; many words go through the library as one text.
+
+        A text in which the separator's id comes up inside a word as well has
+        more of them than words: its words are encoded one by one.
+        """
+        groups = [texts[a:a + TOGETHER] for a in range(0, len(texts), TOGETHER)]
+        joined = ([] if self.mark is None else
+                  self.tokenizer.encode_batch_fast([f" {self.mark[0]} ".join([*g, ""]) for g in groups], add_special_tokens=False))
+        flat, length = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for k, group in enumerate(groups):
+            if joined:
+                ids = np.array(joined[k].ids, np.uint32)
+                ends = np.flatnonzero(ids == self.mark[1])
+                if len(ends) == len(group):
+                    flat.append(np.delete(ids, ends))
+                    length.append(np.diff(ends, prepend=-1) - 1)
+                    continue
+            alone = [e.ids for e in self.tokenizer.encode_batch_fast(group, add_special_tokens=False)]
+            flat += [np.array(x, np.uint32) for x in alone]
+            length.append(np.array([len(x) for x in alone], np.int64))
+        return np.concatenate(flat), np.concatenate(length)
+
     def _forget(self) -> None:
         self.hashes, self.start = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.length, self.ids = np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
     def _learn(self, hashes: np.ndarray, texts: list[str]) -> None:
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        length = np.fromiter(map(len, got), np.int64, len(got))
-        flat = np.fromiter((i for ids in got for i in ids), np.uint32, int(length.sum()))
+        flat, length = self._ids_of(texts)
         start = len(self.ids) + np.cumsum(length) - length
         at = np.searchsorted(self.hashes, hashes)
         self.hashes, self.start = np.insert(self.hashes, at, hashes), np.insert(self.start, at, start)

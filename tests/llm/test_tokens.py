@@ -36,6 +36,9 @@ def test_token_ids_round_trip(spark, odd, none, tmp_path):
     df = spark.createDataFrame(docs, "doc_id long, text string")
     path = wavelet.tokenizer_path()
     tokenizer = Tokenizer.from_file(path)
+    mark = wavelet.encoder(path).mark[0]
+    docs += [(22, f"one {mark} two{mark} {mark}three {mark}{mark}"), (23, " ".join(f"w{i} {i}é,ü" for i in range(400)))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
     for k, options in enumerate(({}, {"shard_ids": 50, "partitions": 3})):
         got = wavelet.token_ids(df, path, str(tmp_path / f"s{k}"), **options).orderBy("start").collect()
         assert [str(r.doc_id) for r in got] == sorted((str(d) for d, _ in docs), key=lambda x: -1 if x == "None" else int(x))
