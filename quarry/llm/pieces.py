@@ -54,7 +54,7 @@ from quarry.llm import textcore as tc
 
 SPACE = "▁"
 #: Bytes of corpus text whose distinct units make a bucket.
-BUCKET_BYTES = 4 << 20
+BUCKET_BYTES = 2 << 20
 #: Bytes of text that ask together, and that are handled at once.
 BLOCK_BYTES, PART_BYTES = 32 << 20, 2 << 20
 #: Symbols of a unit that fit the bit mask of boundaries.
