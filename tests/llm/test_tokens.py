@@ -60,7 +60,7 @@ def test_pieces_equal_the_library(spark, odd, none, as_table):
     docs = ODD + [(20 + i, "".join(rng.choice(["in", "er", " ", "  ", "tion", "q", "é", "\n", "9", "the", "ing", "\t", "ß"])
                                    for _ in range(rng.randint(0, 80)))) for i in range(80)]
     docs += [(200, " " * 70 + "x" * 90), (201, "supercalifragilistic" * 5)]
-    docs += [(300 + i, "".join(rng.choice(["in", "er", " ", " ", "tion", "q", "é", "\n", "the"]) for _ in range(300_000))) for i in range(6)]  # several parts
+    docs += [(300 + i, "".join(rng.choice(["in", "er", " ", " ", "tion", "q", "é", "\n", "the"]) for _ in range(300_000))) for i in range(12)]  # several parts
     df = as_table(spark.createDataFrame(docs, "doc_id long, text string").repartition(3))
     sp = sentencepiece.SentencePieceProcessor(model_file=pieces.model_path())
     got = rows(pieces.encode_documents(df, pieces.Pieces.load(pieces.model_path()), with_ids=True).select("doc_id", "n_pieces", "round_trip", "ids"))
