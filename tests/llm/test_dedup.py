@@ -91,6 +91,28 @@ def test_repeated_strings(spark, odd, none, as_table, hot):
     assert suffixdedup.repeated_bytes(as_table(none), hot).count() == 0
 
 
+def test_segments_cover_every_window_once():
+    texts = ["a" * 300, "ab" * 100 + "x" + "ab" * 90, "", "short", ("0123456789" * 3 + "z") * 9, "é" * 49, "q" * 50, "a" * 131]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.cumsum([0, *(len(t.encode()) for t in texts)])
+    document, anchor, first, windows = suffixdedup.segments(data, offsets)
+    assert windows.max() <= suffixdedup.MOST
+    got = [(d, f + k) for d, f, w in zip(document, first, windows) for k in range(w)]
+    assert got == [(d, i) for d in range(len(texts)) for i in range(offsets[d], offsets[d + 1] - 49)]
+    by_content = {}
+    for a, f, w in zip(anchor, first, windows):
+        for k in range(w):
+            by_content.setdefault(data[f + k:f + k + 50].tobytes(), set()).add(int(a))
+    assert all(len(a) == 1 for a in by_content.values())    # equal windows have equal anchors
+
+
+def test_periodic_texts(spark, as_table):
+    rng = random.Random(11)
+    docs = [(d, "".join(rng.choice(["ab", "abc", "a", "xyz" * 20]) * rng.randrange(1, 60) for _ in range(4))) for d in range(60)]
+    df = as_table(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert rows(suffixdedup.repeated_bytes(df)) == sorted((brute.repeat_row(*x) for x in brute.repeats(docs)), key=repr)
+
+
 def test_suffix_order():
     rng = np.random.default_rng(2)
     data, start, end = [], [], []
