@@ -104,7 +104,7 @@ class Ledger:
 
 
 def token_counts(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, source, lang, copy (hash of the text), words, pieces of every document.
+    """doc_id, source, lang, copy (the text's hash, 32 bytes), words, pieces of every document.
 
     ``words`` are runs of bytes other than space and 0x09-0x0D, ``pieces`` the
     ids of the tokenizer at ``path``.
@@ -121,8 +121,8 @@ def token_counts(docs: DataFrame, path: str) -> DataFrame:
                  pa.array(np.bincount(document, minlength=batch.num_rows).astype(np.int64)), pa.array(pieces)],
                 names=["doc_id", "source", "lang", "copy", "words", "pieces"])
 
-    return (docs.select("doc_id", "source", "lang", F.sha2(F.coalesce("text", F.lit("")), 256).alias("copy"), "text")
-            .mapInArrow(counted, f"doc_id {kind}, source string, lang string, copy string, words long, pieces long"))
+    return (docs.select("doc_id", "source", "lang", F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)).alias("copy"), "text")
+            .mapInArrow(counted, f"doc_id {kind}, source string, lang string, copy binary, words long, pieces long"))
 
 
 def _rows(counts: DataFrame, version: str, tokens, deleted: bool = False) -> DataFrame:
