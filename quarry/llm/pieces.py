@@ -57,6 +57,8 @@ SPACE = "▁"
 BUCKET_BYTES = 2 << 20
 #: Bytes of text that ask together, and that are handled at once.
 BLOCK_BYTES, PART_BYTES = 32 << 20, 2 << 20
+#: The same where the result holds the ids themselves, which stay in memory for a whole block.
+IDS_BLOCK_BYTES = 8 << 20
 #: Symbols of a unit that fit the bit mask of boundaries.
 MASK_SYMBOLS = 61
 
@@ -144,14 +146,14 @@ def _bucket(key: np.ndarray, count: int) -> np.ndarray:
     return (tc.mix64(key, 23) % _U(count)).astype(np.int64)
 
 
-def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
+def _parts(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[tuple[int, pa.Table]]:
     """(block, documents): the scan task's documents in parts, and the number of the block that each belongs to."""
     from pyspark import TaskContext
 
     task, seq, block, bulk, held, size = TaskContext.get().partitionId(), 0, None, 0, [], 0
     for batch, texts in tc.chunks(batches, limit=PART_BYTES):
         n = int(tc.text_bytes(texts)[1][-1])
-        full = block is None or bulk + n > BLOCK_BYTES
+        full = block is None or bulk + n > block_bytes
         if held and (full or size + n > PART_BYTES):
             yield block, pa.Table.from_batches(held)
             held, size = [], 0
@@ -177,10 +179,10 @@ def _one_each(key: np.ndarray, data: np.ndarray, start: np.ndarray, size: np.nda
     return keys, size[sample], _gather(data, start[sample], size[sample])
 
 
-def _units_asked(count: int):
+def _units_asked(count: int, block_bytes: int):
     """Batches of documents -> (block, bucket, payload): the distinct units of every block, by (bucket, key)."""
     def run(batches):
-        for block, parts in itertools.groupby(_parts(batches), lambda x: x[0]):
+        for block, parts in itertools.groupby(_parts(batches, block_bytes), lambda x: x[0]):
             keys, size, text = np.zeros(0, _U), np.zeros(0, np.int64), np.zeros(0, np.uint8)
             for _, table in parts:
                 data, _, _, start, n, key = _units(table)
@@ -443,12 +445,15 @@ def _ids_answered(asked: DataFrame, encoded: DataFrame, pieces: Pieces) -> DataF
             .applyInArrow(run, "block long, bucket int, payload binary"))
 
 
-def _packed(batches):
+def _packed(block_bytes: int):
     """Batches of documents -> (block, part, docs), the documents packed."""
-    for block, parts in itertools.groupby(_parts(batches), lambda x: x[0]):
-        for i, (_, table) in enumerate(parts):
-            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([i], pa.int32()), pa.array([bl.pack_table(table.combine_chunks())], pa.binary())],
-                                             names=["block", "part", "docs"])
+    def run(batches):
+        for block, parts in itertools.groupby(_parts(batches, block_bytes), lambda x: x[0]):
+            for i, (_, table) in enumerate(parts):
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([i], pa.int32()), pa.array([bl.pack_table(table.combine_chunks())], pa.binary())],
+                                                 names=["block", "part", "docs"])
+
+    return run
 
 
 def _encoded(table: pa.Table, ids: np.ndarray, n: np.ndarray, pieces: Pieces, with_ids: bool) -> pa.Table:
@@ -477,11 +482,12 @@ def encode_documents(docs: DataFrame, pieces: Pieces, with_ids: bool = False) ->
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     source = docs.select("doc_id", "text")
+    block_bytes = IDS_BLOCK_BYTES if with_ids else BLOCK_BYTES
     count = bl.buckets_for(source.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0, BUCKET_BYTES)
-    asked = source.mapInArrow(_units_asked(count), "block long, bucket int, payload binary").repartition(count, "bucket")
+    asked = source.mapInArrow(_units_asked(count, block_bytes), "block long, bucket int, payload binary").repartition(count, "bucket")
     encoded = encode_units(distinct_units(asked, count), pieces)
     answers = _ids_answered(asked, encoded, pieces)
-    blocks = source.mapInArrow(_packed, "block long, part int, docs binary")
+    blocks = source.mapInArrow(_packed(block_bytes), "block long, part int, docs binary")
 
     def use(left: pa.Table, right: pa.Table) -> pa.Table:
         bl.check_block(left)
