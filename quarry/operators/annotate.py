@@ -32,7 +32,7 @@ from concurrent.futures import ThreadPoolExecutor
 from typing import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -118,21 +118,25 @@ def live(client_factory: Callable[[], object], *, model: str = DEFAULT_MODEL,
     return answers
 
 
-def recorded(attempts: DataFrame, on: tuple[str, ...] = ("url",)) -> Answerer:
+def recorded(attempts: DataFrame | Callable[[DataFrame], DataFrame], on: tuple[str, ...] = ("url",)) -> Answerer:
     """Answers from a table of attempts (ANN3, ANN4, ANN8 as joins and aggregates).
 
     ``attempts``: the ``on`` columns, ``attempt`` (order), ``model``,
-    ``response`` (NULL if it failed), ``error``, ``latency_ms``.  Attempts
-    after the first success don't count.  The attempts of a key are combined
-    in each task before the shuffle; a key that they don't know keeps a NULL
+    ``response`` (NULL if it failed), ``error``, ``latency_ms``; or a function
+    that gives those of the distinct ``on`` values in a frame, so that no
+    others are put together.  Attempts
+    after the first success don't count.  The attempts of a key are brought
+    together once, for all steps; a key that they don't know keeps a NULL
     answer and an error.
     """
     def answers(texts: DataFrame, keys: tuple[str, ...], topic: str | None) -> DataFrame:
-        wanted = texts.select(*dict.fromkeys((*keys, *on)))
-        known = attempts.join(wanted.select(*on).distinct(), list(on), "left_semi")
+        # written first: Spark then knows how few they are before it moves any attempts
+        wanted = materialize(texts.select(*dict.fromkeys((*keys, *on))), "wanted")
+        asked = wanted.select(*on).distinct()
+        known = attempts(asked) if callable(attempts) else attempts.join(asked, list(on), "left_semi")
         ok = F.col("response").isNotNull()
-        won = known.groupBy(*on).agg(F.min(F.when(ok, F.col("attempt"))).alias("__won"))
-        counted = known.join(won, list(on)).filter(F.col("__won").isNull() | (F.col("attempt") <= F.col("__won")))
+        won = F.min(F.when(ok, F.col("attempt"))).over(Window.partitionBy(*on))
+        counted = known.withColumn("__won", won).filter(F.col("__won").isNull() | (F.col("attempt") <= F.col("__won")))
         per_key = counted.groupBy(*on).agg(
             F.max_by(F.struct("response", F.when(ok, F.col("model")).alias("model"), F.when(~ok, F.col("error")).alias("error")),
                      F.struct("attempt", "model")).alias("__last"),
@@ -145,13 +149,15 @@ def recorded(attempts: DataFrame, on: tuple[str, ...] = ("url",)) -> Answerer:
 
 
 def annotate(df: DataFrame, answerer: Answerer, *, keys: tuple[str, ...] = ("url",), topic: str | None = None,
-             parse: bool = True) -> DataFrame:
+             parse: bool = True, whole: bool = True) -> DataFrame:
     """Annotate every row of ``df`` (ANN1-ANN5, ANN8); ``keys`` name a row and ``text`` is its text.
 
     Returns the rows with ``response, model_used, error, latency_ms,
     n_attempts`` and, with ``parse``, ``description, relevant_eo,
-    full_summary`` (NULL when there was no answer).  Rows whose text is NULL
-    or empty pass through without a model call (FIL7).  ``df`` is read twice:
+    full_summary`` (NULL when there was no answer).  Without ``whole`` they
+    have ``answered`` (whether there was one) in place of ``response``, so no
+    answer moves whole.  Rows whose text is NULL or empty pass through without
+    a model call (FIL7).  ``df`` is read twice:
     stage it first if it is expensive.
     """
     readable = df.filter(F.coalesce(F.col("text"), F.lit("")) != "")
@@ -160,6 +166,8 @@ def annotate(df: DataFrame, answerer: Answerer, *, keys: tuple[str, ...] = ("url
         ok = F.col("response").isNotNull()
         found = parse_response(found.withColumn("__r", F.coalesce("response", F.lit(""))), "__r").drop("__r").withColumns(
             {c: F.when(ok, F.col(c)) for c in PARSED_COLUMNS})
+    if not whole:
+        found = found.withColumn("response", F.col("response").isNotNull()).withColumnRenamed("response", "answered")
     new = [c for c in found.columns if c not in keys]
     same = None
     for k in keys:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.text import clean_text
-from quarry.operators.annotate import annotate, latency_report, recorded
+from quarry.operators.annotate import Answerer, annotate, latency_report, recorded
 from quarry.operators.extract import article_results, unreadable
 from quarry.plans.backfill import run_backfill, run_backfill_csv
 from quarry.plans.ingest import IngestParams, run_ingest, run_scheduled, window_text
@@ -49,6 +49,10 @@ def _params(**kw) -> IngestParams:
     return IngestParams(**{"as_of": AS_OF, "lookback_days": None, "topic": TOPIC, "output_dir": OUTPUT_DIR, **kw})
 
 
+def _recorded(spark: SparkSession, sf: str, later: bool = False) -> Answerer:
+    return recorded(lambda urls: LD.attempts(spark, sf, later, urls))
+
+
 def _later(spark: SparkSession, sf: str) -> DataFrame:
     """Archive rows of the later part of the documents."""
     return LD.actions(spark, sf).filter(F.col("doc_id") * 1000 >= LD.size_of(spark, sf) * SEED_FROM)
@@ -65,8 +69,8 @@ def ingest_then_backfill(spark: SparkSession, sf: str) -> DataFrame:
     append_silver(to_silver(_later(spark, sf).select(*ARCHIVE_COLUMNS)), path, "seed")
     content = LD.content(spark, sf)
     run_ingest(LD.listing_pages(LD.actions(spark, sf)), path, _params(), name="run", content=content,
-               answerer=recorded(LD.attempts(spark, sf)))
-    run_backfill(spark, path, recorded(LD.attempts(spark, sf, later=True)), topic=TOPIC, dataset=TOPIC, content=content,
+               answerer=_recorded(spark, sf))
+    run_backfill(spark, path, _recorded(spark, sf, later=True), topic=TOPIC, dataset=TOPIC, content=content,
                  output_dir=OUTPUT_DIR, today=TODAY)
     return read_silver(spark, path).select("url", "topic_slug", "batch", "relevance_topic", "description", "relevant_eo",
                                            "full_summary", "relevance")
@@ -77,7 +81,7 @@ def ingest_update_missing(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch(spark, "archive")
     append_silver(silver_of_topic(_later(spark, sf).select(*ARCHIVE_COLUMNS), TOPIC), path, "seed")
     got = run_ingest(LD.listing_pages(LD.actions(spark, sf)), path, _params(mode="filter"), name="run", content=LD.content(spark, sf),
-                     answerer=recorded(LD.attempts(spark, sf)), update_missing=True)
+                     answerer=_recorded(spark, sf), update_missing=True)
     counted = read_silver(spark, path).groupBy("batch").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_if(F.coalesce("description", F.lit("")) != "").alias("n_described"),
         F.count_if(F.col("relevant_eo").isNotNull()).alias("n_graded"))
@@ -100,7 +104,7 @@ def merged_batches(spark: SparkSession, sf: str) -> DataFrame:
     lang = LD.table(spark, sf, "documents").select("doc_id", "lang")
     append_silver(to_silver(a.filter("doc_id % 2 = 0").select(*ARCHIVE_COLUMNS)), path, "even")
     append_silver(to_silver(a.filter("doc_id % 2 = 1").join(lang, "doc_id").select(*ARCHIVE_COLUMNS, "lang")), path, "odd")
-    run_backfill(spark, path, recorded(LD.attempts(spark, sf)), content=LD.content(spark, sf), dataset="src1", topic=TOPIC, today=TODAY)
+    run_backfill(spark, path, _recorded(spark, sf), content=LD.content(spark, sf), dataset="src1", topic=TOPIC, today=TODAY)
     return read_silver(spark, path).select("url", "batch", "topic_slug", "title", "lang", "relevance_topic", "relevant_eo")
 
 
@@ -130,7 +134,7 @@ def backfill_csv(spark: SparkSession, sf: str) -> DataFrame:
     """SRC3, PIP2: the CSV archive filled in, written to another folder and read again."""
     path, out = scratch(spark, "csv"), scratch(spark, "csv")
     write_archive_csv(LD.actions(spark, sf), path)
-    n = run_backfill_csv(spark, path, out, recorded(LD.attempts(spark, sf)), content=LD.content(spark, sf), topic=TOPIC, today=TODAY)
+    n = run_backfill_csv(spark, path, out, _recorded(spark, sf), content=LD.content(spark, sf), topic=TOPIC, today=TODAY)
     return read_archive_csv(spark, out).select("url", "description", "relevant_eo", "full_summary", "relevance_topic",
                                                F.lit(n).cast("long").alias("n_updated"))
 
@@ -139,7 +143,7 @@ def scheduled_ingest(spark: SparkSession, sf: str) -> DataFrame:
     """PIP4: the fixed preset (its topic, 15 days) over the listing."""
     path = scratch(spark, "archive")
     run_scheduled(LD.listing_pages(LD.actions(spark, sf)), path, AS_OF, name="scheduled", content=LD.content(spark, sf),
-                  answerer=recorded(LD.attempts(spark, sf)), output_dir=OUTPUT_DIR)
+                  answerer=_recorded(spark, sf), output_dir=OUTPUT_DIR)
     return read_silver(spark, path).select("url", "date", "title", "text_file", "relevance_topic", "relevant_eo", "topic_slug", "batch")
 
 
@@ -153,13 +157,13 @@ def page_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 def answer_outcomes(spark: SparkSession, sf: str) -> DataFrame:
     """ANN2-ANN8: every text's recorded attempts: who answered, what it cost, what failed, what it says."""
-    got = annotate(LD.content(spark, sf), recorded(LD.attempts(spark, sf)), topic=TOPIC)
+    got = annotate(LD.content(spark, sf), _recorded(spark, sf), topic=TOPIC)
     return got.select("url", "model_used", "error", "latency_ms", "n_attempts", "description", "relevant_eo", "full_summary")
 
 
 def answer_latency(spark: SparkSession, sf: str) -> DataFrame:
     """ANN8: rows, failures and retries per model (quantiles are approximate and tested apart)."""
-    got = annotate(LD.content(spark, sf), recorded(LD.attempts(spark, sf)), parse=False)
+    got = annotate(LD.content(spark, sf), _recorded(spark, sf), parse=False)
     return latency_report(got).select("model_used", "n_rows", "n_failed", "n_retries")
 
 
@@ -167,8 +171,8 @@ def retry_rounds(spark: SparkSession, sf: str) -> DataFrame:
     """ANN3, ANN4 over runs: failures go to the retry table, the next round takes them from there."""
     path = scratch(spark, "retries")
     texts = materialize(LD.content(spark, sf), "texts")
-    record_outcomes(annotate(texts, recorded(LD.attempts(spark, sf)), parse=False), path, "round-1")
-    later = recorded(LD.attempts(spark, sf, later=True))
+    record_outcomes(annotate(texts, _recorded(spark, sf), parse=False, whole=False), path, "round-1")
+    later = _recorded(spark, sf, later=True)
     for name in ("round-2", "round-2", "round-3"):     # a round that is repeated counts once
         retry_round(texts, path, later, name)
     return retry_state(outcomes(spark, path))
@@ -212,7 +216,7 @@ def incremental_ingest(spark: SparkSession, sf: str) -> DataFrame:
     for part in ("first", "all"):
         _land(spark, sf, base, part)
         run_incremental(spark, f"{base}/landing", f"{base}/archive", f"{base}/chk", _params(lookback_days=LOOKBACK_NARROW * 6),
-                        content=LD.content(spark, sf), answerer=recorded(LD.attempts(spark, sf)))
+                        content=LD.content(spark, sf), answerer=_recorded(spark, sf))
     got = read_silver(spark, f"{base}/archive")
     return got.select("url", "date", "title", "types", "text_file", "description", "relevance_topic", "relevant_eo", "full_summary",
                       F.when(F.col("batch") == "seed", F.lit("seed")).otherwise(F.regexp_extract("batch", "[0-9]+$", 0)).alias("batch"))

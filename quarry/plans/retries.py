@@ -21,9 +21,13 @@ OUTCOME_SCHEMA = "url STRING, ok BOOLEAN, n_attempts INT, error STRING, model_us
 
 
 def record_outcomes(answered: DataFrame, path: str, batch: str) -> None:
-    """Add the outcome of every text that was sent, replacing what this batch recorded before."""
+    """Add the outcome of every text that was sent, replacing what this batch recorded before.
+
+    ``answered``: rows of ``annotate``, whole or not.
+    """
+    ok = F.col("answered") if "answered" in answered.columns else F.col("response").isNotNull()
     sent = answered.filter(F.col("n_attempts").isNotNull() & (F.coalesce("url", F.lit("")) != ""))
-    (sent.select("url", F.col("response").isNotNull().alias("ok"), "n_attempts", "error", "model_used", "latency_ms", F.lit(batch).alias("batch"))
+    (sent.select("url", ok.alias("ok"), "n_attempts", "error", "model_used", "latency_ms", F.lit(batch).alias("batch"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path))
 
 
@@ -51,7 +55,8 @@ def retry_round(texts: DataFrame, path: str, answerer: Answerer, batch: str, top
     spark = texts.sparkSession
     # a round that is repeated doesn't count its own outcomes
     wanted = due(outcomes(spark, path).filter(F.col("batch") != batch), max_attempts)
-    rows = stage(texts.join(wanted.select("url"), "url", "left_semi"), "due")
+    # written first: Spark then knows how few they are before it moves any texts
+    rows = stage(texts.join(stage(wanted.select("url"), "due-urls"), "url", "left_semi"), "due")
     answered = stage(annotate(rows, answerer, topic=topic), "retried")
     record_outcomes(answered, path, batch)
     return answered

@@ -9,7 +9,7 @@ matching DuckDB text lives in ``quarry.plans.oracle``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.text import clean_text
@@ -51,6 +51,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def url_of(number: Column) -> Column:
+    """The archive URL of a document number; no two numbers share one."""
+    return F.concat(F.lit(URL_PREFIX), number.cast("string"))
+
+
 def size_of(spark: SparkSession, sf_dir: str):
     """Largest document id + 1, as a scalar subquery: positions are shares of it."""
     return table(spark, sf_dir, "documents").agg(F.max("doc_id") + 1).scalar()
@@ -62,7 +67,9 @@ def actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     Titles are first lines, descriptions first paragraphs and full summaries
     whole texts; the documents are spread over ``SPAN_DAYS``, newest first.
     """
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    # titles are cut before the join: who wants no more of the text than those doesn't move it
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", F.trim(F.substring_index("text", "\n", 1)).alias("title"), "text", "lang", "source")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     d = docs.join(labels, "doc_id", "left").withColumn(
         "day", F.date_sub(F.lit(LAST_DAY).cast("date"),
@@ -78,8 +85,8 @@ def actions(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.floor(i / ITEMS_PER_PAGE).cast("int") + 1).alias("page"),
         (i % ITEMS_PER_PAGE).cast("int").alias("pos"),
         date.alias("date"),
-        F.trim(F.substring_index("text", "\n", 1)).alias("title"),
-        F.concat(F.lit(URL_PREFIX), i.cast("string")).alias("url"),
+        "title",
+        url_of(i).alias("url"),
         F.when(i % 11 == 10, F.lit("no types"))
         .otherwise(F.concat("source", F.lit("; "), "lang")).alias("types"),
         F.lit(None).cast("string").alias("text_file"),
@@ -140,15 +147,24 @@ def conversations_n(spark: SparkSession, sf_dir: str):
     return table(spark, sf_dir, "conversations").agg(F.max("conv_id") + 1).scalar()
 
 
-def document_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, response, other): what a model said about each document, in given texts.
+def document_answers(spark: SparkSession, sf_dir: str, refused: Column | None = None, of: DataFrame | None = None) -> DataFrame:
+    """(doc_id, url, response, other): what a model said about each document, in given texts.
 
     Labelled documents: the document's first line, its grade and the rest of
     it, as labelled lines, numbered lines or bare lines.  Others: the first
     answer of the conversation with the document's number (``other``: of the
-    next one), which follows no form at all.
+    next one), which follows no form at all.  ``other`` is there where
+    ``response`` isn't and where ``refused`` (of ``doc_id``) says that the
+    response won't do.  ``of``: the URLs (each once) whose documents are asked for.
+
+    Every table is joined by URL, like the answers are later, so a text moves
+    once; conversations are looked up by number alone and only for documents
+    that need them.
     """
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents").select("doc_id", url_of(F.col("doc_id")).alias("url"), "text")
+    narrow = docs.select("doc_id", "url", F.col("text").isNull().alias("blank"))
+    if of is not None:
+        docs, narrow = (d.join(of, "url", "left_semi") for d in (docs, narrow))
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     n, i, nl = conversations_n(spark, sf_dir), F.col("doc_id"), F.lit("\n")
     said = _said(spark, sf_dir)
@@ -158,10 +174,22 @@ def document_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     formed = (F.when(i % 3 == 0, F.concat(F.lit("Summary: "), first, nl, F.lit("Relevant: "), grade, nl, F.lit("Details: "), rest))
               .when(i % 3 == 1, F.concat(F.lit("1. Summary: "), first, nl, F.lit("2. Relevance: "), grade, nl, F.lit("3. "), rest))
               .otherwise(F.concat(first, nl, nl, F.lit("- "), F.lower(grade), nl, rest)))
-    rows = docs.join(labels, "doc_id", "left").withColumns({"c1": i % n, "c2": (i + 1) % n})
-    return (rows.join(said.select(F.col("conv_id").alias("c1"), "said"), "c1", "left")
-            .join(said.select(F.col("conv_id").alias("c2"), F.col("said").alias("other")), "c2", "left")
-            .select("doc_id", F.when(F.col("quality").isNotNull(), formed).otherwise(F.col("said")).alias("response"), "other"))
+    numbers = narrow.filter(i.isNotNull()).join(
+        labels.select("doc_id", "quality"), "doc_id", "left").groupBy("doc_id").agg(
+        F.bool_or(F.col("quality").isNull()).alias("bare"),
+        F.coalesce(F.bool_or("blank" if refused is None else F.col("blank") | refused), F.lit(False)).alias("again"))
+
+    def asking(step: int) -> DataFrame:
+        return numbers.withColumn("conv_id", (i + step) % n)
+    # a labelled document that has a text has its own response, others have one if somebody said something
+    unheard = asking(0).filter("bare and not again").join(said.filter("said is not null").select("conv_id"), "conv_id", "left_anti")
+    second = asking(1).filter("again").unionByName(unheard.withColumn("conv_id", (i + 1) % n))
+
+    def told(asked: DataFrame, name: str) -> DataFrame:
+        return asked.select("doc_id", "conv_id").join(said, "conv_id").select(url_of(i).alias("url"), F.col("said").alias(name))
+    rows = docs.join(labels.select(url_of(i).alias("url"), "quality", "toxic"), "url", "left")
+    return (rows.join(told(asking(0).filter("bare"), "said"), "url", "left").join(told(second, "other"), "url", "left")
+            .select("doc_id", "url", F.when(F.col("quality").isNotNull(), formed).otherwise(F.col("said")).alias("response"), "other"))
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,8 +201,8 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.unionByName(turns)
 
 
-def attempts(spark: SparkSession, sf_dir: str, later: bool = False) -> DataFrame:
-    """(url, attempt, model, response, error, latency_ms): the recorded calls for each archive URL.
+def attempts(spark: SparkSession, sf_dir: str, later: bool = False, of: DataFrame | None = None) -> DataFrame:
+    """(url, attempt, model, response, error, latency_ms): the recorded calls for each archive URL, or each URL in ``of``.
 
     The first model's calls fail for a fifth of the documents, or give
     nothing; then the fallback was asked, which fails for some of them.
@@ -183,20 +211,19 @@ def attempts(spark: SparkSession, sf_dir: str, later: bool = False) -> DataFrame
     """
     i = F.col("doc_id")
     fails = lambda rule: i % rule[0] == rule[1]
+    first_failed, second_failed = (fails(LATER_FAILS),) * 2 if later else (fails(FIRST_FAILS), fails(FALLBACK_FAILS))
     ev = table(spark, sf_dir, "events").select("event_id", "value")
-    rows = (document_answers(spark, sf_dir)
-            .join(ev.select(F.col("event_id").alias("doc_id"), F.col("value").alias("l1")), "doc_id", "left")
-            .join(ev.select((F.col("event_id") - 1).alias("doc_id"), F.col("value").alias("l2")), "doc_id", "left"))
-    url = F.concat(F.lit(URL_PREFIX), i.cast("string")).alias("url")
+    rows = (document_answers(spark, sf_dir, refused=first_failed, of=of)
+            .join(ev.select(url_of(F.col("event_id")).alias("url"), F.col("value").alias("l1")), "url", "left")
+            .join(ev.select(url_of(F.col("event_id") - 1).alias("url"), F.col("value").alias("l2")), "url", "left"))
 
     def call(attempt, model, failed, text, latency):
         error = F.when(failed, F.lit(RATE_LIMIT)).when(text.isNull(), F.lit(NO_ANSWER))
         return F.struct(F.lit(attempt).alias("attempt"), F.lit(model).alias("model"), F.when(error.isNull(), text).alias("response"),
                         error.alias("error"), F.col(latency).alias("latency_ms"))
-    first_failed, second_failed = (fails(LATER_FAILS),) * 2 if later else (fails(FIRST_FAILS), fails(FALLBACK_FAILS))
     first = call(1, MODELS[0], first_failed, F.col("response"), "l1")
     second = call(2, MODELS[1], second_failed, F.col("other"), "l2")
-    calls = rows.select(url, F.when(first["error"].isNull(), F.array(first)).otherwise(F.array(first, second)).alias("calls"))
+    calls = rows.select("url", F.when(first["error"].isNull(), F.array(first)).otherwise(F.array(first, second)).alias("calls"))
     return calls.select("url", F.inline("calls"))
 
 
@@ -214,5 +241,5 @@ def article_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def content(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cached article text per archive URL (cleaned, like extraction output)."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return docs.select(F.concat(F.lit(URL_PREFIX), F.col("doc_id").cast("string")).alias("url"),
+    return docs.select(url_of(F.col("doc_id")).alias("url"),
                        clean_text("text").alias("text"))
