@@ -154,8 +154,10 @@ def ingest_items(items: DataFrame, results: DataFrame | None, archive_path: str,
     known = read_known(spark, known_path, params.topic, name) if known_path else known_in_topic(spark, archive_path, params.topic, name)
     if content is None and content_path:
         content = read_content(spark, content_path, but=name)
-    rows = stage(ingest_rows(None, known, params, content=content, article_pages=article_pages,
-                             answerer=answerer, items=items), "ingest")
+    rows = ingest_rows(None, known, params, content=content, article_pages=article_pages, answerer=answerer, items=items)
+    # texts and whole answers are kept only for the tables that take them
+    spare = [c for c, wanted in (("text", content_path), ("response", retry_path)) if not wanted]
+    rows = stage(rows.drop(*spare), "ingest")
     m = rows.agg(F.count(F.lit(1)).alias("n"), F.count("relevant_eo").alias("a"), F.count("error").alias("e"),
                  F.count_if(F.col("text_source") == "page").alias("f")).first()
     if content_path and m["f"]:
@@ -171,7 +173,7 @@ def ingest_items(items: DataFrame, results: DataFrame | None, archive_path: str,
     if m["n"]:
         if known_path:
             append_known(rows, known_path, params.topic, name)
-        append_silver(silver_of_topic(rows.select(*ARCHIVE_COLUMNS), params.topic), archive_path, name)
+        append_silver(silver_of_topic(rows.select(*ARCHIVE_COLUMNS), params.topic), archive_path, name, gathered=True)
     updated = 0
     if update_missing and answerer is not None:
         updated = run_backfill(spark, archive_path, answerer, topic=params.topic, dataset=params.topic or "",

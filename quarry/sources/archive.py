@@ -227,20 +227,22 @@ def new_batch() -> str:
     return f"run-{uuid.uuid4().hex}"
 
 
-def append_silver(df: DataFrame, path: str, batch: str | None = None) -> None:
+def append_silver(df: DataFrame, path: str, batch: str | None = None, gathered: bool = False) -> None:
     """SNK1: add rows to silver under a batch name, partitioned by topic (SNK5) and batch.
 
     Only the partitions of this batch are overwritten, so a run that is
     repeated after a failure leaves one copy of its rows; without a name the
     rows are a batch of their own.  ``rebalance`` clusters rows by topic (few
-    files per topic) and lets AQE split a hot topic over several tasks.
+    files per topic) and lets AQE split a hot topic over several tasks.  Rows
+    that are ``gathered`` already (of one topic, read from a table) stay where
+    they are.
     """
     rows = (df if "date_dt" in df.columns else to_silver(df)).withColumn("batch", F.lit(batch or new_batch()))
-    _overwrite_partitions(rows, path)
+    _overwrite_partitions(rows, path, gathered)
 
 
-def _overwrite_partitions(rows: DataFrame, path: str) -> None:
-    (rows.hint("rebalance", *PARTITIONS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+def _overwrite_partitions(rows: DataFrame, path: str, gathered: bool = False) -> None:
+    ((rows if gathered else rows.hint("rebalance", *PARTITIONS)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*PARTITIONS).parquet(path))
 
 
@@ -293,7 +295,7 @@ def rewrite_partitions(spark: SparkSession, path: str, rows: DataFrame | None, n
         state = _noted(spark, path, name)
     staged = read_silver(spark, state.folder)
     if not state.done:
-        _overwrite_partitions(staged.drop(*but), path)
+        _overwrite_partitions(staged.drop(*but), path, True)      # its files are by partition
         note(state.folder, True)
     return staged
 
