@@ -200,13 +200,13 @@ def saved_texts(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _land(spark: SparkSession, sf: str, base: str, part: str) -> None:
-    """Land the first pages, or all of them, as one file."""
+def _land(spark: SparkSession, sf: str, base: str, part: str, one_file: bool = False) -> None:
+    """Land the first pages, or all of them (as one file for a stream that takes file by file)."""
     pages = LD.listing_pages(LD.actions(spark, sf))
     last = LD.actions(spark, sf).agg(F.max("page")).scalar()
     first = F.col("page") * 1000 <= last * FIRST_LANDING
     chosen = {"first": pages.filter(first), "rest": pages.filter(~first), "all": pages}[part]
-    chosen.coalesce(1).write.mode("append").parquet(f"{base}/landing")
+    (chosen.coalesce(1) if one_file else chosen).write.mode("append").parquet(f"{base}/landing")
 
 
 def incremental_ingest(spark: SparkSession, sf: str) -> DataFrame:
@@ -225,8 +225,8 @@ def incremental_ingest(spark: SparkSession, sf: str) -> DataFrame:
 def stream_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """AGG10 in the stream: pages per micro-batch as observed, beside the rows that each one added."""
     base = scratch(spark, "observed")
-    _land(spark, sf, base, "first")
-    _land(spark, sf, base, "rest")
+    _land(spark, sf, base, "first", one_file=True)
+    _land(spark, sf, base, "rest", one_file=True)
     run_incremental(spark, f"{base}/landing", f"{base}/archive", f"{base}/chk", _params(), files_per_batch=1,
                     metrics_path=f"{base}/metrics")
     added = read_silver(spark, f"{base}/archive").groupBy("batch").agg(F.count(F.lit(1)).alias("n_new"))
