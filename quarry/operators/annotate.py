@@ -6,7 +6,9 @@ a frame of the keys and
 
     response, model_used, error, latency_ms, n_attempts
 
-with a row for each key.  There are two:
+with a row for each key.  One that looks at keys alone says so
+(``reads_text = False``): then no text has to be brought to it, and the frame
+may tell by ``text_source`` which rows have one.  There are two:
 
 * ``live``: a chat-completions client through ``mapInPandas``: one client per
   task (built by the injected, picklable ``client_factory``), an optional
@@ -118,6 +120,11 @@ def live(client_factory: Callable[[], object], *, model: str = DEFAULT_MODEL,
     return answers
 
 
+def reads_text(answerer: Answerer | None) -> bool:
+    """Whether texts have to be brought to this answerer."""
+    return answerer is not None and getattr(answerer, "reads_text", True)
+
+
 def recorded(attempts: DataFrame | Callable[[DataFrame], DataFrame], on: tuple[str, ...] = ("url",)) -> Answerer:
     """Answers from a table of attempts (ANN3, ANN4, ANN8 as joins and aggregates).
 
@@ -145,6 +152,7 @@ def recorded(attempts: DataFrame | Callable[[DataFrame], DataFrame], on: tuple[s
         return out.select(*keys, F.col("__last.response").alias("response"), F.col("__last.model").alias("model_used"),
                           F.when(F.col("__last").isNull(), F.lit(NOT_RECORDED)).otherwise(F.col("__last.error")).alias("error"),
                           F.col("latency_ms").cast("double").alias("latency_ms"), F.coalesce("n_attempts", F.lit(0)).alias("n_attempts"))
+    answers.reads_text = False
     return answers
 
 
@@ -157,10 +165,13 @@ def annotate(df: DataFrame, answerer: Answerer, *, keys: tuple[str, ...] = ("url
     full_summary`` (NULL when there was no answer).  Without ``whole`` they
     have ``answered`` (whether there was one) in place of ``response``, so no
     answer moves whole.  Rows whose text is NULL or empty pass through without
-    a model call (FIL7).  ``df`` is read twice:
-    stage it first if it is expensive.
+    a model call (FIL7); rows without a ``text`` column, for an answerer that
+    doesn't read it, have one where there is a ``text_source``.  ``df`` is read
+    twice: stage it first if it is expensive.
     """
-    readable = df.filter(F.coalesce(F.col("text"), F.lit("")) != "")
+    if "text" not in df.columns and reads_text(answerer):
+        raise ValueError("this answerer reads texts")
+    readable = df.filter(F.coalesce(F.col("text"), F.lit("")) != "" if "text" in df.columns else F.col("text_source").isNotNull())
     found = stage(answerer(readable, keys, topic), "answers")
     if parse:
         ok = F.col("response").isNotNull()

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.text import text_file_path
-from quarry.operators.annotate import PARSED_COLUMNS, Answerer, annotate, stage
+from quarry.operators.annotate import PARSED_COLUMNS, Answerer, annotate, reads_text, stage
 from quarry.operators.filters import missing_summary
 from quarry.operators.joins import first_by
 from quarry.session import materialize
@@ -48,7 +48,7 @@ def backfill_answers(archive: DataFrame, answerer: Answerer, *, key: str = ROW_K
     from quarry.plans.ingest import window_text
 
     need = first_by(archive.filter(missing_summary()).select(key, "url", *carry), key, ())
-    texts = materialize(window_text(need, content, article_pages, container), "missing")
+    texts = materialize(window_text(need, content, article_pages, container, whole=reads_text(answerer)), "missing")
     # FIL8 + Q8: a row with no readable text gets no model call and no answer
     ann = annotate(texts, answerer, keys=(key,), topic=topic)
     return ann.filter(F.col("response").isNotNull()).select(key, *carry, *PARSED_COLUMNS)

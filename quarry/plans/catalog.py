@@ -273,7 +273,7 @@ def q_ingest(spark, sf):
     params = IngestParams(as_of=AS_OF, lookback_days=LOOKBACK_WIDE, topic=TOPIC, output_dir=OUTPUT_DIR)
     a = LD.actions(spark, sf)
     rows = ingest_rows(LD.listing_pages(a), LD.known(spark, sf, a), params, content=LD.content(spark, sf),
-                       answerer=recorded(lambda urls: LD.attempts(spark, sf, of=urls)))
+                       answerer=recorded(lambda urls: LD.attempts(spark, sf, of=urls)), texts=False)
     return rows.select("page", "date", "title", "url", "types", "text_file", "description",
                        "relevance_topic", "relevant_eo", "full_summary", "model_used", "error", "n_attempts")
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.text import join_types, text_file_path
-from quarry.operators.annotate import ANSWER_COLUMNS, PARSED_COLUMNS, Answerer, annotate, stage
+from quarry.operators.annotate import ANSWER_COLUMNS, PARSED_COLUMNS, Answerer, annotate, reads_text, stage
 from quarry.operators.crawl import crawl_window, page_counts, page_range
 from quarry.operators.extract import article_text, items_of, listing_results, unreadable
 from quarry.operators.joins import restrict_to
@@ -60,36 +60,43 @@ def run_scheduled(listing_pages: DataFrame, archive_path: str, as_of: _dt.dateti
     return run_ingest(listing_pages, archive_path, replace(scheduled_params(as_of), **overrides), **kw)
 
 
-def _one_text(texts: DataFrame, name: str) -> DataFrame:
-    """One non-empty text per URL (the smallest, whatever order rows arrive in)."""
-    return (texts.filter(F.coalesce(F.col("text"), F.lit("")) != "")
-            .groupBy("url").agg(F.min("text").alias(name)))
+def _one_text(texts: DataFrame, name: str, whole: bool) -> DataFrame:
+    """One non-empty text per URL (the smallest, whatever order rows arrive in), or just that there is one."""
+    texts = texts.filter(F.coalesce(F.col("text"), F.lit("")) != "")
+    if not whole:
+        return texts.select("url").distinct().withColumn(name, F.lit(True))
+    return texts.groupBy("url").agg(F.min("text").alias(name))
 
 
 def window_text(window: DataFrame, content: DataFrame | None, article_pages: DataFrame | None,
-                container: str = "main") -> DataFrame:
+                container: str = "main", whole: bool = True) -> DataFrame:
     """JOIN3: ``text`` per window URL: cached text, else extracted page text.
 
     The content cache and the landed pages hold every text ever seen; both
     are first reduced to the window's URLs, pages also to those without a
     cached text, so only what is needed is parsed.  Each side gives one text
     per URL: repeated content rows or pages don't multiply the window's rows.
+
+    Without ``whole`` the rows tell where their text is (``text_source``, NULL
+    without one) and don't hold it: texts are looked at where they lie, and
+    URLs alone move.
     """
-    out = window.withColumn("__cached", F.lit(None).cast("string"))
+    kind = "string" if whole else "boolean"
+    out = window.withColumn("__cached", F.lit(None).cast(kind))
     missing = window
     if content is not None:
-        cached = _one_text(restrict_to(content.select("url", "text"), window, "url"), "__cached")
+        cached = _one_text(restrict_to(content.select("url", "text"), window, "url"), "__cached", whole)
         out = window.join(cached, "url", "left")
         missing = window.select("url").join(cached.select("url"), "url", "left_anti")
-    out = out.withColumn("__fetched", F.lit(None).cast("string"))
+    out = out.withColumn("__fetched", F.lit(None).cast(kind))
     if article_pages is not None:
         wanted = restrict_to(article_pages, missing, "url")
-        fetched = _one_text(article_text(wanted, container=container).select("url", "text"), "__fetched")
+        fetched = _one_text(article_text(wanted, container=container).select("url", "text"), "__fetched", whole)
         out = out.drop("__fetched").join(fetched, "url", "left")
     source = (F.when(F.col("__cached").isNotNull(), F.lit("cache"))
               .when(F.col("__fetched").isNotNull(), F.lit("page")))
-    return (out.withColumns({"text": F.coalesce("__cached", "__fetched"), "text_source": source})
-            .drop("__cached", "__fetched"))
+    text = {"text": F.coalesce("__cached", "__fetched")} if whole else {}
+    return out.withColumns(text | {"text_source": source}).drop("__cached", "__fetched")
 
 
 def listed(listing_pages: DataFrame, params: IngestParams) -> tuple[DataFrame, DataFrame]:
@@ -101,8 +108,11 @@ def listed(listing_pages: DataFrame, params: IngestParams) -> tuple[DataFrame, D
 
 def ingest_rows(listing_pages: DataFrame | None, known: DataFrame | None, params: IngestParams, *,
                 content: DataFrame | None = None, article_pages: DataFrame | None = None,
-                answerer: Answerer | None = None, items: DataFrame | None = None) -> DataFrame:
-    """PIP1 as one plan: the archive rows this run appends (plus page/pos and the answers' particulars)."""
+                answerer: Answerer | None = None, items: DataFrame | None = None, texts: bool = True) -> DataFrame:
+    """PIP1 as one plan: the archive rows this run appends (plus page/pos and the answers' particulars).
+
+    Without ``texts`` the rows have no ``text``, and texts move only if the answerer reads them.
+    """
     if items is None:
         items, _ = listed(listing_pages, params)
     window = crawl_window(items, known=known, as_of=params.as_of, lookback_days=params.lookback_days,
@@ -110,7 +120,7 @@ def ingest_rows(listing_pages: DataFrame | None, known: DataFrame | None, params
                           single_page=params.single_page, mode=params.mode)
     # the window feeds several joins: each reads rows, not the crawl plan
     window = materialize(window, "window")
-    rows = window_text(window, content, article_pages, params.container)
+    rows = window_text(window, content, article_pages, params.container, whole=texts or reads_text(answerer))
     today = params.as_of.strftime("%Y-%m-%d")
     rows = rows.withColumn("text_file", text_file_path(params.output_dir, "date", "title", today))
     if answerer is not None:
@@ -123,7 +133,7 @@ def ingest_rows(listing_pages: DataFrame | None, known: DataFrame | None, params
         rows = rows.withColumns({c: F.lit(None).cast(kinds.get(c, "string"))
                                  for c in (*PARSED_COLUMNS, "relevance_topic", *ANSWER_COLUMNS)})
     return rows.withColumn("types", join_types("types")).select(
-        "page", "pos", *ARCHIVE_COLUMNS, "text", "text_source", *ANSWER_COLUMNS)
+        "page", "pos", *ARCHIVE_COLUMNS, *(["text"] if texts else []), "text_source", *ANSWER_COLUMNS)
 
 
 def run_ingest(listing_pages: DataFrame, archive_path: str, params: IngestParams, **kw) -> dict:
@@ -154,10 +164,10 @@ def ingest_items(items: DataFrame, results: DataFrame | None, archive_path: str,
     known = read_known(spark, known_path, params.topic, name) if known_path else known_in_topic(spark, archive_path, params.topic, name)
     if content is None and content_path:
         content = read_content(spark, content_path, but=name)
-    rows = ingest_rows(None, known, params, content=content, article_pages=article_pages, answerer=answerer, items=items)
     # texts and whole answers are kept only for the tables that take them
-    spare = [c for c, wanted in (("text", content_path), ("response", retry_path)) if not wanted]
-    rows = stage(rows.drop(*spare), "ingest")
+    rows = ingest_rows(None, known, params, content=content, article_pages=article_pages, answerer=answerer, items=items,
+                       texts=bool(content_path))
+    rows = stage(rows if retry_path else rows.drop("response"), "ingest")
     m = rows.agg(F.count(F.lit(1)).alias("n"), F.count("relevant_eo").alias("a"), F.count("error").alias("e"),
                  F.count_if(F.col("text_source") == "page").alias("f")).first()
     if content_path and m["f"]:

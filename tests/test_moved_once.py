@@ -1,15 +1,20 @@
 """What moves and what is held: answers looked up by key, narrow staged rows, listing pages in slices."""
 
+import datetime
+
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from quarry.operators import extract as E
 from quarry.operators.annotate import annotate, recorded
+from quarry.plans import backfill as BF
 from quarry.plans import ingest as ING
 from quarry.plans.retries import outcomes, record_outcomes
 from quarry.sources import archive as A
 from quarry.sources import landing as LD
 
+AS_OF = datetime.datetime(2025, 12, 31)
 CALLS = "url string, attempt int, model string, response string, error string, latency_ms double"
 
 
@@ -80,3 +85,35 @@ def test_listing_pages_are_read_in_slices(monkeypatch):
     assert len(got) == 90 and max(sizes) <= E.PAGES_AT_ONCE
     assert got[0].as_py() == {"items": [], "error": E.NO_PAGE} and got[2].as_py() == {"items": [], "error": None}
     assert isinstance(got, pa.StructArray)
+
+
+LISTING = ('<ul><li class="wp-block-post"><h2 class="wp-block-post-title"><a href="{0}"> T </a></h2>'
+           '<div class="wp-block-post-date"><time>2025-12-30</time></div></li></ul>')
+
+
+def test_texts_stay_where_no_step_reads_them(spark, tmp_path, monkeypatch):
+    held = []
+    for module in (ING, BF):
+        monkeypatch.setattr(module, "materialize", lambda df, name, to=module.materialize: held.append((name, df.columns)) or to(df, name))
+    pages = spark.createDataFrame([(k, LISTING.format(u)) for k, u in enumerate("abcd", 1)], "page int, html string")
+    content = spark.createDataFrame([("a", "text"), ("a", "other"), ("b", ""), ("c", None), (None, "text")], "url string, text string")
+    fetched = spark.createDataFrame([("a", "<main><p>x</p></main>"), ("b", "<main><p>y</p></main>"), ("c", "<main></main>")], "url string, html string")
+    calls = spark.createDataFrame([(u, 1, "m", f"Summary: {u}\nRelevant: Yes", None, 1.0) for u in "abcd"], CALLS)
+    params = ING.IngestParams(as_of=AS_OF, topic="t", mode="filter")
+    got = ING.run_ingest(pages, str(tmp_path / "a"), params, content=content, article_pages=fetched, answerer=recorded(calls))
+    # c has a page without a text, d has neither: they are not asked about
+    assert (got["new"], got["annotated"], got["fetched"]) == (4, 2, 1)
+    rows = [(u, "2025-12-30", "T", "") for u in "abcd"]
+    A.append_silver(A.silver_of_topic(spark.createDataFrame(rows, "url string, date string, title string, types string"), "t"), str(tmp_path / "b"), "1")
+    assert BF.run_backfill(spark, str(tmp_path / "b"), recorded(calls), content=content, article_pages=fetched) == 2
+    assert {n for n, _ in held} >= {"texts", "missing"} and not [n for n, columns in held if "text" in columns]
+    narrow = {(r.url, r.text_source) for r in ING.window_text(pages.selectExpr("substr('abcd', page, 1) url"), content, fetched, whole=False).collect()}
+    whole = {(r.url, r.text_source) for r in ING.window_text(pages.selectExpr("substr('abcd', page, 1) url"), content, fetched).collect()}
+    assert narrow == whole == {("a", "cache"), ("b", "page"), ("c", None), ("d", None)}
+
+
+def test_an_answerer_that_reads_gets_texts(spark):
+    from offline import offline
+    rows = spark.createDataFrame([("a", "cache")], "url string, text_source string")
+    with pytest.raises(ValueError):
+        annotate(rows, offline())
