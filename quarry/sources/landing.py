@@ -212,7 +212,8 @@ def attempts(spark: SparkSession, sf_dir: str, later: bool = False, of: DataFram
     i = F.col("doc_id")
     fails = lambda rule: i % rule[0] == rule[1]
     first_failed, second_failed = (fails(LATER_FAILS),) * 2 if later else (fails(FIRST_FAILS), fails(FALLBACK_FAILS))
-    ev = table(spark, sf_dir, "events").select("event_id", "value")
+    # events after the last document are nobody's
+    ev = table(spark, sf_dir, "events").select("event_id", "value").filter(F.col("event_id") <= size_of(spark, sf_dir))
     rows = (document_answers(spark, sf_dir, refused=first_failed, of=of)
             .join(ev.select(url_of(F.col("event_id")).alias("url"), F.col("value").alias("l1")), "url", "left")
             .join(ev.select(url_of(F.col("event_id") - 1).alias("url"), F.col("value").alias("l2")), "url", "left"))
