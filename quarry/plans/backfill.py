@@ -9,13 +9,15 @@ Two steps, so the answers can be staged between them:
 * ``backfill_answers``: the rows that need work -> one answer per row key;
 * ``apply_answers``: archive LEFT JOIN answers on the row key.
 
+Jobs on stored archives (``filled_in``) join only the rows that lack something
+with the answers; those that lack nothing are read and written where they are.
 ``run_backfill`` reads and rewrites only the partitions (topic and batch) that
 hold a row with an answer.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.text import text_file_path
@@ -73,6 +75,16 @@ def apply_answers(archive: DataFrame, answers: DataFrame, *, key: str = ROW_KEY,
     return out.withColumns(cols).drop("__upd", *["__" + c for c in PARSED_COLUMNS])
 
 
+def filled_in(archive: DataFrame, answers: DataFrame, by: tuple[str, ...] = (), **kw) -> DataFrame:
+    """``apply_answers`` on a stored archive, read twice: rows that lack nothing have no answer and aren't moved to find one.
+
+    The others are gathered ``by`` partition columns.
+    """
+    filled = apply_answers(archive.filter(missing_summary()), answers, **kw)
+    return ((filled.hint("rebalance", *by) if by else filled)
+            .unionByName(archive.filter(~missing_summary()).withColumn("updated", F.lit(False))))
+
+
 def backfill_rows(archive: DataFrame, answerer: Answerer, *, content: DataFrame | None = None,
                   article_pages: DataFrame | None = None, topic: str | None = None, output_dir: str = "texts",
                   today: str = "1970-01-01", container: str = "main") -> DataFrame:
@@ -107,20 +119,24 @@ def run_backfill(spark: SparkSession, archive_path: str, answerer: Answerer, *,
         # the touched partitions, as a partition filter that the scan applies
         touched = answers.agg(F.collect_set(F.struct(*PARTITIONS))).scalar()
         rows = keyed.filter(F.array_contains(touched, F.struct(*PARTITIONS)))
-        rows = apply_answers(rows, answers.select(ROW_KEY, *PARSED_COLUMNS), topic=topic, output_dir=output_dir, today=today)
-        done = rewrite_partitions(spark, archive_path, to_silver(rows.drop(ROW_KEY)), name, but=("updated",))
+        rows = filled_in(rows, answers.select(ROW_KEY, *PARSED_COLUMNS), PARTITIONS, topic=topic, output_dir=output_dir, today=today)
+        done = rewrite_partitions(spark, archive_path, to_silver(rows.drop(ROW_KEY)), name, but=("updated",), gathered=True)
     else:
         done = rewrite_partitions(spark, archive_path, None, name, but=("updated",))
     return done.filter("updated").count()
 
 
-def run_backfill_csv(spark: SparkSession, csv_path: str, out_path: str, answerer: Answerer, **kw) -> int:
+def run_backfill_csv(spark: SparkSession, csv_path: str, out_path: str, answerer: Answerer, *, topic: str | None = None,
+                     output_dir: str = "texts", today: str = "1970-01-01", **kw) -> int:
     """SRC3 + PIP2 on the bronze CSV: read it, fill answers, write the whole
     archive as CSV to ``out_path`` (a new folder; the input is never
-    overwritten).  Returns rows updated.
+    overwritten).  Returns rows updated, counted while they are written.
     """
     from quarry.sources.archive import read_archive_csv, write_archive_csv
 
-    rows = stage(backfill_rows(read_archive_csv(spark, csv_path), answerer, **kw), "backfill-csv")
-    write_archive_csv(rows, out_path, mode="errorifexists", extra=True)
-    return rows.filter("updated").count()
+    arch = with_row_key(read_archive_csv(spark, csv_path))
+    answers = stage(backfill_answers(arch, answerer, topic=topic, **kw), "backfill-csv")
+    rows = filled_in(arch, answers, topic=topic, output_dir=output_dir, today=today).drop(ROW_KEY)
+    written = Observation()
+    write_archive_csv(rows.observe(written, F.count_if("updated").alias("n_updated")), out_path, mode="errorifexists", extra=True)
+    return written.get["n_updated"]

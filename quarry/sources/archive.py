@@ -268,10 +268,11 @@ def staged_rewrite(spark: SparkSession, path: str, name: str) -> DataFrame | Non
 
 
 def rewrite_partitions(spark: SparkSession, path: str, rows: DataFrame | None, name: str,
-                       but: tuple[str, ...] = ()) -> DataFrame:
+                       but: tuple[str, ...] = (), gathered: bool = False) -> DataFrame:
     """SNK3: replace the partitions that ``rows`` fill (with all rows they are to hold); returns what was staged.
 
     Columns ``but`` are staged for the caller and don't go into the archive.
+    Rows that are ``gathered`` by partition already are written where they are.
 
     First the rows are written to a folder of their own, then a note says
     where they are, then they replace the partitions, and the note says so.  A
@@ -290,7 +291,8 @@ def rewrite_partitions(spark: SparkSession, path: str, rows: DataFrame | None, n
         if rows is None:
             raise ValueError(f"nothing is staged for the rewrite {name!r}")
         folder = f"{checkpoint_dir(spark).rstrip('/')}/rewrite-{uuid.uuid4().hex}"
-        rows.hint("rebalance", *PARTITIONS).write.mode("errorifexists").partitionBy(*PARTITIONS).parquet(folder)
+        ((rows if gathered else rows.hint("rebalance", *PARTITIONS)).write.mode("errorifexists")
+         .partitionBy(*PARTITIONS).parquet(folder))
         note(folder, False)
         state = _noted(spark, path, name)
     staged = read_silver(spark, state.folder)

@@ -117,3 +117,27 @@ def test_an_answerer_that_reads_gets_texts(spark):
     rows = spark.createDataFrame([("a", "cache")], "url string, text_source string")
     with pytest.raises(ValueError):
         annotate(rows, offline())
+
+
+def test_rows_that_lack_nothing_are_not_joined(spark, tmp_path, monkeypatch):
+    joined, apply = [], BF.apply_answers
+    monkeypatch.setattr(BF, "apply_answers", lambda df, *a, **kw: joined.append([r.url for r in df.select("url").collect()]) or apply(df, *a, **kw))
+    rows = [("a", "d", "Yes", "s"), ("a", "d", "Yes", "s"), ("b", None, "Yes", "s"), ("b", None, "Yes", "s"), ("c", " ", None, None), (None, None, None, None)]
+    archive = spark.createDataFrame(rows, "url string, description string, relevant_eo string, full_summary string").withColumns(
+        {c: F.lit("2025-12-30") for c in ("date", "title", "types")})
+    calls = spark.createDataFrame([(u, 1, "m", f"Summary: {u}!\nRelevant: No", None, 1.0) for u in "ab"], CALLS)
+    content = spark.createDataFrame([(u, "text") for u in "abc"], "url string, text string")
+    want = [(None, None), ("a", "d"), ("a", "d"), ("b", "b!"), ("b", "b!"), ("c", " ")]
+    A.append_silver(A.silver_of_topic(archive, "t"), str(tmp_path / "a"), "1")
+    assert BF.run_backfill(spark, str(tmp_path / "a"), recorded(calls), content=content) == 2
+    read = lambda df: sorted(((r.url, r.description) for r in df.collect()), key=repr)
+    assert read(A.read_silver(spark, str(tmp_path / "a"))) == sorted(want, key=repr)
+    A.write_archive_csv(archive, str(tmp_path / "c"))
+    assert BF.run_backfill_csv(spark, str(tmp_path / "c"), str(tmp_path / "d"), recorded(calls), content=content) == 2
+    assert [r[1] for r in read(A.read_archive_csv(spark, str(tmp_path / "d"))) if r[0] == "b"] == ["b!", "b!"]
+    assert len(joined) == 2 and all("a" not in urls for urls in joined)
+
+
+def test_csv_backfill_of_nothing(spark, tmp_path):
+    calls = spark.createDataFrame([], CALLS)
+    assert BF.run_backfill_csv(spark, str(tmp_path / "none"), str(tmp_path / "out"), recorded(calls)) == 0
