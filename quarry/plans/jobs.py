@@ -79,7 +79,7 @@ def ingest_then_backfill(spark: SparkSession, sf: str) -> DataFrame:
 def ingest_update_missing(spark: SparkSession, sf: str) -> DataFrame:
     """PIP1 with ``update_missing``: one run that also fills its topic's older rows (AGG10's counters)."""
     path = scratch(spark, "archive")
-    append_silver(silver_of_topic(_later(spark, sf).select(*ARCHIVE_COLUMNS), TOPIC), path, "seed")
+    append_silver(silver_of_topic(_later(spark, sf).select(*ARCHIVE_COLUMNS), TOPIC), path, "seed", gathered=True)
     got = run_ingest(LD.listing_pages(LD.actions(spark, sf)), path, _params(mode="filter"), name="run", content=LD.content(spark, sf),
                      answerer=_recorded(spark, sf), update_missing=True)
     counted = read_silver(spark, path).groupBy("batch").agg(
@@ -150,7 +150,7 @@ def scheduled_ingest(spark: SparkSession, sf: str) -> DataFrame:
 def page_counts(spark: SparkSession, sf: str) -> DataFrame:
     """AGG10 per listing page, EXT3 for listings: pages that weren't fetched say so."""
     path, pages = scratch(spark, "archive"), scratch(spark, "pages")
-    append_silver(silver_of_topic(_later(spark, sf).select(*ARCHIVE_COLUMNS), TOPIC), path, "seed")
+    append_silver(silver_of_topic(_later(spark, sf).select(*ARCHIVE_COLUMNS), TOPIC), path, "seed", gathered=True)
     run_ingest(_lost(LD.listing_pages(LD.actions(spark, sf))), path, _params(mode="filter"), name="run", pages_path=pages)
     return spark.read.parquet(pages).select("page", "n_found", "n_new", "error")
 
@@ -212,7 +212,7 @@ def _land(spark: SparkSession, sf: str, base: str, part: str, one_file: bool = F
 def incremental_ingest(spark: SparkSession, sf: str) -> DataFrame:
     """STM1, STM4: two landings, a run each, into an archive that holds the later part already."""
     base = scratch(spark, "incremental")
-    append_silver(silver_of_topic(_later(spark, sf).select(*ARCHIVE_COLUMNS), TOPIC), f"{base}/archive", "seed")
+    append_silver(silver_of_topic(_later(spark, sf).select(*ARCHIVE_COLUMNS), TOPIC), f"{base}/archive", "seed", gathered=True)
     for part in ("first", "all"):
         _land(spark, sf, base, part)
         run_incremental(spark, f"{base}/landing", f"{base}/archive", f"{base}/chk", _params(lookback_days=LOOKBACK_NARROW * 6),
@@ -236,7 +236,7 @@ def stream_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 def _deduplicated(spark: SparkSession, sf: str) -> str:
     base = scratch(spark, "dedup")
-    append_silver(silver_of_topic(_later(spark, sf).select(*ARCHIVE_COLUMNS), TOPIC), f"{base}/archive", "seed")
+    append_silver(silver_of_topic(_later(spark, sf).select(*ARCHIVE_COLUMNS), TOPIC), f"{base}/archive", "seed", gathered=True)
     for part in ("first", "all"):
         _land(spark, sf, base, part)
         run_deduplicated(spark, f"{base}/landing", f"{base}/archive", f"{base}/chk", _params(), window_days=WINDOW_DAYS,
