@@ -42,6 +42,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -55,8 +56,9 @@ from quarry.llm import textcore as tc
 SPACE = "▁"
 #: Bytes of corpus text whose distinct units make a bucket.
 BUCKET_BYTES = 2 << 20
-#: Bytes of text that ask together, and that are handled at once.
-BLOCK_BYTES, PART_BYTES = 32 << 20, 2 << 20
+#: Bytes of text that ask together, and that are handled at once: a part's index arrays are many times its size,
+#: and a packed part of more than half a heap region would be an allocation of its own.
+BLOCK_BYTES, PART_BYTES = 32 << 20, 512 << 10
 #: The same where the result holds the ids themselves, which stay in memory for a whole block.
 IDS_BLOCK_BYTES = 8 << 20
 #: Symbols of a unit that fit the bit mask of boundaries.
@@ -103,16 +105,17 @@ class Pieces:
     def longest(self) -> int:
         return max(map(len, self.texts))
 
-    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Bytes of all pieces on end, and the number of bytes of each."""
+    @cached_property
+    def _raw(self) -> pa.Array:
+        """Bytes of every piece, by id."""
         raw = [t.replace(SPACE, " ").encode() for t in self.texts]
         for b in range(256):
             raw[self.bytes_at + b] = bytes([b])
-        size = np.array([len(r) for r in raw])
-        flat, start = np.frombuffer(b"".join(raw), np.uint8), np.cumsum(size) - size
-        n = size[ids]
-        total = np.cumsum(n)
-        return flat[np.repeat(start[ids] - (total - n), n) + np.arange(int(total[-1]) if len(total) else 0)], n
+        return pa.array(raw, pa.large_binary())
+
+    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of all pieces on end, and where each piece begins in them (and the last ends)."""
+        return tc.text_bytes(self._raw.take(pa.array(ids)))
 
 
 # ---- units of a block ------------------------------------------------------
@@ -179,16 +182,26 @@ def _one_each(key: np.ndarray, data: np.ndarray, start: np.ndarray, size: np.nda
     return keys, size[sample], _gather(data, start[sample], size[sample])
 
 
+def _merged(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct units of several (keys, size, text)."""
+    if len(held) == 1:
+        return held[0]
+    keys, size, text = (np.concatenate(x) for x in zip(*held, strict=True))
+    return _one_each(keys, text, np.cumsum(size) - size, size)
+
+
 def _units_asked(count: int, block_bytes: int):
     """Batches of documents -> (block, bucket, payload): the distinct units of every block, by (bucket, key)."""
     def run(batches):
         for block, parts in itertools.groupby(_parts(batches, block_bytes), lambda x: x[0]):
-            keys, size, text = np.zeros(0, _U), np.zeros(0, np.int64), np.zeros(0, np.uint8)
+            held, new = [(np.zeros(0, _U), np.zeros(0, np.int64), np.zeros(0, np.uint8))], 0
             for _, table in parts:
                 data, _, _, start, n, key = _units(table)
-                more, n, data = _one_each(key, data, start, n)
-                size = np.concatenate((size, n))
-                keys, size, text = _one_each(np.concatenate((keys, more)), np.concatenate((text, data)), np.cumsum(size) - size, size)
+                held.append(_one_each(key, data, start, n))
+                new += len(held[-1][0])
+                if new > len(held[0][0]):                  # merged when they are as many as those merged before
+                    held, new = [_merged(held)], 0
+            keys, size, text = _merged(held)
             order, cut = bl.by_bucket(_bucket(keys, count), count)
             start = np.cumsum(size) - size
             for b in np.flatnonzero(np.diff(cut)).tolist():
@@ -458,9 +471,9 @@ def _packed(block_bytes: int):
 
 def _encoded(table: pa.Table, ids: np.ndarray, n: np.ndarray, pieces: Pieces, with_ids: bool) -> pa.Table:
     """The result's rows of a part, from its ids on end and the number of ids of each document."""
-    back, width = pieces.decode(ids)
+    back, first = pieces.decode(ids)
     ends = np.concatenate(([0], np.cumsum(n)))
-    made = np.concatenate(([0], np.cumsum(width)))[ends]
+    made = first[ends]
     raw, back = ids.astype("<u4"), back.tobytes()
     plain, at = tc.text_bytes(tc.text_array(table.column("text")))
     text = plain.tobytes()
@@ -474,22 +487,9 @@ def _encoded(table: pa.Table, ids: np.ndarray, n: np.ndarray, pieces: Pieces, wi
     return pa.table(out)
 
 
-def encode_documents(docs: DataFrame, pieces: Pieces, with_ids: bool = False) -> DataFrame:
-    """doc_id, n_pieces, ids_crc32, round_trip of every document, and its ids if asked for.
-
-    The documents are read twice rather than kept, so ``docs`` must give the
-    same rows each time, as a table does; else the run stops.
-    """
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    source = docs.select("doc_id", "text")
-    block_bytes = IDS_BLOCK_BYTES if with_ids else BLOCK_BYTES
-    count = bl.buckets_for(source.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0, BUCKET_BYTES)
-    asked = source.mapInArrow(_units_asked(count, block_bytes), "block long, bucket int, payload binary").repartition(count, "bucket")
-    encoded = encode_units(distinct_units(asked, count), pieces)
-    answers = _ids_answered(asked, encoded, pieces)
-    blocks = source.mapInArrow(_packed(block_bytes), "block long, part int, docs binary")
-
-    def use(left: pa.Table, right: pa.Table) -> pa.Table:
+def _documents_of(count: int, pieces: Pieces, with_ids: bool):
+    """(parts of a block, its answers) -> the result's rows, a chunk for each part."""
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
         bl.check_block(left)
         left = left.sort_by("part")
         tables, seen = [], []                     # of each part: its units' keys, their numbers, units of each document
@@ -516,7 +516,25 @@ def encode_documents(docs: DataFrame, pieces: Pieces, with_ids: bool = False) ->
             n = size[at]
             ends = np.concatenate(([0], np.cumsum(n)))[np.concatenate(([0], np.cumsum(units)))]
             out.append(_encoded(bl.unpack_table(packed.as_buffer()), _gather(flat, start[at], n), np.diff(ends), pieces, with_ids))
-        return pa.concat_tables(out).combine_chunks()
+        return pa.concat_tables(out)  # chunks, not one array: they are sent to the JVM one by one
+
+    return run
+
+
+def encode_documents(docs: DataFrame, pieces: Pieces, with_ids: bool = False) -> DataFrame:
+    """doc_id, n_pieces, ids_crc32, round_trip of every document, and its ids if asked for.
+
+    The documents are read twice rather than kept, so ``docs`` must give the
+    same rows each time, as a table does; else the run stops.
+    """
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    source = docs.select("doc_id", "text")
+    block_bytes = IDS_BLOCK_BYTES if with_ids else BLOCK_BYTES
+    count = bl.buckets_for(source.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0, BUCKET_BYTES)
+    asked = source.mapInArrow(_units_asked(count, block_bytes), "block long, bucket int, payload binary").repartition(count, "bucket")
+    encoded = encode_units(distinct_units(asked, count), pieces)
+    answers = _ids_answered(asked, encoded, pieces)
+    blocks = source.mapInArrow(_packed(block_bytes), "block long, part int, docs binary")
 
     return (blocks.groupBy("block").cogroup(answers.groupBy("block"))
-            .applyInArrow(use, f"doc_id {kind}, n_pieces long, ids_crc32 long, round_trip boolean" + (", ids array<int>" if with_ids else "")))
+            .applyInArrow(_documents_of(count, pieces, with_ids), f"doc_id {kind}, n_pieces long, ids_crc32 long, round_trip boolean" + (", ids array<int>" if with_ids else "")))
