@@ -98,8 +98,12 @@ class Pieces:
     def table(self, spark: SparkSession) -> DataFrame:
         """(piece, id, score, place): equal scores share a place, the best is 0."""
         places = {s: k for k, s in enumerate(sorted(set(self.scores), reverse=True))}
-        rows = [(t, i, float(s), places[s]) for i, (t, s) in enumerate(zip(self.texts, self.scores, strict=True)) if t]
-        return spark.createDataFrame(rows, "piece string, id int, score double, place long")
+        at = [i for i, t in enumerate(self.texts) if t]
+        # as an Arrow table: rows would be converted by further Python workers in the executors
+        return spark.createDataFrame(pa.table({
+            "piece": pa.array([self.texts[i] for i in at], pa.string()), "id": pa.array(at, pa.int32()),
+            "score": pa.array([float(self.scores[i]) for i in at], pa.float64()),
+            "place": pa.array([places[self.scores[i]] for i in at], pa.int64())}))
 
     @property
     def longest(self) -> int:

@@ -1,7 +1,9 @@
 """Narrow keys and bounded blocks."""
 
+import re
 import tracemalloc
 from types import SimpleNamespace
+from unittest import mock
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +12,7 @@ from pyspark.sql import types as T
 
 from odd_rows import rows
 from quarry.llm import blocks as bl
-from quarry.llm import pieces, rollups, wavelet
+from quarry.llm import pieces, rollups, suffixdedup, wavelet
 
 
 def test_text_hash_is_kept_as_bytes(odd):
@@ -88,3 +90,38 @@ def test_units_asked_in_many_parts_are_distinct(monkeypatch):
         assert (np.diff(key.astype(object)) > 0).all()          # by key, as the answers are
         found += [text[a:a + n].tobytes().decode() for a, n in zip(first.tolist(), width.tolist(), strict=True)]
     assert sorted(found) == sorted({" " + w for t in texts if t for w in t.split()})
+
+
+def _python_steps(df):
+    """Python operators between the exchanges of a plan, at most."""
+    most = now = 0
+    for line in df._jdf.queryExecution().executedPlan().toString().splitlines():  # from the result down to the scan, as no join is in it
+        now = 0 if "Exchange" in line else now + bool(re.search("InArrow|InPandas|EvalPython", line))
+        most = max(most, now)
+    return most
+
+
+def test_documents_are_asked_by_one_python_worker_a_task(odd, as_table):
+    docs = as_table(odd)
+
+    def question(table):
+        yield table.num_rows % 3, bl.pack_table(table.select(["doc_id", "text"]))
+
+    once = bl.ask_documents(docs, question, 1 << 10)
+    assert _python_steps(once) == 1
+    twice = bl.ask(bl.blocks_of(docs, 1 << 10), question)
+    got, want = (sorted((r.block, r.bucket, bl.unpack_table(r.payload).to_pylist()) for r in df.collect()) for df in (once, twice))
+    assert len(got) > 1 and got == want
+    asked = []
+    with mock.patch.object(bl, "answer", lambda x, reply: asked.append(x) or x):
+        suffixdedup.deduplicate(docs)
+    assert _python_steps(asked[0]) == 1
+
+
+def test_the_piece_table_needs_no_python_in_executors(spark):
+    model = pieces.Pieces.load(pieces.model_path())
+    table = model.table(spark)
+    assert table.dtypes == [("piece", "string"), ("id", "int"), ("score", "double"), ("place", "bigint")]
+    assert "LocalTableScan" in table._jdf.queryExecution().executedPlan().toString()
+    got = {r.id: (r.piece, r.score) for r in table.collect()}
+    assert got == {i: (t, float(model.scores[i])) for i, t in enumerate(model.texts) if t}
