@@ -7,6 +7,7 @@ import pytest
 
 import brute
 from odd_rows import ODD, rows
+from quarry.llm import blocks as bl
 from quarry.llm import decontaminate, minhash, rules, suffixdedup
 
 
@@ -113,6 +114,44 @@ def test_periodic_texts(spark, as_table):
     assert rows(suffixdedup.repeated_bytes(df)) == sorted((brute.repeat_row(*x) for x in brute.repeats(docs)), key=repr)
 
 
+def test_messages_of_a_large_corpus(spark, as_table, monkeypatch):
+    """Buckets for 10 GB of text: a block sends few messages, small beside what is in them, and the rows are the same."""
+    real, seen = bl.buckets_for, []
+    monkeypatch.setattr(bl, "buckets_for", lambda total, *size: real(10 << 30, *size))
+    answer = bl.answer
+    monkeypatch.setattr(bl, "answer", lambda asked, reply: seen.append(rows(asked)) or answer(asked, reply))
+    rng = random.Random(8)
+    passages = ["".join(rng.choice("abcdefg ") for _ in range(3000)) for _ in range(3)]
+    docs = [(d, "".join(rng.choice("hijklmn ") for _ in range(1500)) + passages[d % 3][rng.randrange(0, 900):]) for d in range(12)]
+    df = as_table(spark.createDataFrame(docs, "doc_id long, text string").repartition(2))
+    assert rows(suffixdedup.repeated_bytes(df)) == sorted((brute.repeat_row(*x) for x in brute.repeats(docs)), key=repr)
+    for messages in seen:
+        n = len({m[0] for m in messages})
+        assert n == 2 and len({m[:2] for m in messages}) == len(messages) <= n * (10 << 30) // (32 << 20)
+    assert len(seen) == 2 and sum(len(m[2]) for m in seen[1]) < 500 * len(seen[1])   # 50 to 80 bytes of each string
+
+
+@pytest.mark.parametrize("hot", [0, 1, 1024])
+def test_parts_of_a_bucket(spark, as_table, monkeypatch, hot):
+    """However the strings are dealt out over buckets and parts, each is judged with all that have its windows."""
+    rng = random.Random(5)
+    passages = ["".join(rng.choice("abc é") for _ in range(rng.randrange(60, 300))) for _ in range(8)]
+    docs = [(rng.choice([d, d, 3, None]), "".join(rng.choice("xyz ") for _ in range(40)) + rng.choice(passages)[rng.randrange(9):] + rng.choice(passages)) for d in range(80)]
+    df = as_table(spark.createDataFrame(docs, "doc_id long, text string").repartition(4))
+    want = sorted((brute.repeat_row(*x) for x in brute.repeats(docs)), key=repr)
+    for dealt in ((1, 1), (1, 7), (3, 5), (40, 2)):
+        monkeypatch.setattr(suffixdedup, "layout", lambda total, dealt=dealt: dealt)
+        assert rows(suffixdedup.repeated_bytes(df, hot)) == want
+
+
+def test_layout():
+    assert [suffixdedup.layout(n << 20) for n in (0, 31, 200, 256, 512, 2048, 10240, 10241)] == [
+        (8, 1), (8, 1), (50, 1), (64, 1), (64, 2), (64, 8), (320, 8), (320, 8)]
+    for n in range(0, 60000, 137):
+        count, parts = suffixdedup.layout(n << 20)
+        assert (n << 20) / (count * parts) < 5 << 20 and (parts <= 9 or count == 8)
+
+
 def test_suffix_order():
     rng = np.random.default_rng(2)
     data, start, end = [], [], []
